@@ -56,9 +56,9 @@ def order_documents(spark, sf_dir):
     return docs.select("doc_date", "doc_block", text.alias("value"))
 
 
-def decode_orders(docs):
+def decode_orders(docs, parsed: bool = False):
     """M1-style decode: top-level array -> one typed row per order."""
-    d = flatten(parse_documents(docs), "raw", "$", "o", keep=[])
+    d = flatten(docs if parsed else parse_documents(docs), "raw", "$", "o", keep=[])
     return d.select(
         path("o", "$.orderkey", "bigint").alias("orderkey"),
         path("o", "$.orderdate", "date").alias("orderdate"),
