@@ -60,10 +60,11 @@ def read_documents(spark: SparkSession, path: str, run_ts, pattern: str | None =
     """
     if on_error not in POLICIES:
         raise ValueError(f"on_error must be one of {POLICIES}")
-    r = spark.read.option("wholetext", whole_file)
+    r = spark.read
     if name_glob:
         r = r.option("pathGlobFilter", name_glob)
-    df = _select_files(r.text(path), pattern)
+    # text() sets its own wholetext default, so pass it there.
+    df = _select_files(r.text(path, wholetext=whole_file), pattern)
     df = df.withColumn("_src_file", F.col("_metadata.file_path"))
     text = F.col("value")
     if not whole_file:
