@@ -15,9 +15,15 @@ task. The plan here is a bucketed sweep:
 4. Carry-in for probes with no match in their own bucket: the last right row
    of every bucket (``max_by``, partial aggregate), then a running ``last``
    over buckets. That frame has one row per (by, bucket): tiny.
-5. Join the carry-in by ``(by, bucket)`` and coalesce; join the answers back to
-   the left rows by ``(by, left_on)``. Sizes of the small sides are checked
-   at run time by AQE (broadcast threshold), not assumed.
+   With ``slice_rows``, a (by, bucket) group holding more rows than that is
+   cut into time slices at approximate quantiles (a hot key or a hot period
+   no longer lands in one task).
+5. Join the carry-in by ``(by, bucket)`` and coalesce. When the left side is
+   unique on ``(by, left_on)`` (a calendar spine) its row rides through the
+   sweep as a struct; otherwise the answers are joined back to the left rows
+   by ``(by, left_on)``, an equi-join AQE can split when a key is hot. Sizes
+   of the small sides are checked at run time by AQE (broadcast threshold),
+   not assumed.
 
 ``direction="forward"`` mirrors every ordering.
 """
@@ -32,39 +38,97 @@ from pyspark.sql import functions as F
 from .dedupe import latest_wins
 
 _T, _SIDE, _B = "__t", "__side", "__bucket"
+QUANTILES = 1024  # most slices one heavy group is cut into
 
 
 def _bucket(unit: str):
     return F.date_trunc(unit, F.col(_T))
 
 
-def _sweep(probes: DataFrame, builds: DataFrame, by: list[str], payloads: list[str],
-           unit: str, forward: bool, allow_exact: bool) -> DataFrame:
-    """Core sweep: ``probes`` (by, __t) and ``builds`` (by, __t, payload structs).
+def _time_number(dtype, col: str):
+    from pyspark.sql import types as T
+    c = F.col(col)
+    if isinstance(dtype, T.DateType):
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', "
+                      f"cast(`{col}` as timestamp_ntz))").cast("double")
+    return c.cast("double")
+
 
-    Returns ``(by, __t, payloads...)`` for every probe, payload NULL when no
-    match. Each payload column of ``builds`` is NULL on rows of other feeds.
+def _sliced(u: DataFrame, by: list[str], unit: str, slice_rows: int) -> DataFrame:
+    """Add ``__bucket``: the time bucket, split into slices of about
+    ``slice_rows`` rows where a (by, bucket) group is heavy.
+
+    Group sizes come from a plain count (partial aggregate). Only rows of
+    heavy groups then feed an approximate-quantile aggregate (a bounded
+    sketch per heavy group, none for the rest), giving slice boundaries. The
+    boundary table holds heavy groups only, so it has at most
+    rows / slice_rows entries, and AQE picks the join strategy from its
+    actual size. Equal times always fall into one slice (strict ``<``).
+    """
+    num = _time_number(u.schema[_T].dataType, _T)
+    u = u.withColumn("__cb", _bucket(unit)).withColumn("__num", num)
+    q = [i / QUANTILES for i in range(1, QUANTILES)]
+    heavy = (u.groupBy(*by, "__cb").agg(F.count(F.lit(1)).alias("__n"))
+             .filter(F.col("__n") > slice_rows))
+    stats = (u.select(*by, "__cb", "__num").join(heavy, [*by, "__cb"])
+             .groupBy(*by, "__cb")
+             .agg(F.first("__n").alias("__n"), F.percentile_approx("__num", q, 10000).alias("__q")))
+    n_slices = F.least(F.lit(QUANTILES), F.ceil(F.col("__n") / F.lit(slice_rows)))
+    stats = stats.select(*by, "__cb", F.array_distinct(F.transform(
+        F.sequence(F.lit(1), n_slices - 1),
+        lambda k: F.element_at("__q", F.floor(k * QUANTILES / n_slices).cast("int")))).alias("__bounds"))
+    u = u.join(stats, [*by, "__cb"], "left")
+    sub = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col("__num"))), F.lit(0))
+    return u.withColumn(_B, F.struct(F.col("__cb").alias("b"), sub.alias("s"))).drop(
+        "__cb", "__num", "__bounds")
+
+
+def _sweep(probes: DataFrame, builds: DataFrame, by: list[str], payloads: list[str],
+           unit: str, forward: bool, allow_exact: bool, carry: str | None = None,
+           slice_rows: int | None = None) -> DataFrame:
+    """Core sweep: ``probes`` (by, __t[, carry]) and ``builds`` (by, __t, payload structs).
+
+    Returns ``(by, __t[, carry], payloads...)`` for every probe, payload NULL
+    when no match. Each payload column of ``builds`` is NULL on rows of other
+    feeds. ``carry`` is a probe column passed through untouched (the left
+    row), which spares a join back to the left side.
     """
     # Probes before builds at equal time => exclusive; after => inclusive.
     probe_side, build_side = (1, 0) if allow_exact else (0, 1)
-    p = probes.select(*by, _T, F.lit(probe_side).alias(_SIDE),
+    keep = [carry] if carry else []
+    p = probes.select(*by, _T, F.lit(probe_side).alias(_SIDE), *keep,
                       *[F.lit(None).cast(builds.schema[c].dataType).alias(c) for c in payloads])
-    u = builds.select(*by, _T, F.lit(build_side).alias(_SIDE), *payloads).unionByName(p)
-    u = u.withColumn(_B, _bucket(unit))
+    b = builds.select(*by, _T, F.lit(build_side).alias(_SIDE),
+                      *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in keep],
+                      *payloads)
+    u = b.unionByName(p)
+    if slice_rows:
+        u = _sliced(u, by, unit, slice_rows)
+    else:
+        u = u.withColumn(_B, _bucket(unit))
     t_ord = F.col(_T).desc() if forward else F.col(_T).asc()
     s_ord = F.col(_SIDE).asc()
     w = (Window.partitionBy(*by, _B).orderBy(t_ord, s_ord)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = (u.select(*by, _T, _SIDE, _B,
+    inb = (u.select(*by, _T, _SIDE, _B, *keep,
                     *[F.last(c, ignorenulls=True).over(w).alias(c) for c in payloads])
            .filter(F.col(_SIDE) == probe_side).drop(_SIDE))
 
     # Carry-in: last payload of each earlier bucket (first of each later one).
     pick = F.min_by if forward else F.max_by
-    per_bucket = (builds.withColumn(_B, _bucket(unit)).groupBy(*by, _B)
-                  .agg(*[pick(c, F.when(F.col(c).isNotNull(), F.col(_T))).alias(c)
-                         for c in payloads]))
-    probe_buckets = inb.select(*by, _B).distinct()
+    if slice_rows:
+        # Bucket ids depend on the boundary table: take both sides from `u`.
+        per_bucket = (u.filter(F.col(_SIDE) == build_side).groupBy(*by, _B)
+                      .agg(*[pick(c, F.when(F.col(c).isNotNull(), F.col(_T))).alias(c)
+                             for c in payloads]))
+        probe_buckets = u.filter(F.col(_SIDE) == probe_side).select(*by, _B).distinct()
+    else:
+        per_bucket = (builds.withColumn(_B, _bucket(unit)).groupBy(*by, _B)
+                      .agg(*[pick(c, F.when(F.col(c).isNotNull(), F.col(_T))).alias(c)
+                             for c in payloads]))
+        probe_buckets = probes.select(*by, _bucket(unit).alias(_B)).distinct()
     pb = probe_buckets.select(*by, _B, F.lit(1).alias(_SIDE),
                               *[F.lit(None).cast(builds.schema[c].dataType).alias(c)
                                 for c in payloads])
@@ -78,14 +142,15 @@ def _sweep(probes: DataFrame, builds: DataFrame, by: list[str], payloads: list[s
                        *[F.last(c, ignorenulls=True).over(cw).alias(f"__c_{c}") for c in payloads])
              .filter(F.col(_SIDE) == 1).drop(_SIDE))
     out = inb.join(carry, [*by, _B], "left")
-    return out.select(*by, _T, *[F.coalesce(F.col(c), F.col(f"__c_{c}")).alias(c)
-                                 for c in payloads])
+    return out.select(*by, _T, *keep, *[F.coalesce(F.col(c), F.col(f"__c_{c}")).alias(c)
+                                        for c in payloads])
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
               by: Sequence[str] = (), direction: str = "backward", allow_exact: bool = True,
               tolerance=None, tie_break: Sequence[str] | None = None,
-              bucket: str = "month", left_unique: bool = False) -> DataFrame:
+              bucket: str = "month", left_unique: bool = False,
+              slice_rows: int | None = None) -> DataFrame:
     """Left-preserving as-of join.
 
     Every left row gets the right row with the greatest ``right_on`` that is
@@ -97,6 +162,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     several right rows at one ``(by, right_on)``; without it they must be
     unique (trap T4b). ``left_unique`` skips the distinct/join-back when
     ``(by, left_on)`` is known to be unique (e.g. a calendar spine).
+    ``slice_rows`` splits any (by, bucket) group above that many rows into
+    time slices of about that size (hot keys, hot periods).
     """
     by = list(by)
     forward = direction == "forward"
@@ -110,10 +177,15 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         right = latest_wins(right, [*by, right_on], list(tie_break))
     builds = right.select(*by, F.col(right_on).alias(_T),
                           F.struct(*[F.col(c) for c in rcols]).alias("__r"))
-    probes = (left.select(*by, F.col(left_on).alias(_T)))
-    if not left_unique:
-        probes = probes.distinct()
-    m = _sweep(probes, builds, by, ["__r"], bucket, forward, allow_exact)
+    others = [c for c in left.columns if c not in by and c != left_on]
+    if left_unique:
+        # One probe per left row: carry the row through, no join back.
+        probes = left.select(*by, F.col(left_on).alias(_T),
+                             F.struct(*[F.col(c) for c in others]).alias("__l"))
+    else:
+        probes = left.select(*by, F.col(left_on).alias(_T)).distinct()
+    m = _sweep(probes, builds, by, ["__r"], bucket, forward, allow_exact,
+               carry="__l" if left_unique else None, slice_rows=slice_rows)
     if tolerance is not None:
         gap = (F.col("__r")[right_on] - F.col(_T)) if forward else (F.col(_T) - F.col("__r")[right_on])
         if isinstance(tolerance, int):
@@ -124,12 +196,18 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
             limit = F.expr(f"interval {tolerance}") if isinstance(tolerance, str) else tolerance
         m = m.withColumn("__r", F.when(gap <= limit, F.col("__r")))
     m = m.withColumnRenamed(_T, left_on)
+    right_cols = [F.col("__r")[c].alias(c) for c in rcols]
+    if left_unique:
+        return m.select(*[F.col(left_on) if c == left_on else
+                          (F.col(c) if c in by else F.col("__l")[c]).alias(c)
+                          for c in left.columns], *right_cols)
     out = left.join(m, [*by, left_on], "left")
-    return out.select(*left.columns, *[F.col("__r")[c].alias(c) for c in rcols])
+    return out.select(*left.columns, *right_cols)
 
 
 def multi_asof(spine: DataFrame, on: str, feeds: Mapping[str, tuple[DataFrame, str, Sequence[str]]],
-               bucket: str = "month", spine_unique: bool = True) -> DataFrame:
+               bucket: str = "month", spine_unique: bool = True,
+               slice_rows: int | None = None) -> DataFrame:
     """As-of join of several feeds onto one spine in a single window pass.
 
     ``feeds`` maps a feed name to ``(df, date_col, value_cols)``; every feed
@@ -154,12 +232,18 @@ def multi_asof(spine: DataFrame, on: str, feeds: Mapping[str, tuple[DataFrame, s
                               for m in names]
         sdf = sdf.select(*cols)
         builds = sdf if builds is None else builds.unionByName(sdf)
-    probes = spine.select(F.col(on).alias(_T))
-    if not spine_unique:
-        probes = probes.distinct()
-    m = _sweep(probes, builds, [], [payload[n] for n in names], bucket, False, True)
+    others = [c for c in spine.columns if c != on]
+    if spine_unique:
+        probes = spine.select(F.col(on).alias(_T), F.struct(*[F.col(c) for c in others]).alias("__l"))
+    else:
+        probes = spine.select(F.col(on).alias(_T)).distinct()
+    m = _sweep(probes, builds, [], [payload[n] for n in names], bucket, False, True,
+               carry="__l" if spine_unique else None, slice_rows=slice_rows)
     m = m.withColumnRenamed(_T, on)
-    out = spine.join(m, [on], "left")
+    if spine_unique:
+        out = m.select(on, *[F.col("__l")[c].alias(c) for c in others], *m.columns[2:])
+    else:
+        out = spine.join(m, [on], "left")
     sel = list(spine.columns)
     for n in names:
         sel += [F.col(payload[n])[v].alias(v) for v in feeds[n][2]]

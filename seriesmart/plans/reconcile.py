@@ -58,6 +58,9 @@ def q_asof_single(spark, sf_dir):
                       "rate_date", "usd_pln")
 
 
+# A (user, day) group above this many rows is cut into time slices.
+KEYED_SLICE_ROWS = 200_000
+
 ASOF_KEYED_SQL = """with p as (select event_id, user_id, ts, value from events where event_type = 'purchase'),
 c as (select user_id, event_id as click_event_id, ts as click_ts, value as click_value
       from events where event_type = 'click')
@@ -73,7 +76,7 @@ def q_asof_keyed(spark, sf_dir):
         "user_id", F.col("event_id").alias("click_event_id"), F.col("ts").alias("click_ts"),
         F.col("value").alias("click_value"))
     return asof_join(p, c, "ts", "click_ts", by=["user_id"], bucket="day",
-                     tie_break=["click_event_id"])
+                     tie_break=["click_event_id"], slice_rows=KEYED_SLICE_ROWS)
 
 
 def daily_anchors(spark, sf_dir):
@@ -138,3 +141,42 @@ def q_date_spine_bounds(spark, sf_dir):
     cal = dim_date(calendar_years(spark, sf_dir))
     out = bounded_spine(cal, px(spark, sf_dir), "d")
     return out.select("date_key", F.col("full_date").alias("market_date"))
+
+
+@query("asof_chained", ASOF_MULTI_SQL, "K3")
+def q_asof_chained(spark, sf_dir):
+    """The wide mart as three chained as-of joins (one sweep per feed), the
+    plan ``multi_asof`` replaces; kept to compare the two."""
+    spine = market_spine(spark, sf_dir)
+    out = asof_join(spine, daily_anchors(spark, sf_dir), "market_date", "rate_date",
+                    left_unique=True).drop("rate_date")
+    out = asof_join(out, monthly_revenue(spark, sf_dir), "market_date", "period_date",
+                    left_unique=True).drop("period_date")
+    out = asof_join(out, annual_orders(spark, sf_dir), "market_date", "year_date",
+                    left_unique=True).drop("year_date")
+    return out.select(date_key("market_date").alias("date_key"), "market_date",
+                      "usd_pln", "eur_pln", "monthly_revenue", "annual_order_value")
+
+
+# Rows per time slice of a hot as-of group (see operators.asof._sliced).
+HOT_SLICE_ROWS = 500
+
+ASOF_HOT_SQL = """with p as (select event_id, ts, value from events where event_type = 'purchase'),
+c as (select event_id as click_event_id, ts as click_ts, value as click_value
+      from events where event_type = 'click')
+select p.event_id, p.ts, p.value, c.click_event_id, c.click_ts, c.click_value
+from p asof left join c on p.ts >= c.click_ts"""
+
+
+@query("asof_hot_bucket", ASOF_HOT_SQL, "K3")
+def q_asof_hot_bucket(spark, sf_dir):
+    """Keyless as-of of every purchase on the last click before it. All
+    events fall into one monthly bucket, the hot-group case: the bucket is
+    cut into slices of about HOT_SLICE_ROWS rows at approximate quantiles."""
+    ev = table(spark, sf_dir, "events")
+    p = ev.filter(F.col("event_type") == "purchase").select("event_id", "ts", "value")
+    c = ev.filter(F.col("event_type") == "click").select(
+        F.col("event_id").alias("click_event_id"), F.col("ts").alias("click_ts"),
+        F.col("value").alias("click_value"))
+    return asof_join(p, c, "ts", "click_ts", bucket="month", tie_break=["click_event_id"],
+                     slice_rows=HOT_SLICE_ROWS)

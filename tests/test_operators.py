@@ -222,3 +222,18 @@ def test_reconcile(spark):
     b = spark.createDataFrame([(1, "x"), (2, "Y"), (4, "w")], "k int, v string")
     got = {r.metric: r.value for r in reconcile(a, b, ["k"]).collect()}
     assert got == {"rows_a": 3, "rows_b": 3, "only_in_a": 1, "only_in_b": 1, "changed": 1, "matched": 1}
+
+
+def test_asof_slicing_hot_group_equals_unsliced(spark):
+    # One key and one month hold everything: the group is cut into slices.
+    base = dt.datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, base + dt.timedelta(minutes=7 * i)) for i in range(3000)],
+                                 "u int, t timestamp_ntz")
+    right = spark.createDataFrame([(1, base + dt.timedelta(minutes=11 * i + 3), i) for i in range(2000)],
+                                  "u int, rt timestamp_ntz, v int")
+    plain = asof_join(left, right, "t", "rt", by=["u"])
+    sliced = asof_join(left, right, "t", "rt", by=["u"], slice_rows=200)
+    assert sliced.count() == 3000
+    assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0
+    keyless = asof_join(left.drop("u"), right.drop("u"), "t", "rt", slice_rows=150, left_unique=True)
+    assert keyless.exceptAll(plain.drop("u")).count() == 0
