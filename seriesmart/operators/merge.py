@@ -125,3 +125,24 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
     man.coalesce(1).write.parquet(f"{root}/_manifest/v={st.version + 1}")
     d.unpersist()
     return True
+
+
+def publish(spark: SparkSession, df: DataFrame, root: str, checks=None,
+            fail_on: str = "error") -> int:
+    """§4.3 + Q9: publish a full new version of a mart behind its quality gate.
+
+    The data is written first to a fresh folder; the checks run on what was
+    written (one pass for the row-level checks); only when the gate passes is
+    a new manifest version committed. A failed gate raises and leaves the
+    previous version current. Returns the new version number.
+    """
+    from .quality import gate, run_checks
+    st = table_state(spark, root)
+    ddir = f"{root}/data/full-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(ddir)
+    if checks:
+        gate(run_checks(spark.read.parquet(ddir), checks), fail_on=fail_on)
+    last = -1 if st.last_batch is None else st.last_batch
+    man = spark.createDataFrame([("*", ddir, last)], MANIFEST_SCHEMA)
+    man.coalesce(1).write.parquet(f"{root}/_manifest/v={st.version + 1}")
+    return st.version + 1

@@ -61,12 +61,18 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, key: Sequence[str
 
 
 def scd2_replay(snapshots: DataFrame, key: Sequence[str], check_cols: Sequence[str],
-                run_col: str = "run_ts") -> DataFrame:
-    """History of all runs in ``snapshots`` (one row per key and run)."""
+                run_col: str = "run_ts", runs: DataFrame | None = None) -> DataFrame:
+    """History of all runs in ``snapshots`` (one row per key and run).
+
+    ``runs`` (one ``run_col`` row per run, e.g. from the snapshot table's
+    partition listing) spares a distinct pass over the snapshots. A run in
+    ``runs`` with no snapshot row at all closes every key.
+    """
     key = list(key)
     vals = [c for c in snapshots.columns if c not in key and c != run_col]
     # One row per run: a handful of rows, numbered with a global window.
-    runs = snapshots.select(run_col).distinct()
+    runs = (snapshots.select(run_col).distinct() if runs is None
+            else runs.select(run_col).distinct())
     rw = Window.orderBy(run_col)
     runs = runs.select(run_col, F.row_number().over(rw).alias("__seq"))
     s = snapshots.join(runs, run_col)

@@ -114,4 +114,7 @@ def q_scd2_deletes(spark, sf_dir):
 def q_scd2_replay(spark, sf_dir):
     snaps = [snapshot(spark, sf_dir, r).withColumn("run_ts", F.lit(ts).cast("timestamp_ntz"))
              for r, ts in RUNS.items()]
-    return scd2_replay(reduce(lambda a, b: a.unionByName(b), snaps), ["o_orderkey"], ["status"])
+    runs = spark.createDataFrame([(ts,) for ts in RUNS.values()], "run_ts string").select(
+        F.col("run_ts").cast("timestamp_ntz").alias("run_ts"))
+    return scd2_replay(reduce(lambda a, b: a.unionByName(b), snaps), ["o_orderkey"], ["status"],
+                       runs=runs)

@@ -23,15 +23,21 @@ CAL_SQL = ("cal as (select cast(unnest(generate_series(b.s, b.e - interval 1 day
 
 
 def calendar_years(spark, sf_dir):
-    """D1 with data-derived bounds: whole years covering orders and shipments."""
-    o = table(spark, sf_dir, "orders").agg(
-        F.trunc(F.min(F.col("o_orderdate").cast("date")), "year").alias("s"))
-    li = table(spark, sf_dir, "lineitem").agg(
-        F.add_months(F.trunc(F.max(F.col("l_shipdate").cast("date")), "year"), 12).alias("e"))
-    b = o.crossJoin(li)  # two one-row aggregates
+    """D1 with data-derived bounds: whole years covering orders and shipments.
+
+    Both bounds come from one aggregate over a union of the two date columns
+    (partial aggregates on each side, no join)."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").cast("date").alias("d"), F.lit(True).alias("is_order"))
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("d"), F.lit(False).alias("is_order"))
+    b = o.unionByName(li).agg(
+        F.trunc(F.min(F.when(F.col("is_order"), F.col("d"))), "year").alias("s"),
+        F.add_months(F.trunc(F.max(F.when(~F.col("is_order"), F.col("d"))), "year"), 12).alias("e"))
     return b.select(F.explode(F.when(F.col("e") > F.col("s"), F.sequence(
         "s", F.date_sub("e", 1), F.expr("interval 1 day")))).alias("date_day"))
 
+
 SPINE_SQL = ("spine as (select cast(unnest(generate_series(b.s, b.e, interval 1 day)) as date) "
              "as market_date from (select min(d) as s, max(d) as e from px) b)")
 

@@ -205,3 +205,32 @@ def test_feed_models_end_to_end(spark, tmp_root):
     assert out["2026-04-21"].wti_usd_bbl == Decimal("71.23")  # carried forward
     assert out["2026-04-23"].civil_eng_index == Decimal("99.8")
     assert out["2026-04-23"].motorway_km == Decimal("5100.4")
+
+
+def test_load_feeds_policies_and_report(spark, tmp_root):
+    from seriesmart.sources.bronze import FEEDS, Feed, LoadError, load_feeds
+    root = _local(tmp_root)
+    land, bronze = root + "/land", root + "/bronze"
+    _write(land, "source=nbp/ingest_date=2026-04-20/nbp_table_a_2026-04-20.json", json.dumps(FX1, indent=2))
+    _write(land, "source=eia/ingest_date=2026-04-20/eia_wti_spot_2026-04-20.json", json.dumps(OIL))
+    _write(land, "source=gus/ingest_date=2026-04-20/gus_expressways_motorways_2026.json", "{broken")
+    with pytest.raises(LoadError, match="gus_roads_raw"):
+        load_feeds(spark, land, bronze, RUN1)
+    # The other feeds loaded although a later one failed.
+    assert spark.read.parquet(bronze + "/nbp_fx_rates_raw/data").count() == 1
+    lenient = tuple(Feed(f.table, f.pattern, f.fmt, "skip_file") if f.table == "gus_roads_raw" else f
+                    for f in FEEDS)
+    rep = {r.table: (r.files_loaded, r.status) for r in load_feeds(spark, land, bronze, RUN2, lenient).collect()}
+    assert rep["nbp_fx_rates_raw"] == (0, "nothing new")
+    assert rep["gus_roads_raw"] == (1, "loaded")
+
+
+def test_publish_behind_gate(spark, tmp_root):
+    from seriesmart.operators.merge import publish, read_table
+    from seriesmart.operators.quality import QualityGateError, not_null
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    bad = spark.createDataFrame([(1, None)], "k int, v string")
+    assert publish(spark, good, tmp_root, [not_null("v")]) == 1
+    with pytest.raises(QualityGateError):
+        publish(spark, bad, tmp_root, [not_null("v")])
+    assert read_table(spark, tmp_root).count() == 2  # previous version still current
