@@ -27,7 +27,7 @@ from seriesmart.plans.registry import load_all  # noqa: E402
 from seriesmart.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "fx_returns", "rolling_mean", "rolling_volatility", "latest_wins", "latest_wins_window",
+    "fx_returns", "rolling_mean", "rolling_volatility", "latest_wins", "latest_wins_max_by",
     "asof_keyed", "asof_single", "asof_multi", "asof_chained", "flatten_nested",
     "cdc_upsert", "scd2_replay", "quality_report", "share_of_total", "star_rollup",
 ]

@@ -50,9 +50,11 @@ def _time_number(dtype, col: str):
     c = F.col(col)
     if isinstance(dtype, T.DateType):
         return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")  # instant: no session time zone involved
+    if isinstance(dtype, T.TimestampNTZType):
         return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', "
-                      f"cast(`{col}` as timestamp_ntz))").cast("double")
+                      f"`{col}`)").cast("double")
     return c.cast("double")
 
 

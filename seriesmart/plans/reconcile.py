@@ -81,7 +81,8 @@ def q_asof_keyed(spark, sf_dir):
     c = ev.filter(F.col("event_type") == "click").select(
         "user_id", F.col("event_id").alias("click_event_id"), F.col("ts").alias("click_ts"),
         F.col("value").alias("click_value"))
-    return asof_join(p, c, "ts", "click_ts", by=["user_id"], bucket="day",
+    # Monthly buckets: any (user, month) above KEYED_SLICE_ROWS is sliced.
+    return asof_join(p, c, "ts", "click_ts", by=["user_id"], bucket="month",
                      tie_break=["click_event_id"], slice_rows=KEYED_SLICE_ROWS)
 
 

@@ -113,17 +113,19 @@ qualify row_number() over (partition by user_id, event_type order by ts desc, ev
 
 @query("latest_wins", LATEST_WINS_SQL, "W1 C7 P6")
 def q_latest_wins(spark, sf_dir):
+    """Window form (row_number = 1 with a partial WindowGroupLimit)."""
     ev = table(spark, sf_dir, "events").filter(F.col("ts").isNotNull())
-    return latest_wins(ev, ["user_id", "event_type"], ["ts", "event_id"])
+    return latest_wins(ev, ["user_id", "event_type"], ["ts", "event_id"], method="window")
 
 
-LATEST_WINS_WINDOW_SQL = LATEST_WINS_SQL
+LATEST_WINS_MAXBY_SQL = LATEST_WINS_SQL
 
 
-@query("latest_wins_window", LATEST_WINS_WINDOW_SQL, "W1")
-def q_latest_wins_window(spark, sf_dir):
+@query("latest_wins_max_by", LATEST_WINS_MAXBY_SQL, "W1")
+def q_latest_wins_max_by(spark, sf_dir):
+    """Aggregate form: max_by over a struct of the row."""
     ev = table(spark, sf_dir, "events").filter(F.col("ts").isNotNull())
-    return latest_wins(ev, ["user_id", "event_type"], ["ts", "event_id"], method="window")
+    return latest_wins(ev, ["user_id", "event_type"], ["ts", "event_id"], method="max_by")
 
 
 SERIES_PROFILE_SQL = f"""with {PX_SQL}

@@ -237,3 +237,13 @@ def test_asof_slicing_hot_group_equals_unsliced(spark):
     assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0
     keyless = asof_join(left.drop("u"), right.drop("u"), "t", "rt", slice_rows=150, left_unique=True)
     assert keyless.exceptAll(plain.drop("u")).count() == 0
+
+
+def test_asof_slicing_session_timestamps(spark):
+    base = dt.datetime(2024, 3, 30)
+    left = spark.createDataFrame([(base + dt.timedelta(minutes=13 * i),) for i in range(800)], "t timestamp")
+    right = spark.createDataFrame([(base + dt.timedelta(minutes=17 * i + 5), i) for i in range(600)],
+                                  "rt timestamp, v int")
+    plain = asof_join(left, right, "t", "rt", bucket="month")
+    sliced = asof_join(left, right, "t", "rt", bucket="month", slice_rows=100)
+    assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0
