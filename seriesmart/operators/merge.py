@@ -39,9 +39,8 @@ MANIFEST_SCHEMA = T.StructType([
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    from ..session import path_exists
+    return path_exists(spark, path)
 
 
 @dataclass

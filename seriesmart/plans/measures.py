@@ -56,11 +56,13 @@ def q_share_of_total(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    # Aggregate per customer before the small dimension joins: the big join is
-    # lineitem x orders; everything after it is per customer, then per nation.
-    per_cust = (li.join(o, li.l_orderkey == o.o_orderkey)
-                .groupBy("o_custkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))
-                                          .alias("rev")))
+    # Pre-aggregate before every join: lineitem per order (partial aggregate,
+    # its shuffle on the order key also serves the join with orders), then per
+    # customer, then per nation; the dimension joins only see small frames.
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("rev"))
+    per_cust = (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
+                .groupBy("o_custkey").agg(F.sum("rev").alias("rev")))
     per_nation = (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
                   .groupBy("c_nationkey").agg(F.sum("rev").alias("rev")))
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select(

@@ -39,19 +39,47 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set one only when unset."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if d and sc is None:
+        return d
     if not d:
+        # Local runs and tests only: a cluster session names a shared folder.
         d = tempfile.mkdtemp(prefix="seriesmart-ckpt-", dir="/tmp")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", d)
+            return d
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on its (Hadoop) file system."""
+    sc = _context(spark)
+    if sc is not None:
+        jvm = sc._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+    try:
+        spark.read.format("binaryFile").load(path).limit(0).collect()
+        return True
+    except Exception:  # noqa: BLE001 - missing path
+        return False
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     return f"{shared_dir(spark).rstrip('/')}/seriesmart/{name}-{uuid.uuid4().hex[:12]}"

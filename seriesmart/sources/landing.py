@@ -147,10 +147,8 @@ def pending_files(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    from ..session import path_exists
+    return path_exists(spark, path)
 
 
 def incremental_load(spark: SparkSession, landing: str, bronze: str, run_ts,
