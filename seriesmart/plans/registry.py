@@ -37,6 +37,6 @@ def query(name: str, sql: str | None, ops: str):
 
 def load_all() -> dict[str, Query]:
     # Importing the modules registers their queries.
-    from . import (documents, history, landing, marts, measures,  # noqa: F401
-                   quality, reconcile, timeseries)
+    from . import (daily_marts, documents, history, landing, marts,  # noqa: F401
+                   measures, quality, reconcile, timeseries)
     return QUERIES
