@@ -111,9 +111,10 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
     merged = latest_wins(u, keys, order).drop("__src")
     bid = -1 if batch_id is None else int(batch_id)
     ddir = f"{root}/data/b={bid}-{uuid.uuid4().hex[:8]}"
-    # No repartition by partition value: a hot partition would land in one
-    # task. Each task writes its share of every touched partition instead.
-    merged.withColumn("__p", F.col(partition).cast("string")).write.partitionBy("__p").parquet(ddir)
+    # Rebalance (not repartition) by partition value: AQE coalesces small
+    # partitions into few files and splits a hot one across several tasks.
+    (merged.withColumn("__p", F.col(partition).cast("string")).hint("rebalance", "__p")
+     .write.partitionBy("__p").parquet(ddir))
     new_rows = spark.createDataFrame(
         [(p, f"{ddir}/__p={p}", bid) for p in touched], MANIFEST_SCHEMA)
     kept = (st.manifest.filter(~F.col("partition").isin(touched)).select(*MANIFEST_SCHEMA.names)

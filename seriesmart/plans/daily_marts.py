@@ -60,16 +60,34 @@ def _sql_case(col, mapping, idx):
 
 # --- derived landed feeds -----------------------------------------------------
 
-def _land_docs(spark, root, dataset, docs: DataFrame, run_ts, day_col="ingest_date"):
-    write_landing(docs.select(F.lit(dataset.split("/")[0]).alias("source"),
-                              F.lit(dataset.split("/")[1]).alias("dataset"),
-                              F.col(day_col).alias("ingest_date"), "value"), root)
-    return read_documents(spark, root, run_ts, pattern=f".*/source={dataset.split('/')[0]}/"
-                          f"dataset={dataset.split('/')[1]}/.*")
+def _split(dataset):
+    src, ds = dataset.split("/")
+    return src, ds
 
 
-def fx_bronze(spark, sf_dir, root):
-    """Two loads of FX table documents; the later one revises days after the 10th."""
+def _landed(docs: DataFrame, dataset: str) -> DataFrame:
+    src, ds = _split(dataset)
+    return docs.select(F.lit(src).alias("source"), F.lit(ds).alias("dataset"), "ingest_date", "value")
+
+
+def _read_landed(spark, root, dataset, run_ts):
+    # Point the reader at the feed's own partition folder: the listing is
+    # pruned to that feed; the regex still selects files by name.
+    src, ds = _split(dataset)
+    return read_documents(spark, f"{root}/source={src}/dataset={ds}", run_ts,
+                          pattern=f".*/source={src}/dataset={ds}/.*")
+
+
+def _land_docs(spark, root, dataset, docs: DataFrame, run_ts):
+    write_landing(_landed(docs, dataset), root)
+    return _read_landed(spark, root, dataset, run_ts)
+
+
+FX = "nbp/fx_rates_table_a"
+
+
+def fx_docs(spark, sf_dir):
+    """FX table documents of the two loads: (stale first load, later revision)."""
     p = px(spark, sf_dir).select("d", _map("k", CURRENCIES, 0).alias("code"),
                                  _map("k", CURRENCIES, 1).alias("name"), "p")
 
@@ -85,9 +103,14 @@ def fx_bronze(spark, sf_dir, root):
         return g.select(F.date_format(F.trunc("d", "month"), "yyyy-MM-dd").alias("ingest_date"),
                         F.to_json(doc).alias("value"))
 
-    b1 = _land_docs(spark, root + "/l1", "nbp/fx_rates_table_a", docs(p, True), LOAD_1)
-    b2 = _land_docs(spark, root + "/l2", "nbp/fx_rates_table_a",
-                    docs(p.filter(F.dayofmonth("d") > 10), False), LOAD_2)
+    return docs(p, True), docs(p.filter(F.dayofmonth("d") > 10), False)
+
+
+def fx_bronze(spark, sf_dir, root):
+    """Two loads of FX table documents; the later one revises days after the 10th."""
+    d1, d2 = fx_docs(spark, sf_dir)
+    b1 = _land_docs(spark, root + "/l1", FX, d1, LOAD_1)
+    b2 = _land_docs(spark, root + "/l2", FX, d2, LOAD_2)
     return b1.unionByName(b2)
 
 
@@ -98,7 +121,10 @@ stg_fx as (select d as effective_date, {_sql_case('k', CURRENCIES, 0)} as curren
     cast(case when day(d) <= 10 then p + 1 else p end as decimal(18,6)) as mid_rate from px)"""
 
 
-def oil_bronze(spark, sf_dir, root):
+OIL_DS = "eia/spot"
+
+
+def oil_docs(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     a = li.groupBy(F.col("l_shipdate").cast("date").alias("d"), F.col("l_returnflag").alias("f")).agg(
         (F.min(F.col("l_extendedprice").cast("decimal(18,2)")) * F.lit(0.01).cast("decimal(3,2)"))
@@ -116,7 +142,11 @@ def oil_bronze(spark, sf_dir, root):
                     F.lit("]}}"))
     docs = g.select(F.concat(F.col("y").cast("string"), F.lit("-01-01")).alias("ingest_date"),
                     text.alias("value"))
-    return _land_docs(spark, root, "eia/spot", docs, LOAD_1)
+    return docs
+
+
+def oil_bronze(spark, sf_dir, root):
+    return _land_docs(spark, root, OIL_DS, oil_docs(spark, sf_dir), LOAD_1)
 
 
 OIL_STG_SQL = f"""oil_src as (select cast(l_shipdate as date) as d, l_returnflag as f,
@@ -127,7 +157,10 @@ stg_oil as (select d as price_date, {_sql_case('f', OIL, 0)} as series,
     from oil_src where day(d) <> 1)"""
 
 
-def weather_bronze(spark, sf_dir, root):
+WEATHER_DS = "openmeteo/warsaw_daily"
+
+
+def weather_docs(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     a = li.groupBy(F.col("l_shipdate").cast("date").alias("d")).agg(
         (F.max("l_quantity") - 20).alias("tmax"), (F.min("l_quantity") - 20).alias("tmin"),
@@ -145,7 +178,11 @@ def weather_bronze(spark, sf_dir, root):
                     F.to_json(F.struct(F.lit(LATITUDE).alias("latitude"),
                                        F.lit(LONGITUDE).alias("longitude"),
                                        daily.alias("daily"))).alias("value"))
-    return _land_docs(spark, root, "openmeteo/warsaw_daily", docs, LOAD_1)
+    return docs
+
+
+def weather_bronze(spark, sf_dir, root):
+    return _land_docs(spark, root, WEATHER_DS, weather_docs(spark, sf_dir), LOAD_1)
 
 
 WEATHER_STG_SQL = f"""w_src as (select cast(l_shipdate as date) as d, max(l_quantity) - 20 as tmax,
@@ -159,7 +196,10 @@ stg_weather as (select d as weather_date, cast({LATITUDE} as decimal(9,4)) as la
     from w_last where day(d) <> 1)"""
 
 
-def civil_bronze(spark, sf_dir, root):
+CIVIL_DS = "eurostat/civil_eng"
+
+
+def civil_docs(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     m = li.groupBy(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("m")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -172,7 +212,11 @@ def civil_bronze(spark, sf_dir, root):
                             .alias("time")).alias("dimension"), F.col("value"))
     docs = g.select(F.concat(F.col("y").cast("string"), F.lit("-01-01")).alias("ingest_date"),
                     F.to_json(doc).alias("value"))
-    return _land_docs(spark, root, "eurostat/civil_eng", docs, LOAD_1)
+    return docs
+
+
+def civil_bronze(spark, sf_dir, root):
+    return _land_docs(spark, root, CIVIL_DS, civil_docs(spark, sf_dir), LOAD_1)
 
 
 CIVIL_STG_SQL = """stg_civil as (select cast(date_trunc('month', l_shipdate) as date) as period_date,
@@ -180,7 +224,10 @@ CIVIL_STG_SQL = """stg_civil as (select cast(date_trunc('month', l_shipdate) as
     from lineitem group by 1 having month(period_date) <> 2)"""
 
 
-def roads_bronze(spark, sf_dir, root):
+ROADS_DS = "gus/expressways"
+
+
+def roads_docs(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     y = o.groupBy(F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     areas = None
@@ -192,7 +239,11 @@ def roads_bronze(spark, sf_dir, root):
     g = areas.groupBy("area").agg(F.sort_array(F.collect_list("v")).alias("values"))
     docs = g.select(F.lit("2026-01-01").alias("ingest_date"), F.to_json(F.struct(F.array(F.struct(
         F.col("area").alias("name"), F.col("values"))).alias("results"))).alias("value"))
-    return _land_docs(spark, root, "gus/expressways", docs, LOAD_1)
+    return docs
+
+
+def roads_bronze(spark, sf_dir, root):
+    return _land_docs(spark, root, ROADS_DS, roads_docs(spark, sf_dir), LOAD_1)
 
 
 ROADS_STG_SQL = f"""stg_roads as (select cast(cast(year(o_orderdate) as varchar) || '-01-01' as date) as period_date,
@@ -324,15 +375,28 @@ def q_mart_construction_activity(spark, sf_dir):
 
 
 def market_signals_from_feeds(spark, sf_dir):
-    """M16 over the derived feeds: all six models feed the wide daily mart."""
+    """M16 over the derived feeds: all six models feed the wide daily mart.
+
+    The documents of one load are landed by one write job (one union of all
+    feeds); each bronze reader then lists only its feed's folder.
+    """
     root = scratch_path(spark, "m16")
-    fx = feeds.fct_fx_rates(feeds.stg_fx_rates(fx_bronze(spark, sf_dir, root + "/fx")))
-    oil = feeds.fct_commodity_prices(feeds.stg_petroleum_spot(oil_bronze(spark, sf_dir, root + "/oil")))
+    fx1, fx2 = fx_docs(spark, sf_dir)
+    first = [(FX, fx1), (OIL_DS, oil_docs(spark, sf_dir)), (WEATHER_DS, weather_docs(spark, sf_dir)),
+             (CIVIL_DS, civil_docs(spark, sf_dir)), (ROADS_DS, roads_docs(spark, sf_dir))]
+    union = None
+    for ds, docs in first:
+        union = _landed(docs, ds) if union is None else union.unionByName(_landed(docs, ds))
+    write_landing(union, root + "/l1")
+    write_landing(_landed(fx2, FX), root + "/l2")
+    b = {ds: _read_landed(spark, root + "/l1", ds, LOAD_1) for ds, _ in first}
+    fx_b = b[FX].unionByName(_read_landed(spark, root + "/l2", FX, LOAD_2))
+    fx = feeds.fct_fx_rates(feeds.stg_fx_rates(fx_b))
+    oil = feeds.fct_commodity_prices(feeds.stg_petroleum_spot(b[OIL_DS]))
     rates = feeds.fct_interest_rates(feeds.stg_estr(rates_bronze(spark, sf_dir, root + "/ecb")))
-    weather = feeds.fct_weather_daily(feeds.stg_weather(weather_bronze(spark, sf_dir, root + "/w")))
-    act = feeds.fct_construction_activity(
-        feeds.stg_civil_eng(civil_bronze(spark, sf_dir, root + "/civ")),
-        feeds.stg_expressways(roads_bronze(spark, sf_dir, root + "/gus")))
+    weather = feeds.fct_weather_daily(feeds.stg_weather(b[WEATHER_DS]))
+    act = feeds.fct_construction_activity(feeds.stg_civil_eng(b[CIVIL_DS]),
+                                          feeds.stg_expressways(b[ROADS_DS]))
     cal = dim_date(calendar_years(spark, sf_dir))
     return feeds.fct_daily_market_signals(spark, fx, oil, rates, weather, act, calendar=cal)
 

@@ -36,8 +36,14 @@ def run_stamp(run_ts) -> F.Column:
 
 def write_landing(df: DataFrame, root: str, fmt: str = "text",
                   partition_cols=("source", "dataset", "ingest_date")) -> None:
-    """Write under the hive layout; a re-run replaces only its partitions."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Write under the hive layout; a re-run replaces only its partitions.
+
+    The ``rebalance`` hint lets AQE size the write tasks by bytes: small
+    partition values end up in few files, and a hot one (a day holding a
+    third of the data) is split across several tasks instead of one.
+    """
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).format(fmt).save(root))
 
 
