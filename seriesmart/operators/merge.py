@@ -56,9 +56,10 @@ def table_state(spark: SparkSession, root: str) -> TableState:
     if not _exists(spark, mpath):
         return TableState(0, None, None)
     m = spark.read.parquet(mpath)
-    row = m.agg(F.max("v").alias("v")).first()
+    # One small job: the newest version and the batch id it recorded.
+    row = m.agg(F.max("v").alias("v"), F.max_by("batch_id", "v").alias("b")).first()
     cur = m.filter(F.col("v") == row["v"]).drop("v")
-    last = cur.agg(F.max("batch_id")).first()[0]
+    last = None if row["b"] is None or row["b"] < 0 else int(row["b"])
     return TableState(int(row["v"]), last, cur)
 
 

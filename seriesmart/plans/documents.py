@@ -42,18 +42,21 @@ def order_documents(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     empty = F.array().cast(lines.schema["lines"].dataType)
-    obj = F.to_json(F.struct(
+    obj = F.struct(
         F.col("o_orderkey").alias("orderkey"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("orderdate"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("order-priority"),
         F.parse_json(_price_json()).alias("totalprice"),
-        F.coalesce(F.col("lines"), empty).alias("lines")))
+        F.coalesce(F.col("lines"), empty).alias("lines"))
     docs = j.groupBy(F.col("o_orderdate").cast("date").alias("doc_date"),
                      F.expr(f"o_orderkey div {BLOCK}").alias("doc_block")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("o_orderkey"), obj.alias("j")))).alias("a"))
-    text = F.concat(F.lit("["), F.array_join(F.transform("a", lambda x: x["j"]), ","), F.lit("]"))
-    return docs.select("doc_date", "doc_block", text.alias("value"))
+        F.collect_list(obj).alias("a"))
+    # Orders sorted by key (a comparator: the variant field is not orderable),
+    # then the whole document serialized once.
+    by_key = F.array_sort("a", lambda x, y: F.when(x["orderkey"] < y["orderkey"], -1)
+                          .when(x["orderkey"] > y["orderkey"], 1).otherwise(0))
+    return docs.select("doc_date", "doc_block", F.to_json(by_key).alias("value"))
 
 
 def decode_orders(docs, parsed: bool = False):
