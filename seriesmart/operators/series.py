@@ -70,7 +70,7 @@ def layout(df: DataFrame, series: Sequence[str], order: str, halo: int,
     own = F.floor(F.col("__rn") / c)
     # Each row lives in its own chunk; the last `halo` rows of a chunk are
     # also copied, flagged as halo, into the next chunk.
-    copies = F.when(F.col("__rn") % c >= c - F.lit(halo),
+    copies = F.when((F.lit(halo) > 0) & (F.col("__rn") % c >= c - F.lit(halo)),
                     F.array(F.struct(own.alias("k"), F.lit(False).alias("h")),
                             F.struct((own + 1).alias("k"), F.lit(True).alias("h")))
                     ).otherwise(F.array(F.struct(own.alias("k"), F.lit(False).alias("h"))))
@@ -82,15 +82,17 @@ def layout(df: DataFrame, series: Sequence[str], order: str, halo: int,
 
 def with_change(df: DataFrame, series: Sequence[str], order: str, value: str,
                 prev: str = "prev_value", change: str | None = "change_abs",
-                ret: str | None = "daily_return") -> DataFrame:
+                ret: str | None = "daily_return", halo_chunk: int | None = None,
+                bucket: str = "month") -> DataFrame:
     """W2 + F7: previous value, absolute change, ``v / nullif(prev, 0) - 1``."""
-    w = Window.partitionBy(*series).orderBy(order)
-    out = df.withColumn(prev, F.lag(value).over(w))
+    lay = layout(df, series, order, halo=1, halo_chunk=halo_chunk, bucket=bucket)
+    out = lay.df.withColumn(prev, F.lag(value).over(lay.window()))
     if change:
         out = out.withColumn(change, F.col(value) - F.col(prev))
     if ret:
         out = out.withColumn(ret, pct_change(F.col(value), F.col(prev)))
-    return out
+    lay.df = out
+    return lay.finish()
 
 
 _ROLL = {
@@ -104,13 +106,16 @@ _ROLL = {
 
 
 def rolling(df: DataFrame, series: Sequence[str], order: str, value: str, rows: int,
-            fn: str = "avg", name: str | None = None) -> DataFrame:
+            fn: str = "avg", name: str | None = None, halo_chunk: int | None = None,
+            bucket: str = "month") -> DataFrame:
     """``fn(value)`` over the current row and ``rows - 1`` before it.
 
     Frames are rows, not calendar days (trap T3): early rows use partial frames.
     """
-    w = Window.partitionBy(*series).orderBy(order).rowsBetween(-(rows - 1), 0)
-    return df.withColumn(name or f"{fn}_{rows}", _ROLL[fn](value).over(w))
+    lay = layout(df, series, order, halo=rows - 1, halo_chunk=halo_chunk, bucket=bucket)
+    lay.df = lay.df.withColumn(name or f"{fn}_{rows}",
+                               _ROLL[fn](value).over(lay.window(-(rows - 1), 0)))
+    return lay.finish()
 
 
 def returns_and_rolling(df: DataFrame, series: Sequence[str], order: str, value: str,

@@ -9,6 +9,7 @@ report has one row per feed.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,21 @@ class LoadError(RuntimeError):
     pass
 
 
+def feeds_from_control(control: DataFrame, on_error: str = "abort") -> tuple[Feed, ...]:
+    """Feeds of the enabled control records: the file-name template becomes the
+    selection pattern (``{ingest_date}`` matches anything), the response
+    format picks the reader, the bronze table is ``<source_id>_raw``. The
+    control table is a handful of records, collected as metadata."""
+    from .control import PLACEHOLDER, enabled_sources
+    out = []
+    for r in enabled_sources(control).select("source_id", "file_name_template",
+                                             "response_format").collect():
+        pat = ".*" + re.escape(r.file_name_template).replace(re.escape(PLACEHOLDER), ".*") + "$"
+        fmt = "csv" if (r.response_format or "").lower() == "csv" else "json"
+        out.append(Feed(f"{r.source_id}_raw", pat, fmt, on_error))
+    return tuple(out)
+
+
 def _reader(feed: Feed):
     if feed.fmt == "csv":
         return lambda s, paths, ts: read_positional_csv(s, paths, ECB_COLUMNS, ECB_POSITIONS, ts,

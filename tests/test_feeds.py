@@ -234,3 +234,14 @@ def test_publish_behind_gate(spark, tmp_root):
     with pytest.raises(QualityGateError):
         publish(spark, bad, tmp_root, [not_null("v")])
     assert read_table(spark, tmp_root).count() == 2  # previous version still current
+
+
+def test_feeds_from_control(spark, tmp_root):
+    from seriesmart.sources.bronze import feeds_from_control
+    root = _local(tmp_root)
+    c = read_control(spark, _write(root, "control/sources.json", json.dumps(CONTROL)))
+    fs = {f.table: f for f in feeds_from_control(c)}
+    assert set(fs) == {"fx_raw", "oil_raw"}
+    import re
+    assert re.match(fs["fx_raw"].pattern, "/x/ingest_date=2026-04-21/fx_2026-04-21.json")
+    assert not re.match(fs["fx_raw"].pattern, "/x/other.json")

@@ -247,3 +247,15 @@ def test_asof_slicing_session_timestamps(spark):
     plain = asof_join(left, right, "t", "rt", bucket="month")
     sliced = asof_join(left, right, "t", "rt", bucket="month", slice_rows=100)
     assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0
+
+
+def test_rolling_and_change_halo_equal_plain(spark):
+    from seriesmart.operators.series import rolling
+    rows = [(k, D("2000-01-01") + dt.timedelta(days=i), float((i * 31 + len(k)) % 97))
+            for k in ("x", "yy") for i in range(0, 1500, len(k))]
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    for a, b in [(rolling(df, ["k"], "d", "v", 30, "stddev_samp"),
+                  rolling(df, ["k"], "d", "v", 30, "stddev_samp", halo_chunk=50)),
+                 (with_change(df, ["k"], "d", "v"), with_change(df, ["k"], "d", "v", halo_chunk=40))]:
+        assert a.count() == b.count() == len(rows)
+        assert a.exceptAll(b).count() == 0
