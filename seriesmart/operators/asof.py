@@ -12,9 +12,11 @@ task. The plan here is a bucketed sweep:
 3. ``bucket = date_trunc(unit, ts)``; union probes and right rows and run one
    window per ``(by, bucket)``: ``last(struct, ignorenulls)``. Right rows sort
    before probes at equal time for an inclusive match.
-4. Carry-in for probes with no match in their own bucket: the last right row
-   of every bucket (``max_by``, partial aggregate), then a running ``last``
-   over buckets. That frame has one row per (by, bucket): tiny.
+4. Carry-in for probes with no match in their own bucket: the same window
+   operator also yields each bucket's last right row (a whole-partition
+   frame over the same sort); a grouping on the window's own partition keys
+   (no shuffle) makes one row per (by, bucket), and a running ``last`` over
+   earlier buckets gives the carry. That frame is tiny.
    With ``slice_rows``, a (by, bucket) group holding more rows than that is
    cut into time slices at approximate quantiles (a hot key or a hot period
    no longer lands in one task).
@@ -112,37 +114,30 @@ def _sweep(probes: DataFrame, builds: DataFrame, by: list[str], payloads: list[s
         u = u.withColumn(_B, _bucket(unit))
     t_ord = F.col(_T).desc() if forward else F.col(_T).asc()
     s_ord = F.col(_SIDE).asc()
-    w = (Window.partitionBy(*by, _B).orderBy(t_ord, s_ord)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = (u.select(*by, _T, _SIDE, _B, *keep,
-                    *[F.last(c, ignorenulls=True).over(w).alias(c) for c in payloads])
-           .filter(F.col(_SIDE) == probe_side).drop(_SIDE))
-
-    # Carry-in: last payload of each earlier bucket (first of each later one).
-    pick = F.min_by if forward else F.max_by
-    if slice_rows:
-        # Bucket ids depend on the boundary table: take both sides from `u`.
-        per_bucket = (u.filter(F.col(_SIDE) == build_side).groupBy(*by, _B)
-                      .agg(*[pick(c, F.when(F.col(c).isNotNull(), F.col(_T))).alias(c)
-                             for c in payloads]))
-        probe_buckets = u.filter(F.col(_SIDE) == probe_side).select(*by, _B).distinct()
-    else:
-        per_bucket = (builds.withColumn(_B, _bucket(unit)).groupBy(*by, _B)
-                      .agg(*[pick(c, F.when(F.col(c).isNotNull(), F.col(_T))).alias(c)
-                             for c in payloads]))
-        probe_buckets = probes.select(*by, _bucket(unit).alias(_B)).distinct()
-    pb = probe_buckets.select(*by, _B, F.lit(1).alias(_SIDE),
-                              *[F.lit(None).cast(builds.schema[c].dataType).alias(c)
-                                for c in payloads])
-    cu = per_bucket.select(*by, _B, F.lit(0).alias(_SIDE), *payloads).unionByName(pb)
+    w = Window.partitionBy(*by, _B).orderBy(t_ord, s_ord)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # One window operator (one sort per (by, bucket)): the running match of
+    # every row, and the bucket's last right row (the carry for later
+    # buckets; payloads are NULL on probe rows, so `last` skips them).
+    swept = u.select(*by, _T, _SIDE, _B, *keep,
+                     *[F.last(c, ignorenulls=True).over(run).alias(c) for c in payloads],
+                     *[F.last(c, ignorenulls=True).over(whole).alias(f"__bl_{c}") for c in payloads])
+    inb = swept.filter(F.col(_SIDE) == probe_side).select(*by, _T, _B, *keep, *payloads)
+
+    # Per (by, bucket): its last right row and whether it holds probes. The
+    # grouping keys are the window's partition keys: no further shuffle.
+    per_bucket = swept.groupBy(*by, _B).agg(
+        F.max((F.col(_SIDE) == probe_side).cast("int")).alias("__has_probe"),
+        *[F.first(f"__bl_{c}").alias(f"__bl_{c}") for c in payloads])
+    # Carry-in: the last right row of any strictly earlier bucket (later,
+    # for forward). One row per (by, bucket): a small frame.
     b_ord = F.col(_B).desc() if forward else F.col(_B).asc()
-    # Probe rows sort before the same bucket's build row: only strictly
-    # earlier (later, forward) buckets are carried in.
-    cw = Window.partitionBy(*by).orderBy(b_ord, F.col(_SIDE).desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    carry = (cu.select(*by, _B, _SIDE,
-                       *[F.last(c, ignorenulls=True).over(cw).alias(f"__c_{c}") for c in payloads])
-             .filter(F.col(_SIDE) == 1).drop(_SIDE))
+    cw = Window.partitionBy(*by).orderBy(b_ord).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (per_bucket.select(*by, _B, "__has_probe",
+                               *[F.last(f"__bl_{c}", ignorenulls=True).over(cw).alias(f"__c_{c}")
+                                 for c in payloads])
+             .filter(F.col("__has_probe") == 1).drop("__has_probe"))
     out = inb.join(carry, [*by, _B], "left")
     return out.select(*by, _T, *keep, *[F.coalesce(F.col(c), F.col(f"__c_{c}")).alias(c)
                                         for c in payloads])
