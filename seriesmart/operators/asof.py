@@ -6,9 +6,9 @@ task. The plan here is a bucketed sweep:
 
 1. Probe keys: distinct ``(by, left_on)`` of the left side (a map-side
    combined aggregate), so a hot key or timestamp collapses before any shuffle.
-2. Right side: one row per ``(by, right_on)`` (``tie_break`` or required
-   unique), packed into one struct so NULLs *inside* the matched row survive
-   (trap T4).
+2. Right side packed into one struct so NULLs *inside* the matched row
+   survive (trap T4). Several rows at one ``(by, right_on)`` are ordered by
+   ``tie_break`` inside the sweep (the greatest wins, trap T4b).
 3. ``bucket = date_trunc(unit, ts)``; union probes and right rows and run one
    window per ``(by, bucket)``: ``last(struct, ignorenulls)``. Right rows sort
    before probes at equal time for an inclusive match.
@@ -37,7 +37,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .dedupe import latest_wins
 
 _T, _SIDE, _B = "__t", "__side", "__bucket"
 QUANTILES = 1024  # most slices one heavy group is cut into
@@ -91,13 +90,14 @@ def _sliced(u: DataFrame, by: list[str], unit: str, slice_rows: int) -> DataFram
 
 def _sweep(probes: DataFrame, builds: DataFrame, by: list[str], payloads: list[str],
            unit: str, forward: bool, allow_exact: bool, carry: str | None = None,
-           slice_rows: int | None = None) -> DataFrame:
+           slice_rows: int | None = None, tie_order=()) -> DataFrame:
     """Core sweep: ``probes`` (by, __t[, carry]) and ``builds`` (by, __t, payload structs).
 
     Returns ``(by, __t[, carry], payloads...)`` for every probe, payload NULL
     when no match. Each payload column of ``builds`` is NULL on rows of other
     feeds. ``carry`` is a probe column passed through untouched (the left
-    row), which spares a join back to the left side.
+    row), which spares a join back to the left side. ``tie_order`` orders
+    right rows sharing one time: the last of them (greatest) is the match.
     """
     # Probes before builds at equal time => exclusive; after => inclusive.
     probe_side, build_side = (1, 0) if allow_exact else (0, 1)
@@ -114,7 +114,7 @@ def _sweep(probes: DataFrame, builds: DataFrame, by: list[str], payloads: list[s
         u = u.withColumn(_B, _bucket(unit))
     t_ord = F.col(_T).desc() if forward else F.col(_T).asc()
     s_ord = F.col(_SIDE).asc()
-    w = Window.partitionBy(*by, _B).orderBy(t_ord, s_ord)
+    w = Window.partitionBy(*by, _B).orderBy(t_ord, s_ord, *tie_order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # One window operator (one sort per (by, bucket)): the running match of
@@ -170,10 +170,11 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     clash = set(rcols) & (set(left.columns) - set(by))
     if clash:
         raise ValueError(f"right columns clash with left: {sorted(clash)}")
-    if tie_break:
-        right = latest_wins(right, [*by, right_on], list(tie_break))
     builds = right.select(*by, F.col(right_on).alias(_T),
                           F.struct(*[F.col(c) for c in rcols]).alias("__r"))
+    # Several right rows at one (by, time): the sweep orders them by the
+    # tie-break, so the greatest is the one matched; no separate dedup pass.
+    tie_order = [F.col("__r")[c].asc_nulls_first() for c in (tie_break or [])]
     others = [c for c in left.columns if c not in by and c != left_on]
     if left_unique:
         # One probe per left row: carry the row through, no join back.
@@ -182,7 +183,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     else:
         probes = left.select(*by, F.col(left_on).alias(_T)).distinct()
     m = _sweep(probes, builds, by, ["__r"], bucket, forward, allow_exact,
-               carry="__l" if left_unique else None, slice_rows=slice_rows)
+               carry="__l" if left_unique else None, slice_rows=slice_rows, tie_order=tie_order)
     if tolerance is not None:
         gap = (F.col("__r")[right_on] - F.col(_T)) if forward else (F.col(_T) - F.col("__r")[right_on])
         if isinstance(tolerance, int):

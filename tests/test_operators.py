@@ -259,3 +259,13 @@ def test_rolling_and_change_halo_equal_plain(spark):
                  (with_change(df, ["k"], "d", "v"), with_change(df, ["k"], "d", "v", halo_chunk=40))]:
         assert a.count() == b.count() == len(rows)
         assert a.exceptAll(b).count() == 0
+
+
+def test_asof_tie_break_in_sweep(spark):
+    feed = spark.createDataFrame([(D("2024-01-02"), 1, "a"), (D("2024-01-02"), 3, "c"),
+                                  (D("2024-01-02"), 2, "b"), (D("2024-01-04"), 0, "z")],
+                                 "fd date, seq int, v string")
+    out = asof_join(_spine(spark), feed, "day", "fd", tie_break=["seq"], left_unique=True)
+    assert [r.v for r in out.orderBy("day").collect()] == [None, "c", "c", "z", "z"]
+    fwd = asof_join(_spine(spark), feed, "day", "fd", tie_break=["seq"], direction="forward")
+    assert [r.v for r in fwd.orderBy("day").collect()] == ["c", "c", "z", "z", None]
