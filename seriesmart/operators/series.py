@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import pct_change
@@ -148,7 +148,7 @@ def rank_within(df: DataFrame, partition: Sequence[str], value: str, name: str =
 
 
 def rebased(df: DataFrame, series: Sequence[str], order: str, value: str,
-            name: str = "rebased_index", base: float = 100.0) -> Column | DataFrame:
+            name: str = "rebased_index", base: float = 100.0) -> DataFrame:
     """``value / first value of the series * base``.
 
     The first value is a ``min_by`` aggregate per series (map-side combined)

@@ -17,11 +17,11 @@ from ..functions.calendar import bounded_spine, date_spine, dim_date as _dim_dat
 from ..functions.keys import date_key, pipe_key, surrogate_key
 from ..functions.scalar import degree_days, mean_of_two, month_start, year_start
 from ..operators.asof import multi_asof
+from ..operators.conform import conform_tall
 from ..operators.dedupe import latest_wins
 from ..operators.nested import decode_jsonstat, drop_null_observations, flatten, path, zip_arrays
 from ..operators.pivot import cross_rates, pivot_series
 from ..operators.series import returns_and_rolling, with_change
-from .marts import conform_tall
 
 # Fixed values that must equal the reference's for the same results.
 MAJOR_CURRENCIES = ("USD", "EUR", "GBP", "CHF", "JPY", "CAD", "AUD", "CNY")

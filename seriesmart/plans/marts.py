@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.calendar import dim_date
 from ..functions.keys import date_key, pipe_key, surrogate_key
 from ..functions.scalar import degree_days
+from ..operators.conform import conform_tall
 from ..operators.dedupe import latest_wins
-from .inputs import ANNUAL_SQL, MONTHLY_SQL, dk_sql, monthly_revenue, sk_sql, table
+from .inputs import MONTHLY_SQL, dk_sql, monthly_revenue, sk_sql, table
 from .reconcile import CAL_SQL, calendar_years
 from .registry import query
 
@@ -74,18 +75,6 @@ select {sk_sql('period_date', 'source_name', 'indicator')} as activity_key,
 from combined"""
 
 
-def conform_tall(feeds):
-    """P2 + U1: tag each ``(df, tags)`` feed with literal columns and union.
-
-    Each df has ``period_date`` and ``value``; tags map column -> literal.
-    """
-    out = None
-    for df, tags in feeds:
-        t = df.select("period_date", *[F.lit(v).alias(k) for k, v in tags.items()], "value")
-        out = t if out is None else out.unionByName(t)
-    return out
-
-
 def construction_activity(spark, sf_dir):
     m = monthly_revenue(spark, sf_dir).withColumnRenamed("monthly_revenue", "value")
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
