@@ -18,15 +18,18 @@ from pyspark.sql import functions as F
 
 
 def star_rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
-                measures: dict, dim_rows_bound: int | None = None) -> DataFrame:
+                measures: dict, broadcast_max_rows: int | None = None) -> DataFrame:
     """K6 + B5: fact joined to a dimension on ``key``, aggregated by ``by``.
 
-    Pass ``dim_rows_bound`` (a proven bound, e.g. days in a calendar) to
-    broadcast the dimension; otherwise the join strategy is left to AQE.
+    With ``broadcast_max_rows`` the dimension is counted (stopping early) and
+    broadcast when it has at most that many rows, so the fact side is never
+    shuffled for the join; beyond it, or without the argument, the planner
+    and AQE choose the join from measured sizes.
     """
+    from .sizing import checked_broadcast
     d = dim.select(key, *[c for c in by if c in dim.columns])
-    if dim_rows_bound is not None and dim_rows_bound <= 1_000_000:
-        d = F.broadcast(d)
+    if broadcast_max_rows is not None:
+        d = checked_broadcast(d, broadcast_max_rows)
     return fact.join(d, key).groupBy(*by).agg(*[e.alias(n) for n, e in measures.items()])
 
 

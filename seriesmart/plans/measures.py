@@ -11,9 +11,9 @@ from .inputs import MONTHLY_SQL, dk_sql, monthly_revenue, table
 from .reconcile import CAL_SQL, calendar_years
 from .registry import query
 
-# A calendar covers whole years of the data: at most 366 rows per year.
-CALENDAR_ROWS_PER_YEAR = 366
-MAX_CALENDAR_YEARS = 200
+# Broadcast the calendar when it has at most this many days (about 270
+# years); a larger one (bad dates in the data) falls back to a shuffle join.
+CALENDAR_BROADCAST_MAX_ROWS = 100_000
 
 STAR_SQL = f"""with {CAL_SQL},
 dim as (select {dk_sql('date_day')} as date_key, cast(year(date_day) as integer) as year,
@@ -34,7 +34,7 @@ def q_star_rollup(spark, sf_dir):
     return star_rollup(fact, dim, "date_key", ["year", "month", "month_name"],
                        {"revenue": F.sum("amount").cast("decimal(18,2)"),
                         "n_lines": F.count(F.lit(1))},
-                       dim_rows_bound=CALENDAR_ROWS_PER_YEAR * MAX_CALENDAR_YEARS)
+                       broadcast_max_rows=CALENDAR_BROADCAST_MAX_ROWS)
 
 
 SHARE_SQL = """with rev as (

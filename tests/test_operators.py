@@ -269,3 +269,12 @@ def test_asof_tie_break_in_sweep(spark):
     assert [r.v for r in out.orderBy("day").collect()] == [None, "c", "c", "z", "z"]
     fwd = asof_join(_spine(spark), feed, "day", "fd", tie_break=["seq"], direction="forward")
     assert [r.v for r in fwd.orderBy("day").collect()] == ["c", "c", "z", "z", None]
+
+
+def test_checked_broadcast_falls_back(spark):
+    from seriesmart.operators.sizing import checked_broadcast, fits
+    small = spark.range(10)
+    assert fits(small, 10) and not fits(small, 9)
+    # Too large for the bound: no hint, the planner picks the join; same rows.
+    assert spark.range(100).join(checked_broadcast(small, 5), "id").count() == 10
+    assert spark.range(100).join(checked_broadcast(small, 50), "id").count() == 10
