@@ -76,13 +76,15 @@ def read_table(spark: SparkSession, root: str, schema: T.StructType | None = Non
 
 def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequence[str],
                  order_by: Sequence[str], partition: str, batch_id: int | None = None,
-                 on_conflict: str = "latest") -> bool:
+                 on_conflict: str = "latest", keep_versions: int | None = 10) -> bool:
     """Upsert ``delta`` into the table at ``root``; returns False for a replay.
 
     ``on_conflict="latest"``: across target and delta the greatest
     ``order_by`` wins (out-of-order files are safe); ``"delta"``: a matched
     delta row always replaces the target row (plain MERGE ... UPDATE).
-    Within the delta the greatest ``order_by`` wins either way.
+    Within the delta the greatest ``order_by`` wins either way. After the
+    commit, manifest versions beyond the newest ``keep_versions`` are pruned
+    (``None`` keeps all).
     """
     keys, order_by = list(keys), list(order_by)
     if on_conflict not in ("latest", "delta"):
@@ -125,6 +127,8 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
     man = man.withColumn("batch_id", F.lit(max(bid, st.last_batch or -1)).cast("long"))
     man.coalesce(1).write.parquet(f"{root}/_manifest/v={st.version + 1}")
     d.unpersist()
+    if keep_versions:
+        prune_manifests(spark, root, keep_versions)
     return True
 
 
@@ -147,3 +151,55 @@ def publish(spark: SparkSession, df: DataFrame, root: str, checks=None,
     man = spark.createDataFrame([("*", ddir, last)], MANIFEST_SCHEMA)
     man.coalesce(1).write.parquet(f"{root}/_manifest/v={st.version + 1}")
     return st.version + 1
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system and path objects (classic sessions only)."""
+    from ..session import _context
+    sc = _context(spark)
+    if sc is None:
+        return None, None
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def prune_manifests(spark: SparkSession, root: str, keep: int = 10) -> int:
+    """Delete manifest versions older than the newest ``keep``; returns how many.
+
+    Readers only ever use the newest version, so listing cost stays bounded
+    however many batches a stream commits. Older versions are kept for time
+    travel and for readers that started on them.
+    """
+    fs, p = _fs(spark, f"{root}/_manifest")
+    if fs is None or not fs.exists(p):
+        return 0
+    versions = sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(p)
+                      if s.getPath().getName().startswith("v="))
+    old = versions[:-keep] if keep > 0 else versions
+    for v in old:
+        fs.delete(fs.makeQualified(p).suffix(f"/v={v}"), True)
+    return len(old)
+
+
+def vacuum(spark: SparkSession, root: str) -> int:
+    """Delete data folders that no retained manifest version references.
+
+    Run it after :func:`prune_manifests`; a folder still referenced by any
+    retained version (the current one included) is kept.
+    """
+    st = table_state(spark, root)
+    if st.manifest is None:
+        return 0
+    refs = {r.path.rstrip("/") for r in spark.read.parquet(f"{root}/_manifest")
+            .select("path").distinct().collect()}
+    live_dirs = {r.rsplit("/", 1)[0] if "/__p=" in r else r for r in refs}
+    fs, p = _fs(spark, f"{root}/data")
+    if fs is None or not fs.exists(p):
+        return 0
+    removed = 0
+    for s in fs.listStatus(p):
+        d = s.getPath().toString().rstrip("/")
+        if not any(d == x or d.endswith(x.split(":", 1)[-1]) for x in live_dirs):
+            fs.delete(s.getPath(), True)
+            removed += 1
+    return removed

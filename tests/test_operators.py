@@ -278,3 +278,19 @@ def test_checked_broadcast_falls_back(spark):
     # Too large for the bound: no hint, the planner picks the join; same rows.
     assert spark.range(100).join(checked_broadcast(small, 5), "id").count() == 10
     assert spark.range(100).join(checked_broadcast(small, 50), "id").count() == 10
+
+
+def test_manifest_retention_and_vacuum(spark, tmp_root):
+    from seriesmart.operators.merge import vacuum
+    schema = "k int, v int, part string"
+    for b in range(5):
+        delta = spark.createDataFrame([(1, b, "p1"), (b + 10, b, "p2")], schema)
+        merge_upsert(spark, tmp_root, delta, ["k"], ["v"], "part", batch_id=b, keep_versions=2)
+    import os
+    local = tmp_root.replace("file:", "")
+    assert sorted(os.listdir(local + "/_manifest")) == ["v=4", "v=5"]
+    before = len(os.listdir(local + "/data"))
+    removed = vacuum(spark, tmp_root)
+    assert removed == before - len(os.listdir(local + "/data")) and removed > 0
+    out = sorted((r.k, r.v) for r in read_table(spark, tmp_root).collect())
+    assert out == [(1, 4), (10, 0), (11, 1), (12, 2), (13, 3), (14, 4)]
