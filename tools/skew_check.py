@@ -48,6 +48,21 @@ def main():
                        slice_rows=slice_rows)
     same = a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     print(f"same rows: {same} ({a.count()} rows, {time.perf_counter() - t0:.1f}s)")
+
+    # Few, long series: one tick per line item, three series (return flags).
+    from seriesmart.operators.series import layout, returns_and_rolling
+    li = table(spark, sf_dir, "lineitem")
+    ticks = li.select(F.col("l_returnflag").alias("k"),
+                      F.timestamp_seconds(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("t"),
+                      F.col("l_extendedprice").cast("decimal(18,2)").alias("p"))
+    plain_sizes = ticks.groupBy("k").count().agg(F.max("count")).first()[0]
+    lay = layout(ticks, ["k"], "t", halo=30, halo_chunk=10000, bucket="day")
+    halo_sizes = lay.df.groupBy(*lay.partition).count().agg(F.max("count"), F.count("*")).first()
+    print(f"long series: plain largest window partition={plain_sizes}; "
+          f"halo largest={halo_sizes[0]} over {halo_sizes[1]} chunks")
+    x = returns_and_rolling(ticks, ["k"], "t", "p")
+    y = returns_and_rolling(ticks, ["k"], "t", "p", halo_chunk=10000, bucket="day")
+    print(f"long series same rows: {x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0}")
     spark.stop()
 
 
