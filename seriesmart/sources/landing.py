@@ -171,18 +171,21 @@ def incremental_load(spark: SparkSession, landing: str, bronze: str, run_ts,
     listing = list_files(spark, landing, pattern)
     ledger_path = f"{bronze}/ledger"
     ledger = spark.read.parquet(ledger_path) if _exists(spark, ledger_path) else None
-    todo = pending_files(listing, ledger)
-    # The paths are file metadata (what any Spark reader lists on the driver).
-    paths = [r.path for r in todo.select("path").collect()]
-    if not paths:
+    # File metadata only (what any Spark reader lists on the driver), taken
+    # once: the files read and the files recorded in the ledger are the same.
+    todo = [tuple(r) for r in pending_files(listing, ledger)
+            .select("path", "modificationTime", "length").collect()]
+    if not todo:
         return 0
     run_id = uuid.uuid4().hex[:12]
     reader = reader or (lambda s, ps, ts: read_documents(s, ps, ts))
-    data = reader(spark, paths, run_ts)
+    data = reader(spark, [t[0] for t in todo], run_ts)
     data.write.mode("append").parquet(f"{bronze}/data/run={run_id}")
-    (todo.withColumn("run", F.lit(run_id)).withColumn("_loaded_at", run_stamp(run_ts))
+    schema = listing.select("path", "modificationTime", "length").schema
+    (spark.createDataFrame(todo, schema).withColumn("run", F.lit(run_id))
+     .withColumn("_loaded_at", run_stamp(run_ts))
      .write.mode("append").parquet(f"{bronze}/ledger/run={run_id}"))
-    return len(paths)
+    return len(todo)
 
 
 def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:

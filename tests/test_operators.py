@@ -294,3 +294,17 @@ def test_manifest_retention_and_vacuum(spark, tmp_root):
     assert removed == before - len(os.listdir(local + "/data")) and removed > 0
     out = sorted((r.k, r.v) for r in read_table(spark, tmp_root).collect())
     assert out == [(1, 4), (10, 0), (11, 1), (12, 2), (13, 3), (14, 4)]
+
+
+def test_jsonstat_size_guard(spark):
+    from seriesmart.operators.nested import decode_jsonstat, parse_documents
+    ok = '{"size":[1,3],"dimension":{"time":{"category":{"index":{"2024-01":0,"2024-02":1,"2024-03":2}}}},' \
+         '"value":{"0":1.5,"2":2.5}}'
+    bad = '{"size":[2,3],"dimension":{"time":{"category":{"index":{"2024-01":0,"2024-02":1,"2024-03":2}}}},' \
+          '"value":{"0":1.5}}'
+    df = parse_documents(spark.createDataFrame([(ok,)], "value string"))
+    got = sorted((r.period, r.value) for r in decode_jsonstat(df, "raw", "decimal(18,4)", keep=[]).collect())
+    assert got == [("2024-01", Decimal("1.5000")), ("2024-02", None), ("2024-03", Decimal("2.5000"))]
+    with pytest.raises(Exception, match="only the time dimension"):
+        decode_jsonstat(parse_documents(spark.createDataFrame([(bad,)], "value string")), "raw",
+                        keep=[]).collect()
