@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import dim_date
+from ..operators.merge import read_table
 from ..session import scratch_path
 from ..sources.bronze import ECB_COLUMNS, ECB_POSITIONS
 from ..sources.landing import read_documents, read_positional_csv, write_landing
@@ -251,25 +252,31 @@ ROADS_STG_SQL = f"""stg_roads as (select cast(cast(year(o_orderdate) as varchar)
     from orders group by 1)"""
 
 
-def rates_bronze(spark, sf_dir, root):
+def rates_csv(spark, sf_dir):
+    """The wide rate CSV rows (29 columns, header names C1..C29)."""
     o = table(spark, sf_dir, "orders")
+    # A daily rate in [0, 25) percent, inside the declared test range at any
+    # scale: the smallest order total of the day modulo 2,500, in hundredths.
     a = o.groupBy(F.col("o_orderdate").cast("date").alias("d")).agg(
-        (F.min(F.col("o_totalprice").cast("decimal(18,2)")) * F.lit(0.0001).cast("decimal(5,4)"))
-        .alias("r"))
+        ((F.min(F.col("o_totalprice").cast("decimal(18,2)")) % F.lit(2500))
+         * F.lit(0.01).cast("decimal(3,2)")).alias("r"))
     cols = {i: F.lit(f"x{i}") for i in range(1, ECB_COLUMNS + 1)}
     cols[1] = F.lit(RATE_SERIES)
     cols[5] = F.date_format("d", "yyyy-MM-dd")
     cols[6] = F.when(F.dayofmonth("d") != 1, F.col("r").cast("string"))
     cols[25] = F.lit(RATE_TITLE)
     cols[28] = F.lit("PCT")
+    return a.select(*[cols[i].alias(f"C{i}") for i in range(1, ECB_COLUMNS + 1)])
+
+
+def rates_bronze(spark, sf_dir, root):
     path = root + "/ecb"
-    (a.select(*[cols[i].alias(f"C{i}") for i in range(1, ECB_COLUMNS + 1)])
-     .write.option("header", True).csv(path))
+    rates_csv(spark, sf_dir).write.option("header", True).csv(path)
     return read_positional_csv(spark, path, ECB_COLUMNS, ECB_POSITIONS, LOAD_1, pattern=r".*\.csv$")
 
 
 RATES_STG_SQL = f"""stg_rates as (select cast(o_orderdate as date) as rate_date, '{RATE_SERIES}' as series_key,
-    cast(min(cast(o_totalprice as decimal(18,2))) * cast(0.0001 as decimal(5,4)) as decimal(18,6)) as rate_pct
+    cast((min(cast(o_totalprice as decimal(18,2))) % 2500) * cast(0.01 as decimal(3,2)) as decimal(18,6)) as rate_pct
     from orders group by 1 having day(rate_date) <> 1)"""
 
 
@@ -431,3 +438,52 @@ def q_mart_daily_market_signals(spark, sf_dir):
     return m.withColumn("heating_degree_days", F.col("heating_degree_days").cast("double")) \
         .withColumn("civil_eng_index", F.col("civil_eng_index").cast("decimal(20,4)")) \
         .withColumn("motorway_km", F.col("motorway_km").cast("decimal(20,4)"))
+
+
+# --- the daily build end to end -------------------------------------------------
+
+BUILD_TS = "2026-04-21 06:00:00"
+
+
+def derived_feed_list():
+    """The six bronze feeds for files landed by this module: selected by
+    their landing folder, one document per line."""
+    from ..sources.bronze import FEEDS, Feed
+    folders = {"nbp_fx_rates_raw": FX, "eia_petroleum_spot_raw": OIL_DS,
+               "openmeteo_weather_raw": WEATHER_DS, "eurostat_civil_eng_raw": CIVIL_DS,
+               "gus_roads_raw": ROADS_DS, "ecb_estr_raw": "ecb/estr"}
+    out = []
+    for f in FEEDS:
+        src, ds = _split(folders[f.table])
+        pat = f".*/source={src}/dataset={ds}/.*" + (r"[.]csv$" if f.fmt == "csv" else "")
+        out.append(Feed(f.table, pat, f.fmt, f.on_error, whole_file=False))
+    return tuple(out)
+
+
+@query("marts_published", MARKET_SIGNALS_SQL, "M19 S9 S10 S12 Q6 Q9 M1-M16")
+def q_marts_published(spark, sf_dir):
+    """Land the six derived feeds, load them to bronze (two loads: the FX
+    revision lands later), build every model behind its data tests and the
+    freshness gate, and return the published daily mart."""
+    from ..sources.bronze import load_feeds
+    from .build import build_marts
+    root = scratch_path(spark, "build")
+    land, bronze, out = root + "/landing", root + "/bronze", root + "/marts"
+    fx1, fx2 = fx_docs(spark, sf_dir)
+    first = [(FX, fx1), (OIL_DS, oil_docs(spark, sf_dir)), (WEATHER_DS, weather_docs(spark, sf_dir)),
+             (CIVIL_DS, civil_docs(spark, sf_dir)), (ROADS_DS, roads_docs(spark, sf_dir))]
+    union = None
+    for ds, docs in first:
+        union = _landed(docs, ds) if union is None else union.unionByName(_landed(docs, ds))
+    write_landing(union, land)
+    (rates_csv(spark, sf_dir).write.option("header", True)
+     .csv(f"{land}/source=ecb/dataset=estr/ingest_date=2026-04-20"))
+    feed_list = derived_feed_list()
+    load_feeds(spark, land, bronze, LOAD_1, feed_list)
+    write_landing(_landed(fx2.withColumn("ingest_date", F.lit("2026-04-21")), FX), land)
+    load_feeds(spark, land, bronze, LOAD_2, feed_list)
+    build_marts(spark, bronze, out, BUILD_TS, calendar=calendar_years(spark, sf_dir))
+    m = read_table(spark, out + "/fct_daily_market_signals")
+    return (m.withColumn("heating_degree_days", F.col("heating_degree_days").cast("double"))
+            .withColumn("civil_eng_index", F.col("civil_eng_index").cast("decimal(20,4)"))
+            .withColumn("motorway_km", F.col("motorway_km").cast("decimal(20,4)")))

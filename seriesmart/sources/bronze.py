@@ -24,6 +24,7 @@ class Feed:
     pattern: str
     fmt: str = "json"  # "json" documents or "csv" (positional)
     on_error: str = "abort"
+    whole_file: bool = True  # one document per file (False: one per line)
 
 
 # Fixed values that must equal the reference's: bronze table per feed and the
@@ -72,7 +73,7 @@ def _reader(feed: Feed):
     if feed.fmt == "csv":
         return lambda s, paths, ts: read_positional_csv(s, paths, ECB_COLUMNS, ECB_POSITIONS, ts,
                                                         on_error=feed.on_error)
-    return lambda s, paths, ts: read_documents(s, paths, ts, whole_file=True,
+    return lambda s, paths, ts: read_documents(s, paths, ts, whole_file=feed.whole_file,
                                                on_error=feed.on_error)
 
 
