@@ -134,12 +134,19 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
 
 def publish(spark: SparkSession, df: DataFrame, root: str, checks=None,
             fail_on: str = "error") -> int:
+    """Publish behind the gate; returns the new version (see :func:`publish_table`)."""
+    return publish_table(spark, df, root, checks, fail_on)[0]
+
+
+def publish_table(spark: SparkSession, df: DataFrame, root: str, checks=None,
+                  fail_on: str = "error") -> tuple[int, str]:
     """§4.3 + Q9: publish a full new version of a mart behind its quality gate.
 
     The data is written first to a fresh folder; the checks run on what was
     written (one pass for the row-level checks); only when the gate passes is
     a new manifest version committed. A failed gate raises and leaves the
-    previous version current. Returns the new version number.
+    previous version current. Returns the new version number and the
+    folder written, so a caller can read it back without the manifest.
     """
     from .quality import gate, run_checks
     st = table_state(spark, root)
@@ -150,7 +157,7 @@ def publish(spark: SparkSession, df: DataFrame, root: str, checks=None,
     last = -1 if st.last_batch is None else st.last_batch
     man = spark.createDataFrame([("*", ddir, last)], MANIFEST_SCHEMA)
     man.coalesce(1).write.parquet(f"{root}/_manifest/v={st.version + 1}")
-    return st.version + 1
+    return st.version + 1, ddir
 
 
 def _fs(spark: SparkSession, path: str):

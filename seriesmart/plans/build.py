@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import publish, read_table
+from ..operators.merge import publish_table
 from ..operators.quality import (QualityGateError, accepted_range, accepted_values, freshness,
                                  not_null, relationships, unique)
 from ..sources.landing import read_bronze
@@ -106,8 +106,10 @@ def build_marts(spark: SparkSession, bronze_root: str, out_root: str, run_ts,
     versions = []
 
     def pub(name, df, checks):
-        versions.append((name, publish(spark, df, f"{out_root}/{name}", checks)))
-        return read_table(spark, f"{out_root}/{name}")
+        version, path = publish_table(spark, df, f"{out_root}/{name}", checks)
+        versions.append((name, version))
+        # Read back what was written: later models start from the table.
+        return spark.read.parquet(path)
 
     base = model_checks()
     stg = {

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .landing import incremental_load, read_documents, read_positional_csv
+from .landing import incremental_load, list_files, read_documents, read_positional_csv
 
 
 @dataclass(frozen=True)
@@ -81,15 +81,19 @@ def load_feeds(spark: SparkSession, landing: str, bronze: str, run_ts,
                feeds=FEEDS) -> DataFrame:
     """Load every feed's new files; returns the per-feed report."""
     rows, failed = [], []
+    # One listing of the landing root per run, shared by all feeds (on an
+    # object store the listing is the expensive part of a load).
+    listing = list_files(spark, landing).persist()
     for f in feeds:
         try:
             n = incremental_load(spark, landing, f"{bronze}/{f.table}", run_ts, pattern=f.pattern,
-                                 reader=_reader(f))
+                                 reader=_reader(f), listing=listing)
             rows.append((f.table, n, "loaded" if n else "nothing new", None))
         except Exception as e:  # noqa: BLE001 - recorded, re-raised below
             rows.append((f.table, 0, "failed", str(e).splitlines()[0][:500]))
             if f.on_error == "abort":
                 failed.append(f.table)
+    listing.unpersist()
     report = spark.createDataFrame(rows, REPORT)
     if failed:
         raise LoadError(f"bronze load failed for {failed}: " +

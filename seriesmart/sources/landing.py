@@ -158,7 +158,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def incremental_load(spark: SparkSession, landing: str, bronze: str, run_ts,
-                     pattern: str | None = None, reader=None) -> int:
+                     pattern: str | None = None, reader=None,
+                     listing: DataFrame | None = None) -> int:
     """S9 + S10: load only files not in the ledger; returns the files loaded.
 
     ``bronze`` holds ``data/run=<id>/`` and ``ledger/run=<id>/``. The ledger
@@ -166,9 +167,13 @@ def incremental_load(spark: SparkSession, landing: str, bronze: str, run_ts,
     have a ledger entry (:func:`read_bronze`), so a crash between the two
     leaves an invisible orphan and the retry loads the files again once.
     ``reader(spark, paths, run_ts) -> DataFrame`` decodes the pending files
-    (default: :func:`read_documents`).
+    (default: :func:`read_documents`). ``listing`` reuses a listing of the
+    landing root shared by several feeds (the pattern is applied to it).
     """
-    listing = list_files(spark, landing, pattern)
+    if listing is None:
+        listing = list_files(spark, landing, pattern)
+    elif pattern:
+        listing = listing.filter(F.col("path").rlike(pattern))
     ledger_path = f"{bronze}/ledger"
     ledger = spark.read.parquet(ledger_path) if _exists(spark, ledger_path) else None
     # File metadata only (what any Spark reader lists on the driver), taken
