@@ -36,12 +36,14 @@ CONTROL = T.StructType([
 ])
 
 # Fixed values that must equal the reference's: the placeholder replaced in
-# path and file templates, the date format it takes, and the auth types the
-# landing branches know ("header" is documented but has no branch).
+# path and file templates, the date format it takes, and the documented
+# values of the control fields ("header" auth is documented but has no
+# landing branch; the control file itself also uses "once" and "annual").
 PLACEHOLDER = "{ingest_date}"
 DATE_FORMAT = "yyyy-MM-dd"
 AUTH_TYPES = ("none", "api_key", "header")
-FREQUENCIES = ("daily", "monthly", "annual", "once")
+RESPONSE_FORMATS = ("json", "csv")
+DOCUMENTED_FREQUENCIES = ("daily", "monthly", "quarterly")
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
@@ -85,3 +87,19 @@ def landing_plan(control: DataFrame, ingest_date) -> DataFrame:
         "source_id", "auth_type", F.replace(F.col("base_url"), ph, d).alias("url"),
         dir_.alias("dir"), file_.alias("file"),
         F.concat_ws("/", F.col("landing_container"), dir_, file_).alias("path"))
+
+
+def validate_control(control: DataFrame) -> DataFrame:
+    """Data tests of the control table (one aggregate pass plus the key check).
+
+    Unknown auth types and response formats are errors; a frequency outside
+    the documented list is a warning (trap T13b: the reference's own file has
+    ``once`` and ``annual``).
+    """
+    from ..operators.quality import accepted_values, not_null, run_checks, unique
+    return run_checks(control, [
+        not_null("source_id"), unique("source_id"),
+        accepted_values("auth_type", AUTH_TYPES),
+        accepted_values("response_format", RESPONSE_FORMATS),
+        accepted_values("frequency", DOCUMENTED_FREQUENCIES, severity="warn"),
+    ])

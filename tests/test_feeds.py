@@ -245,3 +245,15 @@ def test_feeds_from_control(spark, tmp_root):
     import re
     assert re.match(fs["fx_raw"].pattern, "/x/ingest_date=2026-04-21/fx_2026-04-21.json")
     assert not re.match(fs["fx_raw"].pattern, "/x/other.json")
+
+
+def test_validate_control(spark, tmp_root):
+    from seriesmart.operators.quality import gate
+    from seriesmart.sources.control import validate_control
+    root = _local(tmp_root)
+    c = read_control(spark, _write(root, "control/sources.json", json.dumps(CONTROL)))
+    rep = {r.check_name: (r.severity, r.failures) for r in validate_control(c).collect()}
+    assert rep["accepted_values_frequency"] == ("warn", 2)  # "once" and "annual" (T13b)
+    assert rep["accepted_values_auth_type"] == ("error", 0)
+    warned = gate(validate_control(c))  # warnings do not block
+    assert [w["check_name"] for w in warned] == ["accepted_values_frequency"]
