@@ -52,6 +52,11 @@ def test_query_matches_oracle(spark, duck, name):
     assert scols == dcols
     assert sum(srows.values()) == sum(drows.values())
     assert srows == drows
+    # The executed plan stays in the JVM: no Python evaluation, no Cartesian product.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                 "CartesianProduct"):
+        assert node not in plan, f"{name}: {node} in plan"
 
 
 def test_entry_smoke(spark):
