@@ -14,7 +14,11 @@ a job that dies before its manifest is written leaves only an invisible
 orphan. The manifest records the batch id: replaying a batch is a no-op.
 
 The partition must be a function of the key (e.g. the month of a date key or
-a hash bucket), otherwise one key could live in two partitions.
+a hash bucket), otherwise one key could live in two partitions. Its grain
+decides the rewrite cost: a batch rewrites every partition it touches, so
+time-series grains should partition by the period of their date key (a
+batch of recent days touches recent months only), and keys without time
+locality by hash buckets fine enough that a batch touches a small share.
 """
 
 from __future__ import annotations

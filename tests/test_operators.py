@@ -308,3 +308,15 @@ def test_jsonstat_size_guard(spark):
     with pytest.raises(Exception, match="only the time dimension"):
         decode_jsonstat(parse_documents(spark.createDataFrame([(bad,)], "value string")), "raw",
                         keep=[]).collect()
+
+
+def test_asof_slicing_forward_and_exclusive(spark):
+    base = dt.datetime(2024, 5, 1)
+    left = spark.createDataFrame([(i % 2, base + dt.timedelta(minutes=5 * i)) for i in range(1200)],
+                                 "u int, t timestamp_ntz")
+    right = spark.createDataFrame([(i % 2, base + dt.timedelta(minutes=7 * i), i) for i in range(900)],
+                                  "u int, rt timestamp_ntz, v int")
+    for kw in ({"direction": "forward"}, {"allow_exact": False}, {"direction": "forward", "allow_exact": False}):
+        plain = asof_join(left, right, "t", "rt", by=["u"], **kw)
+        sliced = asof_join(left, right, "t", "rt", by=["u"], slice_rows=60, **kw)
+        assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0, kw
