@@ -320,3 +320,11 @@ def test_asof_slicing_forward_and_exclusive(spark):
         plain = asof_join(left, right, "t", "rt", by=["u"], **kw)
         sliced = asof_join(left, right, "t", "rt", by=["u"], slice_rows=60, **kw)
         assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0, kw
+
+
+def test_asof_timestamp_tolerance(spark):
+    base = dt.datetime(2024, 1, 1, 12)
+    left = spark.createDataFrame([(base + dt.timedelta(hours=h),) for h in (0, 1, 3, 6)], "t timestamp_ntz")
+    right = spark.createDataFrame([(base, 1), (base + dt.timedelta(hours=2), 2)], "rt timestamp_ntz, v int")
+    out = asof_join(left, right, "t", "rt", tolerance="2 hours", left_unique=True, bucket="day")
+    assert [r.v for r in out.orderBy("t").collect()] == [1, 1, 2, None]
