@@ -118,6 +118,40 @@ def rolling(df: DataFrame, series: Sequence[str], order: str, value: str, rows:
     return lay.finish()
 
 
+def rolling_days(df: DataFrame, series: Sequence[str], date: str, value: str, days: int,
+                 fn: str = "avg", name: str | None = None,
+                 chunk_days: int | None = None) -> DataFrame:
+    """Calendar variant of W3/W4 (trap T3): ``fn(value)`` over the rows whose
+    date lies in ``[date - (days - 1), date]``, however many rows that is.
+
+    ``chunk_days`` partitions each series into time chunks of that many days
+    and copies the rows of the last ``days - 1`` days of a chunk into the next
+    one (a time halo), so long series run in many tasks; copies are dropped
+    after the window. Results equal the plain range window.
+    """
+    name = name or f"{fn}_{days}d"
+    dn = F.datediff(F.col(date).cast("date"), F.lit("1970-01-01").cast("date"))
+    d = df.withColumn("__dn", dn)
+    part = list(series)
+    if chunk_days:
+        if chunk_days < days - 1:
+            raise ValueError("chunk_days must cover the look-back")
+        own = F.floor(F.col("__dn") / F.lit(chunk_days))
+        nxt = (own + 1) * F.lit(chunk_days)
+        copies = F.when(F.col("__dn") >= nxt - F.lit(days - 1),
+                        F.array(F.struct(own.alias("k"), F.lit(False).alias("h")),
+                                F.struct((own + 1).alias("k"), F.lit(True).alias("h")))
+                        ).otherwise(F.array(F.struct(own.alias("k"), F.lit(False).alias("h"))))
+        d = (d.withColumn("__c", F.explode(copies)).withColumn("__chunk", F.col("__c.k"))
+             .withColumn("__halo", F.col("__c.h")).drop("__c"))
+        part = [*part, "__chunk"]
+    w = Window.partitionBy(*part).orderBy("__dn").rangeBetween(-(days - 1), 0)
+    d = d.withColumn(name, _ROLL[fn](value).over(w))
+    if chunk_days:
+        d = d.filter(~F.col("__halo")).drop("__chunk", "__halo")
+    return d.drop("__dn")
+
+
 def returns_and_rolling(df: DataFrame, series: Sequence[str], order: str, value: str,
                         short: int = 7, long: int = 30,
                         halo_chunk: int | None = None, bucket: str = "month") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import date_key, surrogate_key
 from ..operators.dedupe import latest_wins
 from ..operators.pivot import cross_rates, pivot_series
-from ..operators.series import rank_within, rebased, returns_and_rolling
+from ..operators.series import rank_within, rebased, returns_and_rolling, rolling_days
 from .inputs import ANCHORS, PIVOT_NAMES, PX_SQL, dk_sql, px, sk_sql, table
 from .registry import query
 
@@ -173,3 +173,24 @@ def q_cross_rates(spark, sf_dir):
     return c.select(date_key("d").alias("date_key"), F.col("k").alias("currency_code"),
                     F.col("d").alias("rate_date"), F.col("p").alias("pln_per_unit"),
                     *[F.col(f"{p}_per_unit") for p in ANCHORS.values()])
+
+
+ROLLING_DAYS_SQL = f"""with {PX_SQL}
+select d as rate_date, k as currency_code, p as mid_rate,
+  cast(round(avg(p) over (partition by k order by d
+    range between interval 6 days preceding and current row), 6) as decimal(18,6)) as ma_7cd,
+  cast(round(avg(p) over (partition by k order by d
+    range between interval 29 days preceding and current row), 6) as decimal(18,6)) as ma_30cd
+from px"""
+
+
+@query("rolling_calendar", ROLLING_DAYS_SQL, "W3 T3")
+def q_rolling_calendar(spark, sf_dir):
+    """Calendar-day frames (7 and 30 days), the variant beside the row frames;
+    time-chunked so a long series is spread over many tasks."""
+    r = rolling_days(px(spark, sf_dir), ["k"], "d", "p", 7, "avg", "ma7", chunk_days=365)
+    r = rolling_days(r, ["k"], "d", "p", 30, "avg", "ma30", chunk_days=365)
+    return r.select(F.col("d").alias("rate_date"), F.col("k").alias("currency_code"),
+                    F.col("p").alias("mid_rate"),
+                    F.round("ma7", 6).cast("decimal(18,6)").alias("ma_7cd"),
+                    F.round("ma30", 6).cast("decimal(18,6)").alias("ma_30cd"))

@@ -328,3 +328,15 @@ def test_asof_timestamp_tolerance(spark):
     right = spark.createDataFrame([(base, 1), (base + dt.timedelta(hours=2), 2)], "rt timestamp_ntz, v int")
     out = asof_join(left, right, "t", "rt", tolerance="2 hours", left_unique=True, bucket="day")
     assert [r.v for r in out.orderBy("t").collect()] == [1, 1, 2, None]
+
+
+def test_rolling_days_brute_force(spark):
+    from seriesmart.operators.series import rolling_days
+    rows = [("a", D("2024-01-01") + dt.timedelta(days=i), float(i % 13)) for i in range(0, 400, 3)] + \
+           [("b", D("2024-01-01") + dt.timedelta(days=i), float(i % 7)) for i in range(0, 400, 5)]
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    got = {(r.k, r.d): r.s for r in rolling_days(df, ["k"], "d", "v", 10, "sum", "s").collect()}
+    halo = {(r.k, r.d): r.s for r in rolling_days(df, ["k"], "d", "v", 10, "sum", "s", chunk_days=30).collect()}
+    for k, d, _ in rows:
+        want = sum(v for k2, d2, v in rows if k2 == k and dt.timedelta(0) <= d - d2 <= dt.timedelta(days=9))
+        assert got[(k, d)] == want and halo[(k, d)] == want
