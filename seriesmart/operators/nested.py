@@ -113,3 +113,21 @@ def drop_null_observations(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
     return df.filter(cond)
+
+
+def content_hash(*cols) -> Column:
+    """A 64-bit hash of the JSON text of variant / struct columns.
+
+    ``VARIANT`` cannot be grouped or compared, so documents are identified by
+    the hash of their JSON form: a deterministic last tie-break for
+    latest-wins (trap T5) and the key of document-level dedup.
+    """
+    return F.xxhash64(*[F.to_json(_c(c)) for c in cols])
+
+
+def distinct_documents(bronze: DataFrame, raw: str = "raw",
+                       order_by: Sequence[str] = ("_loaded_at", "_src_file")) -> DataFrame:
+    """One row per distinct document content (the latest load of it)."""
+    from .dedupe import latest_wins
+    d = bronze.withColumn("__doc", content_hash(raw))
+    return latest_wins(d, ["__doc"], list(order_by)).drop("__doc")

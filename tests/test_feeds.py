@@ -257,3 +257,17 @@ def test_validate_control(spark, tmp_root):
     assert rep["accepted_values_auth_type"] == ("error", 0)
     warned = gate(validate_control(c))  # warnings do not block
     assert [w["check_name"] for w in warned] == ["accepted_values_frequency"]
+
+
+def test_tie_break_by_content_is_deterministic(spark, tmp_root):
+    from seriesmart.operators.nested import distinct_documents
+    root = _local(tmp_root)
+    doc = [{"table": "A", "no": "1", "effectiveDate": "2026-04-20",
+            "rates": [{"code": "USD", "currency": "d", "mid": 3.1}, {"code": "USD", "currency": "d", "mid": 3.2}]}]
+    p = _write(root, "tie/nbp_table_a_1.json", json.dumps(doc))
+    picks = {feeds.stg_fx_rates(read_documents(spark, p, RUN1, whole_file=True)).first().mid_rate
+             for _ in range(3)}
+    assert len(picks) == 1
+    twice = read_documents(spark, p, RUN1, whole_file=True).unionByName(
+        read_documents(spark, p, RUN2, whole_file=True))
+    assert distinct_documents(twice).count() == 1
