@@ -67,10 +67,9 @@ def bounded_spine(calendar: DataFrame, fact: DataFrame, fact_date: str,
                   cal_date: str = "full_date") -> DataFrame:
     """D3 / K2: calendar rows inside the fact's ``[min, max]`` date range.
 
-    The bounds are a global aggregate and therefore exactly one row, so the
-    broadcast is of a proven size.
+    The bounds are one global aggregate (partial + final) used as a scalar
+    subquery: computed once, no join with the calendar at all.
     """
-    b = date_bounds(fact, fact_date)
-    return (calendar.crossJoin(F.broadcast(b))
-            .filter(F.col(cal_date).between(F.col("start_date"), F.col("end_date")))
-            .drop("start_date", "end_date"))
+    d = F.col(fact_date).cast("date")
+    b = fact.agg(F.struct(F.min(d).alias("lo"), F.max(d).alias("hi"))).scalar()
+    return calendar.filter(F.col(cal_date).between(b["lo"], b["hi"]))

@@ -36,15 +36,15 @@ def star_rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
 def share_of_total(grouped: DataFrame, value: str, name: str = "share_of_total",
                    within: Sequence[str] = (), digits: int = 6) -> DataFrame:
     """``value / sum(value)`` over all rows (``ALL``) or within ``within``
-    (``ALLSELECTED``-style parent). The total is an aggregate joined back: a
-    single-row broadcast for the grand total, an equi-join per parent."""
+    (``ALLSELECTED``-style parent). The grand total is a scalar subquery (one
+    global aggregate, no join); parent totals are an aggregate per parent
+    joined back on the parent key."""
     within = list(within)
     if within:
         tot = grouped.groupBy(*within).agg(F.sum(value).alias("__tot"))
         out = grouped.join(tot, within)
     else:
-        tot = grouped.agg(F.sum(value).alias("__tot")).withColumn("__one", F.lit(1))
-        out = grouped.withColumn("__one", F.lit(1)).join(F.broadcast(tot), "__one").drop("__one")
+        out = grouped.withColumn("__tot", grouped.agg(F.sum(value)).scalar())
     return out.withColumn(name, F.round(F.col(value) / F.nullif(F.col("__tot"), F.lit(0)),
                                         digits)).drop("__tot")
 
