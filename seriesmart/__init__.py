@@ -21,7 +21,7 @@ from .operators.asof import asof_join, multi_asof  # noqa: E402
 from .operators.conform import conform_tall  # noqa: E402
 from .operators.dedupe import latest_wins  # noqa: E402
 from .operators.merge import merge_upsert, publish, read_table  # noqa: E402
-from .operators.nested import decode_jsonstat, flatten, parse_documents, zip_arrays  # noqa: E402
+from .operators.nested import decode_jsonstat, flatten, parse_documents, path, zip_arrays  # noqa: E402
 from .operators.pivot import cross_rates, pivot_series  # noqa: E402
 from .operators.quality import freshness, gate, reconcile, run_checks  # noqa: E402
 from .operators.scd2 import scd2_apply, scd2_replay  # noqa: E402
@@ -35,7 +35,7 @@ __all__ = [
     "asof_join", "bounded_spine", "conform_tall", "cross_rates", "date_key", "date_spine",
     "decode_jsonstat", "degree_days", "dim_date", "flatten", "freshness", "gate", "landing_plan",
     "latest_wins", "load_feeds", "merge_upsert", "multi_asof", "parse_documents", "pipe_key",
-    "pivot_series", "publish", "read_control", "read_documents", "read_positional_csv",
+    "path", "pivot_series", "publish", "read_control", "read_documents", "read_positional_csv",
     "read_table", "reconcile", "returns_and_rolling", "rolling", "run_checks", "safe_div",
     "scd2_apply", "scd2_replay", "start_cdc", "surrogate_key", "with_change", "zip_arrays",
 ]
