@@ -19,8 +19,7 @@ from ..functions.scalar import degree_days, mean_of_two, month_start, year_start
 from ..operators.asof import multi_asof
 from ..operators.conform import conform_tall
 from ..operators.dedupe import latest_wins
-from ..operators.nested import (content_hash, decode_jsonstat, drop_null_observations, flatten,
-                                path, zip_arrays)
+from ..operators.nested import decode_jsonstat, drop_null_observations, flatten, path, zip_arrays
 from ..operators.pivot import cross_rates, pivot_series
 from ..operators.series import returns_and_rolling, with_change
 
@@ -42,6 +41,11 @@ GUS_TAGS = {"source_name": "gus", "geo": "PL", "indicator": "expressway_motorway
 LATEST = ["_loaded_at", "_src_file", "__h"]
 
 
+def _with_hash(df):
+    """``__h``: a hash of the typed values (every non-lineage column)."""
+    return df.withColumn("__h", F.xxhash64(*[c for c in df.columns if not c.startswith("_")]))
+
+
 # --- staging ---------------------------------------------------------------
 
 def stg_fx_rates(bronze: DataFrame) -> DataFrame:
@@ -55,9 +59,8 @@ def stg_fx_rates(bronze: DataFrame) -> DataFrame:
     r = r.select("effective_date", "table_no",
                  path("r", "$.code", "string").alias("currency_code"),
                  path("r", "$.currency", "string").alias("currency_name"),
-                 path("r", "$.mid", "decimal(18,6)").alias("mid_rate"), "_src_file", "_loaded_at",
-                 content_hash("r").alias("__h"))
-    r = latest_wins(r, ["effective_date", "currency_code"], LATEST)
+                 path("r", "$.mid", "decimal(18,6)").alias("mid_rate"), "_src_file", "_loaded_at")
+    r = latest_wins(_with_hash(r), ["effective_date", "currency_code"], LATEST)
     return r.select(pipe_key("effective_date", "currency_code").alias("fx_rate_key"),
                     "effective_date", "currency_code", "currency_name", "mid_rate", "table_no",
                     "_src_file", "_loaded_at")
@@ -70,25 +73,24 @@ def stg_petroleum_spot(bronze: DataFrame) -> DataFrame:
                  path("d", "$.series", "string").alias("series"),
                  path("d", '$["product-name"]', "string").alias("product_name"),
                  path("d", "$.value", "decimal(18,6)").alias("price"),
-                 path("d", "$.units", "string").alias("units"), "_src_file", "_loaded_at",
-                 content_hash("d").alias("__h"))
-    d = latest_wins(drop_null_observations(d, "price"), ["price_date", "series"], LATEST)
+                 path("d", "$.units", "string").alias("units"), "_src_file", "_loaded_at")
+    d = latest_wins(_with_hash(drop_null_observations(d, "price")), ["price_date", "series"], LATEST)
     return d.select(pipe_key("price_date", "series").alias("price_key"), "price_date", "series",
                     "product_name", "price", "units", "_src_file", "_loaded_at")
 
 
 def stg_weather(bronze: DataFrame) -> DataFrame:
     """M3: parallel arrays under ``daily`` zipped by position."""
-    b = bronze.select("raw", "_src_file", "_loaded_at", content_hash("raw").alias("__h"),
+    b = bronze.select("raw", "_src_file", "_loaded_at",
                       path("raw", "$.latitude", "decimal(9,4)").alias("latitude"),
                       path("raw", "$.longitude", "decimal(9,4)").alias("longitude"))
     z = zip_arrays(b, "raw", "$.daily", "time",
                    {"temp_max_c": ("temperature_2m_max", "double"),
                     "temp_min_c": ("temperature_2m_min", "double"),
                     "precip_mm": ("precipitation_sum", "double")},
-                   index_type="date", keep=["latitude", "longitude", "_src_file", "_loaded_at", "__h"],
+                   index_type="date", keep=["latitude", "longitude", "_src_file", "_loaded_at"],
                    index_name="weather_date")
-    z = drop_null_observations(z, "temp_max_c")
+    z = _with_hash(drop_null_observations(z, "temp_max_c"))
     z = latest_wins(z, ["weather_date", "latitude", "longitude"], LATEST)
     return z.select(pipe_key("weather_date", "latitude", "longitude").alias("weather_key"),
                     "weather_date", "latitude", "longitude", "temp_max_c", "temp_min_c",
@@ -98,12 +100,11 @@ def stg_weather(bronze: DataFrame) -> DataFrame:
 
 def stg_civil_eng(bronze: DataFrame) -> DataFrame:
     """M4: JSON-stat time index x sparse value map; monthly."""
-    b = bronze.withColumn("__h", content_hash("raw"))
-    s = decode_jsonstat(b, "raw", "decimal(18,4)", keep=["_src_file", "_loaded_at", "__h"],
+    s = decode_jsonstat(bronze, "raw", "decimal(18,4)", keep=["_src_file", "_loaded_at"],
                         period="period", value="index_value")
     s = drop_null_observations(s, "index_value").select(
-        month_start("period").alias("period_date"), "index_value", "_src_file", "_loaded_at", "__h")
-    s = latest_wins(s, ["period_date"], LATEST)
+        month_start("period").alias("period_date"), "index_value", "_src_file", "_loaded_at")
+    s = latest_wins(_with_hash(s), ["period_date"], LATEST)
     key = F.md5(F.concat(F.col("period_date").cast("string"), F.lit("|PL|civil_eng")))
     return s.select(key.alias("construction_key"), "period_date", F.lit("PL").alias("geo"),
                     "index_value", "_src_file", "_loaded_at")
@@ -115,9 +116,8 @@ def stg_expressways(bronze: DataFrame) -> DataFrame:
     r = r.select(path("r", "$.name", "string").alias("area"), "r", "_src_file", "_loaded_at")
     v = flatten(r, "r", "$.values", "v", keep=["area", "_src_file", "_loaded_at"])
     v = v.select(year_start(path("v", "$.year", "string")).alias("period_date"), "area",
-                 path("v", "$.val", "decimal(18,2)").alias("road_km"), "_src_file", "_loaded_at",
-                 content_hash("v").alias("__h"))
-    v = latest_wins(drop_null_observations(v, "road_km"), ["period_date", "area"], LATEST)
+                 path("v", "$.val", "decimal(18,2)").alias("road_km"), "_src_file", "_loaded_at")
+    v = latest_wins(_with_hash(drop_null_observations(v, "road_km")), ["period_date", "area"], LATEST)
     return v.select(pipe_key("period_date", "area").alias("road_key"), "period_date", "area",
                     "road_km", "_src_file", "_loaded_at")
 
@@ -126,9 +126,8 @@ def stg_estr(bronze_csv: DataFrame) -> DataFrame:
     """M6: projected CSV rows -> renamed, non-null, deduplicated."""
     s = bronze_csv.filter(F.col("obs_value").isNotNull()).select(
         "series_key", F.col("obs_date").alias("rate_date"), F.col("obs_value").alias("rate_pct"),
-        F.col("title").alias("series_name"), "_src_file", "_loaded_at",
-        F.xxhash64(*[c for c in bronze_csv.columns if not c.startswith("_")]).alias("__h"))
-    s = latest_wins(s, ["rate_date", "series_key"], LATEST)
+        F.col("title").alias("series_name"), "_src_file", "_loaded_at")
+    s = latest_wins(_with_hash(s), ["rate_date", "series_key"], LATEST)
     return s.select(pipe_key("rate_date", "series_key").alias("rate_key"), "rate_date",
                     "series_key", "series_name", "rate_pct", "_src_file", "_loaded_at")
 
