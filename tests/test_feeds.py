@@ -271,3 +271,32 @@ def test_tie_break_by_content_is_deterministic(spark, tmp_root):
     twice = read_documents(spark, p, RUN1, whole_file=True).unionByName(
         read_documents(spark, p, RUN2, whole_file=True))
     assert distinct_documents(twice).count() == 1
+
+
+def test_daily_run_with_reference_file_names(spark, tmp_root):
+    """Files under the reference's names and shapes, the production feed list
+    (whole-file documents), the daily run end to end."""
+    from seriesmart.daily import run_daily
+    from seriesmart.operators.merge import read_table
+    root = _local(tmp_root)
+    land = root + "/raw"
+    day = "ingest_date=2026-04-21"
+    _write(land, f"source=nbp/dataset=a/{day}/nbp_table_a_2026-04-21.json", json.dumps(FX1, indent=2))
+    _write(land, f"source=eia/dataset=wti/{day}/eia_wti_spot_2026-04-21.json", json.dumps(OIL))
+    _write(land, f"source=om/dataset=w/{day}/openmeteo_warsaw_2026-04-21.json", json.dumps(WEATHER))
+    _write(land, f"source=es/dataset=c/{day}/eurostat_civil_eng_2026-04-21.json", json.dumps(STAT))
+    _write(land, f"source=gus/dataset=r/{day}/gus_expressways_motorways_2026-04-21.json", json.dumps(ROADS))
+    header = ",".join(f"H{i}" for i in range(1, 30))
+    _write(land, f"source=ecb/dataset=estr/{day}/ecb_estr_2026-04-21.csv",
+           "\n".join([header, _csv_row("EST.B", "2026-04-20", "1.912", '"Euro short-term rate, vw"')]) + "\n")
+    control = _write(root, "control/sources.json", json.dumps(CONTROL))
+    report, versions = run_daily(spark, land, root + "/bronze", root + "/marts",
+                                 "2026-04-21 06:00:00", control=control)
+    assert {r.table: r.files_loaded for r in report.collect()} == {
+        "nbp_fx_rates_raw": 1, "eia_petroleum_spot_raw": 1, "openmeteo_weather_raw": 1,
+        "ecb_estr_raw": 1, "eurostat_civil_eng_raw": 1, "gus_roads_raw": 1}
+    assert versions.count() == 15
+    sig = {str(r.market_date): r for r in read_table(spark, root + "/marts/fct_daily_market_signals").collect()}
+    assert sorted(sig) == ["2026-04-20"]
+    assert sig["2026-04-20"].usd_pln == Decimal("3.651200")
+    assert sig["2026-04-20"].estr_pct == Decimal("1.912000")
