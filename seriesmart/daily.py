@@ -16,10 +16,12 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.quality import gate
-from .plans.build import build_marts
-from .sources.bronze import FEEDS, load_feeds
-from .sources.control import read_control, validate_control
+# Absolute imports: spark-submit runs this file as a script, with the package
+# shipped in --py-files.
+from seriesmart.operators.quality import gate
+from seriesmart.plans.build import build_marts
+from seriesmart.sources.bronze import FEEDS, load_feeds
+from seriesmart.sources.control import read_control, validate_control
 
 
 def run_daily(spark: SparkSession, landing: str, bronze: str, marts: str, run_ts,
