@@ -93,51 +93,68 @@ def freshness_gate(spark: SparkSession, bronze_tables: dict, run_ts) -> DataFram
     return rows
 
 
+def _in_parallel(tasks: dict, threads: int) -> dict:
+    """Run independent model builds concurrently (a session accepts jobs from
+    several threads); results by name, the first failure re-raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def build_marts(spark: SparkSession, bronze_root: str, out_root: str, run_ts,
-                calendar: DataFrame | None = None, check_freshness: bool = True) -> DataFrame:
+                calendar: DataFrame | None = None, check_freshness: bool = True,
+                threads: int = 4) -> DataFrame:
     """Build and publish every model; returns ``DF[model, version]``.
 
     ``calendar`` is the date dimension's day spine (default: the reference's
-    fixed 2000-2026 calendar, trap T12).
+    fixed 2000-2026 calendar, trap T12). Models of one layer do not depend on
+    each other and are built by ``threads`` concurrent jobs (the reference's
+    build runs four threads).
     """
     bronze = {k: read_bronze(spark, f"{bronze_root}/{t}") for k, t in BRONZE.items()}
     if check_freshness:
         freshness_gate(spark, bronze, run_ts)
-    versions = []
+    versions = {}
 
     def pub(name, df, checks):
         version, path = publish_table(spark, df, f"{out_root}/{name}", checks)
-        versions.append((name, version))
+        versions[name] = version
         # Read back what was written: later models start from the table.
         return spark.read.parquet(path)
 
     base = model_checks()
-    stg = {
-        "fx": pub("stg_fx_rates", feeds.stg_fx_rates(bronze["fx"]), base["stg_fx_rates"]),
-        "oil": pub("stg_petroleum_spot", feeds.stg_petroleum_spot(bronze["oil"]),
-                   base["stg_petroleum_spot"]),
-        "weather": pub("stg_weather", feeds.stg_weather(bronze["weather"]), base["stg_weather"]),
-        "civil": pub("stg_civil_eng", feeds.stg_civil_eng(bronze["civil"]), base["stg_civil_eng"]),
-        "roads": pub("stg_expressways", feeds.stg_expressways(bronze["roads"]),
-                     base["stg_expressways"]),
-        "rates": pub("stg_estr", feeds.stg_estr(bronze["rates"]), base["stg_estr"]),
+    stg_models = {
+        "fx": ("stg_fx_rates", feeds.stg_fx_rates),
+        "oil": ("stg_petroleum_spot", feeds.stg_petroleum_spot),
+        "weather": ("stg_weather", feeds.stg_weather),
+        "civil": ("stg_civil_eng", feeds.stg_civil_eng),
+        "roads": ("stg_expressways", feeds.stg_expressways),
+        "rates": ("stg_estr", feeds.stg_estr),
     }
+    stg = _in_parallel({k: (lambda n=n, f=f, k=k: pub(n, f(bronze[k]), base[n]))
+                        for k, (n, f) in stg_models.items()}, threads)
     dd = feeds.dim_date(spark) if calendar is None else feeds._dim_date(calendar)
-    dim_date = pub("dim_date", dd, base["dim_date"])
-    dim_ccy = pub("dim_currency", feeds.dim_currency(stg["fx"]), base["dim_currency"])
-    checks = model_checks(dim_date, dim_ccy)
-    fx = pub("fct_fx_rates", feeds.fct_fx_rates(stg["fx"]), checks["fct_fx_rates"])
-    pub("fct_fx_cross_rates", feeds.fct_fx_cross_rates(stg["fx"]), checks["fct_fx_cross_rates"])
-    oil = pub("fct_commodity_prices", feeds.fct_commodity_prices(stg["oil"]),
-              checks["fct_commodity_prices"])
-    rates = pub("fct_interest_rates", feeds.fct_interest_rates(stg["rates"]),
-                checks["fct_interest_rates"])
-    weather = pub("fct_weather_daily", feeds.fct_weather_daily(stg["weather"]),
-                  checks["fct_weather_daily"])
-    act = pub("fct_construction_activity",
-              feeds.fct_construction_activity(stg["civil"], stg["roads"]),
-              checks["fct_construction_activity"])
-    signals = feeds.fct_daily_market_signals(spark, fx, oil, rates, weather, act,
-                                             calendar=dim_date)
+    dims = _in_parallel({
+        "date": lambda: pub("dim_date", dd, base["dim_date"]),
+        "currency": lambda: pub("dim_currency", feeds.dim_currency(stg["fx"]), base["dim_currency"]),
+    }, threads)
+    checks = model_checks(dims["date"], dims["currency"])
+    facts = {
+        "fct_fx_rates": lambda: feeds.fct_fx_rates(stg["fx"]),
+        "fct_fx_cross_rates": lambda: feeds.fct_fx_cross_rates(stg["fx"]),
+        "fct_commodity_prices": lambda: feeds.fct_commodity_prices(stg["oil"]),
+        "fct_interest_rates": lambda: feeds.fct_interest_rates(stg["rates"]),
+        "fct_weather_daily": lambda: feeds.fct_weather_daily(stg["weather"]),
+        "fct_construction_activity": lambda: feeds.fct_construction_activity(stg["civil"],
+                                                                              stg["roads"]),
+    }
+    f = _in_parallel({n: (lambda n=n, mk=mk: pub(n, mk(), checks[n])) for n, mk in facts.items()},
+                     threads)
+    signals = feeds.fct_daily_market_signals(
+        spark, f["fct_fx_rates"], f["fct_commodity_prices"], f["fct_interest_rates"],
+        f["fct_weather_daily"], f["fct_construction_activity"], calendar=dims["date"])
     pub("fct_daily_market_signals", signals, checks["fct_daily_market_signals"])
-    return spark.createDataFrame(versions, REPORT)
+    order = [n for n, _ in stg_models.values()] + ["dim_date", "dim_currency", *facts,
+                                                   "fct_daily_market_signals"]
+    return spark.createDataFrame([(n, versions[n]) for n in order], REPORT)

@@ -78,22 +78,28 @@ def _reader(feed: Feed):
 
 
 def load_feeds(spark: SparkSession, landing: str, bronze: str, run_ts,
-               feeds=FEEDS) -> DataFrame:
-    """Load every feed's new files; returns the per-feed report."""
-    rows, failed = [], []
+               feeds=FEEDS, threads: int = 4) -> DataFrame:
+    """Load every feed's new files; returns the per-feed report.
+
+    Feeds are independent: ``threads`` of them load concurrently.
+    """
+    from concurrent.futures import ThreadPoolExecutor
     # One listing of the landing root per run, shared by all feeds (on an
     # object store the listing is the expensive part of a load).
     listing = list_files(spark, landing).persist()
-    for f in feeds:
+
+    def one(f: Feed):
         try:
             n = incremental_load(spark, landing, f"{bronze}/{f.table}", run_ts, pattern=f.pattern,
                                  reader=_reader(f), listing=listing)
-            rows.append((f.table, n, "loaded" if n else "nothing new", None))
+            return (f.table, n, "loaded" if n else "nothing new", None)
         except Exception as e:  # noqa: BLE001 - recorded, re-raised below
-            rows.append((f.table, 0, "failed", str(e).splitlines()[0][:500]))
-            if f.on_error == "abort":
-                failed.append(f.table)
+            return (f.table, 0, "failed", str(e).splitlines()[0][:500])
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        rows = list(pool.map(one, feeds))
     listing.unpersist()
+    failed = [r[0] for r, f in zip(rows, feeds) if r[2] == "failed" and f.on_error == "abort"]
     report = spark.createDataFrame(rows, REPORT)
     if failed:
         raise LoadError(f"bronze load failed for {failed}: " +
