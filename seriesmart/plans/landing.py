@@ -28,7 +28,7 @@ EVENTS_DOCS = r".*/source=events/dataset=stream/.*"
 JSON_TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def _events_json(_df=None):
+def _events_json():
     return F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value", "props"), JSON_TS)
 
 
