@@ -368,3 +368,15 @@ def test_cdc_restart_picks_up_only_new_files(spark, tmp_root):
     land_batch("b2", [(1, 5), (3, 1)])
     run()
     assert sorted((r.k, r.v) for r in read_table(spark, target).collect()) == [(1, 5), (2, 1), (3, 1)]
+
+
+def test_flatten_object_and_outer_flatten(spark):
+    from seriesmart.operators.nested import flatten, flatten_object, parse_documents
+    df = parse_documents(spark.createDataFrame([('{"m": {"a": 1, "b": 2}, "xs": []}',)], "value string"))
+    kv = sorted((r.key, r.value) for r in flatten_object(df, "raw", "$.m", "int", keep=[]).collect())
+    assert kv == [("a", 1), ("b", 2)]
+    assert flatten(df, "raw", "$.xs", "x", keep=[]).count() == 0          # inner: empty array drops
+    assert flatten(df, "raw", "$.xs", "x", keep=[], outer=True).count() == 1
+    pos = flatten(parse_documents(spark.createDataFrame([('[10, 20]',)], "value string")), "raw", "$", "x",
+                  keep=[], with_pos=True)
+    assert sorted((r.x_pos, str(r.x)) for r in pos.collect()) == [(0, "10"), (1, "20")]
