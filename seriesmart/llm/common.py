@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +33,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, when the
+    session was started without it on their path (an installed package comes first)."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), root]))
+
+
 def pick(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Only the named input columns under the operator's own names, so that
     extra columns with clashing names cannot get in the way."""
+    importable(df.sparkSession)
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in columns.items()])
 
 

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from .bpe import encode
 from .common import table
+from .jaccard import jaccard_join
 from .line_dedup import apply_bitmaps, keep_bitmaps
+from .quality import score, train
+from .substring_dedup import dedup_substrings
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -18,6 +22,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), with_text=False)
 
@@ -26,6 +35,75 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = F.crc32(F.col("doc_id").cast("string")) % 5
+    labels = table(spark, sf_dir, "labels").where(part != 0)
+    ranking = train(docs, labels, label_col="quality", threshold=0.3)
+    return score(docs, ranking).select("doc_id", (part == 0).alias("held_out"), "score", "predicted")
+
+
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
+OP8_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+sh as (
+  select distinct doc_id, s from (
+    select doc_id, unnest(case when len(ws) = 0 then []::varchar[]
+      when len(ws) < 4 then [array_to_string(ws, ' ')]
+      else list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) end) as s from w)),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+rare as (select s from sh group by s having count(*) > 1),
+pairs as (
+  select a.doc_id as u, b.doc_id as v, count(*) as k
+  from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id
+  where a.s in (select s from rare) group by 1, 2),
+links as (
+  select u, v from pairs join n x on x.doc_id = u join n y on y.doc_id = v
+  where 100 * k >= 85 * (x.n + y.n - k)),
+edges as (select u, v from links union all select v, u from links),
+reach(doc_id, c) as (
+  select doc_id, doc_id from documents
+  union
+  select e.v, r.c from reach r join edges e on e.u = r.doc_id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, min(r.c) as component_id
+from documents d left join n using (doc_id) join reach r on r.doc_id = d.doc_id
+group by d.doc_id, n.n
+"""
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_substrings(table(spark, sf_dir, "documents"), window=50)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+starts as (
+  select doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) as h
+  from (select doc_id, ws, unnest(range(1, len(ws) - 48)) as i from w where len(ws) >= 50)),
+first as (select h, min(doc_id) as d from starts group by h),
+hit as (select s.doc_id, i from starts s join first f using (h) where f.d < s.doc_id),
+words as (select doc_id, generate_subscripts(ws, 1) as p, unnest(ws) as word from w),
+marked as (
+  select w.doc_id, w.p, w.word,
+         coalesce(max(hit.i) over (partition by w.doc_id order by w.p), -100) >= w.p - 49 as gone
+  from words w left join hit on hit.doc_id = w.doc_id and hit.i = w.p),
+kept as (
+  select doc_id, count(*) as n_words, count(*) filter (gone) as n_removed,
+         coalesce(string_agg(word, ' ' order by p) filter (not gone), '') as t
+  from marked group by doc_id)
+select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from documents d left join kept using (doc_id)
+"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = apply_bitmaps(docs, keep_bitmaps(docs, min_docs=10, min_chars=1))
@@ -49,11 +127,17 @@ from keyed group by doc_id
 """
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
     "op4_token_counts": op4_token_counts,
+    "op5_quality": op5_quality,
+    "op8_jaccard": op8_jaccard,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES = {
+    "op8_jaccard": OP8_SQL,
+    "op9_substring_dedup": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
