@@ -13,6 +13,7 @@ scoring covers every document in one pass without a shuffle.
 import math
 from collections import Counter
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ CONTROL = bytes([*range(0, 9), *range(14, 32), 127])
 
 FEATURES = ("length", "upper", "lower", "digits", "marks", "symbols", "top symbol", "control", "non-ascii",
             "replacement", "word length", "distinct words", "top word", "repeated bigrams", "odd words",
-            "upper words", "one-character words", "distinct lines", "line length", "longest word")
+            "upper words", "one-character words", "distinct lines", "line length", "longest word", "stuttered words", "symbol lines")
 
 
 def features(text: str) -> list[float]:
@@ -63,6 +64,8 @@ def features(text: str) -> list[float]:
         sum(1 for w in words if w.isupper()) / k, sum(1 for w in words if len(w) == 1) / k,
         len(set(lines)) / max(1, len(lines)), min(1.0, n / max(1, len(lines)) / 2000),
         min(1.0, max(map(len, words), default=0) / 100),
+        sum(map(eq, words, words[1:])) / k,
+        sum(1 for x in lines if len(x) - len(x.translate(None, SYMBOLS)) > len(x) / 50) / max(1, len(lines)),
     ]
 
 
