@@ -13,6 +13,7 @@ from .quality import score, train
 from .substring_dedup import dedup_substrings
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
+from .vector_search import nearest
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -31,6 +32,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), with_text=False)
 
 
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
 
@@ -129,6 +135,7 @@ from keyed group by doc_id
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
+    "op3_vector_search": op3_vector_search,
     "op4_token_counts": op4_token_counts,
     "op5_quality": op5_quality,
     "op8_jaccard": op8_jaccard,
