@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .bpe import encode
 from .common import table
+from .decontaminate import leaks
 from .jaccard import jaccard_join
+from .licenses import scan
 from .line_dedup import apply_bitmaps, keep_bitmaps
 from .quality import score, train
 from .substring_dedup import dedup_substrings
@@ -49,6 +51,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, ranking).select("doc_id", (part == 0).alias("held_out"), "score", "predicted")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
 
@@ -138,6 +148,8 @@ QUERIES = {
     "op3_vector_search": op3_vector_search,
     "op4_token_counts": op4_token_counts,
     "op5_quality": op5_quality,
+    "op6_licenses": op6_licenses,
+    "op7_decontaminate": op7_decontaminate,
     "op8_jaccard": op8_jaccard,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
