@@ -52,12 +52,12 @@ class Pieces:
             self.at = self.n = self.low = self.high = self.anchor = empty
             self.shard = self.content = np.zeros(0, np.uint64)
             return
-        self.prefix = prefix_hash(BYTE_CODE[buf], BYTE_POWERS)
+        prefix = prefix_hash(BYTE_CODE[buf], BYTE_POWERS)
         at, size, anchor, rank, grams = [], [], [], [], []
         for s in range(0, n, SEGMENT):
             m = min(SEGMENT, n - s)
             g = np.arange(s, s + m + span - 1)
-            gh = span_hash(self.prefix, g, g + gram, BYTE_POWERS)
+            gh = span_hash(prefix, g, g + gram, BYTE_POWERS)
             # Hash above, position below: ties go to the leftmost gram.
             least = (_window_min((gh & ~_LOW) | np.arange(len(gh), dtype=np.uint64), span)[:m] & _LOW).astype(np.int64)
             part = (least - np.arange(m)) // step
@@ -71,9 +71,9 @@ class Pieces:
         rank = np.concatenate(rank)
         self.low = rank * step                         # offsets of the range
         self.high = self.low + step - 1
-        core = span_hash(self.prefix, self.anchor - self.low, self.anchor - self.high + length, BYTE_POWERS)
+        core = span_hash(prefix, self.anchor - self.low, self.anchor - self.high + length, BYTE_POWERS)
         self.shard = mix64(core ^ mix64(np.concatenate(grams) + rank.astype(np.uint64)))
-        whole = span_hash(self.prefix, self.at, self.at + self.n - 1 + length, BYTE_POWERS)
+        whole = span_hash(prefix, self.at, self.at + self.n - 1 + length, BYTE_POWERS)
         self.content = mix64(whole + mix64((self.anchor - self.at).astype(np.uint64)))
 
 
@@ -180,12 +180,13 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     def pieces_of(batches):
         for batch in batches:
             buf, offs = text_slices(batch.column(1))
-            found = [Pieces(buf[offs[i]:offs[i + 1]], length) for i in range(len(offs) - 1)]
-            at = np.repeat(np.arange(len(found)), [len(p.at) for p in found])
-            join = lambda f: np.concatenate([f(p) for p in found]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(join(lambda p: p.shard)), pa.array(join(lambda p: p.content)),
-                 batch.column(0).take(pa.array(at))], ["shard", "piece", "id"])
+            for s in range(0, len(offs) - 1, 256):
+                found = [(p.shard, p.content) for i in range(s, min(s + 256, len(offs) - 1))
+                         for p in [Pieces(buf[offs[i]:offs[i + 1]], length)]]
+                at = s + np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+                shard, content = (np.concatenate([f[k] for f in found]).view(np.int64) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard), pa.array(content), batch.column(0).take(pa.array(at))], ["shard", "piece", "id"])
 
     pieces = src.mapInArrow(pieces_of, f"shard long, piece long, id {kind}")
     counts = pieces.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("a"), F.max("piece").alias("b"))
