@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, text_slices, window_hashes, word_bounds, word_hashes
+from .common import materialize, pick, text_slices, window_hashes, word_bounds, word_hashes
 
 # Difference covers, by period.
 COVERS = {
@@ -129,10 +129,12 @@ def dedup_substrings(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     anchors = src.mapInArrow(anchors_of, pair).where("id is not null")
     shared = (anchors.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"))
               .where("a < b").select("h"))
-    hits = anchors.join(shared, "h").groupBy("id").agg(F.collect_set("h").alias("hs"))
+    # Written tables between the steps: each step's shuffle files go when it ends.
+    hits = materialize(anchors.join(shared, "h").groupBy("id").agg(F.collect_set("h").alias("hs")), "substring-anchors")
     windows = src.join(hits, "id").select("id", "text", "hs").mapInArrow(windows_of, pair)
     first = windows.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("h", "a")
-    later = windows.join(first, "h").where("id > a").groupBy("id").agg(F.collect_set("h").alias("hs"))
+    later = materialize(windows.join(first, "h").where("id > a").groupBy("id").agg(F.collect_set("h").alias("hs")),
+                        "substring-windows")
     marked = src.join(later, "id", "left").select("id", "text", "hs")
     return marked.mapInArrow(keep, f"id {id_type}, n_words long, n_removed long, "
                              "removed array<struct<start: long, length: long>>, kept string"
