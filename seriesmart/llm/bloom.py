@@ -1,7 +1,7 @@
-"""A membership filter of fixed size, built by the cluster and broadcast.
+"""A membership filter of bounded size, built by the cluster and broadcast.
 
-Its bytes depend on ``BITS`` alone, never on the data; when the data outgrow it,
-it only lets more through. Users must be right for any false positives."""
+It takes 16 bits for each value up to ``MAX_BITS``; when the data outgrow that, it
+only lets more through. Users must be right for any false positives."""
 
 from __future__ import annotations
 
@@ -9,11 +9,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS = 25  # 2**25 bits: 4 MB
+MIN_BITS, MAX_BITS = 16, 28  # at most 2**28 bits: 32 MB
 
 
-def build(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
-    """The filter of a column of well-mixed 64-bit values."""
+def build(df: DataFrame, column: str, values: int) -> np.ndarray:
+    """The filter of a column of well-mixed 64-bit values, about ``values`` of them."""
+    bits = min(MAX_BITS, max(MIN_BITS, (16 * values).bit_length()))
     slot = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     words = (df.select(slot.alias("s")).select(F.shiftright("s", 6).alias("w"),
                                                F.expr("shiftleft(1L, cast(s & 63 as int))").alias("b"))

@@ -7,20 +7,25 @@ num/den. Equal sets collapse to one node first. Then:
   at least o(a, b), so both sets enumerate their subsets of exactly that size;
   linked sets share one.
 * Heavy sets: inverted lists over each set's prefix in one global element order;
-  linked sets share a prefix element. The order puts frequent elements last: a
-  fixed-size filter marks them, and since it is a plain function of the element,
-  its false positives change costs only.
+  linked sets share a prefix element. The order goes by how many documents hold an
+  element, rare ones first, in levels that filters of bounded size tell; as that
+  makes it a plain function of the element, their false positives change costs
+  only. Elements of a single document are in no list. Prefixes are as long as the
+  sizes of both sides require: lists are kept per pair of size classes.
 * The boundary is the size up to which enumerating costs less than scanning,
   from the counted sizes and list lengths.
 
-Lists are never turned into all pairs. Each round links the members of a list to
-one leader; verified links merge into components, and only members of different
-components meet again, against the next leader; what is still apart after
-``rounds`` is compared exhaustively. Every candidate is verified on whole sets.
+Lists are not turned into all pairs. Each round links the members of a list to
+one leader, first to the member with the fewest elements of its own; verified
+links merge into components, and only members of different components meet again,
+against the next leader. What is still apart after ``rounds`` is compared
+exhaustively, in blocks of a list against each other, of which only links come
+out. Every candidate is verified on whole sets.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from itertools import combinations
 from math import comb
 
@@ -33,7 +38,8 @@ from . import bloom
 from .common import LOWER, materialize, mix64, pick, text_slices, window_hashes, word_bounds, word_hashes
 from .components import components
 
-FREQUENT = 48     # documents in an element's counted list from which it goes last in the order
+LEVELS = (2, 4, 8, 16, 32, 64, 128, 256)  # counts that set elements further back in the order
+BLOCK = 128       # members of a list that are compared with as many others in one task
 MAX_LIGHT = 24    # largest size considered for subset enumeration
 _EMPTY = np.zeros(0, np.uint64)
 
@@ -72,8 +78,10 @@ class Measure:
     def smallest(self, a: int) -> int:
         return -(-a * self.num // self.den)
 
-    def prefix(self, a: int) -> int:
-        return a - self.smallest(a) + 1
+    def prefix(self, a: int, b: int | None = None) -> int:
+        """Elements of a set of size a of which a linked set of size b or more (b at
+        least the smallest that links) holds one."""
+        return a - self.overlap(a, max(b or 0, self.smallest(a))) + 1
 
     def links(self, s: np.ndarray, t: np.ndarray) -> bool:
         """Of two sorted distinct arrays."""
@@ -91,21 +99,47 @@ class Measure:
         return sum(comb(a, self.overlap(*p)) for p in self.size_pairs(a, top))
 
 
-def subset_keys(s: np.ndarray, measure: Measure, top: int) -> np.ndarray:
-    """Keys of all subsets that a light set shares with any light set it links with."""
-    keys, mixed, n = [], [int(x) for x in mix64(s)], len(s)
+def subset_keys(s: np.ndarray, lone: int, measure: Measure, top: int) -> np.ndarray:
+    """Keys of all subsets that a light set can share with a light set it links
+    with. Its first ``lone`` elements are no other document's, so are in no subset."""
+    keys, mixed, n = [], [int(x) for x in mix64(s[lone:])], len(s)
     total, low = sum(mixed), (1 << 64) - 1
     for a, b in measure.size_pairs(n, top):
-        seed = (a << 32 | b) * 0x9E3779B97F4A7C15
-        for out in combinations(mixed, n - measure.overlap(a, b)):
-            keys.append((total - sum(out) + seed) & low)
+        left_out = n - measure.overlap(a, b) - lone
+        if left_out >= 0:
+            seed = (a << 32 | b) * 0x9E3779B97F4A7C15
+            keys += [(total - sum(out) + seed) & low for out in combinations(mixed, left_out)]
     return np.unique(mix64(np.array(keys, np.uint64))) if keys else _EMPTY
 
 
-def prefix_keys(s: np.ndarray, measure: Measure, frequent: np.ndarray) -> np.ndarray:
-    """The first elements in the global order: infrequent before frequent, then by hash."""
-    late = bloom.contains(frequent, s)
-    return np.concatenate([s[~late], s[late]])[:measure.prefix(len(s))]
+def size_classes(limit: int) -> list[int]:
+    """Least sizes of the size classes: single sizes first, then steps of 4 %."""
+    out = [1]
+    while out[-1] <= limit:
+        out.append(max(out[-1] + 1, out[-1] * 26 // 25))
+    return out
+
+
+def prefix_keys(s: np.ndarray, lone: int, measure: Measure, classes: list[int]) -> np.ndarray:
+    """Keys of the prefix elements, per size class of the other side. ``s`` is in
+    the global order; its first ``lone`` elements are no other document's."""
+    n, keys = len(s), []
+    own = bisect_right(classes, n) - 1
+    for other in range(bisect_right(classes, measure.smallest(n)) - 1, bisect_right(classes, measure.largest(n))):
+        part = s[lone:measure.prefix(n, classes[other])]
+        if len(part):
+            keys.append(mix64(part + np.uint64(min(own, other) << 32 | max(own, other))))
+    return np.concatenate(keys) if keys else _EMPTY
+
+
+def levels_of(s: np.ndarray, filters: list[np.ndarray]) -> np.ndarray:
+    """How many of the levels' filters hold each element."""
+    level = np.zeros(len(s), np.int64)
+    at = np.arange(len(s))
+    for f in filters:
+        at = at[bloom.contains(f, s[at])]
+        level[at] += 1
+    return level
 
 
 def _sets(batch: pa.RecordBatch, column: int, words: int):
@@ -114,10 +148,12 @@ def _sets(batch: pa.RecordBatch, column: int, words: int):
         yield shingles(buf[offs[i]:offs[i + 1]], words)
 
 
-def _rows(keys: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
+def _rows(keys: list[np.ndarray], nodes: list[int], lone: list[int]) -> pa.RecordBatch:
     flat = np.concatenate(keys) if keys else _EMPTY
-    at = np.repeat(np.array(nodes, np.int64), [len(k) for k in keys])
-    return pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(at)], ["h", "node"])
+    sizes = [len(k) for k in keys]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(flat.view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), sizes)),
+         pa.array(np.repeat(np.array(lone, np.int32), sizes))], ["h", "node", "lone"])
 
 
 def light_boundary(sizes: list[tuple[int, int]], list_length: float, measure: Measure) -> int:
@@ -132,7 +168,7 @@ def light_boundary(sizes: list[tuple[int, int]], list_length: float, measure: Me
     return best
 
 
-def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, rounds: int = 3,
+def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, rounds: int = 2,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row: id, ``n_shingles`` and ``component_id``, the smallest id
     reachable by links, itself included.
@@ -154,43 +190,53 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())], ["id", "n", "node"])
 
-    def counted_of(batches):
+    def elements_of(batches):
         for batch in batches:
-            keys = [s[:2 * measure.prefix(len(s))] for s in _sets(batch, 0, words) if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((np.concatenate(keys) if keys else _EMPTY).view(np.int64))], ["h"])
+            sets = list(_sets(batch, 0, words))
+            for i in range(0, len(sets), 512):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets[i:i + 512]).view(np.int64))], ["h"])
 
     rows = materialize(src.mapInArrow(nodes_of, f"id {kind}, n long, node long"), "jaccard-rows")
-    lists = src.select("text").mapInArrow(counted_of, "h long").groupBy("h").agg(
+    lists = src.select("text").mapInArrow(elements_of, "h long").groupBy("h").agg(
         F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = materialize(lists, "jaccard-lists")
-    frequent = spark.sparkContext.broadcast(bloom.build(lists.where(F.col("n") >= FREQUENT), "h"))
-    mean = lists.where(F.col("n") < FREQUENT).agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] or 1.0
-    sizes = [(r.n, r.count_) for r in rows.where(F.col("n").between(1, MAX_LIGHT)).groupBy("n").agg(
-        F.countDistinct("node").alias("count_")).collect()]  # at most MAX_LIGHT rows
-    top = light_boundary(sizes, float(mean), measure)
+    stats = lists.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n"), *[
+        F.count(F.when(F.col("n") >= k, 1)) for k in LEVELS]).first()
+    mean = stats[0]
+    filters = spark.sparkContext.broadcast([
+        bloom.build(lists.where(F.col("n") >= k), "h", m) for k, m in zip(LEVELS, stats[1:]) if m])
+    sizes = [(r.n, r.sets) for r in rows.where(F.col("n").between(1, MAX_LIGHT)).groupBy("n").agg(
+        F.countDistinct("node").alias("sets")).collect()]  # at most MAX_LIGHT rows
+    top = light_boundary(sizes, float(mean or 1.0), measure)
+    classes = size_classes(2 * int(rows.agg(F.max("n")).first()[0] or 1))
 
     def keys_of(batches):
         for batch in batches:
-            keys, at = [], []
+            keys, nodes, lones = [], [], []
             for s in _sets(batch, 0, words):
-                if not len(s):
-                    continue
-                node = set_hash(s)
-                if len(s) <= top:
-                    keys.append(subset_keys(s, measure, top))
-                    at.append(node)
+                level = levels_of(s, filters.value)
+                lone = int((level == 0).sum())
+                if lone > measure.prefix(len(s)) - 1:
+                    continue  # too many elements of its own to link with anything; so are empty sets
+                ordered = s[np.argsort(level, kind="stable")]
+                found = [subset_keys(ordered, lone, measure, top)] if len(s) <= top else []
                 if measure.largest(len(s)) > top:
-                    keys.append(prefix_keys(s, measure, frequent.value))
-                    at.append(node)
-            yield _rows(keys, at)
-
-    keys = src.select("text").mapInArrow(keys_of, "h long, node long")
-    leaders = keys.groupBy("h").agg(F.min("node").alias("leader"), F.max("node").alias("b")).where("leader < b")
-    shared = materialize(keys.join(leaders.select("h", "leader"), "h").distinct(), "jaccard-keys")
+                    found.append(prefix_keys(ordered, lone, measure, classes))
+                keys += found
+                nodes += [set_hash(s)] * len(found)
+                lones += [lone] * len(found)
+            yield _rows(keys, nodes, lones)
+
+    keys = src.select("text").mapInArrow(keys_of, "h long, node long, lone int").distinct()
+    central = F.struct("lone", "node")
+    leaders = keys.groupBy("h").agg(F.min(central)["node"].alias("leader"), F.min("node").alias("a"),
+                                    F.max("node").alias("b")).where("a < b")
+    shared = materialize(_widest(materialize(keys.join(leaders.select("h", "leader"), "h"), "jaccard-all-keys")),
+                         "jaccard-keys")
 
     # The texts of the nodes that share any key, one per node.
-    wanted = spark.sparkContext.broadcast(bloom.build(shared, "node"))
+    wanted = shared.select("node").distinct()
+    wanted = spark.sparkContext.broadcast(bloom.build(wanted, "node", wanted.count()))
 
     def texts_of(batches):
         for batch in batches:
@@ -227,21 +273,50 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
     found = components(links)
     for turn in range(rounds):
         apart = _apart(shared, found)
-        # The next leaders, other ones each round: of one component, against the members of the others.
-        pick_by = F.struct(F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)))
-        lead = apart.groupBy("h").agg(F.max_by(F.struct("node", "component"), pick_by).alias("lead"))
+        # The next leader: the most central member, later others, against the members of other components.
+        first = F.struct("lone", "node") if turn == 0 else F.struct(
+            F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)))
+        lead = apart.groupBy("h").agg(F.min_by(F.struct("node", "component"), first).alias("lead"))
         pairs = (apart.join(lead, "h").where(F.col("component") != F.col("lead.component"))
                  .select(F.greatest("node", "lead.node").alias("u"), F.least("node", "lead.node").alias("v")).distinct())
         new = materialize(verify(pairs), "jaccard-links")
         if not new.isEmpty():
             links = links.unionByName(new)
             found = components(links)
-    # What is still apart: every pair of a list's members in different components.
-    apart = materialize(_apart(shared, found), "jaccard-apart")
-    other = apart.select("h", F.col("node").alias("node2"), F.col("component").alias("component2"))
-    pairs = (apart.join(other, "h").where(F.col("component") < F.col("component2"))
-             .select(F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v")).distinct())
-    new = materialize(verify(pairs), "jaccard-links")
+    # What is still apart: the members of a list in different components, block by block.
+    apart = _apart(shared, found)
+    lists = apart.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = (apart.join(lists, "h").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .join(texts.select("node", "text"), "node")
+             .select("h", "own", "node", "component", "text", other.alias("other"))
+             .withColumns({"b1": F.least("own", "other"), "b2": F.greatest("own", "other")}))
+
+    def links_of(t: pa.Table) -> pa.Table:
+        b1, b2 = t.column("b1")[0].as_py(), t.column("b2")[0].as_py()
+        own, node, part = (t.column(c).to_pylist() for c in ("own", "node", "component"))
+        sets = [frozenset(s.tolist()) for batch in t.select(["text"]).to_batches() for s in _sets(batch, 0, words)]
+        left = [i for i in range(len(own)) if own[i] == b1]
+        right = [i for i in range(len(own)) if own[i] == b2]
+        found = []
+        root = {c: c for c in part}
+
+        def top_of(c):
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        for i in left:
+            for j in right:
+                a, b = len(sets[i]), len(sets[j])
+                if (b1 < b2 or i < j) and measure.smallest(max(a, b)) <= min(a, b):
+                    c, d = top_of(part[i]), top_of(part[j])
+                    if c != d and len(sets[i] & sets[j]) >= measure.overlap(a, b):
+                        found.append((node[i], node[j]))
+                        root[c] = d
+        return pa.table({"u": pa.array([f[0] for f in found], pa.int64()), "v": pa.array([f[1] for f in found], pa.int64())})
+
+    new = materialize(dealt.groupBy("h", "b1", "b2").applyInArrow(links_of, "u long, v long"), "jaccard-links")
     if not new.isEmpty():
         found = components(links.unionByName(new))
 
@@ -253,9 +328,20 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
         F.coalesce("name", "id").alias("component_id"))
 
 
+def _widest(shared: DataFrame) -> DataFrame:
+    """Without lists whose members all stand together in one larger list: there
+    every member's largest list is that one."""
+    sizes = shared.groupBy("h").agg(F.count(F.lit(1)).alias("m"))
+    sized = shared.join(sizes, "h")
+    widest = sized.groupBy("node").agg(F.max(F.struct("m", "h"))["h"].alias("widest"))
+    needed = (sized.join(widest, "node").groupBy("h").agg(F.min("widest").alias("a"), F.max("widest").alias("b"))
+              .where("a <> b or a = h").select("h"))
+    return shared.join(needed, "h")
+
+
 def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the lists that hold more than one component, with their component."""
     members = shared.join(found, "node", "left").select(
-        "h", "node", F.coalesce("component", "node").alias("component"))
+        "h", "node", "lone", F.coalesce("component", "node").alias("component"))
     mixed = members.groupBy("h").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     return members.join(mixed.select("h"), "h")
