@@ -33,6 +33,7 @@ task. The plan here is a bucketed sweep:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -170,8 +171,10 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     clash = set(rcols) & (set(left.columns) - set(by))
     if clash:
         raise ValueError(f"right columns clash with left: {sorted(clash)}")
-    builds = right.select(*by, F.col(right_on).alias(_T),
-                          F.struct(*[F.col(c) for c in rcols]).alias("__r"))
+    # NULL matches nothing: a right row without a time or a key never enters the sweep.
+    known = reduce(lambda a, c: a & F.col(c).isNotNull(), by, F.col(right_on).isNotNull())
+    builds = right.where(known).select(*by, F.col(right_on).alias(_T),
+                                       F.struct(*[F.col(c) for c in rcols]).alias("__r"))
     # Several right rows at one (by, time): the sweep orders them by the
     # tie-break, so the greatest is the one matched; no separate dedup pass.
     tie_order = [F.col("__r")[c].asc_nulls_first() for c in (tie_break or [])]
@@ -205,11 +208,14 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
 
 def multi_asof(spine: DataFrame, on: str, feeds: Mapping[str, tuple[DataFrame, str, Sequence[str]]],
                bucket: str = "month", spine_unique: bool = True,
-               slice_rows: int | None = None) -> DataFrame:
+               slice_rows: int | None = None,
+               tie_break: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """As-of join of several feeds onto one spine in a single window pass.
 
-    ``feeds`` maps a feed name to ``(df, date_col, value_cols)``; every feed
-    must be unique per ``date_col``. Output: spine columns plus every feed's
+    ``feeds`` maps a feed name to ``(df, date_col, value_cols)``. Several rows
+    of a feed at one date reduce to the one that is greatest by that feed's
+    ``tie_break`` columns, then by its values (a map-side combined aggregate,
+    before the sweep); rows without a date match nothing. Output: spine columns plus every feed's
     value columns (backward, inclusive; NULL inside a matched row stays NULL).
     Replaces a chain of as-of joins (one sort and shuffle each) by one union,
     one window and one small per-bucket aggregate.
@@ -221,7 +227,9 @@ def multi_asof(spine: DataFrame, on: str, feeds: Mapping[str, tuple[DataFrame, s
     for n in names:
         df, d, vals = feeds[n]
         s = F.struct(*[F.col(v) for v in vals])
-        sdf = df.select(F.col(d).alias(_T), s.alias(payload[n]))
+        first = F.struct(*[F.col(c) for c in (tie_break or {}).get(n, ())], s)
+        sdf = (df.where(F.col(d).isNotNull()).groupBy(F.col(d).alias(_T))
+               .agg(F.max_by(s, first).alias(payload[n])))
         types[n] = sdf.schema[payload[n]].dataType
         parts.append(sdf)
     builds = None

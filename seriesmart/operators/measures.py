@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import null_safe_join
+
 
 def star_rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
                 measures: dict, broadcast_max_rows: int | None = None) -> DataFrame:
@@ -42,7 +44,7 @@ def share_of_total(grouped: DataFrame, value: str, name: str = "share_of_total",
     within = list(within)
     if within:
         tot = grouped.groupBy(*within).agg(F.sum(value).alias("__tot"))
-        out = grouped.join(tot, within)
+        out = null_safe_join(grouped, tot, within)
     else:
         out = grouped.withColumn("__tot", grouped.agg(F.sum(value)).scalar())
     return out.withColumn(name, F.round(F.col(value) / F.nullif(F.col("__tot"), F.lit(0)),

@@ -28,18 +28,21 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .dedupe import latest_wins
 
+NULL_PARTITION = "__null__"  # stands for NULL in folder names and manifests
 _SAFE = re.compile(r"^[A-Za-z0-9_.\-]+$")
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("partition", T.StringType()),
     T.StructField("path", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
+_VERSIONED = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("v", T.IntegerType())])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -59,9 +62,14 @@ def table_state(spark: SparkSession, root: str) -> TableState:
     mpath = f"{root}/_manifest"
     if not _exists(spark, mpath):
         return TableState(0, None, None)
-    m = spark.read.parquet(mpath)
+    try:
+        m = spark.read.schema(_VERSIONED).parquet(mpath)
+    except AnalysisException:
+        return TableState(0, None, None)  # nothing but an interrupted first commit
     # One small job: the newest version and the batch id it recorded.
     row = m.agg(F.max("v").alias("v"), F.max_by("batch_id", "v").alias("b")).first()
+    if row["v"] is None:
+        return TableState(0, None, None)
     cur = m.filter(F.col("v") == row["v"]).drop("v")
     last = None if row["b"] is None or row["b"] < 0 else int(row["b"])
     return TableState(int(row["v"]), last, cur)
@@ -80,15 +88,14 @@ def read_table(spark: SparkSession, root: str, schema: T.StructType | None = Non
 
 def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequence[str],
                  order_by: Sequence[str], partition: str, batch_id: int | None = None,
-                 on_conflict: str = "latest", keep_versions: int | None = 10) -> bool:
+                 on_conflict: str = "latest") -> bool:
     """Upsert ``delta`` into the table at ``root``; returns False for a replay.
 
     ``on_conflict="latest"``: across target and delta the greatest
     ``order_by`` wins (out-of-order files are safe); ``"delta"``: a matched
     delta row always replaces the target row (plain MERGE ... UPDATE).
-    Within the delta the greatest ``order_by`` wins either way. After the
-    commit, manifest versions beyond the newest ``keep_versions`` are pruned
-    (``None`` keeps all).
+    Within the delta the greatest ``order_by`` wins either way. Rows without a
+    partition value live in a partition of their own.
     """
     keys, order_by = list(keys), list(order_by)
     if on_conflict not in ("latest", "delta"):
@@ -98,8 +105,9 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
         return False
     # The delta is used twice (touched partitions, then the merge): keep it.
     d = latest_wins(delta, keys, order_by).persist()
+    value = F.coalesce(F.col(partition).cast("string"), F.lit(NULL_PARTITION))
     # Partition values touched by this delta: metadata-sized (e.g. months).
-    touched = sorted({str(r[0]) for r in d.select(F.col(partition).cast("string")).distinct().collect()})
+    touched = sorted(r[0] for r in d.select(value).distinct().collect())
     if not touched:
         d.unpersist()
         return False
@@ -120,7 +128,7 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
     ddir = f"{root}/data/b={bid}-{uuid.uuid4().hex[:8]}"
     # Rebalance (not repartition) by partition value: AQE coalesces small
     # partitions into few files and splits a hot one across several tasks.
-    (merged.withColumn("__p", F.col(partition).cast("string")).hint("rebalance", "__p")
+    (merged.withColumn("__p", value).hint("rebalance", "__p")
      .write.partitionBy("__p").parquet(ddir))
     new_rows = spark.createDataFrame(
         [(p, f"{ddir}/__p={p}", bid) for p in touched], MANIFEST_SCHEMA)
@@ -129,13 +137,17 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
     man = new_rows if kept is None else kept.unionByName(new_rows)
     # batch_id column keeps the newest batch id visible on every version.
     man = man.withColumn("batch_id", F.lit(max(bid, st.last_batch or -1)).cast("long"))
-    man.coalesce(1).write.parquet(f"{root}/_manifest/v={st.version + 1}")
+    _commit(man, root, st.version + 1)
     d.unpersist()
-    if keep_versions:
-        prune_manifests(spark, root, keep_versions)
     return True
 
 
+def _commit(manifest: DataFrame, root: str, version: int) -> None:
+    """Write a version's manifest. A version counts once its (single) file is
+    there; what an interrupted attempt left of it is replaced."""
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifest/v={version}")
+
+
 def publish(spark: SparkSession, df: DataFrame, root: str, checks=None,
             fail_on: str = "error") -> int:
     """Publish behind the gate; returns the new version (see :func:`publish_table`)."""
@@ -160,57 +172,5 @@ def publish_table(spark: SparkSession, df: DataFrame, root: str, checks=None,
         gate(run_checks(spark.read.parquet(ddir), checks), fail_on=fail_on)
     last = -1 if st.last_batch is None else st.last_batch
     man = spark.createDataFrame([("*", ddir, last)], MANIFEST_SCHEMA)
-    man.coalesce(1).write.parquet(f"{root}/_manifest/v={st.version + 1}")
+    _commit(man, root, st.version + 1)
     return st.version + 1, ddir
-
-
-def _fs(spark: SparkSession, path: str):
-    """Hadoop file system and path objects (classic sessions only)."""
-    from ..session import _context
-    sc = _context(spark)
-    if sc is None:
-        return None, None
-    p = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
-
-
-def prune_manifests(spark: SparkSession, root: str, keep: int = 10) -> int:
-    """Delete manifest versions older than the newest ``keep``; returns how many.
-
-    Readers only ever use the newest version, so listing cost stays bounded
-    however many batches a stream commits. Older versions are kept for time
-    travel and for readers that started on them.
-    """
-    fs, p = _fs(spark, f"{root}/_manifest")
-    if fs is None or not fs.exists(p):
-        return 0
-    versions = sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(p)
-                      if s.getPath().getName().startswith("v="))
-    old = versions[:-keep] if keep > 0 else versions
-    for v in old:
-        fs.delete(fs.makeQualified(p).suffix(f"/v={v}"), True)
-    return len(old)
-
-
-def vacuum(spark: SparkSession, root: str) -> int:
-    """Delete data folders that no retained manifest version references.
-
-    Run it after :func:`prune_manifests`; a folder still referenced by any
-    retained version (the current one included) is kept.
-    """
-    st = table_state(spark, root)
-    if st.manifest is None:
-        return 0
-    refs = {r.path.rstrip("/") for r in spark.read.parquet(f"{root}/_manifest")
-            .select("path").distinct().collect()}
-    live_dirs = {r.rsplit("/", 1)[0] if "/__p=" in r else r for r in refs}
-    fs, p = _fs(spark, f"{root}/data")
-    if fs is None or not fs.exists(p):
-        return 0
-    removed = 0
-    for s in fs.listStatus(p):
-        d = s.getPath().toString().rstrip("/")
-        if not any(d == x or d.endswith(x.split(":", 1)[-1]) for x in live_dirs):
-            fs.delete(s.getPath(), True)
-            removed += 1
-    return removed

@@ -134,11 +134,13 @@ def gate(report: DataFrame, fail_on: str = "error") -> list:
 
 def freshness(df: DataFrame, loaded_at: str, run_ts, warn_after_hours: int = 26,
               error_after_hours: int = 50, by: Sequence[str] = ()) -> DataFrame:
-    """Q6: ``max(loaded_at)`` per group against ``run_ts``: pass / warn / error."""
+    """Q6: ``max(loaded_at)`` per group against ``run_ts``: pass / warn / error.
+    A group (or table) that was never loaded has no maximum and is an error."""
     from ..sources.landing import run_stamp
     ts = run_stamp(run_ts)
     g = df.groupBy(*by).agg(F.max(loaded_at).alias("max_loaded_at"))
-    status = (F.when(F.col("max_loaded_at") < ts - F.expr(f"interval {error_after_hours} hours"),
+    status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
+              .when(F.col("max_loaded_at") < ts - F.expr(f"interval {error_after_hours} hours"),
                      F.lit("error"))
               .when(F.col("max_loaded_at") < ts - F.expr(f"interval {warn_after_hours} hours"),
                     F.lit("warn"))

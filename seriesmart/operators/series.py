@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import pct_change
+from .joins import null_safe_join
 
 
 @dataclass
@@ -63,7 +64,8 @@ def layout(df: DataFrame, series: Sequence[str], order: str, halo: int,
     offsets = counts.select(*series, "__b",
                             F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
     wr = Window.partitionBy(*series, "__b").orderBy(order)
-    d = (d.join(offsets, [*series, "__b"])
+    # NULL keys and dates are a series and a bucket like any other.
+    d = (null_safe_join(d, offsets, [*series, "__b"])
          .withColumn("__rn", F.col("__off") + F.row_number().over(wr) - 1)
          .drop("__off"))
     c = F.lit(halo_chunk)
@@ -189,6 +191,6 @@ def rebased(df: DataFrame, series: Sequence[str], order: str, value: str,
     joined back, instead of an unbounded window that sorts a whole series.
     """
     firsts = df.groupBy(*series).agg(F.min_by(value, order).alias("__base"))
-    return (df.join(firsts, list(series))
+    return (null_safe_join(df, firsts, list(series))
             .withColumn(name, F.col(value) / F.nullif(F.col("__base"), F.lit(0)) * F.lit(base))
             .drop("__base"))

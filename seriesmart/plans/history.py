@@ -24,7 +24,7 @@ CDC_SQL = """select event_id, ts, user_id, event_type, value, props from events
 qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1"""
 
 
-def _decode_stream(raw):
+def decode_stream(raw):
     d = decode_events(parse_documents(raw))
     return d.withColumn("bucket", F.pmod(F.col("user_id"), F.lit(CDC_BUCKETS)))
 
@@ -39,7 +39,7 @@ def q_cdc_upsert(spark, sf_dir):
     (ev.select((F.col("event_id") % CDC_BATCHES).alias("batch"), _events_json().alias("value"))
      .write.partitionBy("batch").text(land))
     for _ in range(2):
-        q = start_cdc(spark, land, target, ckpt, _decode_stream, ["user_id", "event_type"],
+        q = start_cdc(spark, land, target, ckpt, decode_stream, ["user_id", "event_type"],
                       ["ts", "event_id"], "bucket", max_files_per_trigger=3)
         q.awaitTermination()
         if q.exception():

@@ -280,20 +280,65 @@ def test_checked_broadcast_falls_back(spark):
     assert spark.range(100).join(checked_broadcast(small, 50), "id").count() == 10
 
 
-def test_manifest_retention_and_vacuum(spark, tmp_root):
-    from seriesmart.operators.merge import vacuum
+def test_upsert_survives_interrupted_commit(spark, tmp_root):
+    import os
     schema = "k int, v int, part string"
-    for b in range(5):
-        delta = spark.createDataFrame([(1, b, "p1"), (b + 10, b, "p2")], schema)
-        merge_upsert(spark, tmp_root, delta, ["k"], ["v"], "part", batch_id=b, keep_versions=2)
+    merge_upsert(spark, tmp_root, spark.createDataFrame([(1, 1, "p1"), (2, 1, "p2")], schema), ["k"], ["v"],
+                 "part", batch_id=0)
+    # A commit that died before its file was written leaves only temporary data.
+    os.makedirs(tmp_root.replace("file:", "") + "/_manifest/v=2/_temporary/0")
+    assert sorted((r.k, r.v) for r in read_table(spark, tmp_root).collect()) == [(1, 1), (2, 1)]
+    assert merge_upsert(spark, tmp_root, spark.createDataFrame([(1, 2, "p1")], schema), ["k"], ["v"], "part",
+                        batch_id=1)
+    assert sorted((r.k, r.v) for r in read_table(spark, tmp_root).collect()) == [(1, 2), (2, 1)]
+
+
+def test_upsert_first_commit_interrupted(spark, tmp_root):
     import os
-    local = tmp_root.replace("file:", "")
-    assert sorted(os.listdir(local + "/_manifest")) == ["v=4", "v=5"]
-    before = len(os.listdir(local + "/data"))
-    removed = vacuum(spark, tmp_root)
-    assert removed == before - len(os.listdir(local + "/data")) and removed > 0
-    out = sorted((r.k, r.v) for r in read_table(spark, tmp_root).collect())
-    assert out == [(1, 4), (10, 0), (11, 1), (12, 2), (13, 3), (14, 4)]
+    os.makedirs(tmp_root.replace("file:", "") + "/_manifest/v=1/_temporary/0")
+    delta = spark.createDataFrame([(1, 1, "p1")], "k int, v int, part string")
+    assert merge_upsert(spark, tmp_root, delta, ["k"], ["v"], "part", batch_id=0)
+    assert read_table(spark, tmp_root).count() == 1
+
+
+def test_upsert_null_partition(spark, tmp_root):
+    schema = "k int, v int, part string"
+    merge_upsert(spark, tmp_root, spark.createDataFrame([(1, 1, "p1"), (2, 1, None)], schema), ["k"], ["v"], "part")
+    merge_upsert(spark, tmp_root, spark.createDataFrame([(2, 2, None), (3, 1, None)], schema), ["k"], ["v"], "part")
+    rows = {(r.k, r.v, r.part) for r in read_table(spark, tmp_root).collect()}
+    assert rows == {(1, 1, "p1"), (2, 2, None), (3, 1, None)}
+
+
+def test_asof_null_right_rows_match_nothing(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 5), (None, 5), ("a", None)], "k string, t int").select(
+        "k", F.to_timestamp(F.lit("2024-01-01")).alias("b"), "t").withColumn("t", F.expr("b + make_interval(0,0,0,t)"))
+    left = left.select("k", "t")
+    right = spark.createDataFrame([("a", None, 99), ("a", 3, 7), (None, 1, 98)], "k string, d int, x int").select(
+        "k", F.expr("to_timestamp('2024-01-01') + make_interval(0,0,0,d)").alias("rt"), "x")
+    for unique in (False, True):
+        for direction in ("backward", "forward"):
+            got = {(r.k, r.t.day if r.t else None): r.x for r in asof_join(
+                left, right, "t", "rt", by=["k"], direction=direction, left_unique=unique).collect()}
+            want = {("a", 2): 7 if direction == "forward" else None, ("a", 6): None if direction == "forward" else 7,
+                    (None, 6): None, ("a", None): None}
+            assert got == want, (unique, direction)
+
+
+def test_chunked_layout_keeps_null_keys_and_dates(spark):
+    from seriesmart.operators.series import returns_and_rolling
+    rows = [(k, f"2024-01-{d:02d}" if d else None, float(v)) for k in ("a", None)
+            for d, v in [(None, 3), (1, 5), (2, 7), (3, 11), (4, 13)]]
+    df = spark.createDataFrame(rows, "k string, d string, v double").withColumn("d", F.col("d").cast("date"))
+    plain = returns_and_rolling(df, ["k"], "d", "v", short=2, long=3)
+    chunked = returns_and_rolling(df, ["k"], "d", "v", short=2, long=3, halo_chunk=4)
+    key = lambda r: str(tuple(r))
+    assert sorted(chunked.select(plain.columns).collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_empty_table_is_not_fresh(spark):
+    from seriesmart.operators.quality import freshness
+    empty = spark.createDataFrame([], "_loaded_at timestamp_ntz")
+    assert freshness(empty, "_loaded_at", "2026-01-01 00:00:00").first().status == "error"
 
 
 def test_jsonstat_size_guard(spark):
