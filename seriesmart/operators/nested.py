@@ -65,8 +65,9 @@ def flatten_object(df: DataFrame, v, p: str, value_type: str = "variant",
 def zip_arrays(df: DataFrame, v, base: str, index: str = "time",
                arrays: Mapping[str, tuple[str, str]] | None = None,
                index_type: str = "string", keep: Sequence[str] | None = None,
-               index_name: str | None = None) -> DataFrame:
+               index_name: str | None = None, strict: bool = False) -> DataFrame:
     """Positional zip of parallel arrays ``base.index[i]``, ``base.x[i]``.
+    ``strict`` raises on a value that is present but does not parse.
 
     ``arrays`` maps an output column to ``(json key under base, type)``. An
     array shorter than the index array yields NULL at missing positions.
@@ -75,7 +76,7 @@ def zip_arrays(df: DataFrame, v, base: str, index: str = "time",
     idx = F.try_variant_get(_c(v), f"{base}.{index}", f"array<{index_type}>")
     cols = {}
     for out, (k, t) in (arrays or {}).items():
-        cols[out] = F.try_variant_get(_c(v), f"{base}.{k}", f"array<{t}>")
+        cols[out] = path(v, f"{base}.{k}", f"array<{t}>", strict)
     exploded = df.select(*keep, *[c.alias(f"__arr_{o}") for o, c in cols.items()],
                          F.posexplode(idx).alias("__pos", index_name or index))
     return exploded.select(*keep, index_name or index,
@@ -84,7 +85,7 @@ def zip_arrays(df: DataFrame, v, base: str, index: str = "time",
 
 def decode_jsonstat(df: DataFrame, v, value_type: str = "decimal(18,4)",
                     time_dim: str = "time", keep: Sequence[str] | None = None,
-                    period: str = "period", value: str = "value") -> DataFrame:
+                    period: str = "period", value: str = "value", strict: bool = False) -> DataFrame:
     """J6 + J7: JSON-stat ``dimension.<time>.category.index`` x ``value`` map.
 
     Flattens the period -> position object and looks each position up in the
@@ -101,7 +102,7 @@ def decode_jsonstat(df: DataFrame, v, value_type: str = "decimal(18,4)",
     checked = F.when(prod == n_time, vv).otherwise(
         F.raise_error(F.lit("JSON-stat: only the time dimension may have size > 1")))
     idx = F.try_variant_get(checked, f"$.dimension.{time_dim}.category.index", "map<string,int>")
-    vals = F.try_variant_get(vv, "$.value", f"map<string,{value_type}>")
+    vals = path(vv, "$.value", f"map<string,{value_type}>", strict)
     ex = df.select(*keep, vals.alias("__vals"), F.explode(idx).alias(period, "__pos"))
     return ex.select(*keep, period,
                      F.try_element_at(F.col("__vals"), F.col("__pos").cast("string")).alias(value))

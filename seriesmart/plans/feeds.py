@@ -59,7 +59,7 @@ def stg_fx_rates(bronze: DataFrame) -> DataFrame:
     r = r.select("effective_date", "table_no",
                  path("r", "$.code", "string").alias("currency_code"),
                  path("r", "$.currency", "string").alias("currency_name"),
-                 path("r", "$.mid", "decimal(18,6)").alias("mid_rate"), "_src_file", "_loaded_at")
+                 path("r", "$.mid", "decimal(18,6)", strict=True).alias("mid_rate"), "_src_file", "_loaded_at")
     r = latest_wins(_with_hash(r), ["effective_date", "currency_code"], LATEST)
     return r.select(pipe_key("effective_date", "currency_code").alias("fx_rate_key"),
                     "effective_date", "currency_code", "currency_name", "mid_rate", "table_no",
@@ -67,12 +67,13 @@ def stg_fx_rates(bronze: DataFrame) -> DataFrame:
 
 
 def stg_petroleum_spot(bronze: DataFrame) -> DataFrame:
-    """M2: ``response.data[]``; JSON nulls dropped after the cast."""
+    """M2: ``response.data[]``; JSON nulls dropped after the cast (T2). Here and
+    below a value that is present but does not parse stops the build."""
     d = flatten(bronze, "raw", "$.response.data", "d", keep=["_src_file", "_loaded_at"])
     d = d.select(path("d", "$.period", "date").alias("price_date"),
                  path("d", "$.series", "string").alias("series"),
                  path("d", '$["product-name"]', "string").alias("product_name"),
-                 path("d", "$.value", "decimal(18,6)").alias("price"),
+                 path("d", "$.value", "decimal(18,6)", strict=True).alias("price"),
                  path("d", "$.units", "string").alias("units"), "_src_file", "_loaded_at")
     d = latest_wins(_with_hash(drop_null_observations(d, "price")), ["price_date", "series"], LATEST)
     return d.select(pipe_key("price_date", "series").alias("price_key"), "price_date", "series",
@@ -89,7 +90,7 @@ def stg_weather(bronze: DataFrame) -> DataFrame:
                     "temp_min_c": ("temperature_2m_min", "double"),
                     "precip_mm": ("precipitation_sum", "double")},
                    index_type="date", keep=["latitude", "longitude", "_src_file", "_loaded_at"],
-                   index_name="weather_date")
+                   index_name="weather_date", strict=True)
     z = _with_hash(drop_null_observations(z, "temp_max_c"))
     z = latest_wins(z, ["weather_date", "latitude", "longitude"], LATEST)
     return z.select(pipe_key("weather_date", "latitude", "longitude").alias("weather_key"),
@@ -101,7 +102,7 @@ def stg_weather(bronze: DataFrame) -> DataFrame:
 def stg_civil_eng(bronze: DataFrame) -> DataFrame:
     """M4: JSON-stat time index x sparse value map; monthly."""
     s = decode_jsonstat(bronze, "raw", "decimal(18,4)", keep=["_src_file", "_loaded_at"],
-                        period="period", value="index_value")
+                        period="period", value="index_value", strict=True)
     s = drop_null_observations(s, "index_value").select(
         month_start("period").alias("period_date"), "index_value", "_src_file", "_loaded_at")
     s = latest_wins(_with_hash(s), ["period_date"], LATEST)
@@ -116,7 +117,7 @@ def stg_expressways(bronze: DataFrame) -> DataFrame:
     r = r.select(path("r", "$.name", "string").alias("area"), "r", "_src_file", "_loaded_at")
     v = flatten(r, "r", "$.values", "v", keep=["area", "_src_file", "_loaded_at"])
     v = v.select(year_start(path("v", "$.year", "string")).alias("period_date"), "area",
-                 path("v", "$.val", "decimal(18,2)").alias("road_km"), "_src_file", "_loaded_at")
+                 path("v", "$.val", "decimal(18,2)", strict=True).alias("road_km"), "_src_file", "_loaded_at")
     v = latest_wins(_with_hash(drop_null_observations(v, "road_km")), ["period_date", "area"], LATEST)
     return v.select(pipe_key("period_date", "area").alias("road_key"), "period_date", "area",
                     "road_km", "_src_file", "_loaded_at")

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..operators.nested import path
 from ..session import scratch_path
-from ..sources.landing import (incremental_load, read_bronze, read_documents,
-                               read_positional_csv, write_landing)
+from ..sources.landing import (incremental_load, load_pending, read_bronze, read_documents,
+                               read_positional_csv, read_rejects, scan_positional_csv, write_landing)
 from .documents import FLATTEN_ARRAY_SQL, decode_orders, order_documents
 from .inputs import table
 from .registry import query
@@ -157,3 +157,40 @@ def q_incremental_load(spark, sf_dir):
     incremental_load(spark, land, bronze, RUN_TS, pattern=EVENTS_DOCS)
     incremental_load(spark, land, bronze, RUN_TS, pattern=EVENTS_DOCS)
     return decode_events(read_bronze(spark, bronze))
+
+
+REJECTS_SQL = """select cast(o_orderkey as varchar) as series_key, 'bad value for obs_date: not-a-date' as reason
+from orders where o_orderpriority = '5-LOW' and o_orderstatus = 'O'
+union all select 'cut', 'wrong number of fields'"""
+
+
+@query("load_rejects", REJECTS_SQL, "S10")
+def q_load_rejects(spark, sf_dir):
+    """Every record that ``continue`` does not load stands in the rejects table
+    with its reason: unparsable dates, and a row cut short."""
+    land, bronze = scratch_path(spark, "csv"), scratch_path(spark, "bronze")
+    _wide_csv(spark, sf_dir, True).write.option("header", True).csv(f"{land}/d=1")
+    spark.range(1).select(F.lit("header\ncut,short").alias("value")).coalesce(1).write.text(f"{land}/d=2")
+    load_pending(spark, land, bronze, RUN_TS, pattern=r".*/part-[^/]*$", on_error="continue",
+                 scan=lambda s, paths, ts: scan_positional_csv(s, paths, 29, POSITIONS, ts))
+    return read_rejects(spark, bronze).select(
+        F.substring_index("record", ",", 1).alias("series_key"), "reason")
+
+
+@query("skip_file_retry", INCREMENTAL_SQL, "S9 S10")
+def q_skip_file_retry(spark, sf_dir):
+    """A file with a broken document is skipped whole and stays pending; once it
+    is mended, the next load brings its rows, each event exactly once."""
+    land, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    ev = table(spark, sf_dir, "events")
+    day = F.when(F.col("event_id") % 2 == 0, F.lit("2024-02-01")).otherwise(F.lit("2024-02-02"))
+    doc = _events_json()
+    broken = F.when(F.col("event_id") % 2002 == 1, F.concat(F.lit("{"), doc)).otherwise(doc)
+    tagged = ev.select(F.lit("events").alias("source"), F.lit("stream").alias("dataset"), day.alias("ingest_date"),
+                       doc.alias("good"), broken.alias("bad"))
+    write_landing(tagged.select("source", "dataset", "ingest_date", F.col("bad").alias("value")), land)
+    load_pending(spark, land, bronze, RUN_TS, pattern=EVENTS_DOCS, on_error="skip_file")
+    write_landing(tagged.filter("ingest_date = '2024-02-02'").select(
+        "source", "dataset", "ingest_date", F.col("good").alias("value")), land)
+    load_pending(spark, land, bronze, RUN_TS, pattern=EVENTS_DOCS, on_error="skip_file")
+    return decode_events(read_bronze(spark, bronze))

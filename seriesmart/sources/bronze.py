@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .landing import incremental_load, list_files, read_documents, read_positional_csv
+from .landing import list_files, load_pending, scan_documents, scan_positional_csv
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,8 @@ ECB_POSITIONS = {1: ("series_key", "string"), 5: ("obs_date", "date"),
 REPORT = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("files_loaded", T.LongType()),
+    T.StructField("files_skipped", T.LongType()),
+    T.StructField("records_rejected", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("error", T.StringType()),
 ])
@@ -69,12 +71,11 @@ def feeds_from_control(control: DataFrame, on_error: str = "abort") -> tuple[Fee
     return tuple(out)
 
 
-def _reader(feed: Feed):
+def _scan(feed: Feed):
     if feed.fmt == "csv":
-        return lambda s, paths, ts: read_positional_csv(s, paths, ECB_COLUMNS, ECB_POSITIONS, ts,
-                                                        on_error=feed.on_error)
-    return lambda s, paths, ts: read_documents(s, paths, ts, whole_file=feed.whole_file,
-                                               on_error=feed.on_error)
+        return lambda s, paths, ts: scan_positional_csv(s, paths, ECB_COLUMNS, ECB_POSITIONS, ts)
+    return lambda s, paths, ts: scan_documents(s, paths, ts, whole_file=feed.whole_file,
+                                               strict=feed.on_error == "abort")
 
 
 def load_feeds(spark: SparkSession, landing: str, bronze: str, run_ts,
@@ -90,18 +91,19 @@ def load_feeds(spark: SparkSession, landing: str, bronze: str, run_ts,
 
     def one(f: Feed):
         try:
-            n = incremental_load(spark, landing, f"{bronze}/{f.table}", run_ts, pattern=f.pattern,
-                                 reader=_reader(f), listing=listing)
-            return (f.table, n, "loaded" if n else "nothing new", None)
+            n = load_pending(spark, landing, f"{bronze}/{f.table}", run_ts, pattern=f.pattern,
+                             scan=_scan(f), on_error=f.on_error, listing=listing)
+            status = ("loaded" if n.loaded else "skipped" if n.skipped else "nothing new")
+            return (f.table, n.loaded, n.skipped, n.rejected, status, None)
         except Exception as e:  # noqa: BLE001 - recorded, re-raised below
-            return (f.table, 0, "failed", str(e).splitlines()[0][:500])
+            return (f.table, 0, 0, 0, "failed", str(e))
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         rows = list(pool.map(one, feeds))
     listing.unpersist()
-    failed = [r[0] for r, f in zip(rows, feeds) if r[2] == "failed" and f.on_error == "abort"]
+    failed = [r[0] for r, f in zip(rows, feeds) if r[4] == "failed" and f.on_error == "abort"]
     report = spark.createDataFrame(rows, REPORT)
     if failed:
         raise LoadError(f"bronze load failed for {failed}: " +
-                        "; ".join(r[3] or "" for r in rows if r[0] in failed))
+                        "; ".join((r[5] or "").split("\n")[0] for r in rows if r[0] in failed))
     return report

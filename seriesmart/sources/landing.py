@@ -16,8 +16,10 @@ written through the driver's local disk.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,19 +55,37 @@ def _select_files(df: DataFrame, pattern: str | None) -> DataFrame:
     return df
 
 
-def read_documents(spark: SparkSession, path: str, run_ts, pattern: str | None = None,
-                   name_glob: str | None = None, whole_file: bool = False,
-                   on_error: str = "abort") -> DataFrame:
-    """S5 + S7 + S8: ``DF[raw VARIANT, _src_file, _loaded_at, <partition cols>]``.
-
-    Newline-delimited documents give one row per line; ``whole_file=True``
-    reads each file as one document (pretty-printed JSON, a top-level array
-    stays one row, trap T15). ``on_error``: ``abort`` raises on the first
-    broken document, ``continue`` drops broken documents, ``skip_file`` drops
-    every file that holds one.
-    """
+def _check_policy(on_error: str) -> None:
     if on_error not in POLICIES:
         raise ValueError(f"on_error must be one of {POLICIES}")
+
+
+def apply_policy(df: DataFrame, on_error: str) -> DataFrame:
+    """Rows of a scan (``_src_file``, ``_reject``) that a policy keeps: ``abort``
+    raises on the first rejected record, ``continue`` drops rejected records,
+    ``skip_file`` drops every file that holds one. What is dropped stays
+    available through :func:`rejected`."""
+    _check_policy(on_error)
+    bad = F.col("_reject").isNotNull()
+    if on_error == "abort":
+        return df.withColumn("_src_file", F.when(bad, F.raise_error(F.concat(
+            F.col("_reject"), F.lit(" in "), F.col("_src_file")))).otherwise(F.col("_src_file"))).drop("_reject", "_record")
+    if on_error == "continue":
+        return df.filter(~bad).drop("_reject", "_record")
+    bad_files = df.filter(bad).select("_src_file").distinct()
+    return df.join(bad_files, "_src_file", "left_anti").drop("_reject", "_record")
+
+
+def rejected(df: DataFrame) -> DataFrame:
+    """``DF[_src_file, record, reason, _loaded_at]``: the rejected records of a scan."""
+    return df.filter(F.col("_reject").isNotNull()).select(
+        "_src_file", F.col("_record").alias("record"), F.col("_reject").alias("reason"), "_loaded_at")
+
+
+def scan_documents(spark: SparkSession, path, run_ts, pattern: str | None = None,
+                   name_glob: str | None = None, whole_file: bool = False, strict: bool = False) -> DataFrame:
+    """Documents with ``_record`` (their text) and ``_reject`` (why a broken one
+    cannot be loaded, else NULL). ``strict`` raises the parser's own error."""
     r = spark.read
     if name_glob:
         r = r.option("pathGlobFilter", name_glob)
@@ -75,69 +95,74 @@ def read_documents(spark: SparkSession, path: str, run_ts, pattern: str | None =
     text = F.col("value")
     if not whole_file:
         df = df.filter(F.trim(text) != "")
-    if on_error == "abort":
-        raw = F.parse_json(text)
-        df = df.withColumn("raw", raw)
-    else:
-        df = df.withColumn("raw", F.try_parse_json(text))
-        bad = F.col("raw").isNull()
-        if on_error == "continue":
-            df = df.filter(~bad)
-        else:
-            bad_files = df.filter(bad).select("_src_file").distinct()
-            df = df.join(bad_files, "_src_file", "left_anti")
+    df = df.withColumn("raw", (F.parse_json if strict else F.try_parse_json)(text))
     parts = [c for c in df.columns if c not in ("value", "raw", "_src_file")]
-    return df.select("raw", "_src_file", run_stamp(run_ts).alias("_loaded_at"), *parts)
+    why = F.when(F.col("raw").isNull(), F.lit("broken document"))
+    return df.select("raw", "_src_file", run_stamp(run_ts).alias("_loaded_at"), *parts,
+                     text.alias("_record"), why.alias("_reject"))
 
 
-def read_positional_csv(spark: SparkSession, path: str, n_cols: int,
-                        project: Mapping[int, tuple[str, str]], run_ts,
-                        pattern: str | None = None, on_error: str = "abort",
-                        header: bool = True) -> DataFrame:
-    """``SELECT $1, $5::date, ...`` over a wide CSV; quoted, empty = NULL.
+def read_documents(spark: SparkSession, path, run_ts, pattern: str | None = None,
+                   name_glob: str | None = None, whole_file: bool = False,
+                   on_error: str = "abort") -> DataFrame:
+    """S5 + S7 + S8: ``DF[raw VARIANT, _src_file, _loaded_at, <partition cols>]``.
 
-    Every column is declared as string (no inference); only the projected
-    positions are parsed (CSV column pruning). Casts follow ``on_error``:
-    ``abort`` raises at the first bad value, ``continue`` drops bad rows,
-    ``skip_file`` drops files holding a bad row.
+    Newline-delimited documents give one row per line; ``whole_file=True``
+    reads each file as one document (pretty-printed JSON, a top-level array
+    stays one row, trap T15). ``on_error``: see :func:`apply_policy`.
     """
-    if on_error not in POLICIES:
-        raise ValueError(f"on_error must be one of {POLICIES}")
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(1, n_cols + 1)])
+    _check_policy(on_error)
+    df = scan_documents(spark, path, run_ts, pattern, name_glob, whole_file, strict=on_error == "abort")
+    return apply_policy(df, on_error)
+
+
+CORRUPT = "_corrupt_record"
+
+
+def scan_positional_csv(spark: SparkSession, path, n_cols: int, project: Mapping[int, tuple[str, str]],
+                        run_ts, pattern: str | None = None, header: bool = True) -> DataFrame:
+    """The projected columns with ``_record`` (the projected texts) and ``_reject``:
+    a row with too few or too many fields, or a value that does not parse."""
+    schema = T.StructType([*[T.StructField(f"c{i}", T.StringType()) for i in range(1, n_cols + 1)],
+                           T.StructField(CORRUPT, T.StringType())])
     df = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
-          .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
+          .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT)
+          .option("columnPruning", False)  # the fields of a row are only counted when all are parsed
           .csv(path))
     df = _select_files(df, pattern).withColumn("_src_file", F.col("_metadata.file_path"))
-    typed, bad = [], None
+    why, typed = F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of fields")), []
     for pos, (name, type_) in sorted(project.items()):
         raw = F.col(f"c{pos}")
         t = raw.try_cast(type_) if type_ != "string" else raw
-        typed.append((name, raw, t))
-        b = raw.isNotNull() & t.isNull()
-        bad = b if bad is None else (bad | b)
-    if on_error == "abort":
-        cols = [F.when(raw.isNotNull() & t.isNull(),
-                       F.raise_error(F.concat(F.lit(f"bad value for {name}: "), raw)))
-                .otherwise(t).alias(name)
-                for name, raw, t in typed]
-        return df.select(*cols, "_src_file", run_stamp(run_ts).alias("_loaded_at"))
-    df = df.withColumn("__bad", bad)
-    if on_error == "continue":
-        df = df.filter(~F.col("__bad"))
-    else:
-        bad_files = df.filter(F.col("__bad")).select("_src_file").distinct()
-        df = df.join(bad_files, "_src_file", "left_anti")
-    return df.select(*[t.alias(name) for name, _, t in typed], "_src_file",
-                     run_stamp(run_ts).alias("_loaded_at"))
+        typed.append(t.alias(name))
+        why = F.coalesce(why, F.when(raw.isNotNull() & t.isNull(), F.concat(F.lit(f"bad value for {name}: "), raw)))
+    record = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.coalesce(F.col(f"c{p}"), F.lit("")) for p in sorted(project)]))
+    return df.select(*typed, "_src_file", run_stamp(run_ts).alias("_loaded_at"), record.alias("_record"),
+                     why.alias("_reject"))
+
+
+def read_positional_csv(spark: SparkSession, path, n_cols: int,
+                        project: Mapping[int, tuple[str, str]], run_ts,
+                        pattern: str | None = None, on_error: str = "abort",
+                        header: bool = True) -> DataFrame:
+    """``SELECT $1, $5::date, ...`` over a wide CSV; quoted, empty = NULL.
+
+    Every column is declared as string (no inference). ``on_error``: see
+    :func:`apply_policy`.
+    """
+    _check_policy(on_error)
+    return apply_policy(scan_positional_csv(spark, path, n_cols, project, run_ts, pattern, header), on_error)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None,
                name_glob: str | None = None) -> DataFrame:
-    """``DF[path, modificationTime, length]``; file contents are not read."""
+    """``DF[path, modificationTime, length, file]``; file contents are not read.
+    ``file`` is the path as the lineage columns have it."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if name_glob:
         r = r.option("pathGlobFilter", name_glob)
-    df = r.load(path).select("path", "modificationTime", "length")
+    df = r.load(path).select("path", "modificationTime", "length", F.col("_metadata.file_path").alias("file"))
     if pattern:
         df = df.filter(F.col("path").rlike(pattern))
     return df
@@ -157,46 +182,82 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
-def incremental_load(spark: SparkSession, landing: str, bronze: str, run_ts,
-                     pattern: str | None = None, reader=None,
-                     listing: DataFrame | None = None) -> int:
-    """S9 + S10: load only files not in the ledger; returns the files loaded.
+@dataclass(frozen=True)
+class LoadResult:
+    """Files loaded, files skipped (they stay pending), records rejected."""
+
+    loaded: int
+    skipped: int = 0
+    rejected: int = 0
+
+
+def _literal(path: str) -> str:
+    """A path that readers take as it is, not as a glob."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
-    ``bronze`` holds ``data/run=<id>/`` and ``ledger/run=<id>/``. The ledger
-    entry of a run is written after its data, and readers only see runs that
-    have a ledger entry (:func:`read_bronze`), so a crash between the two
-    leaves an invisible orphan and the retry loads the files again once.
-    ``reader(spark, paths, run_ts) -> DataFrame`` decodes the pending files
-    (default: :func:`read_documents`). ``listing`` reuses a listing of the
-    landing root shared by several feeds (the pattern is applied to it).
+
+def load_pending(spark: SparkSession, landing: str, bronze: str, run_ts, pattern: str | None = None,
+                 scan=None, on_error: str = "abort", listing: DataFrame | None = None) -> LoadResult:
+    """S9 + S10: load the files that are not in the ledger.
+
+    ``bronze`` holds ``data/run=<id>/``, ``rejects/run=<id>/`` (every record that a
+    policy dropped, with its reason) and ``ledger/run=<id>/``. The ledger entry of
+    a run is written last, and readers only see runs that have one
+    (:func:`read_bronze`), so a crash leaves an invisible orphan and the retry
+    loads the files again once. Files that ``skip_file`` leaves out get no entry
+    and are tried again by the next load. ``scan(spark, paths, run_ts)`` decodes
+    the pending files (default: :func:`scan_documents`). ``listing`` reuses a
+    listing of the landing root shared by several feeds.
     """
+    _check_policy(on_error)
     if listing is None:
         listing = list_files(spark, landing, pattern)
     elif pattern:
         listing = listing.filter(F.col("path").rlike(pattern))
     ledger_path = f"{bronze}/ledger"
     ledger = spark.read.parquet(ledger_path) if _exists(spark, ledger_path) else None
-    # File metadata only (what any Spark reader lists on the driver), taken
-    # once: the files read and the files recorded in the ledger are the same.
-    todo = [tuple(r) for r in pending_files(listing, ledger)
-            .select("path", "modificationTime", "length").collect()]
+    # Metadata of the pending files only (what any Spark reader lists on the driver),
+    # taken once: the files read and the files recorded in the ledger are the same.
+    columns = ["path", "modificationTime", "length", "file"]
+    todo = [tuple(r) for r in pending_files(listing, ledger).select(*columns).collect()]
     if not todo:
-        return 0
-    run_id = uuid.uuid4().hex[:12]
-    reader = reader or (lambda s, ps, ts: read_documents(s, ps, ts))
-    data = reader(spark, [t[0] for t in todo], run_ts)
-    data.write.mode("append").parquet(f"{bronze}/data/run={run_id}")
-    schema = listing.select("path", "modificationTime", "length").schema
-    (spark.createDataFrame(todo, schema).withColumn("run", F.lit(run_id))
-     .withColumn("_loaded_at", run_stamp(run_ts))
-     .write.mode("append").parquet(f"{bronze}/ledger/run={run_id}"))
-    return len(todo)
+        return LoadResult(0)
+    run_id = "r" + uuid.uuid4().hex[:12]  # a letter first: never read as a number
+    scanned = (scan or scan_documents)(spark, [_literal(t[0]) for t in todo], run_ts)
+    files = spark.createDataFrame(todo, listing.select(*columns).schema)
+    skipped = n_rejected = 0
+    if on_error != "abort":
+        rejected(scanned).write.parquet(f"{bronze}/rejects/run={run_id}")
+        rejects = spark.read.parquet(f"{bronze}/rejects/run={run_id}")
+        n_rejected = rejects.count()
+        if on_error == "skip_file" and n_rejected:
+            bad = rejects.select(F.col("_src_file").alias("file")).distinct()
+            scanned = scanned.join(bad.withColumnRenamed("file", "_src_file"), "_src_file", "left_anti")
+            files = files.join(bad, "file", "left_anti")
+            skipped = len(todo) - files.count()
+    apply_policy(scanned, on_error).write.mode("append").parquet(f"{bronze}/data/run={run_id}")
+    if len(todo) > skipped:
+        (files.withColumn("run", F.lit(run_id)).withColumn("_loaded_at", run_stamp(run_ts))
+         .write.mode("append").parquet(f"{bronze}/ledger/run={run_id}"))
+    return LoadResult(len(todo) - skipped, skipped, n_rejected)
+
+
+def incremental_load(spark: SparkSession, landing: str, bronze: str, run_ts, pattern: str | None = None,
+                     scan=None, on_error: str = "abort", listing: DataFrame | None = None) -> int:
+    """The number of files that :func:`load_pending` loaded."""
+    return load_pending(spark, landing, bronze, run_ts, pattern, scan, on_error, listing).loaded
 
 
 def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
-    """Bronze rows of committed runs only (runs present in the ledger)."""
+    """Bronze rows of committed runs only (runs present in the ledger). A file that
+    was loaded again, rewritten or merely touched, counts with its last load."""
     data = spark.read.option("basePath", f"{bronze}/data").parquet(f"{bronze}/data")
-    runs = spark.read.option("basePath", f"{bronze}/ledger").parquet(
-        f"{bronze}/ledger").select(F.col("run").cast("string").alias("run")).distinct()
-    return data.withColumn("run", F.col("run").cast("string")).join(
-        runs, "run", "left_semi").drop("run")
+    last = (spark.read.option("basePath", f"{bronze}/ledger").parquet(f"{bronze}/ledger")
+            .groupBy(F.col("file").alias("_src_file"))
+            .agg(F.max_by("run", F.struct("_loaded_at", "modificationTime", "run")).cast("string").alias("run")))
+    return data.withColumn("run", F.col("run").cast("string")).join(last, ["_src_file", "run"], "left_semi").drop("run")
+
+
+def read_rejects(spark: SparkSession, bronze: str) -> DataFrame:
+    """Every record that a load rejected: ``_src_file, record, reason, _loaded_at, run``."""
+    return spark.read.option("basePath", f"{bronze}/rejects").parquet(f"{bronze}/rejects")

@@ -144,7 +144,6 @@ OIL = {"response": {"data": [
     {"period": "2026-04-20", "series": "RWTC", "product-name": "WTI Crude Oil", "value": "71.23", "units": "$/BBL"},
     {"period": "2026-04-21", "series": "RWTC", "product-name": "WTI Crude Oil", "value": None, "units": "$/BBL"},
     {"period": "2026-04-22", "series": "RWTC", "product-name": "WTI Crude Oil", "value": 72.5, "units": "$/BBL"},
-    {"period": "2026-04-23", "series": "RWTC", "product-name": "WTI Crude Oil", "value": "x", "units": "$/BBL"},
     {"period": "2026-04-20", "series": "RBRTE", "product-name": "Brent", "value": 75, "units": "$/BBL"}]}}
 WEATHER = {"latitude": 52.23, "longitude": 21.01, "daily": {
     "time": ["2026-04-20", "2026-04-21", "2026-04-22", "2026-04-23"],
@@ -220,9 +219,48 @@ def test_load_feeds_policies_and_report(spark, tmp_root):
     assert spark.read.parquet(bronze + "/nbp_fx_rates_raw/data").count() == 1
     lenient = tuple(Feed(f.table, f.pattern, f.fmt, "skip_file") if f.table == "gus_roads_raw" else f
                     for f in FEEDS)
-    rep = {r.table: (r.files_loaded, r.status) for r in load_feeds(spark, land, bronze, RUN2, lenient).collect()}
-    assert rep["nbp_fx_rates_raw"] == (0, "nothing new")
-    assert rep["gus_roads_raw"] == (1, "loaded")
+    def report():
+        return {r.table: (r.files_loaded, r.files_skipped, r.records_rejected, r.status)
+                for r in load_feeds(spark, land, bronze, RUN2, lenient).collect()}
+
+    rep = report()
+    assert rep["nbp_fx_rates_raw"] == (0, 0, 0, "nothing new")
+    assert rep["gus_roads_raw"] == (0, 1, 1, "skipped")
+    # Still pending: mended, it loads.
+    _write(land, "source=gus/ingest_date=2026-04-20/gus_expressways_motorways_2026.json", json.dumps(ROADS))
+    assert report()["gus_roads_raw"] == (1, 0, 0, "loaded")
+
+
+def test_unparsable_value_stops_the_build(spark, tmp_root):
+    root = _local(tmp_root)
+    bad = {"response": {"data": [{"period": "2026-04-20", "series": "RWTC", "value": "7x"}]}}
+    with pytest.raises(Exception, match="(?i)cast"):
+        feeds.stg_petroleum_spot(_bronze(spark, root, "eia_bad", bad)).collect()
+    w = dict(WEATHER, daily=dict(WEATHER["daily"], temperature_2m_max=["warm", None, 22.0, 10.0]))
+    with pytest.raises(Exception, match="(?i)cast"):
+        feeds.stg_weather(_bronze(spark, root, "openmeteo_bad", w)).collect()
+
+
+def test_rejects_and_glob_names(spark, tmp_root):
+    from seriesmart.sources.landing import load_pending, read_rejects
+    root = _local(tmp_root)
+    land, bronze = root + "/land", root + "/bronze"
+    _write(land, "d=1/a[1].json", '{"v": 1}\n{"v": \n')
+    got = load_pending(spark, land, bronze, RUN1, on_error="continue")
+    assert (got.loaded, got.skipped, got.rejected) == (1, 0, 1)
+    assert read_bronze(spark, bronze).count() == 1
+    assert [r.record for r in read_rejects(spark, bronze).collect()] == ['{"v": ']
+
+
+def test_touched_file_counts_once(spark, tmp_root):
+    import os
+    root = _local(tmp_root)
+    land, bronze = root + "/land", root + "/bronze"
+    p = _write(land, "d=1/a.json", '{"v": 1}\n')
+    assert incremental_load(spark, land, bronze, RUN1) == 1
+    os.utime(p, (2_000_000_000, 2_000_000_000))
+    assert incremental_load(spark, land, bronze, RUN2) == 1
+    assert read_bronze(spark, bronze).count() == 1
 
 
 def test_publish_behind_gate(spark, tmp_root):
