@@ -20,15 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 # shipped in --py-files.
 from seriesmart.operators.quality import gate
 from seriesmart.plans.build import build_marts
-from seriesmart.sources.bronze import FEEDS, load_feeds
+from seriesmart.sources.bronze import FEEDS, feeds_from_control, load_feeds
 from seriesmart.sources.control import read_control, validate_control
 
 
 def run_daily(spark: SparkSession, landing: str, bronze: str, marts: str, run_ts,
               control: str | None = None, feeds=FEEDS, calendar: DataFrame | None = None):
-    """Returns ``(load report, published versions)``; raises on a failed gate."""
+    """Returns ``(load report, published versions)``; raises on a failed gate. With
+    a control table, its enabled sources decide what is loaded."""
     if control:
-        gate(validate_control(read_control(spark, control)))
+        records = read_control(spark, control)
+        gate(validate_control(records))
+        feeds = feeds_from_control(records)
     report = load_feeds(spark, landing, bronze, run_ts, feeds)
     versions = build_marts(spark, bronze, marts, run_ts, calendar=calendar)
     return report, versions

@@ -21,6 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.landing import run_stamp
+from .sizing import fits
+
+MAX_BROADCAST_RUNS = 100_000
 
 
 def _same(cols: Sequence[str], a: str, b: str):
@@ -75,6 +78,9 @@ def scd2_replay(snapshots: DataFrame, key: Sequence[str], check_cols: Sequence[s
             else runs.select(run_col).distinct())
     rw = Window.orderBy(run_col)
     runs = runs.select(run_col, F.row_number().over(rw).alias("__seq"))
+    # One row per run: broadcast behind a size check, so the history is not dealt out by a few run times.
+    runs_fit = fits(runs, MAX_BROADCAST_RUNS)
+    runs = F.broadcast(runs) if runs_fit else runs
     s = snapshots.join(runs, run_col)
     w = Window.partitionBy(*key).orderBy("__seq")
     chk = F.struct(*[F.col(c) for c in check_cols])
@@ -90,6 +96,8 @@ def scd2_replay(snapshots: DataFrame, key: Sequence[str], check_cols: Sequence[s
         F.min_by(F.struct(*[F.col(c) for c in vals]), F.col("__seq")).alias("__v"))
     rf = runs.select(F.col("__seq").alias("__f"), F.col(run_col).alias("valid_from"))
     rt = runs.select((F.col("__seq") - 1).alias("__l"), F.col(run_col).alias("valid_to"))
+    if runs_fit:
+        rf, rt = F.broadcast(rf), F.broadcast(rt)
     out = g.join(rf, "__f").join(rt, "__l", "left")
     return out.select(*key, *[F.col("__v")[c].alias(c) for c in vals],
                       F.col("valid_from").cast("timestamp_ntz").alias("valid_from"),

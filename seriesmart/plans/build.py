@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import publish_table
+from ..operators.merge import publish_table, read_table, table_state
 from ..operators.quality import (QualityGateError, accepted_range, accepted_values, freshness,
                                  not_null, relationships, unique)
+from ..operators.scd2 import scd2_apply
 from ..sources.landing import read_bronze
 from . import feeds
 
@@ -29,6 +30,8 @@ RATE_RANGE_PCT = (-5, 25)
 OIL_UNITS = ("$/BBL",)
 FREQUENCIES = ("monthly", "annual", "quarterly")
 
+HALO_CHUNK = 4096  # rows per chunk of a series, so that few long series still run in many tasks
+
 BRONZE = {"fx": "nbp_fx_rates_raw", "oil": "eia_petroleum_spot_raw",
           "weather": "openmeteo_weather_raw", "rates": "ecb_estr_raw",
           "civil": "eurostat_civil_eng_raw", "roads": "gus_roads_raw"}
@@ -53,6 +56,8 @@ def model_checks(dim_date: DataFrame | None = None, dim_currency: DataFrame | No
         "stg_estr": _keyed("rate_key", "rate_date", "series_key", "rate_pct"),
         "dim_date": _keyed("date_key", "full_date", "is_weekday"),
         "dim_currency": _keyed("currency_code", "is_major"),
+        "int_fx_returns": [not_null("rate_date"), not_null("currency_code"), not_null("mid_rate")],
+        "civil_eng_index_history": [not_null("period_date"), not_null("valid_from")],
         "fct_fx_rates": _keyed("fx_rate_key", "date_key", "currency_code", "rate_date", "mid_rate")
         + rel_date + rel_ccy + [accepted_range("mid_rate", 0, inclusive=False),
                                 accepted_range("volatility_30d", 0)],
@@ -102,6 +107,18 @@ def _in_parallel(tasks: dict, threads: int) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
+def publish_history(spark: SparkSession, root: str, staged: DataFrame, key, check_cols, run_ts,
+                    checks=None) -> tuple[int, DataFrame]:
+    """Apply one snapshot run to the history stored under ``root`` and publish
+    the result; returns (version, history as written). A run that repeats the last
+    snapshot changes nothing but the version."""
+    state = table_state(spark, root)
+    stored = None if state.manifest is None else read_table(spark, root)
+    history = scd2_apply(stored, staged.select(*key, *check_cols), key, check_cols, run_ts)
+    version, path = publish_table(spark, history, root, checks)
+    return version, spark.read.parquet(path)
+
+
 def build_marts(spark: SparkSession, bronze_root: str, out_root: str, run_ts,
                 calendar: DataFrame | None = None, check_freshness: bool = True,
                 threads: int = 4) -> DataFrame:
@@ -141,10 +158,11 @@ def build_marts(spark: SparkSession, bronze_root: str, out_root: str, run_ts,
     }, threads)
     checks = model_checks(dims["date"], dims["currency"])
     facts = {
-        "fct_fx_rates": lambda: feeds.fct_fx_rates(stg["fx"]),
+        "int_fx_returns": lambda: feeds.fx_returns(stg["fx"], HALO_CHUNK),
+        "fct_fx_rates": lambda: feeds.fct_fx_rates(stg["fx"], HALO_CHUNK),
         "fct_fx_cross_rates": lambda: feeds.fct_fx_cross_rates(stg["fx"]),
-        "fct_commodity_prices": lambda: feeds.fct_commodity_prices(stg["oil"]),
-        "fct_interest_rates": lambda: feeds.fct_interest_rates(stg["rates"]),
+        "fct_commodity_prices": lambda: feeds.fct_commodity_prices(stg["oil"], HALO_CHUNK),
+        "fct_interest_rates": lambda: feeds.fct_interest_rates(stg["rates"], HALO_CHUNK),
         "fct_weather_daily": lambda: feeds.fct_weather_daily(stg["weather"]),
         "fct_construction_activity": lambda: feeds.fct_construction_activity(stg["civil"],
                                                                               stg["roads"]),
@@ -155,6 +173,9 @@ def build_marts(spark: SparkSession, bronze_root: str, out_root: str, run_ts,
         spark, f["fct_fx_rates"], f["fct_commodity_prices"], f["fct_interest_rates"],
         f["fct_weather_daily"], f["fct_construction_activity"], calendar=dims["date"])
     pub("fct_daily_market_signals", signals, checks["fct_daily_market_signals"])
+    versions["civil_eng_index_history"], _ = publish_history(
+        spark, f"{out_root}/civil_eng_index_history", stg["civil"], ["period_date"], ["index_value"], run_ts,
+        base["civil_eng_index_history"])
     order = [n for n, _ in stg_models.values()] + ["dim_date", "dim_currency", *facts,
-                                                   "fct_daily_market_signals"]
+                                                   "fct_daily_market_signals", "civil_eng_index_history"]
     return spark.createDataFrame([(n, versions[n]) for n in order], REPORT)

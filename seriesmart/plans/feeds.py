@@ -169,23 +169,46 @@ def fct_fx_cross_rates(stg: DataFrame) -> DataFrame:
                     F.col("mid_rate").alias("pln_per_unit"), "usd_per_unit", "eur_per_unit")
 
 
-def fct_commodity_prices(stg: DataFrame) -> DataFrame:
+def fx_returns(stg: DataFrame, halo_chunk: int | None = None) -> DataFrame:
+    """M7 as a model of its own: staged rates with their name, previous rate and daily return."""
+    r = stg.select(F.col("effective_date").alias("rate_date"), "currency_code", "currency_name", "mid_rate")
+    e = returns_and_rolling(r, ["currency_code"], "rate_date", "mid_rate", halo_chunk=halo_chunk)
+    return e.select("rate_date", "currency_code", "currency_name", "mid_rate",
+                    F.col("prev_value").alias("prev_mid_rate"), "daily_return",
+                    F.col("volatility_long").alias("volatility_30d"))
+
+
+def oil_spread(signals: DataFrame) -> DataFrame:
+    """B1 over M16: Brent minus WTI per market day."""
+    return signals.select("date_key", "market_date",
+                          (F.col("brent_usd_bbl") - F.col("wti_usd_bbl")).alias("brent_wti_spread"))
+
+
+def degree_days_by_month(weather: DataFrame) -> DataFrame:
+    """B5 over M14: heating degree days and rainy days per month."""
+    return (weather.groupBy(F.trunc("weather_date", "month").alias("month"))
+            .agg(F.sum("heating_degree_days").alias("heating_degree_days"),
+                 F.count_if("is_rainy").alias("rainy_days"), F.count(F.lit(1)).alias("days")))
+
+
+def fct_commodity_prices(stg: DataFrame, halo_chunk: int | None = None) -> DataFrame:
     """Day-over-day movement per series."""
     c = with_change(stg, ["series"], "price_date", "price", prev="prev_price",
-                    change="change_abs", ret="__ret")
+                    change="change_abs", ret="__ret", halo_chunk=halo_chunk)
     return c.select(surrogate_key("price_date", "series").alias("price_key"),
                     date_key("price_date").alias("date_key"), "price_date", "series",
                     "product_name", "price", "units", "prev_price", "change_abs",
                     F.round(F.col("__ret") * 100, 4).alias("change_pct"))
 
 
-def fct_interest_rates(stg: DataFrame) -> DataFrame:
-    """Change in percentage points (named for what it is, trap T17)."""
+def fct_interest_rates(stg: DataFrame, halo_chunk: int | None = None) -> DataFrame:
+    """Change in percentage points, under its customary name too (trap T17)."""
     c = with_change(stg, ["series_key"], "rate_date", "rate_pct", prev="prev_rate_pct",
-                    change=None, ret=None)
+                    change=None, ret=None, halo_chunk=halo_chunk)
+    change = F.round(F.col("rate_pct") - F.col("prev_rate_pct"), 6)
     return c.select("rate_key", date_key("rate_date").alias("date_key"), "rate_date", "series_key",
-                    "series_name", "rate_pct", "prev_rate_pct",
-                    F.round(F.col("rate_pct") - F.col("prev_rate_pct"), 6).alias("change_pct_pt"))
+                    "series_name", "rate_pct", "prev_rate_pct", change.alias("change_pct_pt"),
+                    change.alias("change_bps_pt"))
 
 
 def fct_weather_daily(stg: DataFrame) -> DataFrame:

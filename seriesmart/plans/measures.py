@@ -11,10 +11,6 @@ from .inputs import MONTHLY_SQL, dk_sql, monthly_revenue, table
 from .reconcile import CAL_SQL, calendar_years
 from .registry import query
 
-# Broadcast the calendar when it has at most this many days (about 270
-# years); a larger one (bad dates in the data) falls back to a shuffle join.
-CALENDAR_BROADCAST_MAX_ROWS = 100_000
-
 STAR_SQL = f"""with {CAL_SQL},
 dim as (select {dk_sql('date_day')} as date_key, cast(year(date_day) as integer) as year,
   cast(month(date_day) as integer) as month, left(monthname(date_day), 3) as month_name from cal),
@@ -33,8 +29,7 @@ def q_star_rollup(spark, sf_dir):
     dim = dim_date(calendar_years(spark, sf_dir))
     return star_rollup(fact, dim, "date_key", ["year", "month", "month_name"],
                        {"revenue": F.sum("amount").cast("decimal(18,2)"),
-                        "n_lines": F.count(F.lit(1))},
-                       broadcast_max_rows=CALENDAR_BROADCAST_MAX_ROWS)
+                        "n_lines": F.count(F.lit(1))})
 
 
 SHARE_SQL = """with rev as (

@@ -38,5 +38,5 @@ def query(name: str, sql: str | None, ops: str):
 def load_all() -> dict[str, Query]:
     # Importing the modules registers their queries.
     from . import (daily_marts, documents, history, landing, marts,  # noqa: F401
-                   measures, nulls, quality, reconcile, timeseries)
+                   measures, models, nulls, quality, reconcile, timeseries)
     return QUERIES

@@ -56,7 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d and sc is None:
         return d
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master if sc is not None else "local"
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # Local runs and tests only: a cluster session names a shared folder.
         d = tempfile.mkdtemp(prefix="seriesmart-ckpt-", dir="/tmp")
         if sc is None:

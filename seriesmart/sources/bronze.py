@@ -57,18 +57,23 @@ class LoadError(RuntimeError):
 
 
 def feeds_from_control(control: DataFrame, on_error: str = "abort") -> tuple[Feed, ...]:
-    """Feeds of the enabled control records: the file-name template becomes the
-    selection pattern (``{ingest_date}`` matches anything), the response
-    format picks the reader, the bronze table is ``<source_id>_raw``. The
-    control table is a handful of records, collected as metadata."""
+    """Feeds of the enabled control records. A record whose file name a feed of
+    ``FEEDS`` selects loads that feed's bronze table (several records may share
+    one); any other loads ``<source_id>_raw``. The file-name template becomes the
+    selection pattern (``{ingest_date}`` matches anything). The control table is a
+    handful of records, collected as metadata."""
     from .control import PLACEHOLDER, enabled_sources
-    out = []
+    patterns: dict[tuple, list[str]] = {}
     for r in enabled_sources(control).select("source_id", "file_name_template",
                                              "response_format").collect():
-        pat = ".*" + re.escape(r.file_name_template).replace(re.escape(PLACEHOLDER), ".*") + "$"
-        fmt = "csv" if (r.response_format or "").lower() == "csv" else "json"
-        out.append(Feed(f"{r.source_id}_raw", pat, fmt, on_error))
-    return tuple(out)
+        pat = ".*" + re.escape(r.file_name_template).replace(re.escape(PLACEHOLDER), ".*")
+        sample = "/" + r.file_name_template.replace(PLACEHOLDER, "2000-01-01")
+        known = next((f for f in FEEDS if re.fullmatch(f.pattern, sample)), None)
+        fmt = known.fmt if known else "csv" if (r.response_format or "").lower() == "csv" else "json"
+        table = known.table if known else f"{r.source_id}_raw"
+        patterns.setdefault((table, fmt), []).append(pat)
+    return tuple(Feed(table, "(" + "|".join(sorted(p)) + ")$", fmt, on_error)
+                 for (table, fmt), p in patterns.items())
 
 
 def _scan(feed: Feed):

@@ -327,13 +327,19 @@ def test_daily_run_with_reference_file_names(spark, tmp_root):
     header = ",".join(f"H{i}" for i in range(1, 30))
     _write(land, f"source=ecb/dataset=estr/{day}/ecb_estr_2026-04-21.csv",
            "\n".join([header, _csv_row("EST.B", "2026-04-20", "1.912", '"Euro short-term rate, vw"')]) + "\n")
-    control = _write(root, "control/sources.json", json.dumps(CONTROL))
+    names = {"fx": "nbp_table_a_{ingest_date}.json", "wti": "eia_wti_spot_{ingest_date}.json",
+             "brent": "eia_brent_spot_{ingest_date}.json", "weather": "openmeteo_warsaw_{ingest_date}.json",
+             "civil": "eurostat_civil_eng_{ingest_date}.json", "estr": "ecb_estr_{ingest_date}.csv",
+             "roads": "gus_expressways_motorways_{ingest_date}.json", "off": "off_{ingest_date}.json"}
+    records = [dict(CONTROL["sources"][0], source_id=k, file_name_template=n, enabled=k != "off",
+                    response_format=n.rsplit(".", 1)[1]) for k, n in names.items()]
+    control = _write(root, "control/sources.json", json.dumps({"schema_version": "1.0", "sources": records}))
     report, versions = run_daily(spark, land, root + "/bronze", root + "/marts",
                                  "2026-04-21 06:00:00", control=control)
     assert {r.table: r.files_loaded for r in report.collect()} == {
         "nbp_fx_rates_raw": 1, "eia_petroleum_spot_raw": 1, "openmeteo_weather_raw": 1,
         "ecb_estr_raw": 1, "eurostat_civil_eng_raw": 1, "gus_roads_raw": 1}
-    assert versions.count() == 15
+    assert versions.count() == 17
     sig = {str(r.market_date): r for r in read_table(spark, root + "/marts/fct_daily_market_signals").collect()}
     assert sorted(sig) == ["2026-04-20"]
     assert sig["2026-04-20"].usd_pln == Decimal("3.651200")

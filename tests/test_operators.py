@@ -425,3 +425,47 @@ def test_flatten_object_and_outer_flatten(spark):
     pos = flatten(parse_documents(spark.createDataFrame([('[10, 20]',)], "value string")), "raw", "$", "x",
                   keep=[], with_pos=True)
     assert sorted((r.x_pos, str(r.x)) for r in pos.collect()) == [(0, "10"), (1, "20")]
+
+
+def test_fx_stream_rewrites_only_touched_months(spark, tmp_root):
+    import os
+    from seriesmart.plans.models import stream_fx
+    land = tmp_root.replace("file:", "") + "/land"
+
+    def put(load, name, day, mid):
+        os.makedirs(f"{land}/load={load}", exist_ok=True)
+        with open(f"{land}/load={load}/{name}.json", "w") as f:
+            f.write('[{"table":"A","effectiveDate":"%s","rates":[{"code":"USD","currency":"d","mid":%s}]}]\n' % (day, mid))
+
+    args = (land, tmp_root + "/target", tmp_root + "/ckpt")
+    put(1, "a", "2026-03-02", 3.5)
+    put(1, "b", "2026-04-02", 3.6)
+    stream_fx(spark, *args)
+    march = {p for p in spark.read.parquet(tmp_root + "/target/_manifest").where("partition = '2026-03'")
+             .select("path").distinct().toPandas().path}
+    put(2, "c", "2026-04-02", 3.7)
+    stream_fx(spark, *args)
+    now = spark.read.parquet(tmp_root + "/target/_manifest")
+    assert {p for p in now.where("partition = '2026-03'").select("path").distinct().toPandas().path} == march
+    assert now.where("partition = '2026-04'").select("path").distinct().count() == 2
+    assert sorted(str(r.mid_rate) for r in read_table(spark, tmp_root + "/target").collect()) == ["3.500000", "3.700000"]
+
+
+def test_history_survives_runs_and_reappearance(spark, tmp_root):
+    from seriesmart.plans.build import publish_history
+    rows = [[(1, 10), (2, 20)], [(1, 11)], [(1, 11), (2, 20)]]
+    for i, r in enumerate(rows, 1):
+        snap = spark.createDataFrame(r, "k int, v int")
+        _, h = publish_history(spark, tmp_root, snap, ["k"], ["v"], f"2026-01-0{i} 00:00:00")
+    got = sorted((r.k, r.v, r.valid_from.day, r.valid_to.day if r.valid_to else None) for r in h.collect())
+    assert got == [(1, 10, 1, 2), (1, 11, 2, None), (2, 20, 1, 2), (2, 20, 3, None)]
+
+
+def test_multi_asof_reduces_ties(spark):
+    spine = spark.createDataFrame([("2026-01-01",), ("2026-01-02",)], "d string").select(F.col("d").cast("date"))
+    rows = [("2026-01-01", 1, 5), ("2026-01-01", 2, 3), (None, 9, 99)]
+    for r in (rows, rows[::-1]):
+        feed = spark.createDataFrame(r, "f string, seq int, v int").withColumn("f", F.col("f").cast("date"))
+        by_seq = multi_asof(spine, "d", {"x": (feed, "f", ["v"])}, tie_break={"x": ["seq"]})
+        assert {x.v for x in by_seq.collect()} == {3}
+        assert {x.v for x in multi_asof(spine, "d", {"x": (feed, "f", ["v"])}).collect()} == {5}
