@@ -30,7 +30,7 @@ HEADLINE = [
     "fx_returns", "rolling_mean", "rolling_volatility", "latest_wins", "latest_wins_max_by",
     "asof_keyed", "asof_single", "asof_multi", "asof_chained", "flatten_nested",
     "cdc_upsert", "scd2_replay", "quality_report", "share_of_total", "star_rollup",
-    "asof_hot_bucket", "mart_daily_market_signals",
+    "asof_hot_bucket", "mart_daily_market_signals", "marts_published",
 ]
 
 
