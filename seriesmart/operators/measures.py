@@ -36,13 +36,17 @@ def star_rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
 
 
 def share_of_total(grouped: DataFrame, value: str, name: str = "share_of_total",
-                   within: Sequence[str] = (), digits: int = 6) -> DataFrame:
+                   within: Sequence[str] = (), digits: int = 6, small: bool = False) -> DataFrame:
     """``value / sum(value)`` over all rows (``ALL``) or within ``within``
     (``ALLSELECTED``-style parent). The grand total is a scalar subquery (one
     global aggregate, no join); parent totals are an aggregate per parent
-    joined back on the parent key."""
+    joined back on the parent key. ``small`` frames (a report, bounded by its
+    dimensions) take their totals from one window instead, so that what lies below
+    them is computed once."""
     within = list(within)
-    if within:
+    if small:
+        out = grouped.withColumn("__tot", F.sum(value).over(Window.partitionBy(*within)))
+    elif within:
         tot = grouped.groupBy(*within).agg(F.sum(value).alias("__tot"))
         out = null_safe_join(grouped, tot, within)
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import functions as F
 
@@ -18,15 +18,20 @@ from .registry import query
 # --- CDC -------------------------------------------------------------------
 
 CDC_BATCHES = 10
-CDC_BUCKETS = 8
+CDC_BUCKET_ROWS = 20_000  # target rows per hash bucket: a batch rewrites only the buckets that it touches
 
 CDC_SQL = """select event_id, ts, user_id, event_type, value, props from events
 qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1"""
 
 
-def decode_stream(raw):
+def cdc_buckets(events) -> int:
+    """Hash buckets for a table that will hold up to this many rows."""
+    return max(8, -(-events.count() // CDC_BUCKET_ROWS))
+
+
+def decode_stream(raw, buckets: int = 8):
     d = decode_events(parse_documents(raw))
-    return d.withColumn("bucket", F.pmod(F.col("user_id"), F.lit(CDC_BUCKETS)))
+    return d.withColumn("bucket", F.pmod(F.col("user_id"), F.lit(buckets)))
 
 
 @query("cdc_upsert", CDC_SQL, "C1 C2 C3 K4 S13 M17")
@@ -36,10 +41,11 @@ def q_cdc_upsert(spark, sf_dir):
     new, no batch. The table must equal the latest event per key."""
     land, target, ckpt = (scratch_path(spark, n) for n in ("cdc-landing", "cdc-target", "cdc-ckpt"))
     ev = table(spark, sf_dir, "events")
+    decode = partial(decode_stream, buckets=cdc_buckets(ev))
     (ev.select((F.col("event_id") % CDC_BATCHES).alias("batch"), _events_json().alias("value"))
      .write.partitionBy("batch").text(land))
     for _ in range(2):
-        q = start_cdc(spark, land, target, ckpt, decode_stream, ["user_id", "event_type"],
+        q = start_cdc(spark, land, target, ckpt, decode, ["user_id", "event_type"],
                       ["ts", "event_id"], "bucket", max_files_per_trigger=3)
         q.awaitTermination()
         if q.exception():

@@ -64,8 +64,9 @@ def q_share_of_total(spark, sf_dir):
         "n_nationkey", F.col("r_name").alias("region"), F.col("n_name").alias("nation"))
     rev = (per_nation.join(geo, per_nation.c_nationkey == geo.n_nationkey)
            .select("region", "nation", F.col("rev").cast("decimal(18,2)").alias("revenue")))
-    out = share_of_total(rev, "revenue", "share_of_total")
-    out = share_of_total(out, "revenue", "share_of_region", within=["region"])
+    # One row per nation: both totals come from windows over this small frame.
+    out = share_of_total(rev, "revenue", "share_of_total", small=True)
+    out = share_of_total(out, "revenue", "share_of_region", within=["region"], small=True)
     return out.select("region", "nation", "revenue",
                       F.col("share_of_total").cast("decimal(18,6)").alias("share_of_total"),
                       F.col("share_of_region").cast("decimal(18,6)").alias("share_of_region"))
