@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node moves to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    if large:
-        near = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        out = both.where("v > u").join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        down = both.where("v < u")
-        near = down.groupBy("u").agg(F.min("v").alias("m"))
-        out = (down.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-               .unionByName(near.select("u", F.col("m").alias("v"))))
+    near = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    return both.where("v > u").join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Every smaller neighbour of a node, and the node, move to the least of them.
+    Edges point from the larger to the smaller node."""
+    near = edges.groupBy("u").agg(F.min("v").alias("m"))
+    out = (edges.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+           .unionByName(near.select("u", F.col("m").alias("v"))))
     return out.where("u <> v").distinct()
 
 
@@ -31,7 +34,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     for _ in range(max_rounds):
-        e = materialize(_stars(_stars(e, True), False), "edges")
+        e = materialize(_small_star(_large_star(e)), "edges")
         sign = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sign == before:
             break

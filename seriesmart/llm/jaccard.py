@@ -1,26 +1,28 @@
 """Operator 8: word n-gram Jaccard join, by a size-aware heavy-light scheme.
 
 Two documents link when the Jaccard similarity of their shingle sets reaches
-num/den. Equal sets collapse to one node first. Then:
+num/den. Equal sets collapse to one node first. A linked set repeats more than half
+of its elements with the smallest hashes (twice a prefix of them, see
+``Measure.repeated``); sets that do not are out. Of the others:
 
 * Light sets (size up to a boundary): a pair of sizes (a, b) needs an overlap of
   at least o(a, b), so both sets enumerate their subsets of exactly that size;
   linked sets share one.
 * Heavy sets: inverted lists over each set's prefix in one global element order;
-  linked sets share a prefix element. The order goes by how many documents hold an
+  linked sets share a prefix element. The order goes by how many sets hold an
   element, rare ones first, in levels that filters of bounded size tell; as that
   makes it a plain function of the element, their false positives change costs
-  only. Elements of a single document are in no list. Prefixes are as long as the
-  sizes of both sides require: lists are kept per pair of size classes.
+  only. Elements of a single set are in no list. Prefixes are as long as the sizes
+  of both sides require: lists are kept per pair of size classes.
 * The boundary is the size up to which enumerating costs less than scanning,
   from the counted sizes and list lengths.
 
-Lists are not turned into all pairs. Each round links the members of a list to
-one leader, first to the member with the fewest elements of its own; verified
-links merge into components, and only members of different components meet again,
-against the next leader. What is still apart after ``rounds`` is compared
-exhaustively, in blocks of a list against each other, of which only links come
-out. Every candidate is verified on whole sets.
+Lists are not turned into all pairs. Each node first meets the leader that it
+shares most lists with (a list's leader is the member with the fewest elements of
+its own); ``rounds`` more leaders may follow. Verified links merge into components,
+and only members of different components meet again: exhaustively, in blocks of a
+list against each other, of which only links come out. Every candidate is verified
+on whole sets.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from .common import LOWER, materialize, mix64, pick, text_slices, window_hashes,
 from .components import components
 
 LEVELS = (2, 4, 8, 16, 32, 64, 128, 256)  # counts that set elements further back in the order
-BLOCK = 128       # members of a list that are compared with as many others in one task
+BLOCK = 512       # members of a list that are compared with as many others in one task
 MAX_LIGHT = 24    # largest size considered for subset enumeration
 _EMPTY = np.zeros(0, np.uint64)
 
@@ -83,11 +85,27 @@ class Measure:
         least the smallest that links) holds one."""
         return a - self.overlap(a, max(b or 0, self.smallest(a))) + 1
 
+    def counted(self, a: int) -> int:
+        """Smallest elements of a set over which repetition is counted."""
+        return min(a, 2 * self.prefix(a))
+
+    def repeated(self, a: int) -> int:
+        """Least number of those that a linked set of any size has among its own:
+        either side lacks at most prefix - 1 elements of the other."""
+        low = self.smallest(a)
+        sizes = range(low, a + 1) if a < 64 else (low, a)
+        return min(self.counted(b) - self.prefix(b) + 1 for b in sizes)
+
+    @staticmethod
+    def common(s: np.ndarray, t: np.ndarray) -> int:
+        """Elements in both of two sorted distinct arrays, neither empty."""
+        return int(np.count_nonzero(t.take(np.searchsorted(t, s), mode="clip") == s))
+
     def links(self, s: np.ndarray, t: np.ndarray) -> bool:
         """Of two sorted distinct arrays."""
         if not len(s) or not len(t):
             return False
-        both = len(s) + len(t) - len(np.union1d(s, t))
+        both = self.common(s, t)
         return self.den * both >= self.num * (len(s) + len(t) - both)
 
     def size_pairs(self, a: int, top: int) -> list[tuple[int, int]]:
@@ -148,6 +166,12 @@ def _sets(batch: pa.RecordBatch, column: int, words: int):
         yield shingles(buf[offs[i]:offs[i + 1]], words)
 
 
+def _slices(batch: pa.RecordBatch, rows: int = 512):
+    """Smaller batches, so that what a task holds does not depend on the batch size."""
+    for i in range(0, batch.num_rows, rows):
+        yield batch.slice(i, rows)
+
+
 def _rows(keys: list[np.ndarray], nodes: list[int], lone: list[int]) -> pa.RecordBatch:
     flat = np.concatenate(keys) if keys else _EMPTY
     sizes = [len(k) for k in keys]
@@ -168,7 +192,7 @@ def light_boundary(sizes: list[tuple[int, int]], list_length: float, measure: Me
     return best
 
 
-def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, rounds: int = 2,
+def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, rounds: int = 0,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row: id, ``n_shingles`` and ``component_id``, the smallest id
     reachable by links, itself included.
@@ -183,75 +207,82 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
     src = pick(docs, {"id": id_col, "text": text_col})
     kind = src.schema["id"].dataType.simpleString()
 
-    def nodes_of(batches):
+    def rows_of(batches):
+        for batch in batches:
+            for part in _slices(batch):
+                sets = list(_sets(part, 1, words))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
+                     pa.array([s[:measure.counted(len(s))].view(np.int64) if len(s) else [] for s in sets],
+                              pa.list_(pa.int64()))], ["id", "n", "node", "least"])
+
+    rows = materialize(src.mapInArrow(rows_of, f"id {kind}, n long, node long, least array<long>"), "jaccard-rows")
+    least = materialize(rows.select(F.explode("least").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").select("h"), "jaccard-least")
+    met = spark.sparkContext.broadcast(bloom.build(least, "h", least.count()))
+
+    def texts_of(batches):
         for batch in batches:
-            sets = list(_sets(batch, 1, words))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())], ["id", "n", "node"])
+            for part in _slices(batch):
+                keep, nodes, sizes = [], [], []
+                for i, s in enumerate(_sets(part, 0, words)):
+                    if len(s) and bloom.contains(met.value, s[:measure.counted(len(s))]).sum() >= measure.repeated(len(s)):
+                        keep.append(i)
+                        nodes.append(set_hash(s))
+                        sizes.append(len(s))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                     part.column(0).take(pa.array(keep, pa.int64()))], ["node", "n", "text"])
+
+    # One text per node that may link with another.
+    texts = materialize(src.select("text").mapInArrow(texts_of, "node long, n long, text string").groupBy("node").agg(
+        F.min("n").alias("n"), F.min("text").alias("text")), "jaccard-texts")
 
     def elements_of(batches):
         for batch in batches:
-            sets = list(_sets(batch, 0, words))
-            for i in range(0, len(sets), 512):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets[i:i + 512]).view(np.int64))], ["h"])
-
-    rows = materialize(src.mapInArrow(nodes_of, f"id {kind}, n long, node long"), "jaccard-rows")
-    lists = src.select("text").mapInArrow(elements_of, "h long").groupBy("h").agg(
-        F.count(F.lit(1)).alias("n")).where("n > 1")
-    lists = materialize(lists, "jaccard-lists")
+            for part in _slices(batch):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([_EMPTY, *_sets(part, 0, words)]).view(np.int64))], ["h"])
+
+    lists = materialize(texts.select("text").mapInArrow(elements_of, "h long").groupBy("h").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1"), "jaccard-lists")
     stats = lists.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n"), *[
         F.count(F.when(F.col("n") >= k, 1)) for k in LEVELS]).first()
-    mean = stats[0]
     filters = spark.sparkContext.broadcast([
         bloom.build(lists.where(F.col("n") >= k), "h", m) for k, m in zip(LEVELS, stats[1:]) if m])
-    sizes = [(r.n, r.sets) for r in rows.where(F.col("n").between(1, MAX_LIGHT)).groupBy("n").agg(
-        F.countDistinct("node").alias("sets")).collect()]  # at most MAX_LIGHT rows
-    top = light_boundary(sizes, float(mean or 1.0), measure)
-    classes = size_classes(2 * int(rows.agg(F.max("n")).first()[0] or 1))
+    sizes = [(r.n, r.sets) for r in texts.where(F.col("n") <= MAX_LIGHT).groupBy("n").agg(
+        F.count(F.lit(1)).alias("sets")).collect()]  # at most MAX_LIGHT rows
+    top = light_boundary(sizes, float(stats[0] or 1.0), measure)
+    classes = size_classes(2 * int(texts.agg(F.max("n")).first()[0] or 1))
 
     def keys_of(batches):
         for batch in batches:
-            keys, nodes, lones = [], [], []
-            for s in _sets(batch, 0, words):
-                level = levels_of(s, filters.value)
-                lone = int((level == 0).sum())
-                if lone > measure.prefix(len(s)) - 1:
-                    continue  # too many elements of its own to link with anything; so are empty sets
-                ordered = s[np.argsort(level, kind="stable")]
-                found = [subset_keys(ordered, lone, measure, top)] if len(s) <= top else []
-                if measure.largest(len(s)) > top:
-                    found.append(prefix_keys(ordered, lone, measure, classes))
-                keys += found
-                nodes += [set_hash(s)] * len(found)
-                lones += [lone] * len(found)
-            yield _rows(keys, nodes, lones)
-
-    keys = src.select("text").mapInArrow(keys_of, "h long, node long, lone int").distinct()
+            for part in _slices(batch):
+                keys, nodes, lones = [], [], []
+                for node, s in zip(part.column(0).to_pylist(), _sets(part, 1, words)):
+                    level = levels_of(s, filters.value)
+                    lone = int((level == 0).sum())
+                    if lone > measure.prefix(len(s)) - 1:
+                        continue  # too many elements of its own to link with anything
+                    ordered = s[np.argsort(level, kind="stable")]
+                    found = [subset_keys(ordered, lone, measure, top)] if len(s) <= top else []
+                    if measure.largest(len(s)) > top:
+                        found.append(prefix_keys(ordered, lone, measure, classes))
+                    keys += found
+                    nodes += [node] * len(found)
+                    lones += [lone] * len(found)
+                yield _rows(keys, nodes, lones)
+
+    keys = materialize(texts.select("node", "text").mapInArrow(keys_of, "h long, node long, lone int"), "jaccard-own-keys")
+    met.unpersist()
+    filters.unpersist()
     central = F.struct("lone", "node")
     leaders = keys.groupBy("h").agg(F.min(central)["node"].alias("leader"), F.min("node").alias("a"),
                                     F.max("node").alias("b")).where("a < b")
     shared = materialize(_widest(materialize(keys.join(leaders.select("h", "leader"), "h"), "jaccard-all-keys")),
                          "jaccard-keys")
 
-    # The texts of the nodes that share any key, one per node.
-    wanted = shared.select("node").distinct()
-    wanted = spark.sparkContext.broadcast(bloom.build(wanted, "node", wanted.count()))
-
-    def texts_of(batches):
-        for batch in batches:
-            sets = [s if len(s) else None for s in _sets(batch, 0, words)]
-            node = np.array([set_hash(s) if s is not None else 0 for s in sets], np.int64)
-            hit = bloom.contains(wanted.value, node) & np.array([s is not None for s in sets], bool)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node), pa.array([0 if s is None else len(s) for s in sets], pa.int64()), batch.column(0)],
-                ["node", "n", "text"]).filter(pa.array(hit))
-
-    texts = (src.select("text").mapInArrow(texts_of, "node long, n long, text string")
-             .join(shared.select("node").distinct(), "node", "left_semi")
-             .groupBy("node").agg(F.min("n").alias("n"), F.min("text").alias("text")))
-    texts = materialize(texts, "jaccard-texts")
-
     def linked(batches):
         for batch in batches:
             left, right = _sets(batch, 2, words), _sets(batch, 3, words)
@@ -283,23 +314,32 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
         if not new.isEmpty():
             links = links.unionByName(new)
             found = components(links)
-    # What is still apart: the members of a list in different components, block by block.
-    apart = _apart(shared, found)
+    # What is still apart: the members of a list in different components, block by
+    # block. A pair that shares several lists is compared in the first of them only.
+    apart = materialize(_apart(shared, found), "jaccard-apart")
     lists = apart.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own_lists = apart.groupBy("node").agg(F.sort_array(F.collect_list("h")).alias("hs"))  # bounded by its prefix
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (apart.join(lists, "h").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-             .join(texts.select("node", "text"), "node")
-             .select("h", "own", "node", "component", "text", other.alias("other"))
+             .join(texts.select("node", "text").join(own_lists, "node"), "node")
+             .select("h", "own", "node", "component", "hs", "text", other.alias("other"))
              .withColumns({"b1": F.least("own", "other"), "b2": F.greatest("own", "other")}))
 
     def links_of(t: pa.Table) -> pa.Table:
-        b1, b2 = t.column("b1")[0].as_py(), t.column("b2")[0].as_py()
-        own, node, part = (t.column(c).to_pylist() for c in ("own", "node", "component"))
-        sets = [frozenset(s.tolist()) for batch in t.select(["text"]).to_batches() for s in _sets(batch, 0, words)]
+        h, b1, b2 = (t.column(c)[0].as_py() for c in ("h", "b1", "b2"))
+        own, node, part, lists = (t.column(c).to_pylist() for c in ("own", "node", "component", "hs"))
+        earlier = [frozenset(x for x in hs if x < h) for hs in lists]
+        size: list[int | None] = [None] * len(own)
+        sets: list = [None] * len(own)
+        texts = t.select(["text"]).combine_chunks().to_batches()[0]
+
+        def load(i):
+            sets[i] = next(_sets(texts.slice(i, 1), 0, words))
+            size[i] = len(sets[i])
+
         left = [i for i in range(len(own)) if own[i] == b1]
         right = [i for i in range(len(own)) if own[i] == b2]
-        found = []
-        root = {c: c for c in part}
+        found, root = [], {c: c for c in part}
 
         def top_of(c):
             while root[c] != c:
@@ -308,12 +348,14 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
 
         for i in left:
             for j in right:
-                a, b = len(sets[i]), len(sets[j])
-                if (b1 < b2 or i < j) and measure.smallest(max(a, b)) <= min(a, b):
-                    c, d = top_of(part[i]), top_of(part[j])
-                    if c != d and len(sets[i] & sets[j]) >= measure.overlap(a, b):
+                if (b1 < b2 or i < j) and top_of(part[i]) != top_of(part[j]) and earlier[i].isdisjoint(earlier[j]):
+                    for k in (i, j):
+                        if sets[k] is None:
+                            load(k)
+                    if (measure.smallest(max(size[i], size[j])) <= min(size[i], size[j])
+                            and measure.common(sets[i], sets[j]) >= measure.overlap(size[i], size[j])):
                         found.append((node[i], node[j]))
-                        root[c] = d
+                        root[top_of(part[i])] = top_of(part[j])
         return pa.table({"u": pa.array([f[0] for f in found], pa.int64()), "v": pa.array([f[1] for f in found], pa.int64())})
 
     new = materialize(dealt.groupBy("h", "b1", "b2").applyInArrow(links_of, "u long, v long"), "jaccard-links")
