@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from .common import pick
 
-MEMO_WORDS = 400_000  # entries kept per task; the memo starts anew beyond it (speed only)
+MEMO_WORDS = 300_000  # entries kept per task; the memo starts anew beyond it (speed only)
 END = "</w>"
 
 
@@ -88,41 +88,35 @@ class WordEncoder:
         self.alphabet = byte_symbols()
         self.specials = regex.compile("(" + "|".join(
             regex.escape(s) for s in sorted(self.v.special, key=len, reverse=True)) + ")")
-        self.memo: dict[str, tuple[bytes, str]] = {}
+        self.memo: dict[str, bytes] = {}
 
-    def word(self, piece: str) -> tuple[bytes, str]:
-        """Little-endian ids and the joined vocabulary strings of one pre-token."""
+    def word(self, piece: str) -> bytes:
+        """Little-endian ids of one pre-token."""
         got = self.memo.get(piece)
         if got is None:
             symbols = [self.alphabet[b] for b in piece.encode()]
             symbols[-1] += self.v.suffix
-            tokens = self.v.merge(symbols)
-            ids = array("I", [self.v.ids[t] for t in tokens])
-            # Decoding goes from the ids back to the vocabulary strings.
-            got = pack(ids), " ".join(self.v.strings[i] for i in ids)
+            got = pack(array("I", [self.v.ids[t] for t in self.v.merge(symbols)]))
             if len(self.memo) >= MEMO_WORDS:
                 self.memo.clear()
             self.memo[piece] = got
         return got
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Packed ids and decoded text."""
-        ids, out = [], []
-        parts = self.specials.split(text) if "<|" in text else [text]
-        memo = self.memo
-        for part in parts:
+    def encode(self, text: str) -> bytes:
+        """Packed ids of a whole text."""
+        ids, memo = [], self.memo
+        for part in self.specials.split(text) if "<|" in text else [text]:
             if part in self.v.special:
-                i = self.v.special[part]
-                ids.append(pack(array("I", [i])))
-                out.append(self.v.strings[i])
+                ids.append(pack(array("I", [self.v.special[part]])))
                 continue
             # Lower-casing is per character: no final-sigma rule.
             norm = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for piece in self.PIECES.findall(norm):
-                got = memo.get(piece) or self.word(piece)
-                ids.append(got[0])
-                out.append(got[1])
-        return b"".join(ids), " ".join(out)
+            ids += [memo.get(piece) or self.word(piece) for piece in self.PIECES.findall(norm)]
+        return b"".join(ids)
+
+    def decode(self, ids: bytes) -> str:
+        """The vocabulary strings of packed ids, one blank between them."""
+        return " ".join(map(self.v.strings.__getitem__, unpack(ids)))
 
 
 @lru_cache(maxsize=1)
@@ -139,6 +133,14 @@ def pack(ids: array) -> bytes:
     return ids.tobytes()
 
 
+def unpack(ids: bytes) -> array:
+    out = array("I")
+    out.frombytes(ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out
+
+
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
            with_text: bool = True) -> DataFrame:
     """Encode and decode every whole text (null: empty).
@@ -157,7 +159,8 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         for batch in batches:
             n, ids_sha, dec_sha, ids_out, dec_out = [], [], [], [], []
             for text in batch.column(1).to_pylist():
-                ids, decoded = enc.encode(text or "")
+                ids = enc.encode(text or "")
+                decoded = enc.decode(ids)
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 dec_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
