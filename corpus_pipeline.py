@@ -61,7 +61,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (packed little-endian 32-bit) of the kept texts, with digests of the
     ids and of the text that they decode to."""
-    return encode(docs, tokenizer(WORD_BPE), with_text=True).drop("decoded")
+    return encode(docs, tokenizer(WORD_BPE), with_text=False)
 
 
 STAGES = [

@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import pick
+from .common import pick, slices
 
 MEMO_WORDS = 300_000  # entries kept per task; the memo starts anew beyond it (speed only)
 END = "</w>"
@@ -142,11 +142,11 @@ def unpack(ids: bytes) -> array:
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-           with_text: bool = True) -> DataFrame:
+           with_ids: bool = True, with_text: bool = True) -> DataFrame:
     """Encode and decode every whole text (null: empty).
 
-    Returns id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, with
-    ``with_text``, the packed ``ids`` and the ``decoded`` string. One row out
+    Returns id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if wanted,
+    the packed ``ids`` and the ``decoded`` string. One row out
     per row in: repeated rows stay, an empty table gives an empty result, other
     columns of the input are not read. A null id stays null.
     """
@@ -156,7 +156,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
     def run(batches):
         enc = encoder(shared.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             n, ids_sha, dec_sha, ids_out, dec_out = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 ids = enc.encode(text or "")
@@ -164,18 +164,19 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 dec_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
-                if with_text:
+                if with_ids:
                     ids_out.append(ids)
+                if with_text:
                     dec_out.append(decoded)
-            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
-                    pa.array(dec_sha, pa.string())]
-            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            cols = {"id": batch.column(0), "n_tokens": pa.array(n, pa.int64()),
+                    "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(dec_sha, pa.string())}
+            if with_ids:
+                cols["ids"] = pa.array(ids_out, pa.binary())
             if with_text:
-                cols += [pa.array(ids_out, pa.binary()), pa.array(dec_out, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(cols, names)
+                cols["decoded"] = pa.array(dec_out, pa.string())
+            yield pa.RecordBatch.from_pydict(cols)
 
     kind = src.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (
-        ", ids binary, decoded string" if with_text else "")
+        ", ids binary" if with_ids else "") + (", decoded string" if with_text else "")
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)

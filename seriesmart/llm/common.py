@@ -61,6 +61,12 @@ def text_slices(column: pa.Array | pa.ChunkedArray):
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offs
 
 
+def slices(batch: pa.RecordBatch, rows: int = 256):
+    """Smaller batches, so that what a Python worker holds does not depend on the batch size."""
+    for i in range(0, batch.num_rows, rows):
+        yield batch.slice(i, rows)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective avalanche mixing of 64-bit values (wrap-around arithmetic)."""
     x = (x ^ (x >> np.uint64(30))) * _MIX_1

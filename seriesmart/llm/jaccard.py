@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import LOWER, materialize, mix64, pick, text_slices, window_hashes, word_bounds, word_hashes
+from .common import LOWER, materialize, mix64, pick, slices, text_slices, window_hashes, word_bounds, word_hashes
 from .components import components
 
 LEVELS = (2, 4, 8, 16, 32, 64, 128, 256)  # counts that set elements further back in the order
@@ -166,12 +166,6 @@ def _sets(batch: pa.RecordBatch, column: int, words: int):
         yield shingles(buf[offs[i]:offs[i + 1]], words)
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 512):
-    """Smaller batches, so that what a task holds does not depend on the batch size."""
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows)
-
-
 def _rows(keys: list[np.ndarray], nodes: list[int], lone: list[int]) -> pa.RecordBatch:
     flat = np.concatenate(keys) if keys else _EMPTY
     sizes = [len(k) for k in keys]
@@ -209,7 +203,7 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
 
     def rows_of(batches):
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch):
                 sets = list(_sets(part, 1, words))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
@@ -224,7 +218,7 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
 
     def texts_of(batches):
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch):
                 keep, nodes, sizes = [], [], []
                 for i, s in enumerate(_sets(part, 0, words)):
                     if len(s) and bloom.contains(met.value, s[:measure.counted(len(s))]).sum() >= measure.repeated(len(s)):
@@ -241,7 +235,7 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
 
     def elements_of(batches):
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([_EMPTY, *_sets(part, 0, words)]).view(np.int64))], ["h"])
 
@@ -258,7 +252,7 @@ def jaccard_join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100,
 
     def keys_of(batches):
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch):
                 keys, nodes, lones = [], [], []
                 for node, s in zip(part.column(0).to_pylist(), _sets(part, 1, words)):
                     level = levels_of(s, filters.value)

@@ -16,12 +16,11 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable, pick
+from .common import importable, pick, slices
 
 MAX_LABELLED = 20_000   # labelled rows used for fitting, chosen by a hash of the id
 PARTNERS = 16           # preference pairs drawn for each labelled row of the rarer label
@@ -130,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = pick(docs, {"id": id_col, "text": text_col}).join(F.broadcast(kept), "id")  # at most max_labelled rows
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([features(t or "") for t in batch.column(0).to_pylist()], pa.list_(pa.float64())),
                  batch.column(1).cast(pa.int32()), batch.column(2)], ["x", "label", "h"])
@@ -147,10 +146,11 @@ def score(docs: DataFrame, ranking: Ranking, text_col: str = "text") -> DataFram
     (1 from the ranking's threshold on). Null and empty texts score alike."""
     importable(docs.sparkSession)
 
-    @F.pandas_udf("double")
-    def strength(texts: pd.Series) -> pd.Series:
-        x = np.array([features(t or "") for t in texts], float).reshape(len(texts), len(FEATURES))
-        return pd.Series(ranking.scores(x))
+    @F.arrow_udf("double")
+    def strength(texts: pa.Array) -> pa.Array:
+        # One text at a time becomes a Python string.
+        x = np.array([features(t.as_py() or "") for t in texts], float).reshape(len(texts), len(FEATURES))
+        return pa.array(ranking.scores(x), pa.float64())
 
     return (docs.withColumn("score", strength(F.col(f"`{text_col}`")))
             .withColumn("predicted", F.when(F.col("score") >= ranking.threshold, 1).otherwise(0)))

@@ -31,7 +31,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), with_text=False)
+    return encode(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), with_ids=False, with_text=False)
 
 
 def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
