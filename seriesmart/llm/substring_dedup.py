@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, text_slices, window_hashes, word_bounds, word_hashes
+from .common import materialize, pick, slices, text_slices, window_hashes, word_bounds, word_hashes
 
 # Difference covers, by period.
 COVERS = {
@@ -69,7 +69,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     id_type = src.schema["id"].dataType.simpleString()
 
     def anchors_of(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             buf, offs = text_slices(batch.column(1))
             found = []
             for i in range(len(offs) - 1):
@@ -83,7 +83,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
             yield _flat(batch.column(0), found)
 
     def windows_of(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             buf, offs = text_slices(batch.column(1))
             marks = batch.column(2)
             found = []
@@ -100,7 +100,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
             yield _flat(batch.column(0), found)
 
     def keep(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             buf, offs = text_slices(batch.column(1))
             marks = batch.column(2)
             n_words, n_removed, runs, kept = [], [], [], []

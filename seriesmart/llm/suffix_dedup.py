@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (BYTE_CODE, BYTE_POWERS, materialize, mix64, pick, prefix_hash, span_hash,
+from .common import (BYTE_CODE, BYTE_POWERS, materialize, mix64, pick, prefix_hash, slices, span_hash,
                      text_slices)
 
 GRAM = 16              # bytes of an anchor gram (shortened for short windows)
@@ -178,15 +178,14 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     step = -(-(length - min(GRAM, max(1, length // 4)) + 1) // SPLIT)
 
     def pieces_of(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             buf, offs = text_slices(batch.column(1))
-            for s in range(0, len(offs) - 1, 256):
-                found = [(p.shard, p.content) for i in range(s, min(s + 256, len(offs) - 1))
-                         for p in [Pieces(buf[offs[i]:offs[i + 1]], length)]]
-                at = s + np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-                shard, content = (np.concatenate([f[k] for f in found]).view(np.int64) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard), pa.array(content), batch.column(0).take(pa.array(at))], ["shard", "piece", "id"])
+            found = [(p.shard, p.content) for i in range(len(offs) - 1)
+                     for p in [Pieces(buf[offs[i]:offs[i + 1]], length)]]
+            at = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            shard, content = (np.concatenate([f[k] for f in found]).view(np.int64) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard), pa.array(content), batch.column(0).take(pa.array(at))], ["shard", "piece", "id"])
 
     pieces = src.mapInArrow(pieces_of, f"shard long, piece long, id {kind}")
     counts = pieces.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("a"), F.max("piece").alias("b"))
@@ -203,7 +202,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
         .select("id", "piece")).distinct()
 
     def contexts_of(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             buf, offs = text_slices(batch.column(1))
             out = {"shard": [], "piece": [], "reach": [], "n": [], "left": [], "right": []}
             for i in range(len(offs) - 1):
@@ -276,7 +275,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     flags = flags.groupBy(F.col("id").alias("rid")).agg(F.collect_set(F.struct("piece", "first", "last")).alias("marks"))
 
     def cut(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             buf, offs = text_slices(batch.column(1))
             n_bytes, n_removed, spans, kept = [], [], [], []
             for i in range(len(offs) - 1):
