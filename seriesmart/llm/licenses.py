@@ -110,7 +110,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", separa
 
     # Training rows without a licence: paragraphs of a bounded choice of documents
     # that are unlike every template.
-    sample = (src.where(F.length("text") > 0).orderBy(F.xxhash64("text"), F.xxhash64("id")).limit(sample_docs)
+    key = F.xxhash64("text", "id")
+    filled = src.where(F.length("text") > 0)
+    chosen = filled.select(key.alias("k")).orderBy("k").limit(sample_docs)
+    sample = (filled.withColumn("k", key).join(F.broadcast(chosen), "k", "left_semi")  # sample_docs rows
               .select(F.explode(paragraphs(F.col("text"), separator)).alias("para"))
               .where(F.col("para").rlike(r"\p{L}")).distinct())
     pairs: dict[str, list] = {}
