@@ -34,17 +34,17 @@ NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
 _MARKS = f"{NUMBER}-{UNIT}"
 
 
-def words_of(text: Column, values: bool) -> Column:
-    """Template words of a text; with ``values``, placeholders carry what they replaced."""
-    v = lambda group: f"${group}" if values else ""
+def words_of(text: Column) -> Column:
+    """Template words of a text; placeholders carry what they replaced, with any
+    characters attached to it ("YouTube", "1990s" are one slot each)."""
     t = F.coalesce(text, F.lit(""))
     t = F.regexp_replace(t, f"[{_MARKS}]", " ")
     # A capitalised word that does not begin a sentence.
-    t = F.regexp_replace(t, r"(\p{Lu}(?<=[\p{Ll}\p{N},;:] .)\p{Ll}+)", NAME + v(1))
+    t = F.regexp_replace(t, r"(\p{Lu}(?<=[\p{Ll}\p{N},;:] .)\p{Ll}+)", NAME + "$1")
     t = F.regexp_replace(t, r"[.,](?<=[0-9].)(?=[0-9])", "")
     t = F.regexp_replace(t, rf"([0-9]) ?(?i:({'|'.join(sorted(UNITS, key=len, reverse=True))}))(?!\p{{L}})",
-                         f"$1 {UNIT}" + v(2))
-    t = F.regexp_replace(t, r"([0-9](?<![\p{L}\p{N}][0-9])[0-9]*)(?!\p{L})", NUMBER + v(1))
+                         f"$1 {UNIT}$2")
+    t = F.regexp_replace(t, r"([0-9](?<![\p{L}\p{N}][0-9])[0-9]*)(?!\p{L})", NUMBER + "$1")
     return F.filter(F.split(F.lower(t), rf"[^\p{{L}}\p{{N}}{_MARKS}]+"), lambda w: w != "")
 
 
@@ -87,20 +87,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     id one item. Other columns are not read. Windows are compared by 64-bit hashes.
     """
     items = pick(benchmark, {"item": item_col, "text": item_text_col}).where("item is not null")
-    item_windows = _windows(items.select("item", words_of(F.col("text"), True).alias("words")), window, ["item"])
+    item_windows = _windows(items.select("item", words_of(F.col("text")).alias("words")), window, ["item"])
     item_windows = materialize(item_windows.where(F.col("n") >= 2 * F.size("slots")).select(
         "item", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots")).distinct(), "leak-items")
     hashes = checked_broadcast(item_windows.select("h").distinct(), BROADCAST_ROWS)
 
     src = pick(docs, {"id": id_col, "text": text_col}).where("id is not null")
-    seen = (src.select("id", words_of(F.col("text"), False).alias("words"))
+    seen = (src.select("id", F.transform(words_of(F.col("text")), bare).alias("words"))
             .select("id", F.explode(F.transform(_starts(F.col("words"), window), lambda i: F.xxhash64(
                 F.slice("words", i, window)))).alias("h"))
             .join(hashes, "h", "left_semi").select("id").distinct())
     seen = materialize(seen, "leak-documents")
 
     found = src.join(checked_broadcast(seen, BROADCAST_ROWS), "id", "left_semi")
-    doc_windows = _windows(found.select("id", words_of(F.col("text"), True).alias("words")), window, ["id"])
+    doc_windows = _windows(found.select("id", words_of(F.col("text")).alias("words")), window, ["id"])
     matched = doc_windows.drop("n").join(checked_broadcast(item_windows, BROADCAST_ROWS), "h")
     aligned = matched.groupBy("id", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.collect_set("item_pos").alias("at"), F.min("pos").alias("pos"),

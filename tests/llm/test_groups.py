@@ -289,3 +289,12 @@ def test_leaks_equal_brute_force_on_the_tables(spark):
     finally:
         D.BROADCAST_ROWS = old
     assert docs.where(F.col("doc_id") < 0).count() == 0
+
+
+def test_leaks_find_placeholders_with_attached_characters(spark, docs_of):
+    items = [(1, "How many videos do users upload to YouTube every day worldwide"),
+             (2, "in which 20th century decade, the 1990s or later, was a 64bit chip sold by McDonald on 5 km2 of land")]
+    rows = [(i, f"Some words stand before. {text} and others come after it.") for i, text in items]
+    got = {(r.doc_id, r.item_id): r for r in D.leaks(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == {(1, 1), (2, 2)} == brute_leaks(rows, items, D.WINDOW, D.COVERAGE)
+    assert all(r.exact and r.coverage == 1 for r in got.values())
