@@ -54,7 +54,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    gone = materialize(leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaks")
+    held = leaks(docs, table(spark, sf_dir, "benchmark"), verbatim=True)
+    gone = materialize(held.select("doc_id").distinct(), "leaks")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

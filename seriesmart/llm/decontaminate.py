@@ -7,6 +7,11 @@ template words are hash-joined with the benchmark's windows. A match only counts
 when its slots are consistent: along one alignment of item and document, every
 slot value of the item must stand for one and the same value in the document.
 
+With ``verbatim``, windows of the plain lower-cased words, numbers and names as
+they stand, go through the same join, and an item shorter than a window is one
+window of its own length. They find exact copies whose templates say too little:
+items of numbers, names in another case, short questions inside a document.
+
 The first pass over all documents only finds those that share a window at all
 (the benchmark's window hashes are broadcast behind a size check, beyond which
 the join shuffles); slots and alignments are worked out for these alone.
@@ -23,6 +28,7 @@ from .common import materialize, pick
 WINDOW = 8
 COVERAGE = 0.5         # share of an item's windows that a document must hold
 BROADCAST_ROWS = 500_000
+TEMPLATE, VERBATIM = 0, 1  # kinds of windows
 
 # Units that follow a number.
 UNITS = ("km", "cm", "mm", "m", "kg", "mg", "g", "l", "ml", "lb", "lbs", "oz", "ft", "feet", "inches", "inch",
@@ -56,6 +62,10 @@ def bare(word: Column) -> Column:
     return F.when(is_slot(word), F.substring(word, 1, 1)).otherwise(word)
 
 
+def plain_word(word: Column) -> Column:
+    return F.when(is_slot(word), F.substr(word, F.lit(2))).otherwise(word)
+
+
 def _starts(words: Column, window: int) -> Column:
     """First positions (from 1) of the windows; a shorter text is one window."""
     return F.when(F.size(words) > 0, F.sequence(F.lit(1), F.greatest(F.size(words) - window + 1, F.lit(1)))
@@ -63,57 +73,92 @@ def _starts(words: Column, window: int) -> Column:
 
 
 def _windows(df: DataFrame, window: int, keys: list[str]) -> DataFrame:
-    """(keys, pos, h, slots) of the ``words`` with their values."""
+    """(keys, kind, pos, h, slots) of the ``words`` with their values."""
     df = df.withColumn("plain", F.transform("words", bare))
     df = df.select(*keys, F.explode(F.transform(_starts(F.col("words"), window), lambda i: F.struct(
         i.alias("pos"), F.xxhash64(F.slice("plain", i, window)).alias("h"),
         F.slice("words", i, window).alias("w")))).alias("x"))
-    return df.select(*keys, "x.pos", "x.h", F.filter("x.w", is_slot).alias("slots"),
+    return df.select(*keys, F.lit(TEMPLATE).alias("kind"), "x.pos", "x.h", F.filter("x.w", is_slot).alias("slots"),
                      F.size("x.w").alias("n"))
 
 
+def _verbatim_windows(df: DataFrame, lengths: list[int], keys: list[str]) -> DataFrame:
+    """The same of the plain words, which have no slots, for each length of window."""
+    df = df.withColumn("plain", F.transform("words", plain_word))
+    hashes = lambda n: F.transform(_starts(F.col("plain"), n), lambda i: F.struct(
+        i.alias("pos"), F.xxhash64(F.slice("plain", i, n)).alias("h")))
+    return (df.select(*keys, F.explode(F.concat(*map(hashes, lengths))).alias("x"))
+            .select(*keys, F.lit(VERBATIM).alias("kind"), "x.pos", "x.h", F.array().cast("array<string>").alias("slots")))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE,
           id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text") -> DataFrame:
+          item_text_col: str = "text", verbatim: bool = False) -> DataFrame:
     """Documents that hold a benchmark item, one row per (document, item):
     ``item_windows``, ``matched_windows``, ``coverage``, ``exact`` (all slot values
     equal), ``start_word`` (from 0) and ``slots`` = ``{item, doc}`` value pairs.
 
-    An item's windows count when at least half of their words are not
-    placeholders; an item without such windows is never found. Texts with fewer
-    words than a window are one window of all their words, so short items are
-    found as whole documents only. Null and empty texts match nothing; rows with a
-    null id take no part; rows that repeat an id are one document, items with one
-    id one item. Other columns are not read. Windows are compared by 64-bit hashes.
+    An item's template windows count when at least half of their words are not
+    placeholders. Texts with fewer words than a window are one window of all their
+    words, so templates find short items as whole documents only, and an item
+    without a window that counts never.
+
+    With ``verbatim``, a document is also reported when it holds that share of the
+    item's windows word for word (any case, blanks and punctuation); a row is the
+    template's where that suffices, else it counts verbatim windows and has no
+    slots. Every item with a word can be found then; an item of one word is found
+    wherever that word stands.
+
+    Null and empty texts match nothing; rows with a null id take no part; rows that
+    repeat an id are one document, items with one id one item. Other columns are
+    not read. Windows are compared by 64-bit hashes.
     """
-    items = pick(benchmark, {"item": item_col, "text": item_text_col}).where("item is not null")
-    item_windows = _windows(items.select("item", words_of(F.col("text")).alias("words")), window, ["item"])
-    item_windows = materialize(item_windows.where(F.col("n") >= 2 * F.size("slots")).select(
-        "item", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots")).distinct(), "leak-items")
+    items = (pick(benchmark, {"item": item_col, "text": item_text_col}).where("item is not null")
+             .select("item", words_of(F.col("text")).alias("words")))
+    item_windows = _windows(items, window, ["item"]).where(F.col("n") >= 2 * F.size("slots")).drop("n")
+    lengths = []
+    if verbatim:
+        # The window, and the lengths of shorter items: window - 1 numbers at most.
+        short = items.select(F.size("words").alias("n")).where(F.col("n").between(1, window - 1)).distinct()
+        lengths = [window, *sorted(r.n for r in short.collect())]
+        item_windows = item_windows.unionByName(_verbatim_windows(items, [window], ["item"]))
+    item_windows = materialize(item_windows.select("item", "kind", F.col("pos").alias("item_pos"), "h",
+                                                   F.col("slots").alias("item_slots")).distinct(), "leak-items")
     hashes = checked_broadcast(item_windows.select("h").distinct(), BROADCAST_ROWS)
 
     src = pick(docs, {"id": id_col, "text": text_col}).where("id is not null")
-    seen = (src.select("id", F.transform(words_of(F.col("text")), bare).alias("words"))
-            .select("id", F.explode(F.transform(_starts(F.col("words"), window), lambda i: F.xxhash64(
-                F.slice("words", i, window)))).alias("h"))
+    hashed = lambda words, n: F.transform(_starts(F.col(words), n), lambda i: F.xxhash64(F.slice(words, i, n)))
+    seen = src.select("id", words_of(F.col("text")).alias("words")).select(
+        "id", F.transform("words", bare).alias("bare"), F.transform("words", plain_word).alias("plain"))
+    # A window without a slot is the same in both kinds and hashed once.
+    every = [hashed("bare", window), *[hashed("plain", n) for n in lengths]]
+    seen = (seen.select("id", F.explode(F.array_distinct(F.concat(*every)) if verbatim else every[0]).alias("h"))
             .join(hashes, "h", "left_semi").select("id").distinct())
     seen = materialize(seen, "leak-documents")
 
-    found = src.join(checked_broadcast(seen, BROADCAST_ROWS), "id", "left_semi")
-    doc_windows = _windows(found.select("id", words_of(F.col("text")).alias("words")), window, ["id"])
-    matched = doc_windows.drop("n").join(checked_broadcast(item_windows, BROADCAST_ROWS), "h")
-    aligned = matched.groupBy("id", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    found = (src.join(checked_broadcast(seen, BROADCAST_ROWS), "id", "left_semi")
+             .select("id", words_of(F.col("text")).alias("words")))
+    doc_windows = _windows(found, window, ["id"]).drop("n")
+    if verbatim:
+        doc_windows = doc_windows.unionByName(_verbatim_windows(found, lengths, ["id"]))
+    matched = doc_windows.join(checked_broadcast(item_windows, BROADCAST_ROWS), ["kind", "h"])
+    aligned = matched.groupBy("id", "item", "kind", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.collect_set("item_pos").alias("at"), F.min("pos").alias("pos"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(
             F.col("item_slots").alias("item"), F.col("slots").alias("doc"))))).alias("pairs"))
     aligned = aligned.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))))
-    per_item = aligned.groupBy("id", "item").agg(
+    per_item = aligned.groupBy("id", "item", "kind").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("matched_windows"),
         F.min("pos").alias("pos"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    totals = item_windows.groupBy("item").agg(F.countDistinct("item_pos").alias("item_windows"))
+    totals = item_windows.groupBy("item", "kind").agg(F.countDistinct("item_pos").alias("item_windows"))
     share = F.col("matched_windows") / F.col("item_windows")
     value = lambda w: F.substr(w, F.lit(2))
-    return (per_item.join(checked_broadcast(totals, BROADCAST_ROWS), "item").where(share >= coverage)
+    enough = per_item.join(checked_broadcast(totals, BROADCAST_ROWS), ["item", "kind"]).where(share >= coverage)
+    if verbatim:  # one row per (document, item), the template's first
+        rest = [c for c in enough.columns if c not in ("id", "item", "kind")]
+        enough = (enough.groupBy("id", "item").agg(F.min_by(F.struct(*rest), "kind").alias("x"))
+                  .select("id", "item", "x.*"))
+    return (enough
             .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "item_windows", "matched_windows",
                     share.alias("coverage"),
                     F.forall("pairs", lambda p: p["item"] == p["doc"]).alias("exact"),

@@ -56,7 +56,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), verbatim=True)
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

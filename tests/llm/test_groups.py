@@ -298,3 +298,23 @@ def test_leaks_find_placeholders_with_attached_characters(spark, docs_of):
     got = {(r.doc_id, r.item_id): r for r in D.leaks(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert set(got) == {(1, 1), (2, 2)} == brute_leaks(rows, items, D.WINDOW, D.COVERAGE)
     assert all(r.exact and r.coverage == 1 for r in got.values())
+
+
+def test_verbatim_leaks_leave_no_item_unfindable(spark, docs_of):
+    names = "Was it Anna Smith, Peter Jones, Mary Brown, John White or Lucy Green who met Carl Black in Paris?"
+    items = [*ITEMS, (6, names), (7, "Why?"), (8, "!!")]
+    rows = [(1, "There are three words only in this text, and some more besides."), (2, f"Count on: {ITEMS[4][1]} and so on."),
+            (3, names.lower()), (4, "He asked:\n" + names.replace(" ", "\n") + "\nNobody knew."), (5, "And WHY not, he said."),
+            (6, "5 7 9 11 and nothing else of it"), (7, "words only three"), (8, None), (9, "!!"),
+            (10, ITEMS[0][1].replace("120", "345").replace("Maria", "Peter")), (4, "why")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in D.leaks(docs_of(rows), bench, verbatim=True).collect()}
+    assert set(got) == {(1, 3), (2, 5), (3, 6), (4, 6), (5, 7), (4, 7), (10, 1)}
+    assert (got[2, 5].item_windows, got[2, 5].matched_windows, got[2, 5].start_word) == (3, 3, 2)
+    assert got[3, 6].exact and not got[10, 1].exact and got[10, 1].slots and not got[1, 3].slots
+    assert D.leaks(docs_of(rows).limit(0), bench, verbatim=True).count() == 0
+    old, D.BROADCAST_ROWS = D.BROADCAST_ROWS, 0
+    try:
+        assert {(r.doc_id, r.item_id) for r in D.leaks(docs_of(rows), bench, verbatim=True).collect()} == set(got)
+    finally:
+        D.BROADCAST_ROWS = old
