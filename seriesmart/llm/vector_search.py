@@ -6,8 +6,10 @@ pruning keeps a candidate only if no kept one is closer to it by the factor
 ``alpha``, which leaves long, diverse edges. The index (vectors and neighbour
 lists) is a table in the shared folder. Queries go to every shard in blocks,
 search it with a beam, and the best of all shards are merged. Equal vectors of a
-shard are one node with a list of ids, so a vector that a third of the rows
-repeat neither floods the beam nor hides its copies.
+shard are one node with a list of distinct ids, so a vector that a third of the
+rows repeat neither floods the beam nor hides its copies. A query whose beam
+holds fewer than ``k`` other ids, as when one id has many near vectors, is
+searched again with a beam twice as wide.
 """
 
 from __future__ import annotations
@@ -132,6 +134,8 @@ def _matrix(column) -> np.ndarray:
 def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Index table of (id long, v array): one row per node with ``dim``, ``shard``, ``node``,
     ``ids`` (ascending), ``v``, ``near`` (neighbour nodes) and ``entry``. Every row is indexed."""
+    # Repeats of a row go before the shuffle, so that they neither fill a shard nor a node.
+    rows = rows.dropDuplicates(["id", "v"])
     n = rows.count()
     shards = max(1, -(-n // shard_rows))
 
@@ -150,7 +154,7 @@ def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         k = len(x)
         return pa.table({
             "dim": pa.array([raw.shape[1]] * k, pa.int32()), "shard": pa.array([t.column("shard")[0].as_py()] * k, pa.int32()),
-            "node": pa.array(range(k), pa.int32()), "ids": pa.array([g.tolist() for g in groups], pa.list_(pa.int64())),
+            "node": pa.array(range(k), pa.int32()), "ids": pa.array([np.unique(g).tolist() for g in groups], pa.list_(pa.int64())),
             "v": pa.array(list(plain[first].astype(np.float64)), pa.list_(pa.float64())),
             "near": pa.array([g[g < k].tolist() for g in graph[:k]], pa.list_(pa.int32())),
             "entry": pa.array([i == entry for i in range(k)], pa.bool_())})
@@ -198,17 +202,29 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
             entry = graph_rows.column("entry").to_pylist().index(True)
             ids = graph_rows.column("ids").to_pylist()
             q, qid = _matrix(query_rows.column("q")), query_rows.column("id").to_pylist()
-            for a in range(0, len(q), 256):
-                found, _ = beam_search(x, graph, entry, q[a:a + 256].astype(np.float32), max(beam, wanted + 1))
-                for own, vector, nodes in zip(qid[a:a + 256], q[a:a + 256], found):
-                    nodes = nodes[nodes >= 0]
-                    score = np.sqrt(((exact[nodes] - vector) ** 2).sum(axis=1))
-                    hits = sorted((s, i) for s, node in zip(score.tolist(), nodes.tolist())
-                                  for i in ids[node][:wanted + 1] if i != own)
-                    for s, i in hits[:4 * wanted]:
-                        out["query_id"].append(own)
-                        out["found"].append(i)
-                        out["score"].append(s)
+            open_queries, width = np.arange(len(q)), max(beam, wanted + 1)
+            while len(open_queries):
+                short = []
+                for a in range(0, len(open_queries), 256):
+                    part = open_queries[a:a + 256]
+                    found, _ = beam_search(x, graph, entry, q[part].astype(np.float32), width)
+                    for at, nodes in zip(part.tolist(), found):
+                        own, nodes = qid[at], nodes[nodes >= 0]
+                        score = np.sqrt(((exact[nodes] - q[at]) ** 2).sum(axis=1))
+                        best: dict[int, float] = {}
+                        for s, node in zip(score.tolist(), nodes.tolist()):
+                            for i in ids[node][:wanted + 1]:
+                                if i != own and s < best.get(i, np.inf):
+                                    best[i] = s
+                        # A full beam that holds too few ids may hide others.
+                        if len(best) < wanted and len(nodes) == width < n:
+                            short.append(at)
+                            continue
+                        for i, s in sorted(best.items(), key=lambda hit: (hit[1], hit[0]))[:wanted]:
+                            out["query_id"].append(own)
+                            out["found"].append(i)
+                            out["score"].append(s)
+                open_queries, width = np.array(short, np.int64), 2 * width
         return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "found": pa.array(out["found"], pa.int64()),
                          "score": pa.array(out["score"], pa.float64())})
 

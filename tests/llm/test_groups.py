@@ -154,6 +154,26 @@ def test_nearest_edge_rows(spark):
     assert ids == [0, 1, 2, 3, 4]
 
 
+def test_nearest_repeated_rows_hide_nothing(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(40, 6))
+    x[20:28] = x[20]  # eight ids share a vector
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x) for _ in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df, df.where("vec_id in (3, 20)"), k=10).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    for q in (3, 20):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        assert [i for _, i in sorted(got[q])] == np.lexsort((np.arange(40), d))[:10].tolist()
+    # One id with more near vectors than a beam holds.
+    near = [(1, [1.0 + i * 1e-4, 0.0]) for i in range(300)] + [(i, [5.0 + i, 1.0]) for i in range(2, 14)]
+    many = spark.createDataFrame([(0, [1.0, 0.0]), *near], "vec_id long, embedding array<double>")
+    ids = [r.vec_id for r in nearest(many, many.where("vec_id = 0"), k=10).orderBy("rank").collect()]
+    assert ids == list(range(1, 11))
+
+
 def test_robust_prune_keeps_diverse_edges():
     x = np.array([[0, 0], [1, 0], [1.1, 0], [0, 2], [5, 5]], np.float32)
     assert robust_prune(x, 0, np.arange(5), 1.2, 4).tolist() == [1, 3]
