@@ -3,9 +3,10 @@ DataFrame machine-learning library only.
 
 A multinomial logistic regression over hashed word 1- and 2-grams is trained on
 notice templates of the licence families, on generic licence talk (the unknown
-class) and on a bounded sample of the corpus's own paragraphs (no licence). It
-scores every paragraph. A family's probability must reach a limit calibrated on
-the paragraphs without a licence; below it, licence-like text is "unknown". A
+class) and on a bounded sample of the corpus's own paragraphs without licence
+words (no licence). It scores every paragraph. A family's probability must exceed
+a limit, a quantile over all scored paragraphs that have no licence words and
+resemble no template; below it, licence-like text is "unknown". A
 prediction is confirmed when the paragraph holds most word pairs of a template
 of that family.
 """
@@ -25,6 +26,7 @@ SAMPLE_DOCS = 400     # documents whose paragraphs stand for "no licence" in tra
 DIMENSIONS = 1 << 13
 CONFIRM = 0.6         # share of a template's word pairs that confirm a prediction
 MIN_LIMIT = 0.5       # least probability of a family, whatever the calibration says
+QUANTILE = 0.999      # share of the paragraphs without a licence that the limit keeps out
 NONE, UNKNOWN = "none", "unknown"
 
 # Short notices by which licences are named in texts.
@@ -61,6 +63,10 @@ TEMPLATES = {
               "Use of this text is subject to the terms of a license.", "Licensed to the members of the project",
               "Copyright the authors.", "Distributed under a custom license agreement"),
 }
+# Words of licence talk: such paragraphs are never taken as examples of "no licence".
+LICENCE_WORDS = (r"(?iu)licen[cs]|licenç|lizenz|copyright|copyleft|©|\(c\)|spdx|\brights? reserved|public domain|creative commons|"
+                 r"urheber|rechte vorbehalten|derechos reservados|droits réservés|diritti riservati|redistribut|"
+                 r"\bcc[ -]?(?:by|0)\b|\b[al]?gpl\b|without permission")
 _WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -97,6 +103,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", separa
     ``confirmed``. A family below the calibrated limit is reported as unknown,
     without confirmation.
 
+    The fit is bounded: paragraphs of ``sample_docs`` documents, chosen by hash,
+    stand for "no licence". Scoring and the limit cover all documents.
+
     Null, empty and blank texts have no paragraphs with words and give no rows.
     Repeated rows are scanned each by itself, null ids too. An empty table gives
     an empty result (training then has templates only). Other columns are not read.
@@ -109,7 +118,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", separa
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
 
     # Training rows without a licence: paragraphs of a bounded choice of documents
-    # that are unlike every template.
+    # that are unlike every template and have no licence words.
     key = F.xxhash64("text", "id")
     filled = src.where(F.length("text") > 0)
     chosen = filled.select(key.alias("k")).orderBy("k").limit(sample_docs)
@@ -121,7 +130,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", separa
         pairs.setdefault(r.family, []).append(F.array(*map(F.lit, r.t)))
     alike = F.array(*[t for ts in pairs.values() for t in ts])
     like = F.exists(alike, lambda t: F.size(F.array_intersect(t, F.col("p"))) >= 0.5 * F.size(t))
-    clean = materialize(with_pairs(sample, "p"), "license-sample").where(~like).select("para")
+    clean = materialize(with_pairs(sample, "p"), "license-sample").where(
+        ~like & ~F.col("para").rlike(LICENCE_WORDS)).select("para")
     train = known.unionByName(clean.select(F.lit(NONE).alias("family"), "para")).withColumn("label", label.cast("double"))
     prepare = _features().fit(train)
     train = prepare.transform(train)
@@ -136,15 +146,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", separa
     licensed = F.slice("p", 1, len(families) - 2)  # without unknown and none
 
     judged = lambda df: model.transform(prepare.transform(df)).withColumn("p", p)
-    worst = judged(train.where(F.col("family") == NONE).select("para")).agg(F.max(F.array_max(licensed))).first()[0]
-    limit = max(MIN_LIMIT, worst or 0.0)
     # Generating the licence rows, not filtering, keeps the model from being run twice for each paragraph.
     none_at = lambda q: F.get(q, F.lit(len(families) - 1))
     hits = F.filter(F.array(F.struct("paragraph", "para", "p")), lambda x: none_at(x["p"]) < 0.5)
-    kept = (judged(rows.where(F.col("para").rlike(r"[\p{L}\p{N}]"))).select("id", F.explode(hits).alias("x"))
-            .select("id", "x.*").withColumn("best", F.array_max(licensed))
+    kept = materialize(judged(rows.where(F.col("para").rlike(r"[\p{L}\p{N}]"))).select("id", F.explode(hits).alias("x"))
+                       .select("id", "x.*").withColumn("best", F.array_max(licensed)), "license-scored")
+
+    # Any paragraph above the least limit is among them; the others without a licence only count.
+    odd = with_pairs(kept.where((F.col("best") > MIN_LIMIT) & ~F.col("para").rlike(LICENCE_WORDS)).select("para", "best"),
+                     "p").where(~like)
+    limit, n_odd = MIN_LIMIT, odd.count()
+    if n_odd:
+        plain = F.size(F.filter(paragraphs(F.col("text"), separator), lambda x: x.rlike(r"[\p{L}\p{N}]")
+                                & ~x.rlike(LICENCE_WORDS)))
+        allowed = int((1 - QUANTILE) * src.agg(F.sum(plain)).first()[0])
+        if n_odd > allowed:
+            limit = odd.agg(F.percentile_approx("best", 1 - allowed / n_odd, 10_000)).first()[0]
+    kept = (kept
             .withColumn("family", F.when(
-                (F.col("best") >= limit) & (F.col("best") >= F.get("p", F.lit(len(families) - 2))),
+                (F.col("best") > limit) & (F.col("best") >= F.get("p", F.lit(len(families) - 2))),
                 F.get(F.array(*[F.lit(f) for f in families]), (F.array_position("p", F.col("best")) - 1).cast("int"))
             ).otherwise(UNKNOWN))
             .withColumn("probability", F.when(F.col("family") == UNKNOWN, 1 - none_at(F.col("p"))).otherwise(F.col("best"))))

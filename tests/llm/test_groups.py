@@ -236,6 +236,19 @@ def test_license_scan(docs_of):
     assert scan(docs_of(rows).limit(0)).count() == 0
 
 
+def test_license_scan_keeps_frequent_notices_without_a_template(docs_of):
+    rng = random.Random(8)
+    words = " ".join(GOOD).split()
+    prose = lambda: "\n".join(" ".join(rng.choices(words, k=12)) for _ in range(4))
+    notice = "Distributed under the Boost Software License"
+    rows = [(i, prose() + ("\n" + notice if i % 3 == 0 else "")) for i in range(90)]
+    rows.append((90, "Released under the MIT License."))
+    got = {r.doc_id: r for r in scan(docs_of(rows)).collect()}
+    assert set(got) == {*range(0, 90, 3), 90}
+    assert got[90].family == "mit" and got[90].confirmed
+    assert not any(got[i].confirmed for i in range(0, 90, 3)) and {got[i].paragraph for i in range(0, 90, 3)} == {4}
+
+
 # --- benchmark decontamination --------------------------------------------------------
 
 def brute_template(text):
