@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align
 from .bpe import encode
 from .common import table
 from .decontaminate import leaks
@@ -17,7 +18,7 @@ from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .vector_search import nearest
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer(name: str) -> str:
@@ -142,6 +143,11 @@ select doc_id, count(*) as n_lines, count(*) filter (k in (select k from common)
 from keyed group by doc_id
 """
 
+
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), tokenizer(PIECE_BPE))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
@@ -153,6 +159,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_alignment": op11_alignment,
 }
 
 ORACLES = {
