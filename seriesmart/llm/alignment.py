@@ -20,9 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +32,7 @@ from pyspark.sql import functions as F
 from .bpe import byte_symbols
 from .common import materialize, pick, slices
 
-HEAVY = 200_000        # irregular groups that are broadcast, at most
-MEMO_PARTS = 150_000   # aligned parts kept per worker (speed only)
-MEMO_CHARS = 64        # longer parts are not kept (speed only)
+HEAVY = 200_000  # irregular groups that are broadcast, at most
 
 # The pre-token pattern of a byte-level tokenizer, and the piece model's blank.
 PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -49,19 +45,19 @@ class ByteSide:
 
     def __init__(self, spec: str):
         model = json.loads(spec)["model"]
-        back = {s: b for b, s in byte_symbols().items()}
+        alphabet = byte_symbols()
+        back = {s: b for b, s in alphabet.items()}
         raw = lambda s: bytes(back[c] for c in s)
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         order = dict.fromkeys([bytes([b]) for b in range(256)] + [raw(a + b) for a, b in pairs])
         ranks = {b: i for i, b in enumerate(order)}
-        alphabet = byte_symbols()
         self.encoding = tiktoken.Encoding("a", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
-        self.ids = [model["vocab"]["".join(alphabet[x] for x in b)] for b in order]
-        self.bytes = dict(zip(self.ids, order))
+        self.ids = np.array([model["vocab"]["".join(alphabet[x] for x in b)] for b in order], np.int32)
+        self.bytes = dict(zip(self.ids.tolist(), order))
         self.size = max(model["vocab"].values()) + 1
 
-    def encode(self, text: str) -> list[int]:
-        return [self.ids[r] for r in self.encoding.encode_ordinary(text)]
+    def encode(self, text: str) -> np.ndarray:
+        return self.ids[self.encoding.encode_to_numpy(text, disallowed_special=())]
 
 
 class PieceSide:
@@ -70,28 +66,24 @@ class PieceSide:
     def __init__(self, model: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.size = self.model.get_piece_size()
-        self.bytes, self.fallback, words = {}, set(), True
-        for i in range(self.size):
-            piece = self.model.id_to_piece(i)
-            if self.model.is_byte(i):
-                self.bytes[i] = bytes([int(piece[1:-1], 16)])
-                self.fallback.add(i)
-            else:
-                self.bytes[i] = piece.replace(BLANK, " ").encode()
-                words = words and BLANK not in piece.lstrip(BLANK)
-        self.by_word = words  # no piece runs on into a blank: parts encode on their own
+        pieces = [self.model.id_to_piece(i) for i in range(self.size)]
+        self.fallback = {i for i in range(self.size) if self.model.is_byte(i)}
+        self.bytes = {i: bytes([int(p[1:-1], 16)]) if i in self.fallback else p.replace(BLANK, " ").encode()
+                      for i, p in enumerate(pieces)}
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), np.int32)
 
-    def encode(self, text: str) -> list[int]:
-        return self.model.encode(text)
+
+def lengths(tokens: dict[int, bytes], size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    out[list(tokens)] = [len(b) for b in tokens.values()]
+    return out
 
 
 class Aligner:
     """Groups and links of single texts."""
 
-    # Both tokenizers begin a token at a single blank between two other characters,
-    # whatever stands on either side.
-    PARTS = re.compile(r"(?<=\S) (?=\S)")
-
     def __init__(self, a_spec: str, b_model: bytes):
         self.a, self.b = ByteSide(a_spec), PieceSide(b_model)
         same: dict[bytes, int] = {}
@@ -100,60 +92,52 @@ class Aligner:
         self.identity = np.full(self.a.size, -1, np.int64)
         for i, raw in self.a.bytes.items():
             self.identity[i] = same.get(raw, -1)
-        self.width = np.dtype("<u2" if max(self.a.size, self.b.size) <= 1 << 16 else "<u4")
-        self.memo: dict[str, tuple | None] = {}
-
-    def part(self, text: str) -> tuple | None:
-        """(tokens of A, of B, groups, group string, packed A ids of identity groups,
-        irregular groups) of a blank and this text; None if its bytes do not return."""
-        a, b = self.a.encode(" " + text), self.b.encode(text)
-        a_raw, b_raw = [self.a.bytes[i] for i in a], [self.b.bytes[i] for i in b]
-        if b"".join(b_raw) != (" " + text).encode() or b"".join(a_raw) != b"".join(b_raw):
-            return None
-        plain, odd, spec, n = [], [], [], 0
-        i = j = 0
-        while i < len(a):
-            i0, j0 = i, j
-            x, y = len(a_raw[i]), len(b_raw[j])
-            i, j = i + 1, j + 1
-            while x != y:
-                if x < y:
-                    x, i = x + len(a_raw[i]), i + 1
-                else:
-                    y, j = y + len(b_raw[j]), j + 1
-            n += 1
-            spec.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-            if i == i0 + 1 and j == j0 + 1 and self.identity[a[i0]] == b[j0]:
-                plain.append(a[i0])
-            else:
-                odd.append(np.array([i - i0, *a[i0:i], *b[j0:j]], self.width).tobytes())
-        return len(a), len(b), n, ";".join(spec), np.array(plain, self.width).tobytes(), tuple(odd)
+        self.length_a, self.length_b = lengths(self.a.bytes, self.a.size), lengths(self.b.bytes, self.b.size)
+        self.width = np.dtype(np.uint16 if max(self.a.size, self.b.size) <= 1 << 16 else np.uint32)
+        # A token's number and what follows it in a group string: even places inside a side, odd at its end.
+        self.strings = [f"{i}{end}" for size, ends in ((self.a.size, ",|"), (self.b.size, ",;"))
+                        for i in range(size) for end in ends]
 
     def text(self, text: str) -> tuple | None:
-        """The same of a whole text; None if it has no tokens by the rules."""
+        """(tokens of A, of B, groups, group string, packed A ids of identity groups,
+        packed irregular groups) of a text; None if it has no tokens by the rules."""
         if not text:
             return None
-        if not self.b.by_word:
-            return self.part(text)
-        got, memo = [], self.memo
-        for p in self.PARTS.split(text):
-            x = memo.get(p, 0)
-            if x == 0:
-                x = self.part(p)
-                if len(p) <= MEMO_CHARS:
-                    if len(memo) >= MEMO_PARTS:
-                        memo.clear()
-                    memo[p] = x
-            if x is None:
-                return self.part(text)  # the whole text decides
-            got.append(x)
-        na, nb, n, spec, plain, odd = zip(*got)
-        return sum(na), sum(nb), sum(n), ";".join(spec), b"".join(plain), tuple(chain.from_iterable(odd))
+        a, b = self.a.encode(" " + text), self.b.encode(text)
+        whole = (" " + text).encode()
+        # A knows every byte, so only B can fail to give the text back.
+        if b"".join(map(self.b.bytes.__getitem__, b.tolist())) != whole:
+            return None
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        in_a, in_b = np.zeros((2, len(whole) + 1), bool)
+        in_a[ends_a], in_b[ends_b] = True, True
+        last_a, last_b = in_b[ends_a], in_a[ends_b]  # tokens that end a group's side
+        cut_a, cut_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
+        n_a, n_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
+        # Both sides in the order of the groups, a group's A tokens first.
+        at_a = np.arange(len(a)) + np.repeat(cut_b + 1 - n_b, n_a)
+        at_b = np.arange(len(b)) + np.repeat(cut_a + 1, n_b)
+        codes, ids = np.empty(len(a) + len(b), np.int32), np.empty(len(a) + len(b), self.width)
+        codes[at_a], codes[at_b] = 2 * a + last_a, 2 * (self.a.size + b) + last_b
+        ids[at_a], ids[at_b] = a, b
+        spec = "".join(map(self.strings.__getitem__, codes.tolist()))[:-1]
+        plain = (n_a == 1) & (n_b == 1)
+        plain[plain] = self.identity[a[cut_a[plain]]] == b[cut_b[plain]]
+        odd = np.flatnonzero(~plain)
+        size = self.width.itemsize
+        end = (cut_a + cut_b + 2)[odd]
+        start = (end - (n_a + n_b)[odd]) * size
+        packed = ids.tobytes()
+        # The number of A tokens in two values: it may be larger than an id.
+        heads = {k: np.array(divmod(k, 1 << 16), self.width).tobytes() for k in set(n_a[odd].tolist())}
+        groups = [heads[k] + packed[i:j] for k, i, j in zip(n_a[odd].tolist(), start.tolist(), (end * size).tolist())]
+        return len(a), len(b), len(cut_a), spec, a[cut_a[plain]].astype(self.width).tobytes(), groups
 
     def links(self, group: bytes) -> tuple[np.ndarray, np.ndarray]:
         """A and B ids of the links of a packed irregular group."""
-        x = np.frombuffer(group, self.width).tolist()
-        a, b = x[1:1 + x[0]], x[1 + x[0]:]
+        high, low, *x = np.frombuffer(group, self.width).tolist()
+        n = (high << 16) + low
+        a, b = x[:n], x[n:]
         ends_a = np.cumsum([len(self.a.bytes[i]) for i in a])
         ends_b = np.cumsum([len(self.b.bytes[i]) for i in b])
         ends = np.union1d(ends_a, ends_b)  # one link ends at each place where a token of either ends
