@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .alignment import align
 from .bpe import encode
+from .collocations import collocations
 from .common import table
 from .decontaminate import leaks
+from .fingerprints import fingerprints
 from .jaccard import jaccard_join
 from .licenses import scan
 from .line_dedup import apply_bitmaps, keep_bitmaps
@@ -148,6 +150,48 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), tokenizer(PIECE_BPE))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), min_count=100, max_words=5, top=2000)
+
+
+OP12_SQL = r"""
+with w as (
+  select lang, regexp_extract_all(p, '[^\x20\x09]+') as ws from (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p from documents)),
+f as (
+  select lang, k, phrase, count(*) as f from (
+    select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase
+    from w cross join (values (1), (2), (3), (4), (5)) t(k) where len(ws) >= k)
+  group by lang, k, phrase having count(*) >= 100),
+n as (select lang, sum(len(ws))::hugeint as n from w group by lang),
+cut as (select lang, phrase, f as a, string_split(phrase, ' ') as ws, unnest(range(1, k)) as p from f where k > 1),
+scored as (
+  select cut.lang, cut.phrase, cut.a, n.n, p, x.f as l, y.f as r, (1000::hugeint * cut.a * n.n) // (x.f::hugeint * y.f) as score
+  from cut join n using (lang)
+  join f x on x.lang = cut.lang and x.phrase = array_to_string(ws[1:p], ' ')
+  join f y on y.lang = cut.lang and y.phrase = array_to_string(ws[p + 1:], ' ')),
+lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, p) = 1),
+inside as (
+  select lang, array_to_string(ws[i:i + m - 1], ' ') as phrase, max(f) as held from (
+    select lang, f, ws, m, unnest(range(1, len(ws) - m + 2)) as i from (
+      select lang, f, string_split(phrase, ' ') as ws, unnest(range(2, k)) as m from f where k > 2))
+  group by 1, 2),
+ranked as (
+  select lowest.*, row_number() over (partition by lowest.lang order by score desc, a desc, lowest.phrase) as rank
+  from lowest left join inside on inside.lang = lowest.lang and inside.phrase = lowest.phrase
+  where coalesce(100 * held < 100 * a, true))
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n,
+       score::bigint as score
+from ranked where rank <= 2000
+"""
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
@@ -160,10 +204,13 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op11_alignment": op11_alignment,
+    "op12_collocations": op12_collocations,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES = {
     "op8_jaccard": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op12_collocations": OP12_SQL,
 }
