@@ -50,6 +50,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another writer committed the version that this one was about to write."""
+
+
 @dataclass
 class TableState:
     version: int
@@ -144,7 +148,11 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
 
 def _commit(manifest: DataFrame, root: str, version: int) -> None:
     """Write a version's manifest. A version counts once its (single) file is
-    there; what an interrupted attempt left of it is replaced."""
+    there; what an interrupted attempt left of it is replaced, a version that
+    another writer has committed meanwhile is not."""
+    spark, path = manifest.sparkSession, f"{root}/_manifest/v={version}"
+    if _exists(spark, path) and not spark.read.schema(MANIFEST_SCHEMA).parquet(path).isEmpty():
+        raise ConcurrentCommit(f"version {version} of {root} was committed by another writer")
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifest/v={version}")
 
 
@@ -158,18 +166,23 @@ def publish_table(spark: SparkSession, df: DataFrame, root: str, checks=None,
                   fail_on: str = "error") -> tuple[int, str]:
     """§4.3 + Q9: publish a full new version of a mart behind its quality gate.
 
-    The data is written first to a fresh folder; the checks run on what was
-    written (one pass for the row-level checks); only when the gate passes is
-    a new manifest version committed. A failed gate raises and leaves the
-    previous version current. Returns the new version number and the
-    folder written, so a caller can read it back without the manifest.
+    The data is written first to a fresh folder, and the row-level checks are
+    counted by that write itself; only ``unique`` and ``relationships`` read the
+    written table again (their column alone). A new manifest version is committed
+    only when the gate passes; a failed gate raises and leaves the previous version
+    current. Returns the new version number and the folder written, so a caller can
+    read it back without the manifest.
     """
-    from .quality import gate, run_checks
+    from .quality import gate_rows, observe_checks, run_checks
     st = table_state(spark, root)
     ddir = f"{root}/data/full-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(ddir)
-    if checks:
-        gate(run_checks(spark.read.parquet(ddir), checks), fail_on=fail_on)
+    observed = observe_checks(df, checks or [])
+    observed.df.write.parquet(ddir)
+    failures = observed.report()
+    if observed.rest:
+        written = spark.read.schema(df.schema).parquet(ddir)
+        failures += [r.asDict() for r in run_checks(written, observed.rest).collect()]
+    gate_rows(failures, fail_on)
     last = -1 if st.last_batch is None else st.last_batch
     man = spark.createDataFrame([("*", ddir, last)], MANIFEST_SCHEMA)
     _commit(man, root, st.version + 1)

@@ -5,6 +5,8 @@ accepted_range, accepted_values, expression) in **one** aggregate pass:
 one conditional count per check, partial + final aggregation, a single
 one-row result unpivoted into the report. ``unique`` needs its own
 aggregate per column set; ``relationships`` an anti join per parent.
+``observe_checks`` counts the row-level ones while a table is written, at no
+pass at all (an ``Observation`` on the write).
 
 The report is ``DF[check_name, kind, column_name, severity, failures]`` with
 ``failures`` = failing rows (for ``unique``: rows whose value occurs more
@@ -14,10 +16,11 @@ than once, NULLs excluded). :func:`gate` raises before publication when an
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ROW_KINDS = ("not_null", "accepted_range", "accepted_values", "expression")
@@ -86,6 +89,36 @@ def _row(ch: Check, failures: Column) -> Column:
                     failures.cast("long").alias("failures"))
 
 
+class ObservedChecks:
+    """Row-level checks counted while ``df`` is written (or otherwise run through once).
+
+    ``df`` is the frame to write; :meth:`report` gives the failing rows of each
+    check after the write, as the rows of :func:`run_checks`' report."""
+
+    def __init__(self, df: DataFrame, checks: Sequence[Check]):
+        self.checks = [c for c in checks if c.kind in ROW_KINDS]
+        self.rest = [c for c in checks if c.kind not in ROW_KINDS]
+        self.df, self._counts = df, None
+        if self.checks:
+            # A name of its own: several tables are written at once.
+            self._counts = Observation(f"checks-{uuid.uuid4().hex}")
+            self.df = df.observe(self._counts, F.count(F.lit(1)).alias("rows"),
+                                 *[F.count_if(_fail_condition(c)).alias(f"f{i}") for i, c in enumerate(self.checks)])
+
+    def report(self) -> list[dict]:
+        if self._counts is None:
+            return []
+        got = self._counts.get  # of the action that has run
+        return [{"check_name": c.check_name, "kind": c.kind, "column_name": c.column, "severity": c.severity,
+                 "failures": int(got[f"f{i}"])} for i, c in enumerate(self.checks)]
+
+
+def observe_checks(df: DataFrame, checks: Sequence[Check]) -> ObservedChecks:
+    """Q1-Q5, Q9: the row-level checks of a table, to be counted by its write; ``rest``
+    holds the checks that need the written table."""
+    return ObservedChecks(df, checks)
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """The quality report of one table; single pass for the row-level checks."""
     parts = []
@@ -124,7 +157,12 @@ def gate(report: DataFrame, fail_on: str = "error") -> list:
     """Q9: raise when a check of severity ``fail_on`` has failures; returns the
     failing checks (the report is one row per check, so collecting it is
     metadata-sized)."""
-    bad = [r.asDict() for r in report.filter(F.col("failures") > 0).collect()]
+    return gate_rows([r.asDict() for r in report.filter(F.col("failures") > 0).collect()], fail_on)
+
+
+def gate_rows(rows: Sequence[dict], fail_on: str = "error") -> list:
+    """:func:`gate` on the rows of a report."""
+    bad = [r for r in rows if r["failures"]]
     blocking = [r for r in bad if r["severity"] == fail_on]
     if blocking:
         names = ", ".join(f"{r['check_name']}={r['failures']}" for r in blocking)

@@ -4,13 +4,16 @@ control table (S1-S3) and lineage (S8, F12)."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
-from ..operators.merge import read_table
+from ..operators.merge import read_table, table_state
 from ..operators.nested import flatten, parse_documents, path
 from ..session import scratch_path
 from ..sources.control import enabled_sources, landing_plan, read_control
-from ..sources.landing import read_documents, write_landing
+from ..sources.landing import incremental_load, read_documents, write_landing
+from ..streaming.bronze_feed import start_bronze_feed
 from ..streaming.cdc import start_cdc
 from . import feeds
 from .build import publish_history
@@ -21,18 +24,23 @@ from .landing import EVENTS_DOCS, RUN_TS, _events_json
 from .registry import query
 
 
-def decode_fx(raw):
-    """Table documents of a text stream, flattened on two levels: tables, then rates."""
-    docs = parse_documents(raw.withColumn("load", F.regexp_extract("_src_file", r"/load=(\d+)/", 1).cast("int")))
-    tables = flatten(docs, "raw", "$", "t", keep=["load", "_src_file"])
-    tables = tables.select(path("t", "$.effectiveDate", "date").alias("effective_date"), "t", "load", "_src_file")
-    rates = flatten(tables, "t", "$.rates", "r", keep=["effective_date", "load", "_src_file"])
+def fx_rows(docs, load):
+    """Table documents flattened on two levels, tables, then rates; ``load`` orders the loads."""
+    tables = flatten(docs, "raw", "$", "t", keep=[load, "_src_file"])
+    tables = tables.select(path("t", "$.effectiveDate", "date").alias("effective_date"), "t", load, "_src_file")
+    rates = flatten(tables, "t", "$.rates", "r", keep=["effective_date", load, "_src_file"])
     return rates.select("effective_date", path("r", "$.code", "string").alias("currency_code"),
                         path("r", "$.currency", "string").alias("currency_name"),
-                        path("r", "$.mid", "decimal(18,6)", strict=True).alias("mid_rate"), "load", "_src_file",
+                        path("r", "$.mid", "decimal(18,6)", strict=True).alias("mid_rate"), load, "_src_file",
                         F.date_format("effective_date", "yyyy-MM").alias("month"))
 
 
+def decode_fx(raw):
+    """The rates of a text stream of table documents."""
+    return fx_rows(parse_documents(raw.withColumn(
+        "load", F.regexp_extract("_src_file", r"/load=(\d+)/", 1).cast("int"))), "load")
+
+
 def stream_fx(spark, land, target, ckpt):
     q = start_cdc(spark, land, target, ckpt, decode_fx, ["effective_date", "currency_code"], ["load", "_src_file"],
                   "month", max_files_per_trigger=20)
@@ -53,6 +61,40 @@ def q_cdc_fx_rates(spark, sf_dir):
     return read_table(spark, target).select("effective_date", "currency_code", "currency_name", "mid_rate")
 
 
+FX_LOADS = ("2026-04-20 05:30:00", "2026-04-21 05:30:00", "2026-04-22 05:30:00")
+
+
+def feed_fx(spark, bronze, target, ckpt):
+    """The incremental FX table, merged from what the bronze table gained."""
+    q = start_bronze_feed(spark, bronze, target, ckpt, partial(fx_rows, load="_loaded_at"),
+                          ["effective_date", "currency_code"], ["_loaded_at", "_src_file"], "month")
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+@query("bronze_change_feed", f"with {FX_STG_SQL} select effective_date, currency_code, currency_name, mid_rate from stg_fx",
+       "S13 C1 C2 C3 M17 S9")
+def q_bronze_change_feed(spark, sf_dir):
+    """Three bronze loads of FX documents (two halves of the first state, then the
+    revisions), each followed by a merge of the bronze table's changes; a fourth
+    load and merge find nothing new."""
+    land, bronze, target, ckpt = (scratch_path(spark, n) for n in ("feed-landing", "feed-bronze", "feed-target", "feed-ckpt"))
+    first, revised = fx_docs(spark, sf_dir)
+    half = F.col("ingest_date") < "1998-01-01"
+    for load, (docs, run_ts) in enumerate(zip((first.where(half), first.where(~half), revised), FX_LOADS), 1):
+        write_landing(docs.withColumn("load", F.lit(load)), land, partition_cols=("load", "ingest_date"))
+        incremental_load(spark, land, bronze, run_ts)
+        feed_fx(spark, bronze, target, ckpt)
+    version = table_state(spark, target).version
+    if incremental_load(spark, land, bronze, FX_LOADS[-1]):
+        raise RuntimeError("a file was loaded twice")
+    feed_fx(spark, bronze, target, ckpt)
+    if table_state(spark, target).version != version:
+        raise RuntimeError("changes were merged twice")
+    return read_table(spark, target).select("effective_date", "currency_code", "currency_name", "mid_rate")
+
+
 @query("mart_fx_returns", f"""with {FX_STG_SQL},
 {_series_sql('steps', 'stg_fx', 'currency_code', 'effective_date', 'mid_rate')},
 moves as (select *, mid_rate / nullif(before, 0) - 1 as move from steps)
@@ -120,8 +162,11 @@ def q_index_revision_history(spark, sf_dir):
     return history
 
 
+CONTROL_BLOCK = 500  # source records of one control document
+
+
 def _control_file(spark, sf_dir):
-    """A control document with one source record per supplier."""
+    """Control documents with one source record per supplier, a block of suppliers each."""
     k = F.col("s_suppkey")
     source = F.struct(
         F.concat(F.lit("src_"), k.cast("string")).alias("source_id"), (k % 3 != 0).alias("enabled"),
@@ -130,10 +175,11 @@ def _control_file(spark, sf_dir):
         F.lit("daily").alias("frequency"), F.lit("raw").alias("landing_container"),
         F.concat(F.lit("source=s"), k.cast("string"), F.lit("/ingest_date={ingest_date}")).alias("landing_path_template"),
         F.when(k % 5 == 0, "backfill.json").otherwise("day_{ingest_date}.json").alias("file_name_template"))
-    doc = table(spark, sf_dir, "supplier").agg(F.collect_list(source).alias("sources")).select(
-        F.to_json(F.struct(F.lit("1.0").alias("schema_version"), "sources")).alias("value"))
+    block = F.floor(k / CONTROL_BLOCK).alias("block")
+    doc = table(spark, sf_dir, "supplier").groupBy(block).agg(F.collect_list(source).alias("sources")).select(
+        "block", F.to_json(F.struct(F.lit("1.0").alias("schema_version"), "sources")).alias("value"))
     root = scratch_path(spark, "control")
-    doc.write.text(root)
+    doc.write.partitionBy("block").text(root)  # a file holds one document
     return read_control(spark, root)
 
 

@@ -85,6 +85,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job of this library has written (nothing under Spark Connect)."""
+    sc = _context(spark)
+    if sc is not None:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def make_path(spark: SparkSession, path: str) -> None:
+    """Create a folder on its (Hadoop) file system, if it is not there."""
+    sc = _context(spark)
+    if sc is not None:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     return f"{shared_dir(spark).rstrip('/')}/seriesmart/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,7 +5,8 @@
 * S5  JSON documents, one VARIANT row per document, with lineage (S8).
 * S6  wide CSV read by position, only the projected columns are parsed.
 * S7  file selection by regex on the full path (and/or a glob on the name).
-* S9  idempotent incremental load: listing anti-joined with a ledger.
+* S9  idempotent incremental load: listing anti-joined with a ledger; the files
+  to load are planned as a table, read by folder and semi-joined to that plan.
 * S10 load policies: ``abort`` / ``continue`` / ``skip_file``.
 * S11 file listing through the ``binaryFile`` source without content.
 
@@ -18,13 +19,15 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import drop_path, path_exists
+
 LINEAGE = ("_src_file", "_loaded_at")
 POLICIES = ("abort", "continue", "skip_file")
 
@@ -49,9 +52,38 @@ def write_landing(df: DataFrame, root: str, fmt: str = "text",
      .partitionBy(*partition_cols).format(fmt).save(root))
 
 
+@dataclass(frozen=True)
+class LoadPlan:
+    """The files that a load sets out to read: a written table (``path,
+    modificationTime, length, file``), the folders that hold them and the range of
+    their modification times (microseconds). Readers take a plan like a path."""
+
+    files: DataFrame
+    count: int
+    folders: tuple[str, ...]
+    first: int
+    last: int
+
+
+def _opened(path, read) -> DataFrame:
+    """The records of a path or of a plan's files, with ``_src_file``. ``read(path,
+    recursive)`` opens folders. Whole folders are read; files outside the plan's
+    range of modification times are left out of the scan itself (a filter on file
+    metadata prunes the listing), the others by a semi join."""
+    planned = isinstance(path, LoadPlan)
+    df = read([_literal(f) for f in path.folders] if planned else path, planned)
+    time = F.col("_metadata.file_modification_time")
+    if planned:
+        df = df.filter(time.between(F.timestamp_micros(F.lit(path.first)), F.timestamp_micros(F.lit(path.last))))
+    df = df.withColumn("_src_file", F.col("_metadata.file_path"))
+    if planned:
+        df = df.join(path.files.select(F.col("file").alias("_src_file")), "_src_file", "left_semi")
+    return df
+
+
 def _select_files(df: DataFrame, pattern: str | None) -> DataFrame:
     if pattern:
-        df = df.filter(F.col("_metadata.file_path").rlike(pattern))
+        df = df.filter(F.col("_src_file").rlike(pattern))
     return df
 
 
@@ -89,9 +121,9 @@ def scan_documents(spark: SparkSession, path, run_ts, pattern: str | None = None
     r = spark.read
     if name_glob:
         r = r.option("pathGlobFilter", name_glob)
-    # text() sets its own wholetext default, so pass it there.
-    df = _select_files(r.text(path, wholetext=whole_file), pattern)
-    df = df.withColumn("_src_file", F.col("_metadata.file_path"))
+    # text() sets its own defaults, so pass the options there.
+    df = _opened(path, lambda p, deep: r.text(p, wholetext=whole_file, recursiveFileLookup=deep or None))
+    df = _select_files(df, pattern)
     text = F.col("value")
     if not whole_file:
         df = df.filter(F.trim(text) != "")
@@ -125,12 +157,11 @@ def scan_positional_csv(spark: SparkSession, path, n_cols: int, project: Mapping
     a row with too few or too many fields, or a value that does not parse."""
     schema = T.StructType([*[T.StructField(f"c{i}", T.StringType()) for i in range(1, n_cols + 1)],
                            T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
-          .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .option("columnPruning", False)  # the fields of a row are only counted when all are parsed
-          .csv(path))
-    df = _select_files(df, pattern).withColumn("_src_file", F.col("_metadata.file_path"))
+    r = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
+         .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+         .option("columnNameOfCorruptRecord", CORRUPT)
+         .option("columnPruning", False))  # the fields of a row are only counted when all are parsed
+    df = _select_files(_opened(path, lambda p, deep: r.csv(p, recursiveFileLookup=deep or None)), pattern)
     why, typed = F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of fields")), []
     for pos, (name, type_) in sorted(project.items()):
         raw = F.col(f"c{pos}")
@@ -177,11 +208,6 @@ def pending_files(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
     return listing.join(ledger.select(*keys), keys, "left_anti")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from ..session import path_exists
-    return path_exists(spark, path)
-
-
 @dataclass(frozen=True)
 class LoadResult:
     """Files loaded, files skipped (they stay pending), records rejected."""
@@ -196,36 +222,88 @@ def _literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+MAX_FOLDERS = 1000  # folders that a load names to the reader; beyond, it reads below the landing root
+FILE_COLUMNS = ("path", "modificationTime", "length", "file")
+
+
+def plan_load(spark: SparkSession, pending: DataFrame, plan_path: str, landing: str) -> LoadPlan | None:
+    """Write the pending files down and say how to read them; None (and nothing
+    written) when there are none. Only folder names and counts come to the driver."""
+    pending.select(*FILE_COLUMNS).write.parquet(plan_path)
+    files = spark.read.schema(pending.select(*FILE_COLUMNS).schema).parquet(plan_path)
+    time = F.unix_micros("modificationTime")
+    parts = (files.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
+             .agg(F.count("*").alias("n"), F.min(time).alias("first"), F.max(time).alias("last"))
+             .limit(MAX_FOLDERS + 1).collect())
+    if not parts:
+        drop_path(spark, plan_path)
+        return None
+    if len(parts) > MAX_FOLDERS:
+        total = files.agg(F.count("*").alias("n"), F.min(time).alias("first"), F.max(time).alias("last")).first()
+        return LoadPlan(files, total.n, (landing,), total.first, total["last"])
+    # A folder below another one is read with it.
+    folders, names = [], {r.folder for r in parts}
+    for f in sorted(names):
+        above = f.split("/")
+        if not any("/".join(above[:i]) in names for i in range(1, len(above))):
+            folders.append(f)
+    return LoadPlan(files, sum(r.n for r in parts), tuple(folders), min(r["first"] for r in parts),
+                    max(r["last"] for r in parts))
+
+
+COMMIT_SCHEMA = T.StructType([T.StructField("run", T.StringType()), T.StructField("loaded_at", T.TimestampNTZType()),
+                              T.StructField("files", T.LongType()), T.StructField("rejected", T.LongType())])
+
+
+def commits_path(bronze: str) -> str:
+    return f"{bronze}/commits"
+
+
+def read_commits(spark: SparkSession, bronze: str) -> DataFrame | None:
+    """One row per committed load run: ``run, loaded_at, files, rejected``."""
+    path = commits_path(bronze)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+
+
+def read_ledger(spark: SparkSession, bronze: str) -> DataFrame | None:
+    """The files of committed runs: ``path, modificationTime, length, file, run, _loaded_at``."""
+    commits = read_commits(spark, bronze)
+    if commits is None or not path_exists(spark, f"{bronze}/ledger"):
+        return None
+    ledger = spark.read.option("recursiveFileLookup", True).parquet(f"{bronze}/ledger")
+    return ledger.join(commits.select("run"), "run", "left_semi")
+
+
 def load_pending(spark: SparkSession, landing: str, bronze: str, run_ts, pattern: str | None = None,
                  scan=None, on_error: str = "abort", listing: DataFrame | None = None) -> LoadResult:
     """S9 + S10: load the files that are not in the ledger.
 
-    ``bronze`` holds ``data/run=<id>/``, ``rejects/run=<id>/`` (every record that a
-    policy dropped, with its reason) and ``ledger/run=<id>/``. The ledger entry of
-    a run is written last, and readers only see runs that have one
-    (:func:`read_bronze`), so a crash leaves an invisible orphan and the retry
-    loads the files again once. Files that ``skip_file`` leaves out get no entry
-    and are tried again by the next load. ``scan(spark, paths, run_ts)`` decodes
-    the pending files (default: :func:`scan_documents`). ``listing`` reuses a
-    listing of the landing root shared by several feeds.
+    ``bronze`` holds for each run ``plan/run=<id>/`` (the files that it set out to
+    load), ``data/run=<id>/``, ``rejects/run=<id>/`` (every record that a policy
+    dropped, with its reason), ``ledger/run=<id>/`` (the files that it loaded) and,
+    written last, one row in ``commits/<id>/``. Readers only see runs with a commit
+    (:func:`read_bronze`), so a crash leaves an invisible orphan and the retry loads
+    the files again once. Files that ``skip_file`` leaves out get no entry and are
+    tried again by the next load. ``scan(spark, plan, run_ts)`` decodes the pending
+    files (default: :func:`scan_documents`); a plan goes where a path does.
+    ``listing`` reuses a listing of the landing root shared by several feeds.
+
+    The list of files stays a table: it is written, counted and joined by the
+    cluster, whatever its length.
     """
     _check_policy(on_error)
     if listing is None:
         listing = list_files(spark, landing, pattern)
     elif pattern:
         listing = listing.filter(F.col("path").rlike(pattern))
-    ledger_path = f"{bronze}/ledger"
-    ledger = spark.read.parquet(ledger_path) if _exists(spark, ledger_path) else None
-    # Metadata of the pending files only (what any Spark reader lists on the driver),
-    # taken once: the files read and the files recorded in the ledger are the same.
-    columns = ["path", "modificationTime", "length", "file"]
-    todo = [tuple(r) for r in pending_files(listing, ledger).select(*columns).collect()]
-    if not todo:
-        return LoadResult(0)
     run_id = "r" + uuid.uuid4().hex[:12]  # a letter first: never read as a number
-    scanned = (scan or scan_documents)(spark, [_literal(t[0]) for t in todo], run_ts)
-    files = spark.createDataFrame(todo, listing.select(*columns).schema)
-    skipped = n_rejected = 0
+    plan = plan_load(spark, pending_files(listing, read_ledger(spark, bronze)), f"{bronze}/plan/run={run_id}", landing)
+    if plan is None:
+        return LoadResult(0)
+    scanned, files = (scan or scan_documents)(spark, plan, run_ts), plan.files
+    n_rejected, loaded = 0, plan.count
     if on_error != "abort":
         rejected(scanned).write.parquet(f"{bronze}/rejects/run={run_id}")
         rejects = spark.read.parquet(f"{bronze}/rejects/run={run_id}")
@@ -234,12 +312,16 @@ def load_pending(spark: SparkSession, landing: str, bronze: str, run_ts, pattern
             bad = rejects.select(F.col("_src_file").alias("file")).distinct()
             scanned = scanned.join(bad.withColumnRenamed("file", "_src_file"), "_src_file", "left_anti")
             files = files.join(bad, "file", "left_anti")
-            skipped = len(todo) - files.count()
-    apply_policy(scanned, on_error).write.mode("append").parquet(f"{bronze}/data/run={run_id}")
-    if len(todo) > skipped:
+            loaded = files.count()
+    apply_policy(scanned, on_error).write.parquet(f"{bronze}/data/run={run_id}")
+    if loaded:
         (files.withColumn("run", F.lit(run_id)).withColumn("_loaded_at", run_stamp(run_ts))
-         .write.mode("append").parquet(f"{bronze}/ledger/run={run_id}"))
-    return LoadResult(len(todo) - skipped, skipped, n_rejected)
+         .write.parquet(f"{bronze}/ledger/run={run_id}"))
+        commit = spark.range(1).select(F.lit(run_id).alias("run"), run_stamp(run_ts).alias("loaded_at"),
+                                       F.lit(loaded).cast("long").alias("files"),
+                                       F.lit(n_rejected).cast("long").alias("rejected"))
+        commit.coalesce(1).write.parquet(f"{commits_path(bronze)}/{run_id}")  # one file: there whole or not at all
+    return LoadResult(loaded, plan.count - loaded, n_rejected)
 
 
 def incremental_load(spark: SparkSession, landing: str, bronze: str, run_ts, pattern: str | None = None,
@@ -249,15 +331,19 @@ def incremental_load(spark: SparkSession, landing: str, bronze: str, run_ts, pat
 
 
 def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
-    """Bronze rows of committed runs only (runs present in the ledger). A file that
-    was loaded again, rewritten or merely touched, counts with its last load."""
+    """Bronze rows of committed runs only. A file that was loaded again, rewritten
+    or merely touched, counts with its last load."""
     data = spark.read.option("basePath", f"{bronze}/data").parquet(f"{bronze}/data")
-    last = (spark.read.option("basePath", f"{bronze}/ledger").parquet(f"{bronze}/ledger")
-            .groupBy(F.col("file").alias("_src_file"))
-            .agg(F.max_by("run", F.struct("_loaded_at", "modificationTime", "run")).cast("string").alias("run")))
+    last = (read_ledger(spark, bronze).groupBy(F.col("file").alias("_src_file"))
+            .agg(F.max_by("run", F.struct("_loaded_at", "modificationTime", "run")).alias("run")))
     return data.withColumn("run", F.col("run").cast("string")).join(last, ["_src_file", "run"], "left_semi").drop("run")
 
 
+def read_runs(spark: SparkSession, bronze: str, runs: Sequence[str]) -> DataFrame:
+    """What the given runs appended, row by row: the changes of the bronze table."""
+    return spark.read.parquet(*[f"{bronze}/data/run={r}" for r in runs])
+
+
 def read_rejects(spark: SparkSession, bronze: str) -> DataFrame:
     """Every record that a load rejected: ``_src_file, record, reason, _loaded_at, run``."""
     return spark.read.option("basePath", f"{bronze}/rejects").parquet(f"{bronze}/rejects")
