@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import (BYTE_POWERS, LOWER, WORD_POWERS, Powers, materialize, mix64, pick, prefix_hash, slices, span_hash,
+from .common import (LOWER, WORD_POWERS, Powers, materialize, mix64, pick, prefix_hash, slices, span_hash,
                      word_hashes)
 
-BLOCK_BITS = 22                 # a block holds less than 2**22 bytes of text (but for a longer word)
+BLOCK_BITS = 21                 # a block holds less than 2**21 bytes of text (but for a longer word)
 ROW_BITS = 18                   # and a task fewer than 2**18 blocks
 BLOCK_BYTES = (1 << BLOCK_BITS) - (1 << 16)
+STRETCH = 1 << 17               # bytes of a block that are hashed at a time
 
 # Second, independent polynomials (any fixed odd multipliers would do).
 CHECK_BYTES, CHECK_WORDS = Powers(0xA0761D6478BD642F), Powers(0xE7037ED1A0B428DB)
@@ -79,7 +80,7 @@ def coded(lang: str, text: bytes, own: int) -> dict | None:
         return None
     stops = np.cumsum(_STOP[buf], dtype=np.int32)[starts]
     breaks = np.diff(stops, prepend=stops[:1]) > 0
-    hashes, checks = word_hashes(buf, starts, ends), check_hashes(buf, starts, ends)
+    hashes, checks = hashed(buf, starts, ends)
     _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
     if (checks != checks[first][number]).any():  # two words of one hash: by their bytes
         table: dict[bytes, int] = {}
@@ -95,8 +96,18 @@ def coded(lang: str, text: bytes, own: int) -> dict | None:
             "n_words": mine}
 
 
-def check_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hash(prefix_hash(CHECK_CODE[buf], CHECK_BYTES), starts, ends, CHECK_BYTES)
+def hashed(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of words, a stretch of the text at a time: the polynomials take
+    eight bytes for each byte of it."""
+    out, check = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    steps = np.searchsorted(starts, np.arange(0, len(buf) + STRETCH, STRETCH))
+    for i, j in zip(steps[:-1].tolist(), steps[1:].tolist()):
+        if i < j:
+            low = starts[i]
+            part, s, e = buf[low:ends[j - 1]], starts[i:j] - low, ends[i:j] - low
+            out[i:j] = word_hashes(part, s, e)
+            check[i:j] = span_hash(prefix_hash(CHECK_CODE[part], CHECK_BYTES), s, e, CHECK_BYTES)
+    return out, check
 
 
 class Block:
@@ -112,8 +123,8 @@ class Block:
         self.seed = np.uint64(xxhash.xxh64_intdigest(lang))
         word = self.ids >= 0
         value = lambda h: np.where(word, h[self.ids], np.uint64(0))
-        self.prefix = prefix_hash(value(word_hashes(buf, starts, ends)), WORD_POWERS)
-        self.check = prefix_hash(value(check_hashes(buf, starts, ends)), CHECK_WORDS)
+        words, checks = hashed(buf, starts, ends)
+        self.prefix, self.check = prefix_hash(value(words), WORD_POWERS), prefix_hash(value(checks), CHECK_WORDS)
         at = np.where(word, len(self.ids), np.arange(len(self.ids)))
         self.room = np.minimum.accumulate(at[::-1])[::-1] - np.arange(len(self.ids))  # words up to the piece's end
 

@@ -31,7 +31,7 @@ from .common import materialize, mix64, pick, slices, window_hashes, word_bounds
 WORDS = 5      # words of a shingle; a text of fewer words is one shingle
 SCALE = 16     # a hash is kept when it is below 2**64 / SCALE
 LEAST = 64     # hashes that a text keeps in any case, if it has them
-RANGE_ROWS = 20_000  # documents of a range, about
+RANGE_ROWS = 10_000  # documents of a range, about
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
