@@ -12,14 +12,18 @@ they stand, go through the same join, and an item shorter than a window is one
 window of its own length. They find exact copies whose templates say too little:
 items of numbers, names in another case, short questions inside a document.
 
-The first pass over all documents only finds those that share a window at all
-(the benchmark's window hashes are broadcast behind a size check, beyond which
-the join shuffles); slots and alignments are worked out for these alone.
+The first pass over all documents only finds those that may hold enough of an item.
+A document that lacks all of an item's rarest windows, chosen one more in number
+than a reported document may lack, cannot hold the share that counts. Each of
+these windows is looked for where its rarest word stands, so the other words of a
+document cost one look-up and no window. What is broadcast is behind a size check,
+beyond which the joins shuffle; slots and alignments are worked out for the
+documents found alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import checked_broadcast
@@ -91,6 +95,41 @@ def _verbatim_windows(df: DataFrame, lengths: list[int], keys: list[str]) -> Dat
             .select(*keys, F.lit(VERBATIM).alias("kind"), "x.pos", "x.h", F.array().cast("array<string>").alias("slots")))
 
 
+def _probes(items: DataFrame, window: int, coverage: float, kinds: list[int]) -> DataFrame:
+    """(word, offset, n, kind, h): where to look for windows, and the hash to find there.
+
+    An item's windows of a kind stand at m positions; a reported document matches at
+    least ``ceil(coverage * m)`` of them, so it matches one of any ``m - ceil(coverage
+    * m) + 1``: the ones whose rarest word is rarest, by the items' own words.
+    ``word`` is the hash of that word without its placeholder, ``offset`` its place."""
+    word = lambda w, i: F.struct(i.alias("at"), F.xxhash64(plain_word(w)).alias("word"), is_slot(w).alias("slot"))
+    uses = items.select(F.explode("words").alias("w")).groupBy(F.xxhash64(plain_word(F.col("w"))).alias("word")).agg(
+        F.count("*").alias("uses"))
+    # Items that share an id keep their own words: everything stays in the row of a window.
+    spots = items.select("item", F.explode(F.transform(_starts(F.col("words"), window), lambda i: F.struct(
+        i.alias("pos"), F.slice("words", i, window).alias("w")))).alias("x")).select("item", "x.*")
+    spots = spots.where(F.size("w") > 0).withColumn("n", F.size("w"))
+    both = None
+    for kind in kinds:
+        form = bare if kind == TEMPLATE else plain_word
+        rows = spots.withColumn("kind", F.lit(kind)).withColumn("h", F.xxhash64(F.transform("w", form)))
+        if kind == TEMPLATE:
+            rows = rows.where(F.col("n") >= 2 * F.size(F.filter("w", is_slot)))
+        both = rows if both is None else both.unionByName(rows)
+    each = both.select("item", "kind", "pos", "n", "h", F.explode(F.transform("w", word)).alias("x")).select(
+        "item", "kind", "pos", "n", "h", "x.*")
+    # A placeholder of a template may stand for anything, so it is no word to look for.
+    each = each.where((F.col("kind") == VERBATIM) | ~F.col("slot")).join(uses, "word")
+    rarest = each.groupBy("item", "kind", "pos", "n", "h").agg(F.min(F.struct(
+        "uses", "word", F.col("at").alias("offset"))).alias("x"))
+    of_item = Window.partitionBy("item", "kind")
+    ranked = (rarest.withColumn("worst", F.max("x.uses").over(Window.partitionBy("item", "kind", "pos")))
+              .withColumn("rank", F.dense_rank().over(of_item.orderBy("worst", "pos")))
+              .withColumn("m", F.max("rank").over(of_item)))
+    needed = F.ceil(F.col("m") * coverage - 1e-9)
+    return ranked.where(F.col("rank") <= F.col("m") - needed + 1).select("x.word", "x.offset", "n", "kind", "h").distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE,
           id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", verbatim: bool = False) -> DataFrame:
@@ -124,20 +163,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
         item_windows = item_windows.unionByName(_verbatim_windows(items, [window], ["item"]))
     item_windows = materialize(item_windows.select("item", "kind", F.col("pos").alias("item_pos"), "h",
                                                    F.col("slots").alias("item_slots")).distinct(), "leak-items")
-    hashes = checked_broadcast(item_windows.select("h").distinct(), BROADCAST_ROWS)
+    probes = materialize(_probes(items, window, coverage, [TEMPLATE, VERBATIM] if verbatim else [TEMPLATE]), "leak-probes")
+    places = checked_broadcast(probes.select("word", "offset", "n", "kind").distinct(), BROADCAST_ROWS)
+    hashes = checked_broadcast(probes.select("h").distinct(), BROADCAST_ROWS)
 
     src = pick(docs, {"id": id_col, "text": text_col}).where("id is not null")
-    hashed = lambda words, n: F.transform(_starts(F.col(words), n), lambda i: F.xxhash64(F.slice(words, i, n)))
-    seen = src.select("id", words_of(F.col("text")).alias("words")).select(
-        "id", F.transform("words", bare).alias("bare"), F.transform("words", plain_word).alias("plain"))
-    # A window without a slot is the same in both kinds and hashed once.
-    every = [hashed("bare", window), *[hashed("plain", n) for n in lengths]]
-    seen = (seen.select("id", F.explode(F.array_distinct(F.concat(*every)) if verbatim else every[0]).alias("h"))
-            .join(hashes, "h", "left_semi").select("id").distinct())
-    seen = materialize(seen, "leak-documents")
-
-    found = (src.join(checked_broadcast(seen, BROADCAST_ROWS), "id", "left_semi")
-             .select("id", words_of(F.col("text")).alias("words")))
+    spread = src.select("id", words_of(F.col("text")).alias("words")).select("id", "words", F.posexplode("words").alias("p", "w"))
+    spread = spread.select("id", "words", "p", F.xxhash64(plain_word(F.col("w"))).alias("word"))
+    held = (spread.join(places, "word").withColumn("start", F.col("p") - F.col("offset") + 1).where("start >= 1")
+            .withColumn("part", F.slice("words", F.col("start"), F.col("n"))))
+    held = held.select("id", F.xxhash64(F.when(F.col("kind") == TEMPLATE, F.transform("part", bare)).otherwise(
+        F.transform("part", plain_word))).alias("h"))
+    seen = materialize(held.join(hashes, "h", "left_semi").select("id").distinct(), "leak-documents")
+
+    # The documents found, read from the table once.
+    found = materialize(src.join(checked_broadcast(seen, BROADCAST_ROWS), "id", "left_semi")
+                        .select("id", words_of(F.col("text")).alias("words")), "leak-texts")
     doc_windows = _windows(found, window, ["id"]).drop("n")
     if verbatim:
         doc_windows = doc_windows.unionByName(_verbatim_windows(found, lengths, ["id"]))

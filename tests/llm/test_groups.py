@@ -287,6 +287,55 @@ def brute_leaks(rows, items, window, coverage):
     return out
 
 
+def brute_verbatim(rows, items, window, coverage):
+    """The same for plain words; an item under a window's length is one window."""
+    plain = lambda t: [w[1:] if "\ue000" <= w[0] <= "\ue002" else w for w in brute_template(t)[1]]
+    out = set()
+    for item, text in items:
+        words = plain(text)
+        n = min(window, len(words))
+        mine = {a: tuple(words[a:a + n]) for a in range(len(words) - n + 1)} if words else {}
+        for d, t in rows:
+            theirs = plain(t)
+            held = {tuple(theirs[a:a + n]) for a in range(len(theirs) - n + 1)} if n else set()
+            if mine and sum(w in held for w in mine.values()) / len(mine) >= coverage:
+                out.add((d, item))
+    return out
+
+
+def test_verbatim_leaks_equal_brute_force_on_the_tables(spark, docs_of):
+    """The registered setting, over whole tables and over texts made from items' words."""
+    d = "/root/testdata/sf0.001"
+    docs, bench = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "benchmark"))
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    rng = random.Random(9)
+    made = []
+    for k in range(60):  # parts of items of every length, in other texts
+        words = rng.choice(items)[1].split()
+        a, b = sorted(rng.sample(range(len(words) + 1), 2))
+        made.append((10_000 + k, "Before. " + " ".join(words[a:b]) + " After it, more."))
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + made
+    more = [*items, (900, "5 7 9"), (901, items[0][1].upper()), (900, "After it, more")]
+    got = {(r.doc_id, r.item_id) for r in D.leaks(docs_of(rows), spark.createDataFrame(more, "item_id long, text string"),
+                                                  verbatim=True).collect()}
+    unique = [i for i in more if i[0] != 900]
+    want = brute_leaks(rows, unique, D.WINDOW, D.COVERAGE) | brute_verbatim(rows, unique, D.WINDOW, D.COVERAGE)
+    assert {g for g in got if g[1] != 900} == want
+    assert {g[0] for g in got if g[1] == 900} >= {10_000 + k for k in range(60)}  # one of the two texts of its id
+
+
+@pytest.mark.parametrize("window,coverage", [(3, 0.3), (4, 1.0), (8, 0.7)])
+def test_leaks_other_windows_and_shares(spark, docs_of, window, coverage):
+    rng = random.Random(window)
+    vocabulary = ["alpha", "beta", "gamma", "Delta", "7", "12", "km", "the", "of", "run"]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, text(rng.randint(1, 14))) for i in range(25)]
+    rows = [(i, text(8) + " " + rng.choice(items)[1] + " " + text(rng.randint(0, 6))) for i in range(60)]
+    got = {(r.doc_id, r.item_id) for r in D.leaks(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"),
+                                                  window, coverage, verbatim=True).collect()}
+    assert got == brute_leaks(rows, items, window, coverage) | brute_verbatim(rows, items, window, coverage)
+
+
 ITEMS = [(1, "A train travels 120 km in 2 hours, then Maria drives 60 km more; how far did Maria and the train go in total?"),
          (2, "What is the capital of the old kingdom that lies beyond the seven hills near the long river?"),
          (3, "Three words only"), (4, None), (5, "5 7 9 11 13 15 17 19 21 23")]
