@@ -30,9 +30,10 @@ from . import bloom
 from .common import (LOWER, WORD_POWERS, Powers, materialize, mix64, pick, prefix_hash, slices, span_hash,
                      word_hashes)
 
-BLOCK_BITS = 21                 # a block holds less than 2**21 bytes of text (but for a longer word)
+BLOCK_BITS = 20                 # a block holds less than 2**20 bytes of text (but for a longer word)
 ROW_BITS = 18                   # and a task fewer than 2**18 blocks
 BLOCK_BYTES = (1 << BLOCK_BITS) - (1 << 16)
+GROUP_BLOCKS = 8                # blocks that are read at a time
 STRETCH = 1 << 17               # bytes of a block that are hashed at a time
 
 # Second, independent polynomials (any fixed odd multipliers would do).
@@ -69,8 +70,8 @@ def cuts(text: bytes, words: int, size: int = BLOCK_BYTES):
 
 def coded(lang: str, text: bytes, own: int) -> dict | None:
     """The block of a lower-cased text: ``words`` (distinct, blank between), ``ids``
-    (numbers of words, -1 where a piece ends), ``own`` (ids that begin in the own
-    part of the text) and the number of its own words."""
+    (numbers of words, the largest number of their width where a piece ends), ``own``
+    (ids that begin in the own part of the text) and the number of its own words."""
     buf = np.frombuffer(text, np.uint8)
     word = np.zeros(len(buf) + 2, np.int8)
     word[1:-1] = ~_GAP[buf]
@@ -89,13 +90,18 @@ def coded(lang: str, text: bytes, own: int) -> dict | None:
     else:
         distinct = [text[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
     at = np.arange(len(starts)) + np.cumsum(breaks)
-    ids = np.full(at[-1] + 1, -1, np.int32)
+    width = width_of(len(distinct))
+    ids = np.full(at[-1] + 1, np.iinfo(width).max, width)
     ids[at] = number
     mine = int((starts < own).sum())
     return {"lang": lang, "words": b" ".join(distinct), "ids": ids.tobytes(), "own": int(at[mine - 1]) + 1 if mine else 0,
             "n_words": mine}
 
 
+def width_of(words: int) -> type:
+    return np.uint16 if words < np.iinfo(np.uint16).max else np.uint32
+
+
 def hashed(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both hashes of words, a stretch of the text at a time: the polynomials take
     eight bytes for each byte of it."""
@@ -118,15 +124,16 @@ class Block:
         gaps = np.flatnonzero(buf == 0x20)
         starts, ends = np.r_[0, gaps + 1], np.r_[gaps, len(buf)]
         self.text = words.split(b" ")
-        self.ids = np.frombuffer(ids, np.int32)
+        raw = np.frombuffer(ids, width_of(len(self.text)))
+        word = raw < len(self.text)
+        self.ids = np.where(word, raw, len(self.text)).astype(np.int32)
         self.own, self.mask = own, np.uint64(mask)
         self.seed = np.uint64(xxhash.xxh64_intdigest(lang))
-        word = self.ids >= 0
-        value = lambda h: np.where(word, h[self.ids], np.uint64(0))
-        words, checks = hashed(buf, starts, ends)
-        self.prefix, self.check = prefix_hash(value(words), WORD_POWERS), prefix_hash(value(checks), CHECK_WORDS)
-        at = np.where(word, len(self.ids), np.arange(len(self.ids)))
-        self.room = np.minimum.accumulate(at[::-1])[::-1] - np.arange(len(self.ids))  # words up to the piece's end
+        words, checks = (np.append(h, np.uint64(0)) for h in hashed(buf, starts, ends))
+        self.prefix, self.check = prefix_hash(words[self.ids], WORD_POWERS), prefix_hash(checks[self.ids], CHECK_WORDS)
+        here = np.arange(len(self.ids), dtype=np.int32)
+        stop = np.where(word, np.int32(len(self.ids)), here)
+        self.room = np.minimum.accumulate(stop[::-1])[::-1] - here  # words up to the piece's end
 
     def prints(self, at: np.ndarray, k: int) -> np.ndarray:
         return mix64(span_hash(self.prefix, at, at + k, WORD_POWERS) ^ self.seed) & self.mask
@@ -184,7 +191,7 @@ def _blocks(src: DataFrame, words: int) -> DataFrame:
                         ("n_words", pa.int64())])
     got = src.mapInArrow(build, "lang string, words binary, ids binary, own int, n_words long")
     # The number is fixed once it is written.
-    return materialize(got.withColumn("block", F.monotonically_increasing_id()), "phrase-blocks")
+    return materialize(got.withColumn("block", F.monotonically_increasing_id()), "phrase-blocks", GROUP_BLOCKS)
 
 
 _BLOCK = ["lang", "words", "ids", "own"]

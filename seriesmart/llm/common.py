@@ -24,12 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame:
     """Write a frame to the session's shared folder and read it back: cuts the
-    lineage, and a lost executor costs a re-read instead of a recomputation."""
+    lineage, and a lost executor costs a re-read instead of a recomputation.
+    ``group_rows`` bounds the rows of a row group, which is what a reader holds at
+    once when rows are large."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    options = {"parquet.block.row.count.limit": group_rows} if group_rows else {}
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -177,6 +177,15 @@ def test_counts_of_long_texts_cut_into_blocks(spark, monkeypatch):
         assert whole == expected
 
 
+def test_block_of_many_distinct_words():
+    """More distinct words than two bytes can number."""
+    text = " ".join(f"w{i}" for i in range(70_000)) + ". w1 w2"
+    row = col.coded("en", text.encode(), len(text))
+    block = col.Block("en", row["words"], row["ids"], row["own"], (1 << 64) - 1)
+    assert block.phrase(0, 5) == "w0 w1 w2 w3 w4" and block.room[69_999] == 1 and block.room[70_000] == 0
+    assert block.prints(np.array([1, 70_001]), 2)[0] == block.prints(np.array([70_001]), 2)[0]
+
+
 def test_word_totals(spark):
     _, totals = phrase_counts(_docs(spark, PHRASES), min_count=2)
     words = Counter()
