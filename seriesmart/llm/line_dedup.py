@@ -67,11 +67,11 @@ def runs_of(positions: Column) -> Column:
         at(i).alias("start"), (F.coalesce(F.get(first, k + 1), n) - i).alias("length")))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  names: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
     """Every input row with its columns, the text replaced by its kept lines, and
     ``n_lines``, ``n_dropped`` beside it. A text that loses nothing is unchanged,
-    null included."""
+    null included. Other ``names`` keep input columns that are called so."""
     marks = bitmaps.select(F.col(id_col).alias("__id"), F.col("drops").alias("__drops"))
     joined = docs.join(marks, F.col(id_col) == F.col("__id"), "left")
     lines = lines_of(F.col(text_col))
@@ -83,9 +83,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
         F.array_repeat(F.lit(False), r["length"].cast("int")))))
     kept = F.array_join(F.filter(F.col("__lines"), lambda _, i: F.coalesce(F.get(F.col("__flags"), i), F.lit(True))), "\n")
     out = (joined.withColumn("__lines", lines).withColumn("__flags", flags)
-           .withColumn("n_lines", F.size("__lines").cast("long"))
-           .withColumn("n_dropped", F.coalesce(F.aggregate(
+           .withColumn("__n_lines", F.size("__lines").cast("long"))
+           .withColumn("__n_dropped", F.coalesce(F.aggregate(
                runs, F.lit(0).cast("long"), lambda a, r: a + r["length"]), F.lit(0).cast("long")))
-           .withColumn("__kept", F.when(F.col("n_dropped") > 0, kept).otherwise(F.col(text_col))))
+           .withColumn("__kept", F.when(F.col("__n_dropped") > 0, kept).otherwise(F.col(text_col))))
     return out.select(*[F.col("__kept").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                      "n_lines", "n_dropped")
+                      F.col("__n_lines").alias(names[0]), F.col("__n_dropped").alias(names[1]))

@@ -122,7 +122,8 @@ def fit(x: np.ndarray, y: np.ndarray, threshold: float = 0.3) -> Ranking:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", threshold: float = 0.3, max_labelled: int = MAX_LABELLED) -> Ranking:
     """Fit from labelled documents. Rows with a null id or label are ignored, an
-    id with conflicting labels too; ids without a document do not matter."""
+    id with conflicting labels too; ids without a document do not matter. An id of
+    several rows counts once, with the mean of their features."""
     kept = (pick(labels, {"id": id_col, "label": label_col}).where("id is not null and label is not null")
             .groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
             .where("label = other").orderBy(F.xxhash64("id"), "id").limit(max_labelled).select("id", "label"))
@@ -134,16 +135,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 [pa.array([features(t or "") for t in batch.column(0).to_pylist()], pa.list_(pa.float64())),
                  batch.column(1).cast(pa.int32()), batch.column(2)], ["x", "label", "h"])
 
-    got = (rows.select("text", "label", F.xxhash64("id").alias("h"))
-           .mapInArrow(run, "x array<double>, label int, h long").collect())
+    each = rows.select("text", "label", F.xxhash64("id").alias("h")).mapInArrow(run, "x array<double>, label int, h long")
+    mean = F.array(*[F.avg(F.get("x", F.lit(i))) for i in range(len(FEATURES))])
+    got = each.groupBy("h", "label").agg(mean.alias("x")).collect()  # a row for each labelled id: at most max_labelled
     got.sort(key=lambda r: (r.h, r.x))
     x = np.array([r.x for r in got], float).reshape(len(got), len(FEATURES))
     return fit(x, np.array([r.label for r in got]), threshold)
 
 
-def score(docs: DataFrame, ranking: Ranking, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, ranking: Ranking, text_col: str = "text",
+          names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """Every input row with its columns and ``score`` (0 to 1), ``predicted``
-    (1 from the ranking's threshold on). Null and empty texts score alike."""
+    (1 from the ranking's threshold on). Null and empty texts score alike, null ids
+    like any. Other ``names`` keep input columns that are called so."""
     importable(docs.sparkSession)
 
     @F.arrow_udf("double")
@@ -152,5 +156,6 @@ def score(docs: DataFrame, ranking: Ranking, text_col: str = "text") -> DataFram
         x = np.array([features(t.as_py() or "") for t in texts], float).reshape(len(texts), len(FEATURES))
         return pa.array(ranking.scores(x), pa.float64())
 
-    return (docs.withColumn("score", strength(F.col(f"`{text_col}`")))
-            .withColumn("predicted", F.when(F.col("score") >= ranking.threshold, 1).otherwise(0)))
+    value, mark = names
+    return (docs.withColumn(value, strength(F.col(f"`{text_col}`")))
+            .withColumn(mark, F.when(F.col(value) >= ranking.threshold, 1).otherwise(0)))

@@ -222,6 +222,36 @@ def test_quality_edges(spark, docs_of):
 
 # --- licences -----------------------------------------------------------------------
 
+def test_quality_repeated_labelled_id_counts_once(docs_of, spark):
+    """An id of many rows comes back as one, with the mean of its rows' features."""
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    rows = [(2, "bad !!! $$$"), (3, "more ### bad")]
+    once = train(docs_of([(1, "a good text of some words"), *rows]), labels)
+    many = train(docs_of([(1, "a good text of some words")] * 500 + rows), labels)
+    assert np.allclose(once.weights, many.weights) and np.allclose(once.mean, many.mean)
+    two = train(docs_of([(1, "a good text of some words"), (1, "another"), *rows]), labels)
+    x = [features(t) for t in ("a good text of some words", "another")]
+    assert np.allclose(np.array(two.mean) * 3, np.mean(x, axis=0) + features(rows[0][1]) + features(rows[1][1]))
+
+
+def test_quality_fit_solves_the_pairwise_loss():
+    """Weights against plain gradient descent on the loss of all preference pairs."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, len(FEATURES)))
+    y = (x[:, 0] + 0.5 * x[:, 3] + rng.normal(size=60) > 0).astype(int)
+    got = np.array(fit(x, y).weights)
+    z = np.clip((x - x.mean(0)) / np.maximum(x.std(0), 1e-3), -8, 8)
+    good, bad = z[y == 1], z[y == 0]
+    few, many = (bad, good) if len(bad) <= len(good) else (good, bad)
+    rounds = max(16, -(-len(many) // len(few)))
+    i, j = np.tile(few, (rounds, 1)), many[np.arange(len(few) * rounds) % len(many)]
+    diff = j - i if few is bad else i - j
+    w = np.zeros(len(FEATURES))
+    for _ in range(20000):
+        w -= 0.5 * (-(diff / (1 + np.exp(diff @ w))[:, None]).mean(0) + 1e-2 * w)
+    assert np.allclose(got, w, atol=1e-5)
+
+
 def test_license_scan(docs_of):
     prose = "\n".join(GOOD)
     rows = [(1, prose + "\nReleased under the MIT License."), (2, "Licensed under the Apache License, Version 2.0.\n" + prose),

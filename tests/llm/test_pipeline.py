@@ -68,6 +68,34 @@ def test_pipeline_equals_brute_force(spark):
     assert 0 < len(got) < 200
 
 
+CLASHING = ("score", "predicted", "n_lines", "n_dropped", "component_id", "item_id", "h", "drops", "a.b")
+
+
+def test_stages_keep_the_values_of_all_columns(spark, fixture_dir):
+    """Columns that are called like those of the operators pass unchanged."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    wide = docs.withColumns({c: docs.doc_id * 10 + k for k, c in enumerate(CLASHING)})
+    d = fixture_dir(documents=wide, **{t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("labels", "benchmark")})
+    frame = spark.read.parquet(f"{d}/documents.parquet")
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, frame, d)
+        assert out.columns == frame.columns
+        rows = out.collect()
+        assert rows and all(r[c] == r.doc_id * 10 + k for r in rows for k, c in enumerate(CLASHING))
+
+
+def test_many_exact_copies_end_as_empty_texts(spark, fixture_dir):
+    """Twelve copies of a text lose every line to line deduplication, as its contract has it."""
+    text = "The first line of the copies stands here.\nThe second line of the copies follows."
+    rows = [(i, text, "en", "s", len(text)) for i in range(12)] + [(20, "A text of its own, with words that no other has.", "en", "s", 48)]
+    d = fixture_dir(documents=spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"),
+                    labels=spark.createDataFrame([(20, 1, 0)], "doc_id long, quality int, toxic int"),
+                    benchmark=spark.createDataFrame([(1, "an item that no document holds")], "item_id long, text string"))
+    kept = P.lines(spark, spark.read.parquet(f"{d}/documents.parquet"), d).collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in kept} == {**{i: ("", 0) for i in range(12)}, 20: (rows[-1][1], 48)}
+    assert {r.doc_id: r.n_tokens > 0 for r in P.run(spark, d).collect()} == {**{i: False for i in range(12)}, 20: True}
+
+
 def test_stages_keep_the_columns(spark, fixture_dir):
     docs = spark.createDataFrame(
         [(1, "One two three four five six.\nsecond line", "en", "a", 40, "x"), (1, "One two three four five six.\nsecond line", "en", "a", 40, "x"),
