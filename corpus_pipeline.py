@@ -9,11 +9,16 @@ folder and reads them again, so a lost executor never costs an earlier stage.
 Null and empty texts, repeated rows, empty tables and extra columns pass as the
 operators define them; rows with a null ``doc_id`` are kept by the stages that
 tell documents by id (line deduplication, near duplicates, decontamination).
+Columns of the input keep their values, whatever they are called; only ``text`` and
+``n_chars`` follow the dropped lines.
+
+A text of ``LINE_DOCS`` or more exact copies loses all its lines to line
+deduplication, in every copy: its documents stay as empty texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmart.llm.bpe import encode
@@ -27,6 +32,11 @@ from seriesmart.llm.queries import WORD_BPE, tokenizer
 THRESHOLD = 0.3              # least quality score that stays
 LINE_DOCS = 10               # documents that share a line from which it goes
 SHINGLE, NUM, DEN = 5, 80, 100   # near duplicates: five words, Jaccard 0.8
+OWN = ("__pipeline_1", "__pipeline_2")   # names for what operators add beside the input's columns
+
+
+def columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +44,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the ids (crc32) are left out of the fit, as in the classifier's own query."""
     labels = table(spark, sf_dir, "labels").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     ranking = train(docs, labels, label_col="quality", threshold=THRESHOLD)
-    return score(docs, ranking).where("predicted = 1").select(*docs.columns)
+    return score(docs, ranking, names=OWN).where(F.col(OWN[1]) == 1).select(*columns(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many documents share; ``n_chars`` follows the text."""
-    kept = apply_bitmaps(docs, keep_bitmaps(docs, min_docs=LINE_DOCS))
-    return kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long"))
-                           .otherwise(F.col("n_chars"))).select(*docs.columns)
+    kept = apply_bitmaps(docs, keep_bitmaps(docs, min_docs=LINE_DOCS), names=OWN)
+    return kept.withColumn("n_chars", F.when(F.col(OWN[1]) > 0, F.char_length("text").cast("long"))
+                           .otherwise(F.col("n_chars"))).select(*columns(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,14 +59,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     that repeat an id are one document and stay together."""
     groups = jaccard_join(docs, words=SHINGLE, num=NUM, den=DEN)
     gone = materialize(groups.where("component_id < doc_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*columns(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     held = leaks(docs, table(spark, sf_dir, "benchmark"), verbatim=True)
     gone = materialize(held.select("doc_id").distinct(), "leaks")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*columns(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
