@@ -4,8 +4,9 @@ Texts are coded once into blocks of one language: the block's distinct words and
 an array of word numbers, cut where a phrase may not run on. Level by level (one
 word to ``max_words``), Rabin-Karp prefix polynomials over the block's word hashes
 give the 64-bit fingerprint of every n-gram at once. Each block counts its own
-fingerprints; the shuffle adds them up with the first occurrence as a pointer
-(block and position) and the range of a second, independent fingerprint.
+fingerprints and the shuffle adds them up. The frequent ones are then aggregated
+with a pointer to their first occurrence (block and position) and the range of a
+second, independent fingerprint.
 
 * Only n-grams whose two parts of one word less passed the level before are
   counted: a phrase is never more frequent than its parts. The test is a filter of
@@ -205,29 +206,55 @@ def _pointer(block: int) -> int:
     return (part << ROW_BITS | row) << BLOCK_BITS
 
 
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the values (stable), where each distinct one begins in it, and how often it stands."""
+    order = np.argsort(values, kind="stable")
+    head = np.flatnonzero(np.diff(values[order], prepend=~values[order[:1]]))
+    return order, head, np.diff(np.append(head, len(values)))
+
+
 def _counted(blocks: DataFrame, k: int, filters: list[np.ndarray], mask: int, min_count: int) -> DataFrame:
-    """(fp, n, at, low, high) of the fingerprints of k words that are frequent."""
+    """(fp, n) of the fingerprints of k words that are frequent."""
     shared = blocks.sparkSession.sparkContext.broadcast(filters)
 
     def count(batches):
         for batch in (part for whole in batches for part in slices(whole, 1)):
             r = batch.to_pylist()[0]
             b = Block(*[r[c] for c in _BLOCK], mask)
-            at = b.candidates(k, shared.value)
-            fp, check = b.prints(at, k), b.checks(at, k)
-            order = np.argsort(fp, kind="stable")
-            fp, check, at = fp[order], check[order], at[order]
-            head = np.flatnonzero(np.diff(fp, prepend=~fp[:1]))
-            n = np.diff(np.append(head, len(fp)))
-            other = np.flatnonzero(check != np.repeat(check[head], n))
-            rows = np.concatenate([head, other])  # the others only widen the range of the second fingerprint
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(fp[rows].view(np.int64)), pa.array(np.concatenate([n, np.zeros(len(other), np.int64)])),
-                 pa.array(at[rows] + _pointer(r["block"])), pa.array(check[rows])], ["fp", "n", "at", "chk"])
-
-    rows = blocks.select(*_BLOCK, "block").mapInArrow(count, "fp long, n long, at long, chk long")
-    return materialize(rows.groupBy("fp").agg(F.sum("n").alias("n"), F.min("at").alias("at"), F.min("chk").alias("low"),
-                                              F.max("chk").alias("high")).where(F.col("n") >= min_count), f"phrases-{k}")
+            fp = b.prints(b.candidates(k, shared.value), k)
+            order, head, n = _runs(fp)
+            yield pa.RecordBatch.from_arrays([pa.array(fp[order[head]].view(np.int64)), pa.array(n)], ["fp", "n"])
+
+    rows = blocks.select(*_BLOCK).mapInArrow(count, "fp long, n long")
+    return materialize(rows.groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count), f"phrases-{k}")
+
+
+def _pointed(blocks: DataFrame, frequent: DataFrame, filters: list[np.ndarray], mask: int) -> DataFrame:
+    """(k, fp, n, at, low, high): the frequent fingerprints with a pointer to their
+    first occurrence and the range of the second fingerprint over all of them."""
+    shared = blocks.sparkSession.sparkContext.broadcast(filters)
+
+    def point(batches):
+        for batch in (part for whole in batches for part in slices(whole, 1)):
+            r = batch.to_pylist()[0]
+            b = Block(*[r[c] for c in _BLOCK], mask)
+            for k in range(1, len(shared.value) + 1):
+                at = b.candidates(k, shared.value)
+                fp = b.prints(at, k)
+                hit = bloom.contains(shared.value[k - 1], fp.view(np.int64))
+                at, fp = at[hit], fp[hit]
+                order, head, n = _runs(fp)
+                at, fp = at[order], fp[order]
+                check = b.checks(at, k)
+                # Occurrences with another second fingerprint than the first only widen the range.
+                rows = np.concatenate([head, np.flatnonzero(check != np.repeat(check[head], n))])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows), k, np.int32)), pa.array(fp[rows].view(np.int64)),
+                     pa.array(at[rows] + _pointer(r["block"])), pa.array(check[rows])], ["k", "fp", "at", "chk"])
+
+    rows = blocks.select(*_BLOCK, "block").mapInArrow(point, "k int, fp long, at long, chk long")
+    spots = rows.groupBy("k", "fp").agg(F.min("at").alias("at"), F.min("chk").alias("low"), F.max("chk").alias("high"))
+    return materialize(frequent.join(spots, ["k", "fp"]), "phrases-pointed")
 
 
 def _texts(blocks: DataFrame, frequent: DataFrame, mask: int) -> DataFrame:
@@ -302,6 +329,7 @@ def phrase_counts(docs: DataFrame, min_count: int = 100, max_words: int = 5, lan
     frequent = levels[0]
     for level in levels[1:]:
         frequent = frequent.unionByName(level)
+    frequent = _pointed(blocks, frequent, filters, mask)
     clash = frequent.where("low < high")
     phrases = _texts(blocks, frequent.where("low = high"), mask)
     if not clash.isEmpty():
