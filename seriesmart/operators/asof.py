@@ -18,8 +18,9 @@ task. The plan here is a bucketed sweep:
    (no shuffle) makes one row per (by, bucket), and a running ``last`` over
    earlier buckets gives the carry. That frame is tiny.
    With ``slice_rows``, a (by, bucket) group holding more rows than that is
-   cut into time slices at approximate quantiles (a hot key or a hot period
-   no longer lands in one task).
+   cut into time ranges, and each range that still holds more into finer ones,
+   by exact counts and as far as the times differ: no group, however hot,
+   lands in one task. The last right row of a range carries to the next.
 5. Join the carry-in by ``(by, bucket)`` and coalesce. When the left side is
    unique on ``(by, left_on)`` (a calendar spine) its row rides through the
    sweep as a struct; otherwise the answers are joined back to the left rows
@@ -37,56 +38,62 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 _T, _SIDE, _B = "__t", "__side", "__bucket"
-QUANTILES = 1024  # most slices one heavy group is cut into
 
 
 def _bucket(unit: str):
     return F.date_trunc(unit, F.col(_T))
 
 
+# Range widths of the levels that cut a heavy group, in microseconds (2**36: 19 hours) or
+# days: each level cuts a range in 32, the last tells single times apart.
+MICROS = tuple(1 << k for k in range(36, -1, -5)) + (1,)
+DAYS = (1,)
+
+
 def _time_number(dtype, col: str):
-    from pyspark.sql import types as T
+    """A time as a whole number: microseconds, or days of dates."""
     c = F.col(col)
     if isinstance(dtype, T.DateType):
-        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
     if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")  # instant: no session time zone involved
+        return F.unix_micros(c)  # instant: no session time zone involved
     if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', "
-                      f"`{col}`)").cast("double")
-    return c.cast("double")
+        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{col}`)")
+    raise TypeError(f"{col} must be a date or a timestamp")
 
 
 def _sliced(u: DataFrame, by: list[str], unit: str, slice_rows: int) -> DataFrame:
-    """Add ``__bucket``: the time bucket, split into slices of about
-    ``slice_rows`` rows where a (by, bucket) group is heavy.
+    """Add ``__bucket``: the time bucket, cut into ranges where a (by, bucket) group
+    is heavy (more than ``slice_rows`` rows).
 
-    Group sizes come from a plain count (partial aggregate). Only rows of
-    heavy groups then feed an approximate-quantile aggregate (a bounded
-    sketch per heavy group, none for the rest), giving slice boundaries. The
-    boundary table holds heavy groups only, so it has at most
-    rows / slice_rows entries, and AQE picks the join strategy from its
-    actual size. Equal times always fall into one slice (strict ``<``).
+    Level by level, the heavy groups are counted (a partial aggregate) and written
+    down: one row for each, so at most rows / slice_rows, joined back by AQE's
+    choice. Their rows move to ranges 32 times as fine; the others stay. Counts are
+    exact, so every reader of the result sees the same ranges, and ranges are cut
+    until they are light or hold a single time. Nothing is sliced when nothing is
+    heavy; equal times always share a range.
     """
-    num = _time_number(u.schema[_T].dataType, _T)
-    u = u.withColumn("__cb", _bucket(unit)).withColumn("__num", num)
-    q = [i / QUANTILES for i in range(1, QUANTILES)]
-    heavy = (u.groupBy(*by, "__cb").agg(F.count(F.lit(1)).alias("__n"))
-             .filter(F.col("__n") > slice_rows))
-    stats = (u.select(*by, "__cb", "__num").join(heavy, [*by, "__cb"])
-             .groupBy(*by, "__cb")
-             .agg(F.first("__n").alias("__n"), F.percentile_approx("__num", q, 10000).alias("__q")))
-    n_slices = F.least(F.lit(QUANTILES), F.ceil(F.col("__n") / F.lit(slice_rows)))
-    stats = stats.select(*by, "__cb", F.array_distinct(F.transform(
-        F.sequence(F.lit(1), n_slices - 1),
-        lambda k: F.element_at("__q", F.floor(k * QUANTILES / n_slices).cast("int")))).alias("__bounds"))
-    u = u.join(stats, [*by, "__cb"], "left")
-    sub = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col("__num"))), F.lit(0))
-    return u.withColumn(_B, F.struct(F.col("__cb").alias("b"), sub.alias("s"))).drop(
-        "__cb", "__num", "__bounds")
+    from ..session import scratch_path
+    spark, dtype = u.sparkSession, u.schema[_T].dataType
+    num = _time_number(dtype, _T)
+    bucket = lambda fine: F.struct(_bucket(unit).alias("b"), fine.cast("long").alias("s"))
+    u = u.withColumn(_B, bucket(F.lit(0)))
+    for width in DAYS if isinstance(dtype, T.DateType) else MICROS:
+        path = scratch_path(spark, "asof-heavy")
+        groups = u.where(F.col(_T).isNotNull()).groupBy(*by, _B).agg(F.count(F.lit(1)).alias("__n"))
+        groups.filter(F.col("__n") > slice_rows).select(*[F.col(c).alias(f"__k_{c}") for c in by],
+                                                        F.col(_B).alias("__k_b")).write.parquet(path)
+        heavy = spark.read.parquet(path)
+        if heavy.isEmpty():
+            break
+        same = reduce(lambda x, c: x & F.col(c).eqNullSafe(F.col(f"__k_{c}")), by, F.col(_B) == F.col("__k_b"))
+        u = (u.join(heavy, same, "left")
+             .withColumn(_B, F.when(F.col("__k_b").isNotNull(), bucket(num - F.pmod(num, F.lit(width)))).otherwise(F.col(_B)))
+             .drop("__k_b", *[f"__k_{c}" for c in by]))
+    return u
 
 
 def _sweep(probes: DataFrame, builds: DataFrame, by: list[str], payloads: list[str],
@@ -161,7 +168,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     unique (trap T4b). ``left_unique`` skips the distinct/join-back when
     ``(by, left_on)`` is known to be unique (e.g. a calendar spine).
     ``slice_rows`` splits any (by, bucket) group above that many rows into
-    time slices of about that size (hot keys, hot periods).
+    time ranges of at most that size (hot keys, hot periods); it counts the
+    groups first, in a job of its own.
     """
     by = list(by)
     forward = direction == "forward"

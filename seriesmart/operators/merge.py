@@ -141,12 +141,12 @@ def merge_upsert(spark: SparkSession, root: str, delta: DataFrame, keys: Sequenc
     man = new_rows if kept is None else kept.unionByName(new_rows)
     # batch_id column keeps the newest batch id visible on every version.
     man = man.withColumn("batch_id", F.lit(max(bid, st.last_batch or -1)).cast("long"))
-    _commit(man, root, st.version + 1)
+    commit(man, root, st.version + 1)
     d.unpersist()
     return True
 
 
-def _commit(manifest: DataFrame, root: str, version: int) -> None:
+def commit(manifest: DataFrame, root: str, version: int) -> None:
     """Write a version's manifest. A version counts once its (single) file is
     there; what an interrupted attempt left of it is replaced, a version that
     another writer has committed meanwhile is not."""
@@ -185,5 +185,5 @@ def publish_table(spark: SparkSession, df: DataFrame, root: str, checks=None,
     gate_rows(failures, fail_on)
     last = -1 if st.last_batch is None else st.last_batch
     man = spark.createDataFrame([("*", ddir, last)], MANIFEST_SCHEMA)
-    _commit(man, root, st.version + 1)
+    commit(man, root, st.version + 1)
     return st.version + 1, ddir

@@ -189,22 +189,59 @@ def freshness(df: DataFrame, loaded_at: str, run_ts, warn_after_hours: int = 26,
                     status.alias("status"))
 
 
-def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Compare two versions of a table in one full outer join.
+RECONCILE_BUCKETS = 4096  # key buckets whose digests are compared
+
+
+def _digests(df: DataFrame, keys: list[str], vals: list[str], buckets: int) -> DataFrame:
+    """Rows of a table with their key bucket and a 64-bit hash of the row."""
+    # A hash passes over NULLs, so each column says first whether it is one.
+    whole = [x for c in [*keys, *vals] for x in (F.col(c).isNull(), F.col(c))]
+    return df.select(*keys, *vals, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("__b"),
+                     F.xxhash64(*whole).alias("__h"))
+
+
+def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], buckets: int = RECONCILE_BUCKETS) -> DataFrame:
+    """Compare two versions of a table, by digests first.
 
     Returns ``DF[metric, value]``: rows_a, rows_b, only_in_a, only_in_b,
     changed (same key, any other column different, NULL-safe), matched.
+    ``keys`` identify a row; a NULL in a key equals a NULL.
+
+    Each side is reduced to one digest per bucket of keys (count, xor and sum of
+    row hashes: a map-side combined aggregate, so no row is moved). Rows are joined
+    only in buckets whose digests differ; equal tables are never joined row by row.
+    Digests are 64-bit hashes taken twice over: equal ones for different rows are
+    not expected to occur.
     """
     keys = list(keys)
     vals = [c for c in a.columns if c not in keys]
-    sa = a.select(*keys, F.struct(*vals).alias("__va"), F.lit(True).alias("__a"))
-    sb = b.select(*keys, F.struct(*vals).alias("__vb"), F.lit(True).alias("__b"))
-    j = sa.join(sb, keys, "full_outer")
-    ina, inb = F.col("__a").isNotNull(), F.col("__b").isNotNull()
-    same = F.col("__va").eqNullSafe(F.col("__vb"))
+    ra, rb = (_digests(d.select(*a.columns), keys, vals, buckets) for d in (a, b))
+    digest = lambda r, n: r.groupBy("__b").agg(
+        F.count(F.lit(1)).alias(f"n{n}"), F.bit_xor("__h").alias(f"x{n}"),
+        F.sum(F.xxhash64("__h").cast("decimal(20,0)")).alias(f"s{n}"))
+    both = digest(ra, "a").join(digest(rb, "b"), "__b", "full_outer")  # at most `buckets` rows
+    same = (F.col("na").eqNullSafe(F.col("nb")) & F.col("xa").eqNullSafe(F.col("xb")) & F.col("sa").eqNullSafe(F.col("sb")))
+    both = both.select("__b", "na", "nb", same.alias("same"))
+    zero = F.lit(0).cast("long")
+    equal = both.where("same").agg(F.coalesce(F.sum("na"), zero).alias("n")).select(
+        F.col("n").alias("rows_a"), F.col("n").alias("rows_b"), zero.alias("only_in_a"), zero.alias("only_in_b"),
+        zero.alias("changed"), F.col("n").alias("matched"))
+    differing = F.broadcast(both.where("not same").select("__b"))
+    sa = ra.join(differing, "__b", "left_semi").select(*keys, F.struct(*vals).alias("__va"), F.lit(True).alias("__a"))
+    sb = rb.join(differing, "__b", "left_semi").select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.struct(*vals).alias("__vb"), F.lit(True).alias("__b_in"))
+    on = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+        on = c if on is None else on & c
+    j = sa.join(sb, on, "full_outer")
+    ina, inb = F.col("__a").isNotNull(), F.col("__b_in").isNotNull()
+    alike = F.col("__va").eqNullSafe(F.col("__vb"))
     agg = j.agg(F.count_if(ina).alias("rows_a"), F.count_if(inb).alias("rows_b"),
                 F.count_if(ina & ~inb).alias("only_in_a"), F.count_if(inb & ~ina).alias("only_in_b"),
-                F.count_if(ina & inb & ~same).alias("changed"),
-                F.count_if(ina & inb & same).alias("matched"))
-    return agg.unpivot([], ["rows_a", "rows_b", "only_in_a", "only_in_b", "changed", "matched"],
-                       "metric", "value")
+                F.count_if(ina & inb & ~alike).alias("changed"),
+                F.count_if(ina & inb & alike).alias("matched"))
+    metrics = ["rows_a", "rows_b", "only_in_a", "only_in_b", "changed", "matched"]
+    # One row each: the joined buckets and the equal ones.
+    total = agg.unionByName(equal).agg(*[F.sum(m).alias(m) for m in metrics])
+    return total.unpivot([], metrics, "metric", "value")

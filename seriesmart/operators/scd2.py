@@ -5,6 +5,9 @@ History rows carry ``valid_from`` / ``valid_to`` (``NULL`` = current).
 * :func:`scd2_apply` is one snapshot run (``check`` strategy): a full outer
   join of the *current* rows with the snapshot on the key. Closed rows pass
   through without a shuffle.
+* :func:`publish_history` keeps a stored history in two parts: the open rows,
+  rewritten by each run, and the closed ones, which a run only adds to. What a run
+  reads and writes follows the open rows, however long the history is.
 * :func:`scd2_replay` rebuilds the whole history from many snapshots in one
   distributed pass (gaps and islands per key): an island is a run of
   consecutive snapshots with the key present and unchanged check columns;
@@ -15,12 +18,15 @@ History rows carry ``valid_from`` / ``valid_to`` (``NULL`` = current).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.landing import run_stamp
+from .merge import MANIFEST_SCHEMA, commit, table_state
+from .quality import Check, gate_rows, observe_checks, run_checks
 from .sizing import fits
 
 MAX_BROADCAST_RUNS = 100_000
@@ -63,6 +69,52 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, key: Sequence[str
     return closed.select(*out.columns).unionByName(out)
 
 
+OPEN, CLOSED = "open", "closed"  # partitions of a stored history; closed ones are named by their closing run
+
+
+def publish_history(spark: SparkSession, root: str, snapshot: DataFrame, key: Sequence[str], check_cols: Sequence[str],
+                    run_ts, checks: Sequence[Check] | None = None, close_deletes: bool = True,
+                    keep: Sequence[str] = ()) -> tuple[int, DataFrame]:
+    """Apply one snapshot run to the history stored under ``root`` and publish
+    the result behind its checks; returns (version, history). ``keep`` names further
+    columns that are stored, but whose changes open no new row.
+
+    The run reads the open rows only, writes them anew and adds the rows that it
+    closes in a folder of their own (``valid_to`` is this run's time there). Row-level
+    checks are counted on what is written, the others run on the whole history. A
+    failed check leaves the version before current; a run that repeats the last
+    snapshot closes nothing.
+    """
+    state = table_state(spark, root)
+    old = [] if state.manifest is None else [(r.partition, r.path) for r in state.manifest.collect()]  # a row for each run
+    open_paths = [p for part, p in old if part == OPEN]
+    kept = [(part, p) for part, p in old if part.startswith(CLOSED)]
+    stored = spark.read.parquet(*open_paths) if open_paths else None
+    if len(kept) + len(open_paths) < len(old):  # a history of one part, as stored before: split by this run
+        stored, kept = spark.read.parquet(*[p for _, p in old]), []
+    step = scd2_apply(stored, snapshot.select(*key, *check_cols, *keep), key, check_cols, run_ts, close_deletes)
+    part = F.when(F.col("valid_to").isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
+    sizes = Observation(f"history-{uuid.uuid4().hex}")
+    observed = observe_checks(step, checks or [])
+    ddir = f"{root}/data/history-{uuid.uuid4().hex[:12]}"
+    (observed.df.withColumn("__p", part).observe(sizes, *[F.count_if(F.col("__p") == x).alias(x) for x in (OPEN, CLOSED)])
+     .write.partitionBy("__p").parquet(ddir))
+    written = sizes.get
+    names = {OPEN: OPEN, CLOSED: f"{CLOSED}:{run_ts}"}
+    rows = kept + [(names[x], f"{ddir}/__p={x}") for x in (OPEN, CLOSED) if written[x]]
+    history = (spark.read.schema(step.schema).parquet(*[p for _, p in rows]) if rows
+               else spark.createDataFrame([], step.schema))
+    failures = observed.report()
+    if observed.rest:
+        failures += [r.asDict() for r in run_checks(history, observed.rest).collect()]
+    gate_rows(failures)
+    if not rows:  # neither history nor snapshot
+        return state.version, history
+    last = -1 if state.last_batch is None else state.last_batch
+    commit(spark.createDataFrame([(part, p, last) for part, p in rows], MANIFEST_SCHEMA), root, state.version + 1)
+    return state.version + 1, history
+
+
 def scd2_replay(snapshots: DataFrame, key: Sequence[str], check_cols: Sequence[str],
                 run_col: str = "run_ts", runs: DataFrame | None = None) -> DataFrame:
     """History of all runs in ``snapshots`` (one row per key and run).

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import publish_table, read_table, table_state
+from ..operators.merge import publish_table
 from ..operators.quality import (QualityGateError, accepted_range, accepted_values, freshness,
                                  not_null, relationships, unique)
-from ..operators.scd2 import scd2_apply
+from ..operators.scd2 import publish_history
 from ..sources.landing import read_bronze
 from . import feeds
 
@@ -107,18 +107,6 @@ def _in_parallel(tasks: dict, threads: int) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
-def publish_history(spark: SparkSession, root: str, staged: DataFrame, key, check_cols, run_ts,
-                    checks=None) -> tuple[int, DataFrame]:
-    """Apply one snapshot run to the history stored under ``root`` and publish
-    the result; returns (version, history as written). A run that repeats the last
-    snapshot changes nothing but the version."""
-    state = table_state(spark, root)
-    stored = None if state.manifest is None else read_table(spark, root)
-    history = scd2_apply(stored, staged.select(*key, *check_cols), key, check_cols, run_ts)
-    version, path = publish_table(spark, history, root, checks)
-    return version, spark.read.parquet(path)
-
-
 def build_marts(spark: SparkSession, bronze_root: str, out_root: str, run_ts,
                 calendar: DataFrame | None = None, check_freshness: bool = True,
                 threads: int = 4) -> DataFrame:

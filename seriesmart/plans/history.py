@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import read_table
 from ..operators.nested import parse_documents
-from ..operators.scd2 import scd2_apply, scd2_replay
+from ..operators.scd2 import publish_history, scd2_replay
 from ..session import scratch_path
 from ..streaming.cdc import start_cdc
 from .inputs import table
@@ -100,10 +100,12 @@ from g join runs rf on rf.r = g.f left join runs rt on rt.r = g.l + 1 and rt.r <
 
 
 def _chain(spark, sf_dir, last_run: int):
-    h = None
+    """The stored history after each run: open rows rewritten, closed ones added."""
+    root, history = scratch_path(spark, "order-history"), None
     for r in range(1, last_run + 1):
-        h = scd2_apply(h, snapshot(spark, sf_dir, r), ["o_orderkey"], ["status"], RUNS[r])
-    return h
+        _, history = publish_history(spark, root, snapshot(spark, sf_dir, r), ["o_orderkey"], ["status"], RUNS[r],
+                                     keep=["amount"])
+    return history
 
 
 @query("scd2_single", _islands_sql(2), "C4")

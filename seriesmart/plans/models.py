@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import read_table, table_state
 from ..operators.nested import flatten, parse_documents, path
+from ..operators.scd2 import publish_history
 from ..session import scratch_path
 from ..sources.control import enabled_sources, landing_plan, read_control
 from ..sources.landing import incremental_load, read_documents, write_landing
 from ..streaming.bronze_feed import start_bronze_feed
 from ..streaming.cdc import start_cdc
 from . import feeds
-from .build import publish_history
 from .daily_marts import (CIVIL_STG_SQL, FX_STG_SQL, MARKET_SIGNALS_SQL, WEATHER_STG_SQL, _series_sql,
                           _window_sql, fx_bronze, fx_docs, market_signals_from_feeds, weather_bronze)
 from .inputs import table

@@ -165,7 +165,7 @@ def q_asof_chained(spark, sf_dir):
                       "usd_pln", "eur_pln", "monthly_revenue", "annual_order_value")
 
 
-# Rows per time slice of a hot as-of group (see operators.asof._sliced).
+# Most rows of a time range of a hot as-of group (see operators.asof._sliced).
 HOT_SLICE_ROWS = 500
 
 ASOF_HOT_SQL = """with p as (select event_id, ts, value from events where event_type = 'purchase'),
@@ -179,7 +179,7 @@ from p asof left join c on p.ts >= c.click_ts"""
 def q_asof_hot_bucket(spark, sf_dir):
     """Keyless as-of of every purchase on the last click before it. All
     events fall into one monthly bucket, the hot-group case: the bucket is
-    cut into slices of about HOT_SLICE_ROWS rows at approximate quantiles."""
+    cut into ranges of at most HOT_SLICE_ROWS rows."""
     ev = table(spark, sf_dir, "events")
     p = ev.filter(F.col("event_type") == "purchase").select("event_id", "ts", "value")
     c = ev.filter(F.col("event_type") == "click").select(
