@@ -59,9 +59,9 @@ def order_documents(spark, sf_dir):
     return docs.select("doc_date", "doc_block", F.to_json(by_key).alias("value"))
 
 
-def decode_orders(docs, parsed: bool = False):
-    """M1-style decode: top-level array -> one typed row per order."""
-    d = flatten(docs if parsed else parse_documents(docs), "raw", "$", "o", keep=[])
+def decode_orders(docs, parsed: bool = False, at: str = "$"):
+    """M1-style decode: the array at a path (top-level) -> one typed row per order."""
+    d = flatten(docs if parsed else parse_documents(docs), "raw", at, "o", keep=[])
     return d.select(
         path("o", "$.orderkey", "bigint").alias("orderkey"),
         path("o", "$.orderdate", "date").alias("orderdate"),
@@ -101,7 +101,11 @@ from orders join lineitem on l_orderkey = o_orderkey"""
 
 @query("flatten_nested", FLATTEN_NESTED_SQL, "J4 J1")
 def q_flatten_nested(spark, sf_dir):
-    o = decode_orders(order_documents(spark, sf_dir))
+    return order_lines(decode_orders(order_documents(spark, sf_dir)))
+
+
+def order_lines(o):
+    """The second level: one typed row per line item of decoded orders."""
     li = flatten(o, "o", "$.lines", "l", keep=["orderkey", "orderdate"])
     return li.select("orderkey", "orderdate",
                      path("l", "$.linenumber", "int").alias("linenumber"),

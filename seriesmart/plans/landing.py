@@ -13,7 +13,8 @@ from ..operators.nested import path
 from ..session import scratch_path
 from ..sources.landing import (incremental_load, load_pending, read_bronze, read_documents,
                                read_positional_csv, read_rejects, scan_positional_csv, write_landing)
-from .documents import FLATTEN_ARRAY_SQL, decode_orders, order_documents
+from .documents import (FLATTEN_ARRAY_SQL, FLATTEN_NESTED_SQL, JSON_PATH_SQL, decode_orders, order_documents,
+                        order_lines)
 from .inputs import table
 from .registry import query
 
@@ -159,6 +160,40 @@ def q_incremental_load(spark, sf_dir):
     return decode_events(read_bronze(spark, bronze))
 
 
+def _land_and_load(spark, docs):
+    """Documents (``value``) landed by day and loaded: the path of their bronze table."""
+    land, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    write_landing(docs, land, partition_cols=("ingest_date",))
+    incremental_load(spark, land, bronze, RUN_TS)
+    return bronze
+
+
+@query("bronze_paths", JSON_PATH_SQL, "J1 J2 F2 S5 S9")
+def q_bronze_paths(spark, sf_dir):
+    """Typed paths into documents of a bronze table: two levels down, and a quoted
+    key. The scan reads the shredded fields of these paths, not the documents."""
+    ev = table(spark, sf_dir, "events")
+    props = F.parse_json("props")
+    doc = F.to_json(F.struct("event_id", F.struct(props.alias("props"), "user_id", "value").alias("body"), "event_type"))
+    docs = read_bronze(spark, _land_and_load(spark, ev.select(
+        F.date_format("ts", "yyyy-MM-dd").alias("ingest_date"), doc.alias("value"))))
+    return docs.select(path("raw", "$.event_id", "bigint").alias("event_id"), path("raw", "$.body.props.k", "int").alias("k"),
+                       path("raw", '$.body.props["k"]', "string").alias("k_text"))
+
+
+@query("bronze_flatten", FLATTEN_NESTED_SQL, "J4 J1 S5 S9")
+def q_bronze_flatten(spark, sf_dir):
+    """The nested flatten from a bronze table of day documents: the scan reads the
+    array of orders, not what stands beside it."""
+    d = order_documents(spark, sf_dir)
+    doc = F.concat(F.lit('{"block":'), F.col("doc_block").cast("string"), F.lit(',"source":'),
+                   F.to_json(F.struct(F.lit("orders").alias("name"), F.col("doc_date").alias("day"))),
+                   F.lit(',"orders":'), F.col("value"), F.lit("}"))
+    bronze = _land_and_load(spark, d.select(F.date_format(F.trunc("doc_date", "month"), "yyyy-MM-dd").alias("ingest_date"),
+                                            doc.alias("value")))
+    return order_lines(decode_orders(read_bronze(spark, bronze), parsed=True, at="$.orders"))
+
+
 REJECTS_SQL = """select cast(o_orderkey as varchar) as series_key, 'bad value for obs_date: not-a-date' as reason
 from orders where o_orderpriority = '5-LOW' and o_orderstatus = 'O'
 union all select 'cut', 'wrong number of fields'"""

@@ -127,6 +127,36 @@ def test_a_run_counts_once_its_commit_is_there(spark, tmp_root):
     assert _values(read_runs(spark, bronze, [r.run for r in log])) == [1, 2]
 
 
+def test_rewritten_files_lose_their_rows_in_their_run_only(spark, tmp_root):
+    root = _root(tmp_root)
+    land, bronze = f"{root}/land", f"{root}/bronze"
+    _write(f"{land}/d=1", "a.json", {"v": 1})
+    _write(f"{land}/d=1", "b.json", {"v": 2})
+    incremental_load(spark, land, bronze, RUNS[0])
+    _write(f"{land}/d=2", "c.json", {"v": 3})
+    incremental_load(spark, land, bronze, RUNS[1])
+    assert "Join" not in read_bronze(spark, bronze)._jdf.queryExecution().optimizedPlan().toString()
+    _write(f"{land}/d=1", "a.json", {"v": 10}, {"v": 11})
+    incremental_load(spark, land, bronze, RUNS[2])
+    assert _values(read_bronze(spark, bronze)) == [2, 3, 10, 11]
+    _write(f"{land}/d=1", "a.json", {"v": 12})
+    incremental_load(spark, land, bronze, RUNS[3])
+    assert _values(read_bronze(spark, bronze)) == [2, 3, 12]
+    with pytest.raises(FileNotFoundError):
+        read_bronze(spark, f"{root}/none")
+
+
+def test_paths_reach_the_scan_of_a_bronze_table(spark, tmp_root):
+    """Shredded documents: the scan's schema has the typed paths, not the document."""
+    root = _root(tmp_root)
+    _write(f"{root}/land/d=1", "a.json", *[{"v": i, "body": {"k": str(i), "rest": "x" * 50}, "more": [1, 2, 3]} for i in range(50)])
+    incremental_load(spark, f"{root}/land", f"{root}/bronze", RUNS[0])
+    df = read_bronze(spark, f"{root}/bronze").select(path("raw", "$.v", "int").alias("v"), path("raw", "$.body.k", "string").alias("k"))
+    scan = next(x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in x)
+    assert "ReadSchema: struct<raw:struct<0:int,1:string>>" in scan
+    assert sorted((r.v, r.k) for r in df.collect()) == [(i, str(i)) for i in range(50)]
+
+
 # --- the change feed ---------------------------------------------------------
 
 def _decode(rows):
