@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import dim_date
 from ..functions.keys import date_key
-from ..operators.measures import share_of_total, shifted, star_rollup, year_to_date
+from ..operators.measures import share_levels, share_of_total, shifted, star_rollup, year_to_date
 from .inputs import MONTHLY_SQL, dk_sql, monthly_revenue, table
 from .reconcile import CAL_SQL, calendar_years
 from .registry import query
@@ -72,6 +72,45 @@ def q_share_of_total(spark, sf_dir):
                       F.col("share_of_region").cast("decimal(18,6)").alias("share_of_region"))
 
 
+SHARE_LEVELS_SQL = """with r as (
+  select r_name as region, n_name as nation, nullif(c_mktsegment, 'MACHINERY') as segment, o_orderstatus = 'F' as picked,
+    cast(o_totalprice as decimal(18,2)) as v
+  from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
+  join region on r_regionkey = n_regionkey),
+g as (select region, nation, segment, sum(v) filter (picked) as revenue, sum(v) as total from r group by 1, 2, 3),
+s as (select *,
+    revenue / sum(total) over () as a0, revenue / sum(revenue) over () as b0,
+    revenue / sum(total) over (partition by region) as a1, revenue / sum(revenue) over (partition by region) as b1,
+    revenue / sum(total) over (partition by region, nation) as a2,
+    revenue / sum(revenue) over (partition by region, nation) as b2,
+    revenue / sum(total) over (partition by segment) as a3, revenue / sum(revenue) over (partition by segment) as b3
+  from g)
+select region, nation, segment, cast(revenue as decimal(18,2)) as revenue,
+""" + ",\n".join(f"  cast(round({c}, 6) as decimal(18,6)) as {n}" for c, n in (
+    ("a0", "share_all"), ("b0", "selected_all"), ("a1", "share_region"), ("b1", "selected_region"),
+    ("a2", "share_nation"), ("b2", "selected_nation"), ("a3", "share_segment"), ("b3", "selected_segment"),
+)) + "\nfrom s where revenue is not null"
+
+
+@query("share_levels", SHARE_LEVELS_SQL, "B6 K6")
+def q_share_levels(spark, sf_dir):
+    """Finished orders per region, nation and market segment (one of them unknown):
+    shares of the total, region, nation and segment, of all orders and of the
+    finished ones, in one pass over the orders."""
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey", (F.col("o_orderstatus") == "F").alias("picked")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.nullif(
+        F.col("c_mktsegment"), F.lit("MACHINERY")).alias("segment"))
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", F.col("r_name").alias("region"), F.col("n_name").alias("nation"))
+    rows = o.join(c, o.o_custkey == c.c_custkey).join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    out = share_levels(rows, ["region", "nation", "segment"], "revenue",
+                       {"all": [], "region": ["region"], "nation": ["region", "nation"], "segment": ["segment"]}, F.col("picked"))
+    shares = [x for x in out.columns if x.startswith(("share_", "selected_"))]
+    return out.withColumns({"revenue": F.col("revenue").cast("decimal(18,2)"),
+                            **{x: F.col(x).cast("decimal(18,6)") for x in shares}})
+
+
 TIME_INTEL_SQL = f"""with {MONTHLY_SQL},
 m as (select period_date, cast(year(period_date) as integer) as year,
   cast(month(period_date) as integer) as month, monthly_revenue from monthly)
