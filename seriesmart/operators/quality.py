@@ -3,8 +3,8 @@
 ``run_checks`` evaluates every row-level check of one table (not_null,
 accepted_range, accepted_values, expression) in **one** aggregate pass:
 one conditional count per check, partial + final aggregation, a single
-one-row result unpivoted into the report. ``unique`` needs its own
-aggregate per column set; ``relationships`` an anti join per parent.
+one-row result unpivoted into the report. ``unique`` counts suspects only
+(:func:`repeated_rows`); ``relationships`` is an anti join per parent.
 ``observe_checks`` counts the row-level ones while a table is written, at no
 pass at all (an ``Observation`` on the write).
 
@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROW_KINDS = ("not_null", "accepted_range", "accepted_values", "expression")
 
@@ -89,6 +90,32 @@ def _row(ch: Check, failures: Column) -> Column:
                     failures.cast("long").alias("failures"))
 
 
+def repeated_rows(df: DataFrame, column: str) -> DataFrame:
+    """Q2/Q7: ``DF[column, n]``, the values that occur more than once (NULL aside).
+
+    Membership first. Whole numbers and dates set bits in words of 64 neighbouring
+    values: a word whose rows outnumber its bits holds a repeated value, for sure,
+    and a task whose values lie close together (keys mostly come in order) ships one
+    row for 64 of them. Other types are met by their 64-bit hash. Only rows of
+    suspect words or hashes are counted by value; without any, the table is not read
+    again (adaptive execution drops the join)."""
+    rows = df.select(F.col(column)).where(F.col(column).isNotNull())
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.IntegralType, T.DateType)):
+        number = (F.datediff(F.col(column), F.lit("1970-01-01").cast("date")) if isinstance(kind, T.DateType)
+                  else F.col(column)).cast("long")
+        rows = rows.withColumn("__w", F.shiftright(number, 6))
+        bit = F.expr("shiftleft(1L, cast(__v & 63 as int))")
+        met = rows.withColumn("__v", number).groupBy("__w").agg(
+            F.bit_count(F.bit_or(bit)).alias("__bits"), F.count(F.lit(1)).alias("__n"))
+        suspects = met.where("__n > __bits").select("__w")
+    else:
+        rows = rows.withColumn("__w", F.xxhash64(column))
+        suspects = rows.groupBy("__w").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__w")
+    return (rows.join(suspects, "__w", "left_semi").groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1))
+
+
 class ObservedChecks:
     """Row-level checks counted while ``df`` is written (or otherwise run through once).
 
@@ -131,9 +158,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             .select("r.*"))
     for c in checks:
         if c.kind == "unique":
-            dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column)
-                   .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
-            parts.append(dup.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("x"))
+            parts.append(repeated_rows(df, c.column).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("x"))
                          .select(_row(c, F.col("x")).alias("r")).select("r.*"))
         elif c.kind == "relationships":
             parent = c.args["to"].select(F.col(c.args["field"]).alias("__pk"))

@@ -19,7 +19,7 @@ from ..operators.merge import publish_table
 from ..operators.quality import (QualityGateError, accepted_range, accepted_values, freshness,
                                  not_null, relationships, unique)
 from ..operators.scd2 import publish_history
-from ..sources.landing import read_bronze
+from ..sources.landing import read_bronze, read_commits
 from . import feeds
 
 # Fixed values that must equal the reference's: freshness limits (hours) and
@@ -84,13 +84,16 @@ REPORT = T.StructType([T.StructField("model", T.StringType()),
                        T.StructField("version", T.IntegerType())])
 
 
-def freshness_gate(spark: SparkSession, bronze_tables: dict, run_ts) -> DataFrame:
-    """Q6: one status row per bronze table; raises when any is ``error``."""
+def freshness_gate(spark: SparkSession, bronze_tables: dict, run_ts, loaded_at: str = "_loaded_at") -> DataFrame:
+    """Q6: one status row per bronze table; raises when any is ``error``. A table's
+    commit log (``loaded_at``) says the same as the table, at a row for each load."""
     rows = None
     for name, df in bronze_tables.items():
-        f = freshness(df, "_loaded_at", run_ts, WARN_AFTER_HOURS, ERROR_AFTER_HOURS)
-        f = f.select(F.lit(name).alias("table"), "max_loaded_at", "age_seconds", "status")
+        f = df.select(F.lit(name).alias("table"), F.col(loaded_at).alias("loaded_at"))
         rows = f if rows is None else rows.unionByName(f)
+    every = spark.createDataFrame([(n,) for n in bronze_tables], "table string")
+    rows = every.join(rows, "table", "left")  # a table that was never loaded is stale
+    rows = freshness(rows, "loaded_at", run_ts, WARN_AFTER_HOURS, ERROR_AFTER_HOURS, by=["table"])
     # One row per bronze table: metadata-sized.
     bad = [r.table for r in rows.filter(F.col("status") == "error").collect()]
     if bad:
@@ -117,16 +120,20 @@ def build_marts(spark: SparkSession, bronze_root: str, out_root: str, run_ts,
     each other and are built by ``threads`` concurrent jobs (the reference's
     build runs four threads).
     """
-    bronze = {k: read_bronze(spark, f"{bronze_root}/{t}") for k, t in BRONZE.items()}
     if check_freshness:
-        freshness_gate(spark, bronze, run_ts)
+        logs = {k: read_commits(spark, f"{bronze_root}/{t}") for k, t in BRONZE.items()}
+        missing = sorted(k for k, log in logs.items() if log is None)
+        if missing:
+            raise QualityGateError(f"sources that were never loaded: {missing}")
+        freshness_gate(spark, logs, run_ts, "loaded_at")
+    bronze = {k: read_bronze(spark, f"{bronze_root}/{t}") for k, t in BRONZE.items()}
     versions = {}
 
     def pub(name, df, checks):
         version, path = publish_table(spark, df, f"{out_root}/{name}", checks)
         versions[name] = version
         # Read back what was written: later models start from the table.
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     base = model_checks()
     stg_models = {

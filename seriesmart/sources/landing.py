@@ -255,6 +255,12 @@ COMMIT_SCHEMA = T.StructType([T.StructField("run", T.StringType()), T.StructFiel
                               T.StructField("files", T.LongType()), T.StructField("rejected", T.LongType())])
 
 
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()), T.StructField("file", T.StringType()), T.StructField("run", T.StringType()),
+    T.StructField("_loaded_at", T.TimestampNTZType())])
+
+
 def commits_path(bronze: str) -> str:
     return f"{bronze}/commits"
 
@@ -272,7 +278,7 @@ def read_ledger(spark: SparkSession, bronze: str) -> DataFrame | None:
     commits = read_commits(spark, bronze)
     if commits is None or not path_exists(spark, f"{bronze}/ledger"):
         return None
-    ledger = spark.read.option("recursiveFileLookup", True).parquet(f"{bronze}/ledger")
+    ledger = spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", True).parquet(f"{bronze}/ledger")
     return ledger.join(commits.select("run"), "run", "left_semi")
 
 
