@@ -226,7 +226,8 @@ def _counted(blocks: DataFrame, k: int, filters: list[np.ndarray], mask: int, mi
             yield pa.RecordBatch.from_arrays([pa.array(fp[order[head]].view(np.int64)), pa.array(n)], ["fp", "n"])
 
     rows = blocks.select(*_BLOCK).mapInArrow(count, "fp long, n long")
-    return materialize(rows.groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count), f"phrases-{k}")
+    frequent = rows.groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    return materialize(frequent.hint("rebalance"), f"phrases-{k}")  # few rows: files of a size, not one for each task
 
 
 def _pointed(blocks: DataFrame, frequent: DataFrame, filters: list[np.ndarray], mask: int) -> DataFrame:
@@ -254,7 +255,7 @@ def _pointed(blocks: DataFrame, frequent: DataFrame, filters: list[np.ndarray],
 
     rows = blocks.select(*_BLOCK, "block").mapInArrow(point, "k int, fp long, at long, chk long")
     spots = rows.groupBy("k", "fp").agg(F.min("at").alias("at"), F.min("chk").alias("low"), F.max("chk").alias("high"))
-    return materialize(frequent.join(spots, ["k", "fp"]), "phrases-pointed")
+    return materialize(frequent.join(spots, ["k", "fp"]).hint("rebalance"), "phrases-pointed")
 
 
 def _texts(blocks: DataFrame, frequent: DataFrame, mask: int) -> DataFrame:
@@ -334,7 +335,7 @@ def phrase_counts(docs: DataFrame, min_count: int = 100, max_words: int = 5, lan
     phrases = _texts(blocks, frequent.where("low = high"), mask)
     if not clash.isEmpty():
         phrases = phrases.unionByName(_recounted(blocks, clash, filters, mask, min_count))
-    return materialize(phrases, "phrases"), blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    return materialize(phrases.hint("rebalance"), "phrases"), blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
 
 def collocations(docs: DataFrame, min_count: int = 100, max_words: int = 5, top: int = 2000, lang_col: str = "lang",
