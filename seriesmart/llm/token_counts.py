@@ -15,6 +15,9 @@ number of tokens that become certain with that character, whatever follows.
   text before its first such place, the tokens settled between the first and
   the last, and the text after the last. Maps compose associatively, so the
   chunks of a text are combined by a prefix scan in any bracketing.
+* Long texts: their chunks are rows of their own, mapped wherever there is a
+  task; the maps are then composed in a parallel scan, ``FAN`` neighbours at a
+  time, level by level, until each text has one.
 """
 
 from __future__ import annotations
@@ -25,11 +28,14 @@ from functools import lru_cache, reduce
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .bpe import Vocabulary, byte_symbols
-from .common import pick, slices
+from .common import materialize, pick, slices
 
 CHUNK = 1 << 14        # characters per chunk
+LONG = 1 << 16         # characters beyond which a text's chunks are dealt over tasks
+FAN = 16               # neighbouring maps that one step of the parallel scan composes
 MAX_STATES = 60_000   # compiled states kept per task; others are stepped through without being kept
 MEMO_RUNS = 400_000    # counted runs kept per task (speed only)
 
@@ -303,17 +309,20 @@ class Counter:
             maps = [reduce(self.compose, maps[i:i + 2]) for i in range(0, len(maps), 2)]
         return maps[0]
 
+    def parts(self, text: str) -> list[str]:
+        """The texts before, between and after special strings; each of these is one token."""
+        return self.special.split(text) if self.special and "<" in text else [text]
+
+    def total(self, mapped: tuple) -> int:
+        """Tokens of a text with this map."""
+        h, n, t = mapped
+        return self.span(h) + (n or 0) + self.span(t)
+
     def count(self, text: str, chunk: int = CHUNK) -> int:
-        total, at = 0, 0
-        cuts = list(self.special.finditer(text)) if self.special and "<" in text else []
-        for m in [*cuts, None]:
-            part = text[at:m.start() if m else len(text)]
-            if part:
-                h, n, t = self.scan([self.chunk_map(part[i:i + chunk]) for i in range(0, len(part), chunk)])
-                total += self.span(h) + (n or 0) + self.span(t)
-            if m:
-                total, at = total + 1, m.end()
-        return total
+        parts = self.parts(text)
+        return len(parts) - 1 + sum(
+            self.total(self.scan([self.chunk_map(part[i:i + chunk]) for i in range(0, len(part), chunk)]))
+            for part in parts if part)
 
 
 @lru_cache(maxsize=1)
@@ -322,14 +331,62 @@ def compiled(spec: str) -> Counter:
     return Counter(spec)
 
 
+_MAP = "row long, part int, idx long, head string, n long, tail string"
+
+
+def _scan(long_texts: DataFrame, vocabulary, chunk: int) -> DataFrame:
+    """(row, n_tokens) of texts numbered by ``row``, by a parallel scan over their chunks."""
+    def cut(batches):
+        counter = compiled(vocabulary.value)
+        for batch in (part for whole in batches for part in slices(whole, 1)):
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for k, part in enumerate(counter.parts(text)):
+                    starts = range(0, max(1, len(part)), chunk)
+                    yield pa.RecordBatch.from_pydict({
+                        "row": pa.array([row] * len(starts), pa.int64()), "part": pa.array([k] * len(starts), pa.int32()),
+                        "idx": pa.array(range(len(starts)), pa.int64()), "text": [part[i:i + chunk] for i in starts]})
+
+    def table_of(row, part, idx, maps):
+        return pa.table({"row": pa.array(row, pa.int64()), "part": pa.array(part, pa.int32()), "idx": pa.array(idx, pa.int64()),
+                         "head": pa.array([m[0] for m in maps], pa.string()), "n": pa.array([m[1] for m in maps], pa.int64()),
+                         "tail": pa.array([m[2] for m in maps], pa.string())})
+
+    def mapped(batches):
+        counter = compiled(vocabulary.value)
+        for batch in (part for whole in batches for part in slices(whole)):
+            yield from table_of(*(batch.column(i).to_pylist() for i in range(3)),
+                                [counter.chunk_map(t) for t in batch.column(3).to_pylist()]).to_batches()
+
+    def composed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        counter = compiled(vocabulary.value)
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("idx", "head", "n", "tail"))))
+        return table_of([key[0].as_py()], [key[1].as_py()], [key[2].as_py()], [reduce(counter.compose, [r[1:] for r in rows])])
+
+    def totals(batches):
+        counter = compiled(vocabulary.value)
+        for batch in (part for whole in batches for part in slices(whole)):
+            n = [counter.total(m) for m in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["row", "part", "n"])
+
+    chunks = long_texts.select("row", "text").mapInArrow(cut, "row long, part int, idx long, text string")
+    maps = materialize(chunks.repartition("row", "part", "idx").mapInArrow(mapped, _MAP), "token-maps")
+    while (maps.agg(F.max("idx")).first()[0] or 0) > 0:
+        maps = materialize(maps.groupBy("row", "part", F.expr(f"idx div {FAN}").alias("idx_up")).applyInArrow(composed, _MAP),
+                           "token-maps")
+    # The parts' tokens, and one for each special string between two parts.
+    return maps.mapInArrow(totals, "row long, part int, n long").groupBy("row").agg(
+        (F.sum("n") + F.max("part")).alias("n_tokens"))
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", long: int = LONG, chunk: int = CHUNK) -> DataFrame:
     """Tokens of every whole text (null: empty) as the byte-level BPE file gives
     them: id, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit``.
 
     One row out per row in, repeated rows too; empty texts count 0; an empty
     table gives an empty result; other columns are not read. Special strings
-    inside a text are single tokens, as the library's default has it.
+    inside a text are single tokens, as the library's default has it. Texts of more
+    than ``long`` characters are counted by many tasks, the others by one each.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # fixed size: the vocabulary
@@ -344,11 +401,16 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
                 n = [counter.count(t) for t in texts]
             finally:
                 gc.enable()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
-                 pa.array(n, pa.int64()), pa.array([k > limit for k in n], pa.bool_())],
-                ["id", "n_bytes", "n_tokens", "over_limit"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
+                                              pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean"
-                          ).withColumnRenamed("id", id_col)
+    is_long = F.coalesce(F.char_length("text") > long, F.lit(False))
+    out = src.where(~is_long).mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    # Their numbers are fixed once they are written.
+    texts = materialize(src.where(is_long).withColumn("row", F.monotonically_increasing_id()), "long-texts")
+    if not texts.isEmpty():
+        counted = texts.select("id", "row", F.octet_length("text").cast("long").alias("n_bytes")).join(
+            _scan(texts, shared, chunk), "row")
+        out = out.unionByName(counted.select("id", "n_bytes", "n_tokens"))
+    return out.withColumn("over_limit", F.col("n_tokens") > limit).withColumnRenamed("id", id_col)

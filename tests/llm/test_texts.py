@@ -93,6 +93,18 @@ def test_chunk_maps_compose_in_any_bracketing():
     assert total(left) == total(right) == total(own.scan(maps)) == own.count(text)
 
 
+@pytest.mark.parametrize("long,chunk", [(0, 3), (40, 7), (200, 16)])
+def test_token_counts_by_parallel_scan(docs_of, long, chunk):
+    """Texts whose chunks are rows of their own: special strings cut by a chunk's end,
+    chunks in which nothing synchronises, several levels of the scan."""
+    texts = [*ODD, "word and <|endoftext|> word " * 40, "x" * 500, "a1" * 300 + " <|endoftext|>", "<|endoftext|>" * 3, None, ""]
+    lib = tokenizers.Tokenizer.from_file(tokenizer(BYTE_BPE))
+    got = token_counts(docs_of([*enumerate(texts), (None, texts[0]), (0, texts[0])]), tokenizer(BYTE_BPE), long=long, chunk=chunk)
+    want = [(i, t or "") for i, t in [*enumerate(texts), (None, texts[0]), (0, texts[0])]]
+    assert Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in got.collect()) == Counter(
+        (i, len(t.encode()), len(lib.encode(t, add_special_tokens=False).ids)) for i, t in want)
+
+
 def test_token_counts_frame(docs_of):
     got = token_counts(docs_of([*enumerate(ODD), (0, "")]), tokenizer(BYTE_BPE), limit=1024).collect()
     assert len(got) == len(ODD) + 1
