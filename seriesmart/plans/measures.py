@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import dim_date
 from ..functions.keys import date_key
+from ..operators.bucketed import write_bucketed
 from ..operators.measures import share_levels, share_of_total, shifted, star_rollup, year_to_date
+from ..session import scratch_path
 from .inputs import MONTHLY_SQL, dk_sql, monthly_revenue, table
 from .reconcile import CAL_SQL, calendar_years
 from .registry import query
@@ -32,6 +34,27 @@ def q_star_rollup(spark, sf_dir):
                         "n_lines": F.count(F.lit(1))})
 
 
+FACT_JOIN_SQL = """select o_orderpriority as priority, cast(year(l_shipdate) as integer) as year, count(*) as n_lines,
+  cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(18,2)) as revenue
+from lineitem join orders on o_orderkey = l_orderkey group by 1, 2"""
+
+FACT_BUCKET_ROWS = 50_000  # rows of the larger table in a bucket, about
+
+
+@query("bucketed_join", FACT_JOIN_SQL, "K1 K6")
+def q_bucketed_join(spark, sf_dir):
+    """Line items and orders published bucketed by the order key: joined bucket by
+    bucket, without an exchange on either side."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("orderkey"), F.year("l_shipdate").alias("year"),
+                                                 F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("orderkey"),
+                                              F.col("o_orderpriority").alias("priority"))
+    buckets = max(4, -(-table(spark, sf_dir, "lineitem").count() // FACT_BUCKET_ROWS))
+    fact, dim = (write_bucketed(d, scratch_path(spark, n), ["orderkey"], buckets) for d, n in ((li, "fact"), (o, "orders")))
+    return fact.join(dim, "orderkey").groupBy("priority", "year").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("amount").cast("decimal(18,2)").alias("revenue"))
+
+
 SHARE_SQL = """with rev as (
   select r_name as region, n_name as nation,
     cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(18,2)) as revenue

@@ -189,3 +189,23 @@ def test_unique_keys_are_read_once(spark):
     df.collect()
     final = plan.executedPlan().toString().split("== Initial Plan ==")[0]
     assert "EmptyRelation" in final or "LocalTableScan <empty>" in final
+
+
+# --- bucketed tables ---------------------------------------------------------
+
+def test_bucketed_tables_join_and_group_without_an_exchange(spark, tmp_root):
+    from seriesmart.operators.bucketed import read_bucketed, write_bucketed
+    fact = spark.range(5000).select((F.col("id") % 700).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(0, 900, 2).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    a, b = write_bucketed(fact, f"{tmp_root}/fact", ["k"], 4), write_bucketed(dim, f"{tmp_root}/dim", ["k"], 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = a.join(b, "k").groupBy("k").agg(F.sum("v").alias("v"), F.first("name").alias("name"))
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        want = fact.join(dim, "k").groupBy("k").agg(F.sum("v").alias("v"), F.first("name").alias("name"))
+        assert sorted(out.collect()) == sorted(want.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    again = write_bucketed(fact.where("k < 5"), f"{tmp_root}/fact", ["k"], 4)  # a new state replaces the old one
+    assert again.count() == read_bucketed(spark, f"{tmp_root}/fact", fact.schema, ["k"], 4).count() == fact.where("k < 5").count()
