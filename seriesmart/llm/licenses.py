@@ -2,8 +2,8 @@
 DataFrame machine-learning library only.
 
 A multinomial logistic regression over hashed word 1- and 2-grams is trained on
-notice templates of the licence families, on generic licence talk (the unknown
-class) and on a bounded sample of the corpus's own paragraphs without licence
+notice templates of the licence families, on their names in the phrases that notices
+use, on generic licence talk (the unknown class) and on a bounded sample of the corpus's own paragraphs without licence
 words (no licence). It scores every paragraph. A family's probability must exceed
 a limit, a quantile over all scored paragraphs that have no licence words and
 resemble no template; below it, licence-like text is "unknown". A
@@ -63,13 +63,47 @@ TEMPLATES = {
               "Use of this text is subject to the terms of a license.", "Licensed to the members of the project",
               "Copyright the authors.", "Distributed under a custom license agreement"),
 }
+# Names of the licences, and ways in which notices say that one applies. The
+# model is trained on every name in every way.
+NAMES = {
+    "mit": ("the MIT License", "MIT"),
+    "apache-2.0": ("the Apache License, Version 2.0", "Apache-2.0", "the Apache 2.0 license"),
+    "gpl-3.0": ("the GNU General Public License, version 3", "GPL-3.0", "GPLv3", "the GNU GPL v3"),
+    "gpl-2.0": ("the GNU General Public License, version 2", "GPL-2.0", "GPLv2", "the GNU GPL v2"),
+    "lgpl": ("the GNU Lesser General Public License", "LGPL-3.0", "LGPL-2.1", "the GNU LGPL"),
+    "agpl-3.0": ("the GNU Affero General Public License, version 3", "AGPL-3.0", "AGPLv3", "the GNU AGPL"),
+    "bsd": ("the BSD 3-Clause License", "the BSD 2-Clause License", "BSD-3-Clause", "a BSD-style license"),
+    "mpl-2.0": ("the Mozilla Public License 2.0", "MPL-2.0", "MPL 2.0"),
+    "cc-by": ("CC BY 4.0", "the Creative Commons Attribution 4.0 License"),
+    "cc-by-sa": ("CC BY-SA 4.0", "the Creative Commons Attribution-ShareAlike 4.0 License"),
+    "cc-by-nc": ("CC BY-NC 4.0", "the Creative Commons Attribution-NonCommercial 4.0 License"),
+    "cc0": ("CC0 1.0", "CC0", "the Creative Commons Zero dedication"),
+    UNKNOWN: ("its own license", "a custom license agreement", "the Community Source License", "the license in the file COPYING",
+              "the terms of use", "a license of the authors"),
+}
+PHRASES = ("Released under {}.", "Licensed under {}.", "Distributed under the terms of {}.", "This project is licensed under {}",
+           "The text is available under {}", "License: {}", "{} applies to all files of this work", "This software is {} licensed.",
+           "See {} for the conditions")
 # Words of licence talk: such paragraphs are never taken as examples of "no licence".
 LICENCE_WORDS = (r"(?iu)licen[cs]|licenç|lizenz|copyright|copyleft|©|\(c\)|spdx|\brights? reserved|public domain|creative commons|"
                  r"urheber|rechte vorbehalten|derechos reservados|droits réservés|diritti riservati|redistribut|"
                  r"\bcc[ -]?(?:by|0)\b|\b[al]?gpl\b|without permission")
+# Letters that every match of LICENCE_WORDS holds one of, in any case (no i, s or k, whose
+# case folding has exceptions): a plain search for them spares most paragraphs the pattern.
+LICENCE_PARTS = ("cen", "zenz", "copyr", "copyl", "©", "(c)", "pdx", "erv", "publ", "creat", "urheber", "vorbehalten", "but",
+                 "cc", "gpl", "thout")
 _WORD = r"[^\p{L}\p{N}]+"
 
 
+def licence_talk(para: Column) -> Column:
+    """Whether a paragraph has licence words."""
+    low = F.lower(para)
+    some = None
+    for part in LICENCE_PARTS:
+        some = F.contains(low, F.lit(part)) if some is None else some | F.contains(low, F.lit(part))
+    return some & para.rlike(LICENCE_WORDS)
+
+
 def paragraphs(text: Column, separator: str) -> Column:
     return F.split(F.coalesce(text, F.lit("")), separator, -1)
 
@@ -96,6 +130,12 @@ def template_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts], "family string, para string")
 
 
+def training_notices(spark: SparkSession) -> DataFrame:
+    """The templates, and every licence name in every phrase."""
+    spoken = [(f, p.format(name)) for f, names in NAMES.items() for name in names for p in PHRASES]
+    return template_table(spark).unionByName(spark.createDataFrame(spoken, "family string, para string"))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", separator: str = "\n",
          sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Licence paragraphs: id, ``paragraph`` (position from 0), ``family``,
@@ -131,8 +171,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", separa
     alike = F.array(*[t for ts in pairs.values() for t in ts])
     like = F.exists(alike, lambda t: F.size(F.array_intersect(t, F.col("p"))) >= 0.5 * F.size(t))
     clean = materialize(with_pairs(sample, "p"), "license-sample").where(
-        ~like & ~F.col("para").rlike(LICENCE_WORDS)).select("para")
-    train = known.unionByName(clean.select(F.lit(NONE).alias("family"), "para")).withColumn("label", label.cast("double"))
+        ~like & ~licence_talk(F.col("para"))).select("para")
+    train = training_notices(spark).unionByName(clean.select(F.lit(NONE).alias("family"), "para")).withColumn("label", label.cast("double"))
     prepare = _features().fit(train)
     train = prepare.transform(train)
     # Each class weighs the same, however many rows stand for it.
@@ -153,13 +193,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", separa
                        .select("id", "x.*").withColumn("best", F.array_max(licensed)), "license-scored")
 
     # Any paragraph above the least limit is among them; the others without a licence only count.
-    odd = with_pairs(kept.where((F.col("best") > MIN_LIMIT) & ~F.col("para").rlike(LICENCE_WORDS)).select("para", "best"),
+    odd = with_pairs(kept.where((F.col("best") > MIN_LIMIT) & ~licence_talk(F.col("para"))).select("para", "best"),
                      "p").where(~like)
     limit, n_odd = MIN_LIMIT, odd.count()
     if n_odd:
-        plain = F.size(F.filter(paragraphs(F.col("text"), separator), lambda x: x.rlike(r"[\p{L}\p{N}]")
-                                & ~x.rlike(LICENCE_WORDS)))
-        allowed = int((1 - QUANTILE) * src.agg(F.sum(plain)).first()[0])
+        worded = F.filter(paragraphs(F.col("text"), separator), lambda x: x.rlike(r"[\p{L}\p{N}]"))
+        # Texts without licence words need no look at their paragraphs.
+        plain = F.when(licence_talk(F.col("text")), F.size(F.filter(worded, lambda x: ~licence_talk(x)))).otherwise(F.size(worded))
+        allowed = int((1 - QUANTILE) * (src.where("text is not null").agg(F.sum(plain)).first()[0] or 0))
         if n_odd > allowed:
             limit = odd.agg(F.percentile_approx("best", 1 - allowed / n_odd, 10_000)).first()[0]
     kept = (kept

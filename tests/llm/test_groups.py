@@ -6,12 +6,13 @@ import random
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from seriesmart.llm import decontaminate as D
 from seriesmart.llm.components import components
 from seriesmart.llm.jaccard import Measure, jaccard_join, light_boundary, subset_keys
-from seriesmart.llm.licenses import scan
+from seriesmart.llm.licenses import LICENCE_WORDS, TEMPLATES, licence_talk, scan, training_notices
 from seriesmart.llm.quality import FEATURES, features, fit, score, train
 from seriesmart.llm.vector_search import build_graph, nearest, robust_prune
 
@@ -266,6 +267,51 @@ def test_license_scan(docs_of):
     assert scan(docs_of(rows).limit(0)).count() == 0
 
 
+def test_licence_talk_is_the_pattern(spark):
+    """The plain search lets through all that the pattern matches, odd cases too."""
+    texts = ["LICENſE", "lıcence", "LİCENCE", "Lizenz", "COPYRIGHT", "copyleft", "© 2020", "(C)", "ſpdx", "rıghts reſerved", "Right Reserved",
+             "Publıc Domaın", "CREATIVE COMMONS", "Urheberrecht", "Alle Rechte vorbehalten", "derechos reservados", "Droits RÉSERVÉS",
+             "diritti riservati", "REDISTRIBUTION", "redıſtributed", "CC-BY", "cc0", "cc by", "ccby", "AGPL", "lgpl", "gpl", "agplv3",
+             "wıthout permission", "plain text", "", "butter", "accept", "the publisher served creatures", *GOOD]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", licence_talk(F.col("t")).alias("a"), F.col("t").rlike(LICENCE_WORDS).alias("b")).collect()
+    assert all(r.a == r.b for r in got), [r.t for r in got if r.a != r.b]
+    assert sum(r.b for r in got) > 20
+
+
+def test_license_scan_of_notices_that_were_not_trained(docs_of):
+    """Other phrases and whole sentences than the model has seen, each in a document of prose."""
+    heard = {"mit": "This project is MIT licensed.", "apache-2.0": "You can use all of it under Apache License 2.0 if you like",
+             "gpl-3.0": "It is free software; redistribute it under version 3 of the GNU General Public License",
+             "gpl-2.0": "It is free software; redistribute it under version 2 of the GNU General Public License",
+             "lgpl": "The library comes with the GNU Lesser General Public License", "agpl-3.0": "We chose the GNU Affero General Public License v3",
+             "bsd": "Covered by a BSD 3-Clause license, see below", "mpl-2.0": "Files here fall under the Mozilla Public License, version 2.0",
+             "cc-by-sa": "Pictures: Creative Commons Attribution-ShareAlike 4.0", "cc-by-nc": "Content is shared as CC BY-NC 4.0 only",
+             "cc0": "The data are dedicated under CC0 1.0"}
+    trained = {r.para for r in training_notices(SparkSession.getActiveSession()).collect()}
+    assert not trained & set(heard.values())
+    prose = "\n".join(GOOD)
+    got = {r.doc_id: r for r in scan(docs_of([(i, prose + "\n" + t) for i, t in enumerate(heard.values())] + [(99, prose)])).collect()}
+    assert 99 not in got
+    right = [i for i, f in enumerate(heard) if i in got and got[i].family == f]
+    assert len(right) >= 10, {f: got[i].family if i in got else None for i, f in enumerate(heard)}
+
+
+def test_license_scan_equals_a_plain_version(docs_of):
+    """Similarity and confirmation of every reported paragraph, worked out by sets of word pairs."""
+    rows = [(i, t + "\n" + GOOD[i % len(GOOD)]) for i, (_, ts) in enumerate(sorted(TEMPLATES.items())) for t in ts]
+    def pairs(t):
+        w = [x for x in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if x]
+        return set(" ".join(p) for p in zip(w, w[1:])) if len(w) > 1 else set(w)
+    text = dict(rows)
+    got = scan(docs_of([(i, t) for i, t in text.items()])).collect()
+    assert len(got) >= len(text) - 1
+    for r in got:
+        mine = pairs(text[r.doc_id].split("\n")[r.paragraph])
+        near = max(len(pairs(t) & mine) / len(pairs(t)) for t in TEMPLATES[r.family])
+        assert abs(near - r.similarity) < 1e-12 and r.confirmed == (near >= 0.6 and r.family != "unknown")
+
+
 def test_license_scan_keeps_frequent_notices_without_a_template(docs_of):
     rng = random.Random(8)
     words = " ".join(GOOD).split()
