@@ -57,17 +57,17 @@ def layout(df: DataFrame, series: Sequence[str], order: str, halo: int,
         return SeriesLayout(df, series, [order], False)
     if halo_chunk < halo:
         raise ValueError("halo_chunk must be at least the look-back depth")
-    b = F.date_trunc(bucket, F.col(order))
-    d = df.withColumn("__b", b)
-    counts = d.groupBy(*series, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    wb = Window.partitionBy(*series).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*series, "__b",
-                            F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
-    wr = Window.partitionBy(*series, "__b").orderBy(order)
-    # NULL keys and dates are a series and a bucket like any other.
-    d = (null_safe_join(d, offsets, [*series, "__b"])
+    # Keys in structs, which are never NULL themselves: NULL keys and dates are a series and a
+    # bucket like any other, and count, join and row numbers share one partitioning.
+    d = df.withColumn("__s", F.struct(*series)).withColumn(
+        "__b", F.struct(F.date_trunc(bucket, F.col(order)).alias("b")))
+    counts = d.groupBy("__s", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    wb = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__s", "__b", F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
+    wr = Window.partitionBy("__s", "__b").orderBy(order)
+    d = (d.join(offsets, ["__s", "__b"])
          .withColumn("__rn", F.col("__off") + F.row_number().over(wr) - 1)
-         .drop("__off"))
+         .drop("__off", "__s"))
     c = F.lit(halo_chunk)
     own = F.floor(F.col("__rn") / c)
     # Each row lives in its own chunk; the last `halo` rows of a chunk are
