@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seriesmart.llm import decontaminate as D
 from seriesmart.llm.components import components
 from seriesmart.llm.jaccard import Measure, jaccard_join, light_boundary, subset_keys
-from seriesmart.llm.licenses import scan
+from seriesmart.llm.licenses import TEMPLATES, scan
 from seriesmart.llm.quality import FEATURES, features, fit, score, train
 from seriesmart.llm.vector_search import build_graph, nearest, robust_prune
 
@@ -266,6 +266,22 @@ def test_license_scan(docs_of):
     assert scan(docs_of(rows).limit(0)).count() == 0
 
 
+def test_license_scan_equals_a_plain_version(docs_of):
+    """Similarity and confirmation of every reported paragraph, worked out by sets of word pairs."""
+    def pairs(t):
+        w = [x for x in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if x]
+        return set(" ".join(p) for p in zip(w, w[1:])) if len(w) > 1 else set(w)
+
+    notices = [t for f, ts in sorted(TEMPLATES.items()) for t in ts]
+    text = {i: t + "\n" + GOOD[i % len(GOOD)] for i, t in enumerate(notices)}
+    got = scan(docs_of(list(text.items()))).collect()
+    assert len({r.doc_id for r in got}) >= len(notices) - 1
+    for r in got:
+        mine = pairs(text[r.doc_id].split("\n")[r.paragraph])
+        near = max(len(pairs(t) & mine) / len(pairs(t)) for t in TEMPLATES[r.family])
+        assert abs(near - r.similarity) < 1e-12 and r.confirmed == (near >= 0.6 and r.family != "unknown")
+
+
 def test_license_scan_keeps_frequent_notices_without_a_template(docs_of):
     rng = random.Random(8)
     words = " ".join(GOOD).split()
