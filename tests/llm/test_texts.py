@@ -10,6 +10,8 @@ import pytest
 from seriesmart.llm.bpe import WordEncoder, encode
 from seriesmart.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from seriesmart.llm.queries import BYTE_BPE, WORD_BPE, tokenizer
+from seriesmart.llm import substring_dedup
+from seriesmart.llm.common import materialize
 from seriesmart.llm.substring_dedup import COVERS, cover_for, dedup_substrings
 from seriesmart.llm.suffix_dedup import remove_repeats
 from seriesmart.llm.token_counts import Counter as TokenCounter
@@ -235,6 +237,37 @@ def test_substring_dedup_equals_brute_force(docs_of, window, vocabulary):
     assert got == brute_words(rows, window)
 
 
+def test_substring_dedup_leaves_exact_copies_out_of_the_comparison(docs_of, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(2000)]
+    base, other = ([rng.choice(words) for _ in range(300)] for _ in range(2))
+    part = " ".join(base[100:180])
+    rows = [(i, " ".join(base)) for i in range(40)] + [(50, part), (50, "b " + part), (60, part)]
+    rows += [(-1, "x " + part)] + [(i, " ".join(other)) for i in range(100, 140)] + [(200, "short"), (201, "short")]
+    rows.remove((7, " ".join(base)))
+    rows += [(7, " ".join(base)), (7, " ".join(other))]  # an id with two texts
+    written = {}
+
+    def recorded(df, name, *args):
+        out = materialize(df, name, *args)
+        written[name] = out.collect()
+        return out
+    monkeypatch.setattr(substring_dedup, "materialize", recorded)
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in dedup_substrings(docs_of(rows), 50).collect())
+    expected = sorted((i, len(t.split()), *plain_removal(rows, i, t, 50)) for i, t in rows)
+    assert got == expected
+    # One row for each different text that shares anchors, however many copies it has.
+    assert len(written["substring-anchors"]) <= len({t for _, t in rows})
+    assert max(len(r.hs) for r in written["substring-anchors"]) < 80
+
+
+def plain_removal(rows, doc_id, text, window):
+    ws = text.split()
+    before = {tuple(v[i:i + window]) for d, t in rows if d < doc_id for v in [t.split()] for i in range(len(v) - window + 1)}
+    gone = {p for i in range(len(ws) - window + 1) if tuple(ws[i:i + window]) in before for p in range(i, i + window)}
+    return len(gone), " ".join(w for p, w in enumerate(ws) if p not in gone)
+
+
 def test_substring_dedup_repeated_ids_and_nulls(docs_of):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (2, "x a b c"), (None, None)]
     got = sorted((r.doc_id or 0, r.n_removed, r.kept) for r in dedup_substrings(docs_of(rows), 3).collect())
