@@ -24,9 +24,17 @@ CDC_SQL = """select event_id, ts, user_id, event_type, value, props from events
 qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1"""
 
 
-def cdc_buckets(events) -> int:
-    """Hash buckets for a table that will hold up to this many rows."""
-    return max(8, -(-events.count() // CDC_BUCKET_ROWS))
+def cdc_buckets(events, keys=("user_id", "event_type")) -> int:
+    """Hash buckets for a table with one row for each key of these events, about counted."""
+    rows = events.agg(F.approx_count_distinct(F.struct(*keys))).first()[0]
+    return max(8, -(-rows // CDC_BUCKET_ROWS))
+
+
+def land_batches(events, land: str) -> None:
+    """The events as ten batches of files. The rebalance sizes files by bytes: a
+    batch has as many as its bytes need, not one from every task that read the table."""
+    (events.select((F.col("event_id") % CDC_BATCHES).alias("batch"), _events_json().alias("value"))
+     .hint("rebalance", "batch").write.partitionBy("batch").text(land))
 
 
 def decode_stream(raw, buckets: int = 8):
@@ -42,8 +50,7 @@ def q_cdc_upsert(spark, sf_dir):
     land, target, ckpt = (scratch_path(spark, n) for n in ("cdc-landing", "cdc-target", "cdc-ckpt"))
     ev = table(spark, sf_dir, "events")
     decode = partial(decode_stream, buckets=cdc_buckets(ev))
-    (ev.select((F.col("event_id") % CDC_BATCHES).alias("batch"), _events_json().alias("value"))
-     .write.partitionBy("batch").text(land))
+    land_batches(ev, land)
     for _ in range(2):
         q = start_cdc(spark, land, target, ckpt, decode, ["user_id", "event_type"],
                       ["ts", "event_id"], "bucket", max_files_per_trigger=3)

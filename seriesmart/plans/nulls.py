@@ -16,9 +16,8 @@ from ..operators.quality import freshness
 from ..operators.series import rebased, returns_and_rolling
 from ..session import scratch_path
 from ..streaming.cdc import start_cdc
-from .history import CDC_BATCHES, decode_stream
+from .history import decode_stream, land_batches
 from .inputs import table
-from .landing import _events_json
 from .registry import query
 
 _EV_SQL = """ev as (select event_id, case when event_id % 11 <> 0 then user_id end as user_id,
@@ -157,8 +156,7 @@ def q_cdc_null_keys(spark, sf_dir):
     land, target, ckpt = (scratch_path(spark, n) for n in ("cdc-null-landing", "cdc-null-target", "cdc-null-ckpt"))
     ev = table(spark, sf_dir, "events")
     ev = ev.withColumn("user_id", F.when(F.col("event_id") % 9 != 0, F.col("user_id")))
-    (ev.select((F.col("event_id") % CDC_BATCHES).alias("batch"), _events_json().alias("value"))
-     .write.partitionBy("batch").text(land))
+    land_batches(ev, land)
     q = start_cdc(spark, land, target, ckpt, decode_stream, ["user_id", "event_type"], ["ts", "event_id"],
                   "bucket", max_files_per_trigger=5)
     q.awaitTermination()

@@ -261,3 +261,20 @@ def test_a_version_is_committed_once(spark, tmp_root, monkeypatch):
     monkeypatch.setattr(merge, "table_state", lambda *a: stale)  # a second writer that started from the same state
     with pytest.raises(merge.ConcurrentCommit):
         merge_upsert(spark, tmp_root, delta.withColumn("ts", F.lit(2)), ["k"], ["ts"], "part")
+
+
+def test_change_stream_is_sized_by_bytes_and_keys(spark, tmp_root, monkeypatch):
+    from seriesmart.plans import history
+    ev = spark.range(4000, numPartitions=8).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 50).alias("user_id"), F.lit("click").alias("event_type"),
+        F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+    # Files by bytes: not one for each batch from each of the eight tasks.
+    history.land_batches(ev, tmp_root)
+    assert list_files(spark, tmp_root).count() == history.CDC_BATCHES
+    assert spark.read.text(tmp_root).count() == 4000
+    # Buckets by the rows that the table will hold (50 keys), not by its events.
+    monkeypatch.setattr(history, "CDC_BUCKET_ROWS", 5)
+    assert 8 <= history.cdc_buckets(ev) <= 13
+    null = ev.withColumn("user_id", F.lit(None).cast("long"))
+    assert history.cdc_buckets(null) == 8 and history.cdc_buckets(ev.limit(0)) == 8
