@@ -35,22 +35,37 @@ def path(v, p: str, type_: str = "variant", strict: bool = False) -> Column:
     return f(_c(v), p, type_)
 
 
-def flatten(df: DataFrame, v, p: str = "$", as_: str = "value",
+def fields(types: Mapping[str, str]) -> str:
+    """The type of an object of which these keys are read (quoted keys need no
+    escape). A key that is missing or does not parse is NULL, as with :func:`path`."""
+    quoted = (f"`{k.replace('`', '``')}`: {t}" for k, t in types.items())
+    return f"struct<{', '.join(quoted)}>"
+
+
+def flatten(df: DataFrame, v, p: str | None = "$", as_: str = "value",
             keep: Sequence[str] | None = None, outer: bool = False,
-            with_pos: bool = False) -> DataFrame:
+            with_pos: bool = False, type_: str = "variant") -> DataFrame:
     """One row per element of the array at ``p`` (``LATERAL FLATTEN``).
 
     Inner by default: a missing or empty array drops the row; ``outer=True``
     keeps it with a NULL element. ``with_pos`` adds the element index
     ``<as_>_pos``. ``keep`` lists the columns carried along (default all).
+
+    A VARIANT element is a document of its own, built anew with its own key
+    dictionary. ``type_`` (see :func:`fields`) reads the typed paths of all
+    elements in one go instead, with the results of :func:`path`; shredded
+    documents are then read by these fields alone. ``p=None`` flattens a
+    column that is such a typed array already.
     """
-    arr = F.try_variant_get(_c(v), p, "array<variant>")
+    arr = _c(v) if p is None else path(v, p, f"array<{type_}>")
     keep = [c for c in (df.columns if keep is None else keep)]
-    if with_pos:
-        gen = F.posexplode_outer(arr) if outer else F.posexplode(arr)
-        return df.select(*keep, gen.alias(f"{as_}_pos", as_))
-    gen = F.explode_outer(arr) if outer else F.explode(arr)
-    return df.select(*keep, gen.alias(as_))
+    # The array is a column of its own, which a scan of shredded documents can take over.
+    # Exploded by position: a filter on its size would run its path a second time.
+    pos = f"{as_}_pos"
+    rows = df.select(*keep, arr.alias("__array")).select(*keep, F.posexplode_outer("__array").alias(pos, as_))
+    if not outer:
+        rows = rows.filter(F.col(pos).isNotNull())
+    return rows if with_pos else rows.select(*keep, as_)
 
 
 def flatten_object(df: DataFrame, v, p: str, value_type: str = "variant",

@@ -56,7 +56,7 @@ def q_doc_roundtrip(spark, sf_dir):
         F.date_format("ts", "yyyy-MM-dd").alias("ingest_date"), _events_json().alias("value"))
     write_landing(ev, root)
     bronze = read_documents(spark, root, RUN_TS, pattern=ORDERS_DOCS)
-    return decode_orders(bronze, parsed=True).drop("o")
+    return decode_orders(bronze, parsed=True)
 
 
 LANDING_SQL = """select event_id, ts, user_id, event_type,
@@ -191,7 +191,7 @@ def q_bronze_flatten(spark, sf_dir):
                    F.lit(',"orders":'), F.col("value"), F.lit("}"))
     bronze = _land_and_load(spark, d.select(F.date_format(F.trunc("doc_date", "month"), "yyyy-MM-dd").alias("ingest_date"),
                                             doc.alias("value")))
-    return order_lines(decode_orders(read_bronze(spark, bronze), parsed=True, at="$.orders"))
+    return order_lines(read_bronze(spark, bronze), parsed=True, at="$.orders")
 
 
 REJECTS_SQL = """select cast(o_orderkey as varchar) as series_key, 'bad value for obs_date: not-a-date' as reason

@@ -278,3 +278,13 @@ def test_change_stream_is_sized_by_bytes_and_keys(spark, tmp_root, monkeypatch):
     assert 8 <= history.cdc_buckets(ev) <= 13
     null = ev.withColumn("user_id", F.lit(None).cast("long"))
     assert history.cdc_buckets(null) == 8 and history.cdc_buckets(ev.limit(0)) == 8
+
+
+def test_bronze_flatten_scans_typed_fields(spark):
+    """The scan reads the typed fields of the orders, not whole documents."""
+    from seriesmart.plans.landing import q_bronze_flatten
+    plan = q_bronze_flatten(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    scans = plan.collectLeaves().mkString("|")
+    types = [f.dataType().simpleString() for f in [plan.collectLeaves().head().requiredSchema().apply("raw")]]
+    assert types == ["struct<0:array<struct<orderkey:bigint,orderdate:date,lines:array<struct<linenumber:int,"
+                     "quantity:decimal(18,2),extendedprice:decimal(18,2),shipdate:date>>>>>"], scans

@@ -427,6 +427,25 @@ def test_flatten_object_and_outer_flatten(spark):
     assert sorted((r.x_pos, str(r.x)) for r in pos.collect()) == [(0, "10"), (1, "20")]
 
 
+def test_typed_flatten_reads_what_paths_read(spark):
+    """Typed elements hold what paths into VARIANT elements give, broken values too,
+    and an element that is no object is a row of NULLs."""
+    from seriesmart.operators.nested import fields, flatten, parse_documents, path
+    texts = ['[{"a-b": 1, "d": "2024-02-30", "p": "12.345", "q": {"x": 1}}, {"d": "2024-02-29", "p": null}]',
+             '[{"a-b": "7", "p": "n/a", "q": [1]}, {"a-b": 1.0, "p": 99999999999999999.5}, 5, null, [1]]',
+             '{"a-b": 1}', '[]', '"x"', 'null']
+    df = parse_documents(spark.createDataFrame([(t,) for t in texts], "value string"))
+    types = {"a-b": "bigint", "d": "date", "p": "decimal(18,2)", "q": "string"}
+    typed = flatten(df, "raw", "$", "o", keep=["value"], with_pos=True, type_=fields(types))
+    plain = flatten(df, "raw", "$", "o", keep=["value"], with_pos=True).select(
+        "value", "o_pos", *[path("o", f'$["{k}"]', t).alias(k) for k, t in types.items()])
+    got, want = typed.select("value", "o_pos", "o.*").collect(), plain.collect()
+    assert len(want) == 7 and sorted(map(repr, got)) == sorted(map(repr, want))
+    inner = flatten(df.limit(1), "raw", "$", "o", keep=[], type_=fields({"xs": "array<int>"}))
+    assert flatten(inner, "o.xs", None, "x", keep=[]).count() == 0
+    assert flatten(inner, "o.xs", None, "x", keep=[], outer=True).count() == 2
+
+
 def test_fx_stream_rewrites_only_touched_months(spark, tmp_root):
     import os
     from seriesmart.plans.models import stream_fx
