@@ -20,38 +20,44 @@ from .registry import query
 BLOCK = 1000  # orders per document at most
 
 
-def _price_json():
-    """The order total as JSON text: number, JSON null, quoted number or junk."""
-    dec = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    return (F.when(F.col("o_orderstatus") == "P", F.lit("null"))
-            .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.lit('"'), dec, F.lit('"')))
+def _price():
+    """The order total as a JSON value: number, JSON null, quoted number or junk."""
+    dec = F.col("o_totalprice").cast("decimal(18,2)")
+    return (F.when(F.col("o_orderstatus") == "P", F.parse_json(F.lit("null")))
+            .when(F.col("o_orderpriority") == "3-MEDIUM", dec.cast("string").cast("variant"))
             .when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"),
-                  F.lit('"n/a"'))
-            .otherwise(dec))
+                  F.lit("n/a").cast("variant"))
+            .otherwise(dec.cast("variant")))
+
+
+def _day(c):
+    return F.col(c).cast("date").cast("string")
 
 
 def order_documents(spark, sf_dir):
     """``DF[doc_date, doc_block, value]``: one JSON array of orders per document,
     each order with its ``lines`` array (empty when it has none)."""
-    li = table(spark, sf_dir, "lineitem")
-    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+    # The structs are columns before they are collected: an aggregate evaluates its
+    # input expression by expression, a projection is compiled.
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct(
         F.col("l_linenumber").alias("linenumber"),
         F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("extendedprice"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipdate")))).alias("lines"))
+        _day("l_shipdate").alias("shipdate")).alias("line"))
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
     o = table(spark, sf_dir, "orders")
     j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     empty = F.array().cast(lines.schema["lines"].dataType)
     obj = F.struct(
         F.col("o_orderkey").alias("orderkey"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("orderdate"),
+        _day("o_orderdate").alias("orderdate"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("order-priority"),
-        F.parse_json(_price_json()).alias("totalprice"),
+        _price().alias("totalprice"),
         F.coalesce(F.col("lines"), empty).alias("lines"))
-    docs = j.groupBy(F.col("o_orderdate").cast("date").alias("doc_date"),
-                     F.expr(f"o_orderkey div {BLOCK}").alias("doc_block")).agg(
-        F.collect_list(obj).alias("a"))
+    docs = (j.select(F.col("o_orderdate").cast("date").alias("doc_date"),
+                     F.expr(f"o_orderkey div {BLOCK}").alias("doc_block"), obj.alias("order"))
+            .groupBy("doc_date", "doc_block").agg(F.collect_list("order").alias("a")))
     # Orders sorted by key (a comparator: the variant field is not orderable),
     # then the whole document serialized once.
     by_key = F.array_sort("a", lambda x, y: F.when(x["orderkey"] < y["orderkey"], -1)

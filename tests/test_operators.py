@@ -446,6 +446,14 @@ def test_typed_flatten_reads_what_paths_read(spark):
     assert flatten(inner, "o.xs", None, "x", keep=[], outer=True).count() == 2
 
 
+def test_nested_flatten_builds_no_variant_elements(spark):
+    from seriesmart.plans.documents import q_flatten_nested
+    plan = q_flatten_nested(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrayType(VariantType" not in plan and plan.count("parseJson(") == 1
+    # An aggregate evaluates its input expression by expression: the structs are projected before.
+    assert "collect_list(struct" not in plan and "collect_list(named_struct" not in plan
+
+
 def test_fx_stream_rewrites_only_touched_months(spark, tmp_root):
     import os
     from seriesmart.plans.models import stream_fx
